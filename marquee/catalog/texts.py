@@ -71,8 +71,8 @@ def _(t):
 @query("text_clean", f"""
 select page_id, md5({clean_sql('html')}) as plain, {clean_sql('html', 300)} as summary from pages""")
 def _(t):
-    return t.pages.select("page_id", digest(X.clean_text(F.col("html"))).alias("plain"),
-                          X.clean_text(F.col("html"), 300).alias("summary"))
+    d = X.add_clean_text(t.pages.select("page_id", "html"), {"plain": F.col("html")})
+    return d.select("page_id", X.trim_words(F.col("plain"), 300).alias("summary"), digest(F.col("plain")).alias("plain"))
 
 
 @query("text_strip_html_light", rf"""

@@ -7,7 +7,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +44,19 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+# The same white space as plain characters, for the native trim.
+_WIDE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip_wide(c: Column) -> Column:
     """Strip Unicode white space at both ends."""
-    return F.regexp_replace(c, f"^[{WIDE_SPACE}]+|[{WIDE_SPACE}]+$", "")
+    return F.btrim(c, F.lit(_WIDE_CHARS))
 
 
 def is_filled(c: Column) -> Column:
-    return F.length(strip_wide(blank(c))) > 0
+    """Holds anything but white space."""
+    return F.coalesce(c.rlike(f"[^{WIDE_SPACE}]"), F.lit(False))
 
 
 def repair_mojibake(c: Column) -> Column:
@@ -106,11 +112,6 @@ def _fold_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda v: unicodedata.normalize("NFKD", v), na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _title(s: pd.Series) -> pd.Series:
-    return s.map(str.title, na_action="ignore")
-
-
 def _only_where(c: Column, need: Column, udf) -> Column:
     """Send to Python only the rows the helper can change; others travel as null."""
     return F.coalesce(udf(F.when(need, c)), c)
@@ -124,13 +125,22 @@ def unescape_html(c: Column) -> Column:
     return _only_where(c, c.contains("&"), _unescape_twice)
 
 
-def clean_text(c: Column, limit: int | None = None) -> Column:
-    """Mojibake, NFC, tags, entities (twice), controls, blanks, optional cut."""
-    fixed = repair_mojibake(blank(c))
-    plain = F.when(fixed.contains("&") | fixed.rlike(_NON_ASCII), F.lit(None)).otherwise(strip_tags(fixed))
-    special = _nfc_strip_unescape(F.when(fixed.contains("&") | fixed.rlike(_NON_ASCII), fixed))
-    out = squeeze_blanks(drop_controls(F.coalesce(special, plain)))
-    return trim_words(out, limit) if limit else out
+def add_clean_text(df: DataFrame, wanted: dict[str, Column], limits: dict[str, int] | None = None) -> DataFrame:
+    """Add or replace columns by cleaned text: mojibake, NFC, tags, entities (twice),
+    controls, blanks, and the cut where ``limits`` names one.
+
+    The steps are separate projections, so every step runs once per value; only text
+    with references or non-ASCII characters visits Python.
+    """
+    names = list(wanted)
+    f, s = {n: F.col(f"__{n}_f") for n in names}, {n: F.col(f"__{n}_s") for n in names}
+    special = {n: f[n].contains("&") | f[n].rlike(_NON_ASCII) for n in names}
+    out = df.withColumns({f"__{n}_r": blank(c) for n, c in wanted.items()})
+    out = out.withColumns({f"__{n}_f": repair_mojibake(F.col(f"__{n}_r")) for n in names})
+    out = out.withColumns({f"__{n}_s": _nfc_strip_unescape(F.when(special[n], f[n])) for n in names})
+    out = out.withColumns({n: squeeze_blanks(drop_controls(F.coalesce(s[n], strip_tags(f[n])))) for n in names})
+    out = out.drop(*[f"__{n}_{x}" for n in names for x in "rfs"])
+    return out.withColumns({n: trim_words(F.col(n), k) for n, k in limits.items()}) if limits else out
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -141,13 +151,21 @@ def _nfc_strip_unescape_list(s: pd.Series) -> pd.Series:
     return s.map(lambda items: None if items is None else [one(v) for v in items])
 
 
-def clean_text_list(items: Column) -> Column:
-    """``clean_text`` for every element of an array."""
-    fixed = F.transform(items, repair_mojibake)
+def add_clean_list(df: DataFrame, items: Column, out: str) -> DataFrame:
+    """Add ``out``: ``clean_text`` of every element of an array.
+
+    Three projections, because a lambda may not hold the Python helper.
+    """
+    fixed, wide = F.col(f"__{out}_f"), F.col(f"__{out}_w")
     special = F.exists(fixed, lambda x: x.contains("&") | x.rlike(_NON_ASCII))
-    wide = _nfc_strip_unescape_list(F.when(special, fixed))
-    return F.transform(F.coalesce(wide, F.transform(fixed, strip_tags)),
-                       lambda x: squeeze_blanks(drop_controls(x)))
+    return (
+        df.withColumn(f"__{out}_f", F.transform(items, repair_mojibake))
+        .withColumn(f"__{out}_n", special)
+        .withColumn(f"__{out}_w", _nfc_strip_unescape_list(F.when(F.col(f"__{out}_n"), fixed)))
+        .withColumn(out, F.transform(F.when(wide.isNotNull(), wide).otherwise(F.transform(fixed, strip_tags)),
+                                     lambda x: squeeze_blanks(drop_controls(x))))
+        .drop(f"__{out}_f", f"__{out}_n", f"__{out}_w")
+    )
 
 
 def strip_html_light(c: Column) -> Column:
@@ -208,7 +226,15 @@ def city_folder(city: Column, country: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    return _title(c)
+    """First letter of every run of letters upper, the rest lower."""
+    cased = r"\p{Lu}\p{Ll}\p{Lt}"
+    runs = F.regexp_extract_all(c, F.lit(f"([{cased}]+|[^{cased}]+)"), 1)
+
+    def titled(x: Column) -> Column:
+        first = F.substring(x, 1, 1)
+        return F.concat(F.when(first == "ß", "Ss").otherwise(F.upper(first)), F.lower(F.substr(x, F.lit(2))))
+
+    return F.array_join(F.transform(runs, titled), "")
 
 
 def clean_url(c: Column) -> Column:

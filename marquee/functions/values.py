@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions.text import blank, clean_text_list, is_filled, strip_wide
+from marquee.functions.text import add_clean_list, blank, is_filled, strip_wide
 from marquee.keywords import decisive
 from marquee.schema import RAW_COLUMNS, SOURCE_LABELS, SOURCE_RANK, UNRANKED_SOURCE
 
@@ -59,11 +59,12 @@ def distinct_ignoring_case(items: Column) -> Column:
     return F.filter(items, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
 
 
-def clean_tags(secondary: Column) -> Column:
-    """Cleaned, case-insensitively distinct tags without the junk label."""
-    parts = F.filter(clean_text_list(F.split(blank(secondary), ",")),
-                     lambda x: (x != "") & (F.lower(x) != JUNK_LABEL))
-    return distinct_ignoring_case(parts)
+def add_clean_tags(df: DataFrame, source: str, out: str) -> DataFrame:
+    """Add ``out``: cleaned, case-insensitively distinct tags without the junk label."""
+    cleaned = add_clean_list(df, F.split(blank(F.col(source)), ","), f"__{out}_c")
+    kept = F.filter(f"__{out}_c", lambda x: (x != "") & (F.lower(x) != JUNK_LABEL))
+    return (cleaned.withColumn(f"__{out}_k", kept)
+            .withColumn(out, distinct_ignoring_case(F.col(f"__{out}_k"))).drop(f"__{out}_c", f"__{out}_k"))
 
 
 def primary_and_tags(primary_clean: Column, tags: Column) -> tuple[Column, Column]:
@@ -74,13 +75,19 @@ def primary_and_tags(primary_clean: Column, tags: Column) -> tuple[Column, Colum
     return chosen, F.slice(left, 1, MAX_TAGS)
 
 
-def coordinates(lat_text: Column, lon_text: Column) -> Column:
-    """Struct (lat, lon): both must be finite numbers and not both zero."""
-    lat = strip_wide(blank(lat_text)).try_cast("double")
-    lon = strip_wide(blank(lon_text)).try_cast("double")
-    good = (lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
-            & ~((lat == 0) & (lon == 0)))
-    return F.struct(F.when(good, lat).alias("lat"), F.when(good, lon).alias("lon"))
+def add_coordinates(df: DataFrame, lat_text: str = "latitude", lon_text: str = "longitude",
+                    lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Add two doubles: both texts must be finite numbers and not both zero, else both are null."""
+    a, b = F.col("__lat_n"), F.col("__lon_n")
+    # NaN is a readable number but no coordinate.
+    good = a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b) & ~((a == 0) & (b == 0))
+    return (
+        df.withColumns({"__lat_n": strip_wide(blank(F.col(lat_text))).try_cast("double"),
+                        "__lon_n": strip_wide(blank(F.col(lon_text))).try_cast("double")})
+        .withColumn("__both", good)
+        .withColumns({lat: F.when(F.col("__both"), a), lon: F.when(F.col("__both"), b)})
+        .drop("__lat_n", "__lon_n", "__both")
+    )
 
 
 def in_box(lat: Column, lon: Column, lat_lo: Column, lat_hi: Column, lon_lo: Column, lon_hi: Column) -> Column:

@@ -38,7 +38,8 @@ def host_gaps(df: DataFrame, host: str, date: str) -> DataFrame:
             .groupBy(host, F.to_date(date).alias("day"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last")))
     w = Window.partitionBy(host).orderBy("day")
-    gap = F.timestamp_diff("DAY", F.lag("last").over(w), F.col("first"))
+    gap = F.col("gap")
+    days = days.withColumn("gap", F.timestamp_diff("DAY", F.lag("last").over(w), F.col("first")))
     return days.select(host, F.explode(F.array(
         F.struct(F.lit(0).cast("bigint").alias("gap_days"), (F.col("n") - 1).alias("times")),
         F.struct(gap.alias("gap_days"), F.when(gap.isNotNull(), 1).otherwise(0).cast("bigint").alias("times")),

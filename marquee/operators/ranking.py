@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.session import cut_lineage
@@ -29,28 +31,23 @@ def top_rows(df: DataFrame, order: list, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def number_rows(df: DataFrame, order: list, out: str, group: str | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: list, out: str, group: str | list[str] | None = None) -> DataFrame:
     """Row numbers from 0, overall or per group, without one task per group.
 
     Rows are range-partitioned, counted per (partition, group), and numbered inside
     their partition; the prefix sums run over one row per (partition, group).
     """
-    keys = [F.col(group)] if group else []
-    gcols = [group] if group else []
-    ranged = cut_lineage(df.repartitionByRange(*keys, *order).withColumn("__part", F.spark_partition_id()))
-    sizes = ranged.groupBy("__part", *gcols).agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.partitionBy(*gcols).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", *gcols, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__part", *gcols).orderBy(*order)
-    joined = ranged.join(offsets, ["__part", *gcols]) if not group else ranged.join(
-        offsets, (ranged["__part"] == offsets["__part"]) & ranged[group].eqNullSafe(offsets[group])
-    ).drop(offsets["__part"]).drop(offsets[group])
-    return joined.withColumn(out, F.row_number().over(inside) - 1 + F.col("__before")).drop("__part", "__before")
-
-
-def completely(df: DataFrame, columns: list[str]) -> Column:
-    """True where none of the columns is null."""
-    out = F.lit(True)
-    for c in columns:
-        out = out & F.col(c).isNotNull()
-    return out
+    groups = [group] if isinstance(group, str) else list(group or [])
+    ranged = cut_lineage(df.repartitionByRange(*[F.col(g) for g in groups], *order)
+                         .withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy("__part", *groups).agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"__{c}") for c in ["__part", *groups]],
+                           F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__part", *groups).orderBy(*order)
+    same = [ranged[c].eqNullSafe(offsets[f"__{c}"]) for c in ["__part", *groups]]
+    numbered = ranged.join(offsets, reduce(lambda a, b: a & b, same))
+    return numbered.withColumn(out, F.row_number().over(inside) - 1 + F.col("__before")).drop(
+        "__part", "__before", *offsets.columns)
+
+

@@ -1,4 +1,4 @@
-"""Neighbour pairs and place groups on the sphere.
+"""Place groups on the sphere.
 
 Points sit in grid cells whose diagonal is at most eps, so two points of a cell are
 always neighbours and never have to be paired.  Only sparse cells, which hold fewer
@@ -86,21 +86,6 @@ class Grid:
 CELL = ["state", "band", "col"]
 
 
-def neighbour_pairs(points: DataFrame, eps_m: float) -> DataFrame:
-    """All pairs ``(a, b, distance_m)`` with ``a < b`` within eps metres, by grid-cell equi-join.
-
-    ``points`` has ``state, id, lat, lon``.  The pairs are the result here; place
-    grouping below does not build them.
-    """
-    grid = Grid(eps_m)
-    cells = grid.with_cell(points.select("state", "id", "lat", "lon"))
-    probe = grid.explode_around(cells).withColumnRenamed("p_state", "state")
-    d = haversine_m(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
-    return (probe.join(cells, CELL).filter(F.col("p_id") < F.col("id"))
-            .select("state", F.col("p_id").alias("a"), F.col("id").alias("b"), d.alias("distance_m"))
-            .filter(F.col("distance_m") <= eps_m))
-
-
 def _within(grid: Grid, probe: DataFrame, target: DataFrame) -> DataFrame:
     d = haversine_m(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon"))
     return probe.join(target, CELL).filter(d <= grid.eps)
@@ -195,14 +180,13 @@ def _sub_boxes(core: DataFrame, grid: Grid, level: int) -> DataFrame:
         F.min("lon").alias("lon_lo"), F.max("lon").alias("lon_hi"))
 
 
-def place_groups(points: DataFrame, eps_m: float = 500.0, min_samples: int = 5) -> DataFrame:
-    """Density groups of ``points(state, id, lat, lon)``; adds ``spatial_label`` (-1 = noise).
+def _core(grid: Grid, points: DataFrame, min_samples: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(places, core places, sparse places that are not core).
 
-    Groups are numbered per state by their smallest core id, which must be unique;
-    a border point takes the lowest-numbered group that reaches it.
+    Events of one venue share their coordinates, so the work runs on distinct places
+    with weights.  A cell holding ``min_samples`` points has only core points; every
+    other cell holds fewer, so its points ask the cells around them one by one.
     """
-    grid = Grid(eps_m)
-    # Events of one venue share their coordinates: work on distinct places with weights.
     places = cut_lineage(grid.with_cell(
         points.groupBy("state", "lat", "lon").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("first"))))
     weights = places.groupBy(*CELL).agg(F.sum("w").alias("cell_w"))
@@ -215,16 +199,34 @@ def place_groups(points: DataFrame, eps_m: float = 500.0, min_samples: int = 5)
     core = cut_lineage(
         sized.filter(F.col("cell_w") >= min_samples).drop("cell_w")
         .unionByName(sparse.join(counts, "first", "left_semi")))
+    return places, core, sparse.join(core.select("first"), "first", "left_anti")
+
+
+def core_points(points: DataFrame, eps_m: float = 500.0, min_samples: int = 5) -> DataFrame:
+    """Add ``is_core``: at least ``min_samples`` points, itself included, lie within eps."""
+    _, core, _ = _core(Grid(eps_m), points, min_samples)
+    flagged = points.join(core.select("state", "lat", "lon", F.lit(True).alias("is_core")), ["state", "lat", "lon"], "left")
+    return flagged.withColumn("is_core", F.coalesce("is_core", F.lit(False)))
+
+
+def place_groups(points: DataFrame, eps_m: float = 500.0, min_samples: int = 5) -> DataFrame:
+    """Density groups of ``points(state, id, lat, lon)``; adds ``spatial_label`` (-1 = noise).
+
+    Groups are numbered per state by their smallest core id, which must be unique;
+    a border point takes the lowest-numbered group that reaches it.
+    """
+    grid = Grid(eps_m)
+    places, core, rest = _core(grid, points, min_samples)
     if not core.limit(1).count():
         return points.withColumn("spatial_label", F.lit(-1).cast("bigint"))
     names = core.groupBy(*CELL).agg(F.min("first").alias("cell"))
     core = cut_lineage(core.join(names, CELL))
     links = _connected_cells(core, grid)
-    comps = cut_lineage(connected_components(core.select(F.col("cell").alias("node")).distinct(), links))
-    core_comp = core.join(comps, core["cell"] == comps["node"]).select(*CELL, "lat", "lon", "first", "component")
+    comps = connected_components(core.select(F.col("cell").alias("node")).distinct(), links)
+    core_comp = cut_lineage(core.join(comps, core["cell"] == comps["node"]).select(
+        *CELL, "lat", "lon", "first", "component"))
     border_probe = grid.explode_around(
-        sparse.join(counts, "first", "left_anti").select("state", "first", "lat", "lon", "band", "col")
-    ).withColumnRenamed("p_state", "state")
+        rest.select("state", "first", "lat", "lon", "band", "col")).withColumnRenamed("p_state", "state")
     border = (_within(grid, border_probe, core_comp).groupBy(F.col("p_first").alias("first"))
               .agg(F.min("component").alias("component")))
     numbered = number_rows(core_comp.select("state", "component").distinct(), [F.col("component")], "spatial_label",

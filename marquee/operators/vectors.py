@@ -83,17 +83,6 @@ def centroids(df: DataFrame, group: list[str], vector: str = "embedding") -> Dat
     return normalise(means, "centroid")
 
 
-def pairwise_distances(df: DataFrame, group: list[str], id_col: str = "id", vector: str = "embedding") -> DataFrame:
-    """All pairs ``(a, b, distance)`` of a group, for callers that ask for the pairs themselves.
-
-    Quadratic by definition; topic grouping and ranking below never use it.
-    """
-    left = df.select(*group, F.col(id_col).alias("a"), F.col(vector).alias("va"))
-    right = df.select(*group, F.col(id_col).alias("b"), F.col(vector).alias("vb"))
-    return left.join(right, group).filter("a < b").select(
-        *group, "a", "b", cosine_distance(F.col("va"), F.col("vb")).alias("distance"))
-
-
 def add_blocks(df: DataFrame, group: str, id_col: str, rows: int) -> DataFrame:
     """Spread every group over blocks of about ``rows`` rows: adds ``block`` and ``blocks``."""
     sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("blocks"))

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import DESCRIPTION_LIMIT, blank, clean_text, title_case
+from marquee.functions.text import DESCRIPTION_LIMIT, add_clean_text, blank, title_case
 from marquee.functions.times import add_moment, display_time, iso_with_offset
 from marquee.functions.values import (
-    clean_tags, coordinates, event_id, image_list, in_box, price_flag, primary_and_tags, secure_link, source_label,
+    add_clean_tags, add_coordinates, event_id, image_list, in_box, price_flag, primary_and_tags, secure_link, source_label,
 )
 from marquee.operators.aggregates import fill_rates, publish_meta
 from marquee.operators.filters import required_ok
@@ -33,33 +33,25 @@ def type_listings(raw: DataFrame, cities: DataFrame, whole_urls: bool = False) -
 
     Nothing is filtered here, so the same rows feed the events and the audit counts.
     """
-    text = raw.withColumn("valid", required_ok(raw)).withColumns({
-        "name": clean_text(F.col("name")),
-        "description": clean_text(F.col("description"), DESCRIPTION_LIMIT),
-        "location_name": clean_text(F.col("location_name")),
-        "address": clean_text(F.col("address")),
-        "__area": clean_text(F.col("city")),
-        "__primary": clean_text(F.col("primary_category")),
-        "__tags": clean_tags(F.col("secondary_categories")),
-        "point": coordinates(F.col("latitude"), F.col("longitude")),
-    })
-    placed = attach_city(text, cities)
+    checked = raw.withColumn("valid", required_ok(raw))
+    text = add_coordinates(add_clean_text(checked, {
+        "name": F.col("name"), "description": F.col("description"), "location_name": F.col("location_name"),
+        "address": F.col("address"), "__area": F.col("city"), "__primary": F.col("primary_category"),
+    }, {"description": DESCRIPTION_LIMIT}))
+    placed = add_clean_tags(attach_city(text, cities), "secondary_categories", "__tags")
     timed = add_moment(add_moment(placed, "start_time", "start", F.col("tz")), "end_time", "end", F.col("tz"))
     primary, tags = primary_and_tags(F.col("__primary"), F.col("__tags"))
-    lat, lon = F.col("point.lat"), F.col("point.lon")
     return timed.withColumns({
         "end_local": F.when(F.col("end_has_time"), F.col("end_local")),
         "end_utc": F.when(F.col("end_has_time"), F.col("end_utc")),
         "venue_area": title_case(F.col("__area")),
         "category": primary,
         "tags": tags,
-        "lat": lat,
-        "lon": lon,
-        "in_city": in_box(lat, lon, F.col("lat_lo"), F.col("lat_hi"), F.col("lon_lo"), F.col("lon_hi")),
+        "in_city": in_box(F.col("lat"), F.col("lon"), F.col("lat_lo"), F.col("lat_hi"), F.col("lon_lo"), F.col("lon_hi")),
         "url": secure_link(F.col("external_link")),
         "images": image_list(F.col("thumbnail_image"), F.col("additional_images"), whole_urls),
         "paid": price_flag(F.col("is_paid")),
-    }).drop("__area", "__primary", "__tags", "point", "end_has_time", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "tz")
+    }).drop("__area", "__primary", "__tags", "end_has_time", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "tz")
 
 
 def usable(typed: DataFrame) -> DataFrame:

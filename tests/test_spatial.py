@@ -1,9 +1,7 @@
 import math
 import random
 
-from pyspark.sql import functions as F
-
-from marquee.operators.spatial import neighbour_pairs, place_groups
+from marquee.operators.spatial import core_points, place_groups
 
 R = 6_371_000.0
 
@@ -84,12 +82,10 @@ def test_dense_neighbour_cells_connect_without_pairs(spark):
         assert len(set(got)) == groups
 
 
-def test_neighbour_pairs(spark):
+def test_core_points(spark):
     pts = rows_for(9, 90, 40.5, 179.97, 0.06)
     df = spark.createDataFrame([("s", i, a, b) for i, (a, b) in enumerate(pts)],
                                "state string, id bigint, lat double, lon double")
-    got = {(r["a"], r["b"]) for r in neighbour_pairs(df, 800.0).collect()}
-    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if metres(pts[i], pts[j]) <= 800.0}
+    got = {r["id"] for r in core_points(df, 800.0, 4).filter("is_core").collect()}
+    want = {i for i in range(90) if sum(metres(pts[i], q) <= 800.0 for q in pts) >= 4}
     assert got == want
-    far = neighbour_pairs(df, 800.0).agg(F.max("distance_m")).first()[0]
-    assert far <= 800.0
