@@ -25,7 +25,7 @@ def _keyword_sql(blocks, text, own):
 select doc_id, {_keyword_sql(ENGLISH, 'low', 'source')} as category
 from (select doc_id, source, lower(text) as low from documents)""")
 def _(t):
-    d = t.documents.select("doc_id", "source", F.lower("text").alias("low"))
+    d = t.spread(t.documents.select("doc_id", "source", "text")).select("doc_id", "source", F.lower("text").alias("low"))
     return d.select("doc_id", V.keyword_category(F.col("low"), F.col("source"), ENGLISH).alias("category"))
 
 
@@ -62,8 +62,8 @@ from (select _ord, case when lower(primary_category) = 'undefined' then '' else
 select _ord, category, array_to_string(list_filter(tags, lambda x: lower(x) <> lower(category))[:8], '|') as tags
 from (select *, case when p <> '' then p else coalesce(tags[1], '') end as category from ({TAGS}))""")
 def _(t):
-    d = V.add_clean_tags(add_clean_text(t.sql(LISTINGS), {"p": F.col("primary_category")}),
-                         "secondary_categories", "t")
+    d = add_clean_text(t.sql(LISTINGS), {"p": F.col("primary_category")}, lists={"l": F.col("secondary_categories")})
+    d = d.withColumn("t", V.distinct_tags(F.col("l")))
     category, tags = V.primary_and_tags(F.col("p"), F.col("t"))
     return d.select("_ord", category.alias("category"), F.array_join(tags, "|").alias("tags"))
 

@@ -71,7 +71,7 @@ def _(t):
 @query("text_clean", f"""
 select page_id, md5({clean_sql('html')}) as plain, {clean_sql('html', 300)} as summary from pages""")
 def _(t):
-    d = X.add_clean_text(t.pages.select("page_id", "html"), {"plain": F.col("html")})
+    d = X.add_clean_text(t.spread(t.pages.select("page_id", "html")), {"plain": F.col("html")})
     return d.select("page_id", X.trim_words(F.col("plain"), 300).alias("summary"), digest(F.col("plain")).alias("plain"))
 
 

@@ -134,7 +134,7 @@ def _(t):
 
 # Landed payloads: one document per event row, with gaps by row number.
 def _payload(t, body):
-    return t.events.select(F.col("event_id").alias("page_no"), F.to_json(body).alias("payload"))
+    return t.spread(t.events).select(F.col("event_id").alias("page_no"), F.to_json(body).alias("payload"))
 
 
 N = "cast(event_id as string)"
@@ -339,7 +339,7 @@ select o_orderkey, case when name2 <> '' then name2 else 'Untitled Event' end as
   o_orderpriority as description, '' as image, '' as url
 from (select *, case when o_orderkey % 4 = 0 then '' else 'Order 5 and ' || o_orderpriority end as name2 from orders)""")
 def _(t):
-    rows = pick_aliases(t.sql(DISPLAY_IN).drop("name"), carry=("o_orderkey",))
+    rows = pick_aliases(t.spread(t.sql(DISPLAY_IN)).drop("name"), carry=("o_orderkey",))
     return display_events(rows, carry=("o_orderkey",))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,20 @@ SCRIPT_SPACE = r"\t-\r\x20\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
+@lru_cache(maxsize=1)
+def _may_compose() -> str:
+    """Regex class of the characters whose presence can make NFC change a text."""
+    codes = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000
+             and (unicodedata.combining(chr(c)) or 0x1100 <= c < 0x1200
+                  or unicodedata.category(chr(c)).startswith("M") or not unicodedata.is_normalized("NFC", chr(c)))]
+    spans, start = [], codes[0]
+    for prev, code in zip(codes, [*codes[1:], -1]):
+        if code != prev + 1:
+            spans.append((start, prev))
+            start = code
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in spans) + "]"
+
+
 def blank(c: Column) -> Column:
     """Null and missing are the same thing as the empty string."""
     return F.coalesce(c, F.lit(""))
@@ -107,65 +122,68 @@ def _nfc_strip_unescape(s: pd.Series) -> pd.Series:
     return s.map(one, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _fold_accents(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: unicodedata.normalize("NFKD", v), na_action="ignore")
-
-
 def _only_where(c: Column, need: Column, udf) -> Column:
     """Send to Python only the rows the helper can change; others travel as null."""
     return F.coalesce(udf(F.when(need, c)), c)
 
 
 def normalize_nfc(c: Column) -> Column:
-    return _only_where(c, c.rlike(_NON_ASCII), _nfc)
+    return _only_where(c, c.rlike(_NON_ASCII) & c.rlike(_may_compose()), _nfc)
 
 
 def unescape_html(c: Column) -> Column:
     return _only_where(c, c.contains("&"), _unescape_twice)
 
 
-def add_clean_text(df: DataFrame, wanted: dict[str, Column], limits: dict[str, int] | None = None) -> DataFrame:
+# Joins the parts of a list while it passes the cleaning as one text.
+PART = "\x1f"
+_PART_TAG_RE = re.compile("<[^>\x1f]+>")
+
+
+@F.pandas_udf(T.StringType())
+def _nfc_strip_unescape_parts(s: pd.Series) -> pd.Series:
+    def one(v: str) -> str:
+        return html.unescape(html.unescape(_PART_TAG_RE.sub(" ", unicodedata.normalize("NFC", v))))
+
+    return s.map(one, na_action="ignore")
+
+
+def _finish(c: Column) -> Column:
+    return squeeze_blanks(drop_controls(c))
+
+
+def add_clean_text(df: DataFrame, wanted: dict[str, Column], limits: dict[str, int] | None = None,
+                   lists: dict[str, Column] | None = None) -> DataFrame:
     """Add or replace columns by cleaned text: mojibake, NFC, tags, entities (twice),
-    controls, blanks, and the cut where ``limits`` names one.
+    controls, blanks, and the cut where ``limits`` names one.  ``lists`` are comma
+    separated texts whose parts are cleaned one by one into an array.
 
     The steps are separate projections, so every step runs once per value; only text
-    with references or non-ASCII characters visits Python.
+    with references or composable characters visits Python, all columns in one go.
     """
-    names = list(wanted)
+    parts = {n: F.replace(F.replace(blank(c), F.lit(PART), F.lit("")), F.lit(","), F.lit(PART))
+             for n, c in (lists or {}).items()}
+    names = [*wanted, *parts]
     f, s = {n: F.col(f"__{n}_f") for n in names}, {n: F.col(f"__{n}_s") for n in names}
-    special = {n: f[n].contains("&") | f[n].rlike(_NON_ASCII) for n in names}
-    out = df.withColumns({f"__{n}_r": blank(c) for n, c in wanted.items()})
-    out = out.withColumns({f"__{n}_f": repair_mojibake(F.col(f"__{n}_r")) for n in names})
-    out = out.withColumns({f"__{n}_s": _nfc_strip_unescape(F.when(special[n], f[n])) for n in names})
-    out = out.withColumns({n: squeeze_blanks(drop_controls(F.coalesce(s[n], strip_tags(f[n])))) for n in names})
+    compose = _may_compose()
+    special = {n: f[n].contains("&") | (f[n].rlike(_NON_ASCII) & f[n].rlike(compose)) for n in names}
+    helper = {n: _nfc_strip_unescape_parts if n in parts else _nfc_strip_unescape for n in names}
+    out = df.withColumns({f"__{n}_r": blank(c) for n, c in wanted.items()} | {f"__{n}_r": c for n, c in parts.items()})
+    # A list is repaired part by part: one part that does not round-trip leaves the others alone.
+    out = out.withColumns({f"__{n}_f": repair_mojibake(F.col(f"__{n}_r")) for n in wanted}
+                          | {f"__{n}_f": _repair_parts(F.col(f"__{n}_r")) for n in parts})
+    out = out.withColumns({f"__{n}_s": helper[n](F.when(special[n], f[n])) for n in names})
+    out = out.withColumns(
+        {n: _finish(F.coalesce(s[n], strip_tags(f[n]))) for n in wanted}
+        | {n: F.transform(F.split(F.coalesce(s[n], F.regexp_replace(f[n], _PART_TAG_RE.pattern, " ")), PART), _finish)
+           for n in parts})
     out = out.drop(*[f"__{n}_{x}" for n in names for x in "rfs"])
     return out.withColumns({n: trim_words(F.col(n), k) for n, k in limits.items()}) if limits else out
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _nfc_strip_unescape_list(s: pd.Series) -> pd.Series:
-    def one(v: str) -> str:
-        return html.unescape(html.unescape(_TAG_RE.sub(" ", unicodedata.normalize("NFC", v))))
-
-    return s.map(lambda items: None if items is None else [one(v) for v in items])
-
-
-def add_clean_list(df: DataFrame, items: Column, out: str) -> DataFrame:
-    """Add ``out``: ``clean_text`` of every element of an array.
-
-    Three projections, because a lambda may not hold the Python helper.
-    """
-    fixed, wide = F.col(f"__{out}_f"), F.col(f"__{out}_w")
-    special = F.exists(fixed, lambda x: x.contains("&") | x.rlike(_NON_ASCII))
-    return (
-        df.withColumn(f"__{out}_f", F.transform(items, repair_mojibake))
-        .withColumn(f"__{out}_n", special)
-        .withColumn(f"__{out}_w", _nfc_strip_unescape_list(F.when(F.col(f"__{out}_n"), fixed)))
-        .withColumn(out, F.transform(F.when(wide.isNotNull(), wide).otherwise(F.transform(fixed, strip_tags)),
-                                     lambda x: squeeze_blanks(drop_controls(x))))
-        .drop(f"__{out}_f", f"__{out}_n", f"__{out}_w")
-    )
+def _repair_parts(c: Column) -> Column:
+    repaired = F.array_join(F.transform(F.split(c, PART), repair_mojibake), PART)
+    return F.when(c.rlike(MOJIBAKE_MARKS), repaired).otherwise(c)
 
 
 def strip_html_light(c: Column) -> Column:
@@ -176,10 +194,38 @@ def strip_html_light(c: Column) -> Column:
     return strip_wide(F.regexp_replace(out, f"[{WIDE_SPACE}]+", " "))
 
 
+@lru_cache(maxsize=1)
+def _fold_table() -> tuple[str, str, dict[str, str]]:
+    """Compatibility folding onto a-z and 0-9, derived from the Unicode database.
+
+    Characters that fold to one key character go to a translate table, those that
+    fold to several (ligatures, fractions) to a map.
+    """
+    src, dst, wide = [], [], {}
+    for code in range(0x80, 0x20000):
+        char = chr(code)
+        if 0xD800 <= code < 0xE000:
+            continue
+        key = re.sub("[^a-z0-9]", "", unicodedata.normalize("NFKD", char))
+        if len(key) == 1 and code < 0x10000:
+            src.append(char)
+            dst.append(key)
+        elif key:
+            wide[char] = key
+    return "".join(src), "".join(dst), wide
+
+
 def match_key(c: Column) -> Column:
-    """Lower-case, accents folded, only a-z and 0-9 left."""
+    """Lower-case, compatibility-folded, only a-z and 0-9 left; all inside the JVM."""
+    src, dst, wide = _fold_table()
     low = F.lower(blank(c))
-    return F.regexp_replace(_only_where(low, low.rlike(_NON_ASCII), _fold_accents), "[^a-z0-9]+", "")
+    # One string literal, folded to a map when the plan is optimised.
+    several = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in wide.items())), F.lit("\n"), F.lit("\t"))
+    spelled = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
+    rare = "[" + "".join(wide) + "]"
+    folded = (F.when(~low.rlike(_NON_ASCII), low).when(low.rlike(rare), F.translate(spelled, src, dst))
+              .otherwise(F.translate(low, src, dst)))
+    return F.regexp_replace(folded, "[^a-z0-9]+", "")
 
 
 def display_clean(c: Column) -> Column:

@@ -22,9 +22,18 @@ ISO_MOMENT = (
 CITY_TIME_FORMAT = "M/d/yyyy  hh:mm:ss a"
 LONG_DATE_FORMAT = "EEEE, MMMM d, yyyy"
 SHORT_TIME_FORMAT = "h:mm a"
+# Each text form has a cheap shape test, because a failed parse costs an exception.
+_DAY, _WORD = r"\d{1,2}", r"[A-Za-z]{3,9}"
 FREE_TEXT_FORMATS = [
-    "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "M/d/yyyy", "MMMM d, yyyy h:mm a", "MMMM d, yyyy",
-    "MMM d, yyyy h:mm a", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy",
+    (rf"^{_DAY}/{_DAY}/\d{{4}} \d{{1,2}}:\d{{2}}$", "M/d/yyyy H:mm"),
+    (rf"^{_DAY}/{_DAY}/\d{{4}} \d{{1,2}}:\d{{2}} [AP]M$", "M/d/yyyy h:mm a"),
+    (rf"^{_DAY}/{_DAY}/\d{{4}}$", "M/d/yyyy"),
+    (rf"^{_WORD} {_DAY}, \d{{4}} \d{{1,2}}:\d{{2}} [AP]M$", "MMMM d, yyyy h:mm a"),
+    (rf"^{_WORD} {_DAY}, \d{{4}}$", "MMMM d, yyyy"),
+    (rf"^[A-Za-z]{{3}} {_DAY}, \d{{4}} \d{{1,2}}:\d{{2}} [AP]M$", "MMM d, yyyy h:mm a"),
+    (rf"^[A-Za-z]{{3}} {_DAY}, \d{{4}}$", "MMM d, yyyy"),
+    (rf"^{_DAY} {_WORD} \d{{4}}$", "d MMMM yyyy"),
+    (rf"^{_DAY} [A-Za-z]{{3}} \d{{4}}$", "d MMM yyyy"),
 ]
 
 
@@ -50,17 +59,20 @@ def _ntz(c: Column) -> Column:
 
 def _iso_parts(s: Column) -> tuple[Column, Column]:
     """(written wall clock, offset in minutes or null for a naive text)."""
-    part = [F.regexp_extract(s, ISO_MOMENT, i) for i in range(1, 7)]
-    pad = lambda c: F.when(c == "", F.lit("00")).otherwise(c)
-    written = _ntz(F.concat(part[0], F.lit("T"), part[1], F.lit(":"), pad(part[2]), F.lit(":"), pad(part[3]),
-                            F.lit("."), F.rpad(F.substring(part[4], 1, 6), 6, "0")))
-    zone = F.regexp_replace(part[5], ":", "")
-    minutes = (F.substring(zone, 2, 2).try_cast("int") * 60
-               + F.coalesce(F.nullif(F.substring(zone, 4, 2), F.lit("")).try_cast("int"), F.lit(0)))
+    rest = F.substr(s, F.lit(12))
+    zone = F.regexp_extract(rest, "(Z|[+-][0-9:]+)$", 1)
+    clock = F.replace(F.substring_index(F.substring_index(F.substring_index(rest, "Z", 1), "+", 1), "-", 1),
+                      F.lit(","), F.lit("."))
+    full = F.when(F.length(clock) == 2, F.concat(clock, F.lit(":00"))).otherwise(F.substring(clock, 1, 15))
+    written = _ntz(F.concat(F.substring(s, 1, 10), F.lit("T"), full))
+    digits = F.replace(F.substr(zone, F.lit(2)), F.lit(":"), F.lit(""))
+    minutes = (F.substring(digits, 1, 2).try_cast("int") * 60
+               + F.coalesce(F.nullif(F.substring(digits, 3, 2), F.lit("")).try_cast("int"), F.lit(0)))
     offset = (F.when(zone == "Z", F.lit(0))
               .when(F.startswith(zone, F.lit("-")), -minutes)
               .when(F.startswith(zone, F.lit("+")), minutes))
-    return F.when(s.rlike(ISO_MOMENT), written), offset
+    iso = s.rlike(ISO_MOMENT)
+    return F.when(iso, written), F.when(iso, offset)
 
 
 def add_moment(df: DataFrame, source: str, out: str, tz: Column) -> DataFrame:
@@ -110,7 +122,8 @@ def add_lenient(df: DataFrame, source: str, out: str) -> DataFrame:
     """Add struct ``out`` = (written, offset): ISO forms first, then a list of text forms."""
     s = F.col(f"__{out}_s")
     written, offset = _iso_parts(s)
-    texts = [F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in FREE_TEXT_FORMATS]
+    texts = [F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz"))
+             for shape, f in FREE_TEXT_FORMATS]
     day = F.when(s.rlike(DATE_ONLY), _ntz(s))
     return (
         df.withColumn(f"__{out}_s", strip_wide(blank(F.col(source))))

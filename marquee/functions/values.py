@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.functions.text import add_clean_list, blank, is_filled, strip_wide
+from marquee.functions.text import blank, is_filled, strip_wide
 from marquee.keywords import decisive
 from marquee.schema import RAW_COLUMNS, SOURCE_LABELS, SOURCE_RANK, UNRANKED_SOURCE
 
@@ -59,12 +59,9 @@ def distinct_ignoring_case(items: Column) -> Column:
     return F.filter(items, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
 
 
-def add_clean_tags(df: DataFrame, source: str, out: str) -> DataFrame:
-    """Add ``out``: cleaned, case-insensitively distinct tags without the junk label."""
-    cleaned = add_clean_list(df, F.split(blank(F.col(source)), ","), f"__{out}_c")
-    kept = F.filter(f"__{out}_c", lambda x: (x != "") & (F.lower(x) != JUNK_LABEL))
-    return (cleaned.withColumn(f"__{out}_k", kept)
-            .withColumn(out, distinct_ignoring_case(F.col(f"__{out}_k"))).drop(f"__{out}_c", f"__{out}_k"))
+def distinct_tags(parts: Column) -> Column:
+    """Case-insensitively distinct tags of cleaned parts, without blanks and the junk label."""
+    return distinct_ignoring_case(F.filter(parts, lambda x: (x != "") & (F.lower(x) != JUNK_LABEL)))
 
 
 def primary_and_tags(primary_clean: Column, tags: Column) -> tuple[Column, Column]:

@@ -70,7 +70,9 @@ def merge_groups(df: DataFrame, key: list[str]) -> DataFrame:
 
     Adds ``n_merged`` (rows absorbed).  ``sources`` must be an array column.
     """
-    ranked = df.withColumn("__r", rank_columns())
+    # The rows are read several times below; cleaning them again each time costs more
+    # than writing them once.
+    ranked = cut_lineage(df.withColumn("__r", rank_columns()))
     keep = [c for c in df.columns if c not in key]
     r = F.col("__r")
     point = F.struct("lat", "lon", "in_city")

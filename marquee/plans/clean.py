@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marquee.functions.text import DESCRIPTION_LIMIT, add_clean_text, blank, title_case
 from marquee.functions.times import add_moment, display_time, iso_with_offset
 from marquee.functions.values import (
-    add_clean_tags, add_coordinates, event_id, image_list, in_box, price_flag, primary_and_tags, secure_link, source_label,
+    add_coordinates, distinct_tags, event_id, image_list, in_box, price_flag, primary_and_tags, secure_link, source_label,
 )
 from marquee.operators.aggregates import fill_rates, publish_meta
 from marquee.operators.filters import required_ok
@@ -37,8 +37,8 @@ def type_listings(raw: DataFrame, cities: DataFrame, whole_urls: bool = False) -
     text = add_coordinates(add_clean_text(checked, {
         "name": F.col("name"), "description": F.col("description"), "location_name": F.col("location_name"),
         "address": F.col("address"), "__area": F.col("city"), "__primary": F.col("primary_category"),
-    }, {"description": DESCRIPTION_LIMIT}))
-    placed = add_clean_tags(attach_city(text, cities), "secondary_categories", "__tags")
+    }, {"description": DESCRIPTION_LIMIT}, {"__parts": F.col("secondary_categories")}))
+    placed = attach_city(text, cities).withColumn("__tags", distinct_tags(F.col("__parts")))
     timed = add_moment(add_moment(placed, "start_time", "start", F.col("tz")), "end_time", "end", F.col("tz"))
     primary, tags = primary_and_tags(F.col("__primary"), F.col("__tags"))
     return timed.withColumns({
@@ -51,7 +51,7 @@ def type_listings(raw: DataFrame, cities: DataFrame, whole_urls: bool = False) -
         "url": secure_link(F.col("external_link")),
         "images": image_list(F.col("thumbnail_image"), F.col("additional_images"), whole_urls),
         "paid": price_flag(F.col("is_paid")),
-    }).drop("__area", "__primary", "__tags", "end_has_time", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "tz")
+    }).drop("__area", "__primary", "__tags", "__parts", "end_has_time", "lat_lo", "lat_hi", "lon_lo", "lon_hi", "tz")
 
 
 def usable(typed: DataFrame) -> DataFrame:
