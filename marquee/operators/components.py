@@ -7,34 +7,64 @@ grows with the logarithm of the component size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.session import cut_lineage
 
 
+def _batch_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace each Arrow batch of edges by stars around its components' smallest nodes.
+
+    Same components, at most one edge per node, and shorter paths for the rounds.
+    """
+    for batch in batches:
+        up: dict[int, int] = {}
+
+        def find(u: int) -> int:
+            root = u
+            while up.setdefault(root, root) != root:
+                root = up[root]
+            while up[u] != root:
+                up[u], u = root, up[u]
+            return root
+
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ra, rb = find(a), find(b)
+            if ra < rb:
+                up[rb] = ra
+            elif rb < ra:
+                up[ra] = rb
+        stars = [(u, find(u)) for u in list(up)]
+        stars = [(u, r) for u, r in stars if u != r]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([u for u, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())],
+            names=["src", "dst"])
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``nodes(node)``, ``edges(src, dst)`` -> ``(node, component)``; component = smallest node."""
-    both = cut_lineage(
-        edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        .filter("src <> dst").distinct())
-    parent = cut_lineage(nodes.select("node", F.col("node").alias("parent")))
+    stars = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).mapInArrow(
+        _batch_stars, "src bigint, dst bigint")
+    both = cut_lineage(stars.select(F.explode(F.array(
+        F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))).alias("e"))
+        .select("e.*").distinct())
+    parent = nodes.select("node", F.col("node").alias("parent"))
     while True:
         up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        state = cut_lineage(parent.join(up, "parent").select("node", "parent", "grand"))
+        state = parent.select("node", "parent").join(up, "parent")
         near = (both.join(state.select(F.col("node").alias("dst"), "grand"), "dst")
                 .groupBy("src").agg(F.min("grand").alias("least"))
                 .withColumnRenamed("src", "node"))
-        with_near = state.join(near, "node", "left").withColumn("least", F.least("least", "grand"))
-        offers = with_near.select(
-            F.explode(F.array(
-                F.struct(F.col("node").alias("node"), F.least("parent", "least").alias("offer")),
-                F.struct(F.col("parent").alias("node"), F.col("least").alias("offer")),
-            )).alias("o")).select("o.*")
-        new = offers.groupBy("node").agg(F.min("offer").alias("parent"))
-        nxt = cut_lineage(new)
-        moved = (nxt.join(parent.withColumnRenamed("parent", "was"), "node")
-                 .filter(F.col("parent") != F.col("was")).limit(1).count())
-        parent = nxt
-        if not moved:
+        best = state.join(near, "node", "left").withColumn("least", F.least("least", "grand"))
+        offers = best.select(F.explode(F.array(
+            F.struct(F.col("node").alias("node"), F.least("parent", "least").alias("offer"), F.col("parent").alias("was")),
+            F.struct(F.col("parent").alias("node"), F.col("least").alias("offer"),
+                     F.lit(None).cast("bigint").alias("was")),
+        )).alias("o")).select("o.*")
+        parent = cut_lineage(offers.groupBy("node").agg(F.min("offer").alias("parent"), F.max("was").alias("was")))
+        if not parent.filter("parent <> was").limit(1).count():
             return parent.select("node", F.col("parent").alias("component"))
