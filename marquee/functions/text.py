@@ -40,18 +40,12 @@ SCRIPT_SPACE = r"\t-\r\x20\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
-@lru_cache(maxsize=1)
-def _may_compose() -> str:
-    """Regex class of the characters whose presence can make NFC change a text."""
-    codes = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000
-             and (unicodedata.combining(chr(c)) or 0x1100 <= c < 0x1200
-                  or unicodedata.category(chr(c)).startswith("M") or not unicodedata.is_normalized("NFC", chr(c)))]
-    spans, start = [], codes[0]
-    for prev, code in zip(codes, [*codes[1:], -1]):
-        if code != prev + 1:
-            spans.append((start, prev))
-            start = code
-    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in spans) + "]"
+# Every character whose presence can make NFC change a text, as a few wide ranges: a
+# class of a thousand single characters would cost a thousand tests per character.
+MAY_COMPOSE = (r"[\u0300-\u1FFF\u2000\u2001\u20D0-\u20FF\u2126\u212A\u212B\u2329\u232A\u2ADC\u2CEF-\u2CF1"
+               r"\u2D7F-\u2DFF\u3000-\uFFFF\x{10000}-\x{10FFFF}]")
+# Every character that folds to several key characters, likewise.
+MAY_SPELL_OUT = r"[¼-¾Ĳĳ\u0180-\uFFFF\x{10000}-\x{10FFFF}]"
 
 
 def blank(c: Column) -> Column:
@@ -128,7 +122,7 @@ def _only_where(c: Column, need: Column, udf) -> Column:
 
 
 def normalize_nfc(c: Column) -> Column:
-    return _only_where(c, c.rlike(_NON_ASCII) & c.rlike(_may_compose()), _nfc)
+    return _only_where(c, c.rlike(MAY_COMPOSE), _nfc)
 
 
 def unescape_html(c: Column) -> Column:
@@ -165,8 +159,7 @@ def add_clean_text(df: DataFrame, wanted: dict[str, Column], limits: dict[str, i
              for n, c in (lists or {}).items()}
     names = [*wanted, *parts]
     f, s = {n: F.col(f"__{n}_f") for n in names}, {n: F.col(f"__{n}_s") for n in names}
-    compose = _may_compose()
-    special = {n: f[n].contains("&") | (f[n].rlike(_NON_ASCII) & f[n].rlike(compose)) for n in names}
+    special = {n: f[n].contains("&") | f[n].rlike(MAY_COMPOSE) for n in names}
     helper = {n: _nfc_strip_unescape_parts if n in parts else _nfc_strip_unescape for n in names}
     out = df.withColumns({f"__{n}_r": blank(c) for n, c in wanted.items()} | {f"__{n}_r": c for n, c in parts.items()})
     # A list is repaired part by part: one part that does not round-trip leaves the others alone.
@@ -222,8 +215,7 @@ def match_key(c: Column) -> Column:
     # One string literal, folded to a map when the plan is optimised.
     several = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in wide.items())), F.lit("\n"), F.lit("\t"))
     spelled = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
-    rare = "[" + "".join(wide) + "]"
-    folded = (F.when(~low.rlike(_NON_ASCII), low).when(low.rlike(rare), F.translate(spelled, src, dst))
+    folded = (F.when(~low.rlike(_NON_ASCII), low).when(low.rlike(MAY_SPELL_OUT), F.translate(spelled, src, dst))
               .otherwise(F.translate(low, src, dst)))
     return F.regexp_replace(folded, "[^a-z0-9]+", "")
 
