@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.components import connected_components
-from marquee.operators.ranking import number_rows
+from marquee.operators.ranking import number_rows, top_per_group
 from marquee.operators.vectors import BLOCK_ROWS, add_blocks, distance_matrix, stack
 from marquee.session import cut_lineage
 
@@ -64,8 +64,9 @@ def core_distances(blocks: DataFrame, min_samples: int) -> DataFrame:
     """
     near = _pairs_of_blocks(blocks).groupBy("grp", "lo", "hi").applyInArrow(
         _knn_kernel(min_samples), "id bigint, near array<double>")
-    best = near.groupBy("id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, min_samples).alias("n"))
-    return best.select("id", F.array_max("n").alias("core"))
+    # Each block pair offers its k smallest; the overall k smallest are kept map-side first.
+    best = top_per_group(near.select("id", F.explode("near").alias("d")), ["id"], [F.col("d")], min_samples)
+    return best.groupBy("id").agg(F.max("d").alias("core"))
 
 
 def prim_edges(ids: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
