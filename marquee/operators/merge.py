@@ -18,7 +18,7 @@ from marquee.functions.values import MAX_IMAGES, MAX_TAGS, source_rank
 from marquee.operators.components import connected_components
 from marquee.operators.ranking import top_per_group
 from marquee.schema import RAW_COLUMNS
-from marquee.session import cut_lineage
+from marquee.session import cut_lineage, stage
 
 # The rules of the second pass.
 MIN_VENUE_KEY = 4
@@ -72,7 +72,7 @@ def merge_groups(df: DataFrame, key: list[str]) -> DataFrame:
     """
     # The rows are read several times below; cleaning them again each time costs more
     # than writing them once.
-    ranked = cut_lineage(df.withColumn("__r", rank_columns()))
+    ranked = stage(df.withColumn("__r", rank_columns()))
     keep = [c for c in df.columns if c not in key]
     r = F.col("__r")
     point = F.struct("lat", "lon", "in_city")
@@ -295,7 +295,7 @@ def merge_decorated(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
 def merge_sources(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
     """Both passes.  ``n_merged`` and ``n_merged_2`` account for every absorbed row."""
     rows = df if "sources" in df.columns else df.withColumn("sources", F.array("source"))
-    first = cut_lineage(merge_exact(add_match_key(add_fixed_fill(rows))))
+    first = stage(merge_exact(add_match_key(add_fixed_fill(rows))))
     return merge_decorated(first, fold_limit)
 
 

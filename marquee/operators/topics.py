@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marquee.operators.components import connected_components
 from marquee.operators.ranking import number_rows, top_per_group
 from marquee.operators.vectors import BLOCK_ROWS, add_blocks, distance_matrix, stack
-from marquee.session import cut_lineage
+from marquee.session import cut_lineage, stage
 
 # Tree edges one task may hold; a group with more is merged in weight bands.
 BAND_EDGES = 1_000_000
@@ -352,7 +352,7 @@ def topic_groups(df: DataFrame, group: str = "state", id_col: str = "id", vector
     rows = (df.join(sizes.select(group), group, "left_semi")
             .select(F.col(group).cast("string").alias("grp"), F.col(id_col).cast("bigint").alias("id"),
                     F.col(vector).alias("vector")))
-    blocks = cut_lineage(add_blocks(rows, "grp", "id", block_rows))
+    blocks = stage(add_blocks(rows, "grp", "id", block_rows))
     core = cut_lineage(core_distances(blocks, k))
     edges = cut_lineage(candidate_edges(blocks, core))
     counts = edges.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))

@@ -14,7 +14,7 @@ from marquee.operators.joins import attach_embeddings
 from marquee.operators.spatial import place_groups
 from marquee.operators.topics import topic_groups
 from marquee.operators.vectors import normalise, rescue_noise
-from marquee.session import cut_lineage
+from marquee.session import stage
 from marquee.sources.listings import located
 
 NOISE = "noise"
@@ -60,7 +60,7 @@ def group_events(events: DataFrame, embeddings: DataFrame, reference, run_id: st
     """All states in one job.  ``events`` needs unique numeric ``id``, ``state``, ``latitude``,
     ``longitude``, ``date``, a host and ``primary_category``; ``embeddings`` has ``id, embedding``."""
     base = attach_activity(located(events).withColumn("event_type", F.col("primary_category")), host, "date", reference)
-    marked = cut_lineage(mark_small_groups(normalise(attach_embeddings(base, embeddings)), "state", params.min_events))
+    marked = stage(mark_small_groups(normalise(attach_embeddings(base, embeddings)), "state", params.min_events))
     work = marked.filter(F.col("group_status") == "ok")
     vectors = work.select("id", "state", "embedding")
     topics = topic_groups(vectors, min_cluster_size=params.min_cluster_size)
@@ -72,7 +72,7 @@ def group_events(events: DataFrame, embeddings: DataFrame, reference, run_id: st
     how = "left" if params.keep_small else "inner"
     full = marked.join(labels, "id", how).na.fill(-1, ["semantic_label", "spatial_label"])
     state, topic, place = F.col("state"), F.col("semantic_label"), F.col("spatial_label")
-    full = cut_lineage(full.withColumns({
+    full = stage(full.withColumns({
         "semantic_cluster_label": stage_label(state, topic, "sem"),
         "spatial_cluster_label": stage_label(state, place, "spa"),
         "fused_cluster": fused_label(state, topic, place)}))

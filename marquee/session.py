@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write wide rows once as a table in the checkpoint folder and read that instead.
+
+    Later reads take only the columns they need, and joins see the table's real size.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/marquee-stage-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
