@@ -1,3 +1,11 @@
 """Event-listing analytics expressed as Spark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Arrow helpers travel to the executors with their code, so a cluster needs no copy of
+# this package on its workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
