@@ -36,3 +36,22 @@ select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition b
        row_number() over w = 1 as kept, text_sha256
 from d
 window w as (partition by text_sha256 order by n desc, doc_id nulls last, r)"""
+
+
+@query
+def op9_simhash(spark, folder):
+    """Every document with its fingerprint and the smallest id that near fingerprints lead to."""
+    from pyspark.sql import functions as F
+
+    from marquee.llm.simhash import near_groups
+
+    return near_groups(table(spark, folder, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op8_repetition_rules(spark, folder):
+    """Every document with its repetition counts and the verdict."""
+    from marquee.llm.repetition import judge
+
+    return judge(table(spark, folder, "documents"))
