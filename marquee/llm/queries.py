@@ -55,3 +55,11 @@ def op8_repetition_rules(spark, folder):
     from marquee.llm.repetition import judge
 
     return judge(table(spark, folder, "documents"))
+
+
+@query
+def op6_quality_classifier(spark, folder):
+    """Every document with its quality score."""
+    from marquee.llm.quality import classify
+
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
