@@ -63,3 +63,11 @@ def op6_quality_classifier(spark, folder):
     from marquee.llm.quality import classify
 
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_secret_scan(spark, folder):
+    """Every document with its secret spans."""
+    from marquee.llm.secrets import find_secrets, summary
+
+    return summary(find_secrets(table(spark, folder, "documents")))
