@@ -71,3 +71,11 @@ def op4_secret_scan(spark, folder):
     from marquee.llm.secrets import find_secrets, summary
 
     return summary(find_secrets(table(spark, folder, "documents")))
+
+
+@query
+def op1_sentencepiece(spark, folder):
+    """Every document with sampled piece ids and the digest of the text they decode to."""
+    from marquee.llm.pieces import encoded, summary
+
+    return summary(encoded(table(spark, folder, "documents")))
