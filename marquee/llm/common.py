@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     head = rows.join(F.broadcast(groups.filter(hot)), key)
     rest = rows.join(F.broadcast(groups.filter(hot).select(key)), key, "left_anti").join(groups.filter(~hot), key)
     return head.unionByName(rest)
+
+
+def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with at most ``most`` in total, or one row."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)

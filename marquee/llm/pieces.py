@@ -26,14 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.llm.common import slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 0.3
 SEED = 1
 # Weight of a piece of a model that only ranks its pieces: 1 / (rank + RANK_OFFSET).
 RANK_OFFSET = 100.0
 # Bytes of text and parts of it worked on at once; any text is cut into such slices between parts.
-BATCH_BYTES = 8 << 20
-BATCH_PARTS = 1 << 20
+BATCH_BYTES = 4 << 20
+BATCH_PARTS = 1 << 18
 
 _MARK = "▁".encode()
 # Stands for a literal U+2581 inside a task; no UTF-8 text has this byte.
@@ -263,8 +265,6 @@ def encode(key: Column, text: Column, pieces: Pieces, alpha: float = ALPHA, seed
     """Sampled piece ids of a text column, drawn by the key."""
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def udf(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        from marquee.llm.repetition import slices
-
         lattice = Lattice(pieces, alpha, seed)
         for keys, texts in columns:
             keys = pc.fill_null(keys, -1).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import BLANKS, id_and_text
+from marquee.llm.common import BLANKS, id_and_text, slices
 
 # Base rules: least words, and most words in repeated windows of three words, of a hundred.
 LEAST_WORDS = 50
@@ -120,18 +120,6 @@ def _measure(texts: list[str]) -> list[np.ndarray]:
     ]
 
 
-def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most ``most`` in total, or one row."""
-    start, held = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if held and held + size > most:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.binary_length(batch.column(1)).to_numpy()
