@@ -79,3 +79,11 @@ def op1_sentencepiece(spark, folder):
     from marquee.llm.pieces import encoded, summary
 
     return summary(encoded(table(spark, folder, "documents")))
+
+
+@query
+def op2_mix_sources(spark, folder):
+    """Every document with the words that the mix takes of it."""
+    from marquee.llm.mixing import documents_taken
+
+    return documents_taken(table(spark, folder, "documents"))
