@@ -87,3 +87,11 @@ def op2_mix_sources(spark, folder):
     from marquee.llm.mixing import documents_taken
 
     return documents_taken(table(spark, folder, "documents"))
+
+
+@query
+def op10_ppm_scores(spark, folder):
+    """Every document with its unigram score and its score by partial matching."""
+    from marquee.llm.ppm import score
+
+    return score(table(spark, folder, "documents"))
