@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.session import ensure_checkpoint_dir
@@ -57,6 +57,31 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     return head.unionByName(rest)
 
 
+def join_salted(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """As ``join_groups`` for ``groups`` too wide to broadcast: hot ones are copied to several salts.
+
+    Only the hot keys and their number of salts are broadcast, at most ``HOT_KEYS`` of them.
+    """
+    total = groups.agg(F.sum(size)).head()[0] or 0
+    salts, salt = unused(rows, "salts"), unused(rows, "salt")
+    spread = groups.withColumn(salts, F.ceil(F.col(size) * HOT_KEYS / F.lit(max(total, 1))).cast("int"))
+    hot = spread.filter(F.col(salts) > 1).select(key, salts)
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn(
+        salt, F.pmod(F.xxhash64(*rows.columns), F.coalesce(F.col(salts), F.lit(1))).cast("int")).drop(salts)
+    copied = spread.withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1))).drop(salts)
+    return dealt.join(copied, [key, salt]).drop(salt)
+
+
+def running_sum(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
+    """Sum of ``value`` over the rows before, by ``bucket`` and then ``order``, inside ``group``."""
+    sums = df.groupBy(*group, bucket).agg(F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    heads = sums.select(*group, bucket, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__head"))
+    inside = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (df.join(heads, [*group, bucket])
+            .withColumn(out, F.col("__head") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("__head"))
+
+
 def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``most`` in total, or one row."""
     start, held = 0, 0

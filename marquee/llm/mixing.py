@@ -19,10 +19,10 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import join_groups, stage_rows, unused
+from marquee.llm.common import join_groups, running_sum, stage_rows, unused
 from marquee.operators.ranking import number_rows, top_per_group
 
 WEIGHTS = (3, 1, 2)
@@ -40,16 +40,6 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def running_sum(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
-    """Sum of ``value`` over the rows before, by ``bucket`` and then ``order``, inside ``group``."""
-    sums = df.groupBy(*group, bucket).agg(F.sum(value).alias("__sum"))
-    earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    heads = sums.select(*group, bucket, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__head"))
-    inside = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (df.join(heads, [*group, bucket])
-            .withColumn(out, F.col("__head") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("__head"))
-
-
 def source_targets(sources: DataFrame, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
     """Add ``source_no``, ``weight``, ``target`` and ``take`` (whole words) to ``src, source_size``; staged."""
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("source_no") % len(WEIGHTS) + 1).cast("int"))
