@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import slices
+from marquee.llm.common import id_and_text, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 0.3
@@ -34,8 +34,8 @@ SEED = 1
 # Weight of a piece of a model that only ranks its pieces: 1 / (rank + RANK_OFFSET).
 RANK_OFFSET = 100.0
 # Bytes of text and parts of it worked on at once; any text is cut into such slices between parts.
-BATCH_BYTES = 4 << 20
-BATCH_PARTS = 1 << 18
+BATCH_BYTES = 2 << 20
+BATCH_PARTS = 1 << 17
 
 _MARK = "▁".encode()
 # Stands for a literal U+2581 inside a task; no UTF-8 text has this byte.
@@ -261,51 +261,66 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def encode(key: Column, text: Column, pieces: Pieces, alpha: float = ALPHA, seed: int = SEED) -> Column:
-    """Sampled piece ids of a text column, drawn by the key."""
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def udf(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        lattice = Lattice(pieces, alpha, seed)
-        for keys, texts in columns:
-            keys = pc.fill_null(keys, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            with np.errstate(over="ignore"):
-                out = [lattice.encode(keys[a:b], texts.slice(a, b - a)) for a, b in slices(sizes, BATCH_BYTES)]
-            yield pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
-
-    return udf(key, text)
+def encode(keys: pa.Array, texts: pa.Array, lattice: Lattice) -> Iterator[tuple[int, int, pa.Array]]:
+    """Piece ids of the texts, slice by slice of rows."""
+    keys = pc.fill_null(keys, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for a, b in slices(sizes, BATCH_BYTES):
+        yield a, b, lattice.encode(keys[a:b], texts.slice(a, b - a))
 
 
-def decode(ids: Column, pieces: Pieces) -> Column:
-    """The text of a column of piece ids."""
+def piece_table(pieces: Pieces) -> list[bytes]:
+    """What each id stands for; ids that stand for no text are empty."""
     table = [b""] * pieces.size
     for i, text in zip(pieces.ids, pieces.text):
         table[i] = text
     for byte, i in enumerate(pieces.byte_ids):
         table[i] = bytes([byte])
+    return table
 
-    @F.arrow_udf(T.StringType())
-    def udf(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows:
-            joined = b"".join(map(table.__getitem__, row.values.to_pylist() if row.is_valid else ()))
-            out.append(joined[1:].decode())
-        return pa.array(out, pa.string())
 
-    return udf(ids)
+def decode(rows: pa.Array, table: list[bytes]) -> pa.Array:
+    """The texts of rows of piece ids; a null row is an empty text."""
+    ids = rows.flatten().to_numpy()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    texts, start = [], 0
+    for end in ends.tolist():
+        texts.append(b"".join([table[i] for i in ids[start:end].tolist()])[1:])
+        start = end
+    return pa.array(texts, pa.binary()).cast(pa.string())
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, alpha: float = ALPHA,
             seed: int = SEED) -> DataFrame:
-    """``doc_id, text, ids, decoded`` of every document."""
+    """``doc_id, ids, decoded, lossless``: sampled pieces of every document, the text they decode to, and
+    whether that is the document's."""
     pieces = read_model(model)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("ids", encode(F.col("doc_id"), F.col("text"), pieces, alpha, seed))
-    return rows.withColumn("decoded", decode(F.col("ids"), pieces))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice, table = Lattice(pieces, alpha, seed), piece_table(pieces)
+        for batch in batches:
+            for a, b, ids in encode(batch.column(0), batch.column(1), lattice):
+                part = batch.slice(a, b - a)
+                back = decode(ids, table)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, back, pc.equal(back, part.column(1))],
+                                                 names=["doc_id", "ids", "decoded", "lossless"])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(
+        run, "doc_id bigint, ids array<int>, decoded string, lossless boolean")
+
+
+def decoded(rows: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Column:
+    """The text of a column of piece ids, for rows that were encoded before."""
+    table = piece_table(read_model(model))
+
+    @F.arrow_udf(T.StringType())
+    def udf(ids: pa.Array) -> pa.Array:
+        return decode(ids, table)
+
+    return udf(rows[ids_col])
 
 
 def summary(rows: DataFrame) -> DataFrame:
     """``doc_id, ids``, their number, the digest of the decoded text, and whether it is the text."""
     return rows.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_pieces"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-                       (F.col("decoded") == F.col("text")).alias("lossless"))
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "lossless")
