@@ -128,3 +128,11 @@ c as (
 select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
        cast(formatted_chars as bigint) as formatted_chars
 from c"""
+
+
+@query
+def op3_license_scan(spark, folder):
+    """Every document with its licence notices."""
+    from marquee.llm.licences import find_notices, summary
+
+    return summary(find_notices(table(spark, folder, "documents")))
