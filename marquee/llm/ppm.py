@@ -33,9 +33,9 @@ from marquee.llm.common import id_and_text, shared_folder, slices, stage_rows
 HOLD_OUT = (7, 2)
 # Bytes of context.
 ORDER = 3
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 # Bytes worked on at once inside a chunk.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 END = 0xFF
 
 
