@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.catalog.inputs import CITY_EVENTS, CITY_EVENTS_SQL, HOST_EVENTS, HOST_EVENTS_SQL, TODAY
+from marquee.catalog.inputs import CITY_EVENTS, CITY_EVENTS_SQL, HOST_EVENTS, HOST_EVENTS_SQL, TODAY, strip_sql
 from marquee.catalog.registry import query
 from marquee.functions.times import day_span
 from marquee.operators import aggregates as A
 from marquee.operators.filters import in_rolling_window, keep_year
+from marquee.plans import dashboard
 
 
 @query("kpi_row", f"""
@@ -31,19 +32,25 @@ def _(t):
     return A.with_label(A.category_shares(t.sql(CITY_EVENTS), "primary_category"))
 
 
-TAGS = f"select trim(unnest(string_split(tags, ','))) as tag from ({CITY_EVENTS_SQL}) where tags is not null"
+# Tags with tabs and no-break spaces around them.
+TAGS = f"""select {strip_sql('part')} as tag from (select unnest(string_split(replace(tags, ', ', chr(9) || ',' || chr(160)), ',')) as part
+  from ({CITY_EVENTS_SQL}) where tags is not null)"""
+
+
+def wide_tags(t):
+    return t.sql(CITY_EVENTS).withColumn("tags", F.replace("tags", F.lit(", "), F.lit("\t,\u00a0")))
 
 
 @query("tag_shares", f"""
 select tag, n, round_even(100.0 * n / total, 1) as percentage from (select tag, count(*) as n,
   (select count(*) from orders) as total from ({TAGS}) group by 1) where 100.0 * n / total > 5""")
 def _(t):
-    return A.tag_shares(t.sql(CITY_EVENTS))
+    return A.tag_shares(wide_tags(t))
 
 
 @query("distinct_tags", f"select distinct tag from ({TAGS})")
 def _(t):
-    return A.distinct_tags(t.sql(CITY_EVENTS))
+    return A.distinct_tags(wide_tags(t))
 
 
 @query("option_list", f"select distinct primary_category from ({CITY_EVENTS_SQL}) where primary_category is not null")
@@ -199,3 +206,55 @@ def _(t):
     tasks = bounds.select(F.explode("sites").alias("site"), "a", "b").select(
         "site", F.explode(day_span(F.col("a"), F.col("b"))).alias("day"))
     return A.ingest_summary(rows, tasks).withColumn("day", F.col("day").cast("string"))
+
+
+# The dashboard's pages over events with a time of day, so that some are later today.
+MOMENTS = f"select * exclude (date), date + to_hours(cast(id % 24 as integer)) as date from ({CITY_EVENTS_SQL})"
+ROLLING = f"select * from ({MOMENTS}) where date >= date '{TODAY}' - interval 12 month and date <= timestamp '{TODAY} 00:00:00'"
+YEAR = f"select * from ({MOMENTS}) where event_year = 1996"
+MAPPED = "count(case when latitude is not null and longitude is not null and primary_category is not null then 1 end) as mapped, count(*) as total"
+SHARES = """select {c}, count(*) as n, round_even(100.0 * count(*) / (select count(*) from ({r})), 1) as percentage from ({r}) where {c} is not null
+group by 1"""
+
+
+def moments(t):
+    return t.sql(CITY_EVENTS).withColumn("date", F.col("date").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") % 24).cast("int")))
+
+
+def page(name: str, part: str, build, sql: str) -> None:
+    """Register one table of one dashboard page."""
+    @query(f"page_{name}_{part}", sql)
+    def _(t):
+        return build(t)[part]
+
+
+page("overview", "kpis", lambda t: dashboard.overview(wide_tags(t)),
+     f"select count(*) as rows, count(distinct city) as cities, count(distinct primary_category) as categories from ({CITY_EVENTS_SQL})")
+page("overview", "categories", lambda t: dashboard.overview(wide_tags(t)), SHARES.format(c="primary_category", r=CITY_EVENTS_SQL))
+page("overview", "tags", lambda t: dashboard.overview(wide_tags(t)), f"""
+select tag, n, round_even(100.0 * n / total, 1) as percentage from (select tag, count(*) as n,
+  (select count(*) from orders) as total from ({TAGS}) group by 1) where 100.0 * n / total > 5""")
+page("overview", "mapped", lambda t: dashboard.overview(wide_tags(t)), f"select {MAPPED} from ({CITY_EVENTS_SQL})")
+page("rolling", "kpis", lambda t: dashboard.rolling_trends(moments(t), TODAY),
+     f"select count(*) as rows, count(distinct city) as cities from ({ROLLING})")
+page("rolling", "mapped", lambda t: dashboard.rolling_trends(moments(t), TODAY), f"select {MAPPED} from ({ROLLING})")
+page("rolling", "top", lambda t: dashboard.rolling_trends(moments(t), TODAY), f"""
+select primary_category, n, cast(row_number() over (order by primary_category = 'Other', n desc, primary_category) as integer) as place
+from (select primary_category, count(*) as n from ({ROLLING}) where primary_category is not null group by 1
+  order by n desc, primary_category limit 5)""")
+page("year", "kpis", lambda t: dashboard.year_trends(moments(t), year=1996),
+     f"select count(*) as rows, count(distinct city) as cities from ({YEAR})")
+page("year", "months", lambda t: dashboard.year_trends(moments(t), year=1996), f"""
+select cast(m as integer) as month_no, strftime(make_date(2000, cast(m as integer), 1), '%B') as month, count(id) as n
+from generate_series(1, 12) g(m) left join ({YEAR}) e on month(e.date) = m group by all""")
+page("year", "cities", lambda t: dashboard.year_trends(moments(t), year=1996),
+     f"select city, count(*) as n from ({YEAR}) where city is not null group by 1 order by n desc, city limit 20")
+page("year", "mapped", lambda t: dashboard.year_trends(moments(t), year=1996), f"select {MAPPED} from ({YEAR})")
+page("host", "kpis", lambda t: dashboard.host_overview(t.sql(HOST_EVENTS)),
+     f"select count(*) as rows, count(distinct host_name) as hosts, count(distinct city) as cities from ({HOST_EVENTS_SQL})")
+
+
+@query("current_year", f"select count(*) as rows, min(event_year) as first, max(event_year) as last from ({CITY_EVENTS_SQL}) where event_year = 1997")
+def _(t):
+    return keep_year(t.sql(CITY_EVENTS), current_year=1997).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_year").alias("first"), F.max("event_year").alias("last"))

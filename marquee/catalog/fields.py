@@ -17,7 +17,7 @@ from marquee.operators.merge import add_match_key
 def _keyword_sql(blocks, text, own):
     cases = " ".join("when " + " or ".join(f"contains({text}, '{k}')" for k in words) + f" then '{cat}'"
                      for cat, words in blocks)
-    return (f"case {cases} when lower(trim({own})) in ('undefined', 'unknown', 'n/a', 'na', 'none', '') then 'Other'"
+    return (f"case {cases} when coalesce({own}, '') = '' then 'other' when lower(trim({own})) in ('undefined', 'unknown', 'n/a', 'na', 'none', '') then 'Other'"
             f" else lower(trim({own})) end")
 
 
@@ -25,17 +25,19 @@ def _keyword_sql(blocks, text, own):
 select doc_id, {_keyword_sql(ENGLISH, 'low', 'source')} as category
 from (select doc_id, source, lower(text) as low from documents)""")
 def _(t):
-    d = t.spread(t.documents.select("doc_id", "source", "text")).select("doc_id", "source", F.lower("text").alias("low"))
+    d = t.documents.select("doc_id", "source", "text").select("doc_id", "source", F.lower("text").alias("low"))
     return d.select("doc_id", V.keyword_category(F.col("low"), F.col("source"), ENGLISH).alias("category"))
 
 
 @query("category_by_spanish_keyword", f"""
 select category, count(*) as n from (select {_keyword_sql(spanish(), 'low', 'kind')} as category
-from (select lower(concat_ws(' ', p_name, p_type)) as low, case when p_size % 5 = 0 then 'n/a' else p_type end as kind
+from (select lower(concat_ws(' ', p_name, p_type)) as low, case p_size % 5 when 0 then 'n/a' when 1 then '' when 2 then '  ' when 3 then null
+    else p_type end as kind
   from part)) group by 1""")
 def _(t):
     d = t.part.select(F.lower(V.category_text(F.col("p_name"), F.col("p_type"))).alias("low"),
-                      F.when(F.col("p_size") % 5 == 0, "n/a").otherwise(F.col("p_type")).alias("kind"))
+                      F.when(F.col("p_size") % 5 == 0, "n/a").when(F.col("p_size") % 5 == 1, "").when(F.col("p_size") % 5 == 2, "  ")
+                      .when(F.col("p_size") % 5 == 4, F.col("p_type")).alias("kind"))
     return d.select(V.keyword_category(F.col("low"), F.col("kind"), spanish()).alias("category")).groupBy(
         "category").agg(F.count(F.lit(1)).alias("n"))
 

@@ -35,7 +35,7 @@ from ({PARSED})"""
 
 
 def listings(t):
-    return attach_city(t.spread(t.sql(LISTINGS)), city_dimension(t.spark))
+    return attach_city(t.sql(LISTINGS), city_dimension(t.spark))
 
 
 @query("time_parse_moment", MOMENT)

@@ -23,14 +23,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Deal rows out when the files have fewer splits than the cluster has cores.
-
-        Large tables have more splits than cores and are left as they are.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def sql(self, text: str) -> DataFrame:
         """Run a projection over ``{table}`` placeholders; used for derived inputs only."""
         used = {n: getattr(self, n) for n in TABLES if "{" + n + "}" in text}

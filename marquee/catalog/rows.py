@@ -17,7 +17,7 @@ from marquee.schema import city_dimension
 
 
 def typed(t):
-    return usable(type_listings(t.spread(t.sql(LISTINGS)), city_dimension(t.spark)))
+    return usable(type_listings(t.sql(LISTINGS), city_dimension(t.spark)))
 
 
 @query("filter_required_columns", f"""

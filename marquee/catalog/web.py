@@ -96,14 +96,14 @@ select page_id, case k when 0 then 'jsonld' when 1 then 'microdata' when 3 then
   case when bad then null when k = 0 then 'i.jpg' when k = 1 then 'p.png' else '' end as image
 from (select page_id, page_id % 6 as k, page_id % 12 = 5 as bad, {decoded(TITLE_SQL)} as title, {decoded(H1_SQL)} as h1 from pages)""")
 def _(t):
-    return P.extract_events(t.spread(dressed(t)))
+    return P.extract_events(dressed(t))
 
 
 @query("page_events_as_stored", f"""
 select page_id, 'generic' as source, t <> '' as success, nullif({decoded('t')}, '') as title from (select page_id,
   case when {TITLE_SQL} <> '' then {TITLE_SQL} else {H1_SQL} end as t from pages)""")
 def _(t):
-    return P.extract_events(t.spread(t.pages)).select("page_id", "source", "success", "title")
+    return P.extract_events(t.pages).select("page_id", "source", "success", "title")
 
 
 @query("json_ld_items", """
@@ -134,7 +134,7 @@ def _(t):
 
 # Landed payloads: one document per event row, with gaps by row number.
 def _payload(t, body):
-    return t.spread(t.events).select(F.col("event_id").alias("page_no"), F.to_json(body).alias("payload"))
+    return t.events.select(F.col("event_id").alias("page_no"), F.to_json(body).alias("payload"))
 
 
 N = "cast(event_id as string)"
@@ -339,7 +339,7 @@ select o_orderkey, case when name2 <> '' then name2 else 'Untitled Event' end as
   o_orderpriority as description, '' as image, '' as url
 from (select *, case when o_orderkey % 4 = 0 then '' else 'Order 5 and ' || o_orderpriority end as name2 from orders)""")
 def _(t):
-    rows = pick_aliases(t.spread(t.sql(DISPLAY_IN)).drop("name"), carry=("o_orderkey",))
+    rows = pick_aliases(t.sql(DISPLAY_IN).drop("name"), carry=("o_orderkey",))
     return display_events(rows, carry=("o_orderkey",))
 
 
@@ -352,12 +352,12 @@ def _(t):
 
 @query("clean_city_new_york")
 def _(t):
-    return clean_city_job(t.spread(t.sql(LISTINGS)), "new_york")
+    return clean_city_job(t.sql(LISTINGS), "new_york")
 
 
 @query("clean_city_mexico_city")
 def _(t):
-    return clean_city_job(t.spread(t.sql(LISTINGS)), "mexico_city")
+    return clean_city_job(t.sql(LISTINGS), "mexico_city")
 
 
 @query("clean_city_counts", f"""
@@ -369,7 +369,7 @@ def _(t):
 
 
 def _run(t):
-    return clean_listings(t.spread(t.sql(LISTINGS)), city_dimension(t.spark))
+    return clean_listings(t.sql(LISTINGS), city_dimension(t.spark))
 
 
 @query("clean_listings")
@@ -391,6 +391,6 @@ def _(t):
 
 @query("daily_rows")
 def _(t):
-    return daily_export(t.spread(t.sql(LISTINGS)), city_dimension(t.spark))
+    return daily_export(t.sql(LISTINGS), city_dimension(t.spark))
 
 

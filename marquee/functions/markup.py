@@ -64,10 +64,10 @@ def extract(page: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract(page, pattern, group)
 
 
-def meta_content(page: Column, prop: str) -> Column:
+def meta_content(page: Column, prop: str, by: tuple[str, ...] = ("property", "name")) -> Column:
     """Meta content by ``property``, else by ``name``; empty when absent."""
     found = [F.nullif(F.concat(extract(page, p, 1), extract(page, p, 2)), F.lit(""))
-             for by in ("property", "name") for p in meta_pattern(prop, by)]
+             for attribute in by for p in meta_pattern(prop, attribute)]
     return strip_script(F.coalesce(*found, F.lit("")))
 
 

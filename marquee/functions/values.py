@@ -35,7 +35,8 @@ def keyword_category(low_text: Column, primary: Column, blocks: list[tuple[str,
     Plain substring tests in one short-circuit CASE stay inside generated code.
     Pass a materialised column as ``low_text`` so the lower-casing runs once.
     """
-    own = F.lower(strip_wide(blank(primary)))
+    # Nothing given counts as the word "other"; white space or a junk word as none.
+    own = F.when(blank(primary) == "", "other").otherwise(F.lower(strip_wide(blank(primary))))
     out = None
     for category, keywords in blocks:
         hit = reduce(lambda a, b: a | b, [F.contains(low_text, F.lit(k)) for k in decisive(keywords)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import blank
+from marquee.functions.text import blank, strip_wide
 from marquee.functions.values import percent_label, share_percent
 from marquee.operators.hosts import _most_common
 from marquee.operators.ranking import top_rows
@@ -46,7 +46,7 @@ def with_label(shares: DataFrame) -> DataFrame:
 
 def explode_tags(df: DataFrame, column: str = "tags") -> DataFrame:
     return df.filter(F.col(column).isNotNull()).select(
-        F.explode(F.split(F.col(column), ",")).alias("tag")).withColumn("tag", F.trim("tag"))
+        F.explode(F.split(F.col(column), ",")).alias("tag")).withColumn("tag", strip_wide(F.col("tag")))
 
 
 def tag_shares(df: DataFrame, column: str = "tags", above: float = TAG_SHARE) -> DataFrame:

@@ -70,6 +70,7 @@ def has_tag(tags_text: Column, tag: str) -> Column:
 
 
 def in_rolling_window(day: Column, today, months: int) -> Column:
+    """From ``months`` before today's midnight up to it; a moment later today is out."""
     t = F.lit(today).cast("date")
     return day.between(F.add_months(t, -months), t)
 

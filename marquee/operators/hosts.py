@@ -71,7 +71,9 @@ def host_activity(df: DataFrame, host: str, date: str, reference) -> DataFrame:
 
 def attach_activity(df: DataFrame, host: str, date: str, reference) -> DataFrame:
     """Every event with its host's ``last_event`` and ``frequency``; null hosts match nothing."""
-    return df.join(host_activity(df, host, date, reference), host, "left")
+    known = df.filter(F.col(host).isNotNull()).join(host_activity(df, host, date, reference), host, "left")
+    return known.unionByName(df.filter(F.col(host).isNull()), allowMissingColumns=True).select(
+        *known.columns)
 
 
 def influence(count: Column, last_event: Column, frequency: Column, reference) -> Column:

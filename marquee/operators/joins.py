@@ -9,19 +9,12 @@ from marquee.functions.text import blank, strip_wide
 from marquee.operators.filters import lacks_coordinate_text
 from marquee.schema import COUNTRY_ZONES
 
-# Rows a dimension may have before it is joined without a broadcast.
-SMALL_DIMENSION = 100_000
 DEFAULT_ZONE = "America/New_York"
 
 
-def small(dimension: DataFrame, limit: int = SMALL_DIMENSION) -> DataFrame:
-    """Broadcast a dimension only after checking its size; larger ones join by shuffle."""
-    return F.broadcast(dimension) if dimension.limit(limit + 1).count() <= limit else dimension
-
-
 def attach_city(df: DataFrame, cities: DataFrame) -> DataFrame:
-    """Canonical name, zone and box of each row's city folder."""
-    return df.join(small(cities), "city_folder")
+    """Canonical name, zone and box of each row's city folder; an unknown folder leaves them null."""
+    return df.join(cities, "city_folder", "left")
 
 
 def country_zone(country: Column, default: str = DEFAULT_ZONE) -> Column:
@@ -64,17 +57,21 @@ def address_key(c: Column) -> Column:
 def fill_coordinates(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Rows without coordinates take those of their address, adding ``geocoded``.
 
-    ``gazetteer`` has ``address_key, city, g_lat, g_lon`` with one row per address.
+    ``gazetteer`` has ``address_key, city, g_lat, g_lon``; of several rows of an address the least counts.
+    Only rows that ask are joined; the others never meet under a missing key.
     """
-    known = gazetteer.select("address_key", F.col("city").alias("__city"), "g_lat", "g_lon")
-    asked = df.withColumn("__key", F.when(lacks_coordinate_text(F.col("latitude")), address_key(F.col("address"))))
-    out = asked.join(known, (F.col("__key") == F.col("address_key")) & (F.col("city") == F.col("__city")), "left")
-    hit = F.col("g_lat").isNotNull()
-    return out.withColumns({
-        "latitude": F.when(hit, F.col("g_lat").cast("string")).otherwise(F.col("latitude")),
-        "longitude": F.when(hit, F.col("g_lon").cast("string")).otherwise(F.col("longitude")),
+    known = gazetteer.groupBy("address_key", F.col("city").alias("__city")).agg(
+        F.min(F.struct("g_lat", "g_lon")).alias("__at"))
+    asks = F.coalesce(lacks_coordinate_text(F.col("latitude")) & (address_key(F.col("address")) != "") & F.col("city").isNotNull(), F.lit(False))
+    asked = df.filter(asks).withColumn("__key", address_key(F.col("address")))
+    found = asked.join(known, (F.col("__key") == F.col("address_key")) & (F.col("city") == F.col("__city")), "left")
+    hit = F.col("__at.g_lat").isNotNull()
+    found = found.withColumns({
+        "latitude": F.when(hit, F.col("__at.g_lat").cast("string")).otherwise(F.col("latitude")),
+        "longitude": F.when(hit, F.col("__at.g_lon").cast("string")).otherwise(F.col("longitude")),
         "geocoded": hit,
-    }).drop("__key", "__city", "address_key", "g_lat", "g_lon")
+    }).drop("__key", "__city", "address_key", "__at")
+    return found.unionByName(df.filter(~asks).withColumn("geocoded", F.lit(False)))
 
 
 def attach_embeddings(df: DataFrame, embeddings: DataFrame, id_col: str = "id") -> DataFrame:

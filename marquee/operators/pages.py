@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from marquee.functions.markup import (
     JSON_LD_BLOCK, attribute_pattern, decode_entities, extract, get, inner_text, is_array, is_object, is_string,
-    items, marked_text_pattern, meta_content, strip_script, tag_text_pattern, text_at,
+    items, marked_text_pattern, meta_content, strip_script, tag_text_pattern, text_at, truthy,
 )
 from marquee.functions.text import SCRIPT_SPACE, clean_url, join_filled, url_host
 from marquee.functions.times import SHORT_TIME_FORMAT, add_lenient, long_date
-from marquee.operators.joins import match_site
+from marquee.operators.joins import host_suffixes
 
 # Shapes of dates and times in running text.
 MONTHS = (
@@ -41,12 +41,12 @@ BAD_URL = "Invalid URL provided"
 FIELDS = ["title", "date", "time", "location", "description", "image"]
 
 # Sites with their own rules: name, domains, field -> (how, what).
-# how: "attr" = attribute value, "tag" = element text, "class" / "testid" = element
-# text by class or data-testid, "meta" = meta content, "day" / "clock" = parts of a
-# datetime attribute.
+# how: "attr" / "h1 attr" = attribute value of any element or of a heading, "tag" = element
+# text, "class" / "testid" = element text by class or data-testid, "meta" = meta content,
+# "day" / "clock" = parts of a datetime attribute.
 SITE_RULES = [
     ("Eventbrite", ["eventbrite.com", "www.eventbrite.com"], {
-        "title": ("attr", "data-event-title"), "date": ("attr", "data-event-date"),
+        "title": ("h1 attr", "data-event-title"), "date": ("attr", "data-event-date"),
         "time": ("class", "event-details__time"), "location": ("class", "event-details__location"),
         "description": ("class", "event-description"), "image": ("meta", "og:image"),
     }),
@@ -74,17 +74,15 @@ def names_event(kind: Column, any_case: bool) -> Column:
     return F.lower(t).contains("event") if any_case else t.contains("Event")
 
 
-def json_ld_items(df: DataFrame, html: str, any_case: bool = True, roots: bool = True) -> DataFrame:
+def json_ld_items(df: DataFrame, html: str, any_case: bool = True) -> DataFrame:
     """One row per event object of a page's JSON-LD blocks: ``block_no, item_no, item``.
 
-    Objects, lists, ``@graph`` and ``ItemList`` are opened; broken JSON is skipped.
-    ``roots=False`` leaves out blocks whose root is a list.
+    Objects, lists, ``@graph`` and ``ItemList`` are opened; broken JSON is skipped.  The payload
+    adapters read pages this way; the cascade of ``extract_events`` is stricter.
     """
     own = [c for c in df.columns if c != html]
     blocks = df.select(*own, F.posexplode(F.regexp_extract_all(html, F.lit(JSON_LD_BLOCK), 1)).alias("block_no", "t"))
     docs = blocks.withColumn("doc", F.try_parse_json("t")).drop("t").filter(F.col("doc").isNotNull())
-    if not roots:
-        docs = docs.filter(is_object(F.col("doc")))
     doc = F.col("doc")
     tops = F.when(is_array(doc), items(doc)).otherwise(F.array(doc))
 
@@ -143,25 +141,42 @@ def first_match(text: Column, patterns: list[str]) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 0), F.lit("")) for p in patterns], F.lit(""))
 
 
-def _json_ld_fields(pages: DataFrame, key: str) -> DataFrame:
-    """Event fields of the first JSON-LD event of each page."""
-    found = json_ld_items(pages.select(key, "html"), "html", any_case=False, roots=False)
-    at = F.struct("block_no", "item_no")
-    raw = found.select(
-        key, at.alias("at"), text_at(F.col("item"), "$.name").alias("title"),
-        text_at(F.col("item"), "$.startDate", "$.date").alias("start_text"),
-        text_at(F.col("item"), "$.startDate").alias("time_text"),
-        F.when(is_string(get(F.col("item"), "$.location", "variant")), text_at(F.col("item"), "$.location")).otherwise(
-            join_filled(text_at(F.col("item"), "$.location.name"),
-                        text_at(F.col("item"), "$.location.address.streetAddress",
-                                "$.location.address.addressLocality",
-                                "$.location.address.addressRegion"))).alias("location"),
-        text_at(F.col("item"), "$.description").alias("description"),
-        F.when(is_string(get(F.col("item"), "$.image", "variant")), text_at(F.col("item"), "$.image")).otherwise(
-            text_at(F.col("item"), "$.image[0]", "$.image.url")).alias("image"))
-    rest = [c for c in raw.columns if c not in (key, "at")]
-    first = raw.groupBy(key).agg(F.min_by(F.struct(*rest), "at").alias("f")).select(key, "f.*")
-    return _dated(first).select(key, F.struct(*FIELDS).alias("jsonld"))
+def first_event(page: Column) -> Column:
+    """The first event object of a page's JSON-LD blocks, null when there is none.
+
+    Of every block whose root is an object, that object or the entries of its ``@graph``; the type is a
+    text that holds ``Event`` or a list with exactly ``Event``.  Broken JSON is skipped.
+    """
+    empty = F.array().cast("array<variant>")
+    blocks = F.transform(F.regexp_extract_all(page, F.lit(JSON_LD_BLOCK), 1), F.try_parse_json)
+    docs = F.filter(blocks, lambda d: d.isNotNull() & is_object(d))
+
+    def opened(doc: Column) -> Column:
+        graph = get(doc, "$['@graph']", "variant")
+        return F.when(is_array(graph), items(doc, "$['@graph']")).when(truthy(graph), empty).otherwise(F.array(doc))
+
+    def is_event(item: Column) -> Column:
+        kind = get(item, "$['@type']", "variant")
+        listed = F.exists(items(kind), lambda e: is_string(e) & (get(e, "$") == "Event"))
+        return is_object(item) & F.when(is_array(kind), listed).otherwise(is_string(kind) & text_at(kind, "$").contains("Event"))
+
+    return F.try_element_at(F.filter(F.flatten(F.transform(docs, opened)), is_event), F.lit(1))
+
+
+def _json_ld(df: DataFrame) -> DataFrame:
+    """Add struct ``jsonld``, the event fields of the page's first JSON-LD event."""
+    item = F.col("__event")
+    raw = df.withColumn("__event", first_event(F.col("html"))).withColumns({
+        "title": text_at(item, "$.name"), "start_text": text_at(item, "$.startDate", "$.date"),
+        "time_text": text_at(item, "$.startDate"),
+        "location": F.when(is_string(get(item, "$.location", "variant")), text_at(item, "$.location")).otherwise(
+            join_filled(text_at(item, "$.location.name"),
+                        text_at(item, "$.location.address.streetAddress", "$.location.address.addressLocality",
+                                "$.location.address.addressRegion"))),
+        "description": text_at(item, "$.description"),
+        "image": F.when(is_string(get(item, "$.image", "variant")), text_at(item, "$.image")).otherwise(
+            text_at(item, "$.image[0]", "$.image.url"))})
+    return _dated(raw).withColumn("jsonld", F.struct(*FIELDS)).drop("__event", *FIELDS)
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -194,36 +209,57 @@ def _microdata(df: DataFrame) -> DataFrame:
     return out.withColumn("microdata", F.struct(*FIELDS)).drop("__item", *FIELDS)
 
 
-def site_rows(spark, rules=None) -> DataFrame:
-    """Rule table rows ``(ord, site, domain)``."""
-    rows = [(i, name, d) for i, (name, domains, _) in enumerate(rules or SITE_RULES) for d in domains]
-    return spark.createDataFrame(rows, "ord int, site string, domain string")
+def site_of(host: Column, rules=None) -> Column:
+    """Name of the first rule with a domain that equals the host or ends it."""
+    suffixes = host_suffixes(host)
+    out = F.lit(None).cast("string")
+    for name, domains, _ in reversed(rules or SITE_RULES):
+        out = F.when(F.arrays_overlap(suffixes, F.array(*map(F.lit, domains))), name).otherwise(out)
+    return out
+
 
+def _pattern(how: str, what: str) -> str:
+    return {"attr": lambda: attribute_pattern(what), "h1 attr": lambda: attribute_pattern(what, tag="h1"),
+            "tag": lambda: tag_text_pattern(what), "class": lambda: marked_text_pattern("class", what, exact=False),
+            "testid": lambda: marked_text_pattern("data-testid", what),
+            "day": lambda: attribute_pattern(what, tag="time"), "clock": lambda: attribute_pattern(what, tag="time")}[how]()
 
-def _rule(page: Column, how: str, what: str) -> Column:
-    if how == "attr":
-        return extract(page, attribute_pattern(what))
-    if how == "tag":
-        return inner_text(extract(page, tag_text_pattern(what)))
-    if how == "class":
-        return inner_text(extract(page, marked_text_pattern("class", what, exact=False)))
-    if how == "testid":
-        return inner_text(extract(page, marked_text_pattern("data-testid", what)))
-    if how == "meta":
-        return meta_content(page, what)
-    stamp = extract(page, attribute_pattern(what, tag="time"))
-    written = F.substring(F.replace(stamp, F.lit("T"), F.lit(" ")), 1, 16).try_cast("timestamp_ntz")
-    shown = F.date_format(written, "EEEE, MMMM d" if how == "day" else SHORT_TIME_FORMAT)
-    return F.coalesce(shown, F.lit(""))
+
+def _shown(found: Column, how: str) -> Column:
+    if how in ("attr", "h1 attr"):
+        return found
+    if how in ("day", "clock"):
+        written = F.substring(F.replace(found, F.lit("T"), F.lit(" ")), 1, 16).try_cast("timestamp_ntz")
+        return F.coalesce(F.date_format(written, "EEEE, MMMM d" if how == "day" else SHORT_TIME_FORMAT), F.lit(""))
+    return inner_text(found)
 
 
 def apply_site_rules(df: DataFrame, rules=None) -> DataFrame:
-    """Add struct ``ruled`` with the fields the matched site's rules find."""
-    chosen = {f: F.lit("") for f in FIELDS}
-    for name, _, fields in rules or SITE_RULES:
-        for f, (how, what) in fields.items():
-            chosen[f] = F.when(F.col("site") == name, _rule(F.col("html"), how, what)).otherwise(chosen[f])
-    return df.withColumn("ruled", F.struct(*[chosen[f].alias(f) for f in FIELDS]))
+    """Add struct ``ruled`` with the fields the matched site's rules find.
+
+    The site picks the pattern, so every field is one search of the page.
+    """
+    out, fields = df, {f: F.lit("") for f in FIELDS}
+    for f in FIELDS:
+        ways: dict[tuple[str, str], list[str]] = {}
+        for name, _, own in rules or SITE_RULES:
+            if f in own:
+                ways.setdefault(own[f], []).append(name)
+        searched = {way: names for way, names in ways.items() if way[0] != "meta"}
+        if searched:
+            pattern, value = None, F.lit("")
+            for (how, what), names in searched.items():
+                here = F.col("site").isin(*names)
+                pattern = F.when(here, _pattern(how, what)) if pattern is None else pattern.when(here, _pattern(how, what))
+                value = F.when(here, _shown(F.col(f"__{f}"), how)).otherwise(value)
+            out = out.withColumn(f"__{f}", F.call_function("regexp_extract", F.col("html"), pattern, F.lit(1)))
+            fields[f] = value
+        for (how, what), names in ways.items():
+            if how == "meta":
+                found = meta_content(F.col("html"), what, by=("property",))
+                fields[f] = F.when(F.col("site").isin(*names), found).otherwise(fields[f])
+    ruled = F.struct(*[F.coalesce(c, F.lit("")).alias(f) for f, c in fields.items()])
+    return out.withColumn("ruled", ruled).drop(*[f"__{f}" for f in FIELDS])
 
 
 def _first_filled(*cols: Column) -> Column:
@@ -236,11 +272,10 @@ def extract_events(pages: DataFrame, rules=None, key: str = "page_id") -> DataFr
     JSON-LD, microdata, site rules filled up from meta tags, generic evidence filled
     up from meta tags.  Pages without a title stay as rows with ``success`` false.
     """
-    spark = pages.sparkSession
-    # Address, host and structured fields are small; the page text itself is read once per strategy.
-    base = pages.withColumns({"clean_link": clean_url(F.col("url"))}).withColumn("host", url_host(F.col("clean_link")))
-    sites = match_site(base.select(key, "host"), site_rows(spark, rules), "host", key).select(key, "site")
-    full = _microdata(base.join(sites, key, "left")).join(_json_ld_fields(pages, key), key, "left")
+    # Every strategy works on the page's own row: page texts are never shuffled.
+    base = pages.withColumn("clean_link", clean_url(F.col("url"))).withColumn(
+        "site", site_of(url_host(F.col("clean_link")), rules))
+    full = _microdata(_json_ld(base))
     meta = meta_fields(F.col("html"))
     full = apply_site_rules(full, rules).withColumns({
         "m_title": meta["title"], "m_description": meta["description"], "m_image": meta["image"],

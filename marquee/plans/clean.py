@@ -55,7 +55,8 @@ def type_listings(raw: DataFrame, cities: DataFrame, whole_urls: bool = False) -
 
 
 def usable(typed: DataFrame) -> DataFrame:
-    return typed.filter(F.col("valid") & F.col("start_local").isNotNull()).drop("valid")
+    """Rows of known cities that pass the required check and have a start."""
+    return typed.filter(F.col("valid") & F.col("canonical_city").isNotNull() & F.col("start_local").isNotNull()).drop("valid")
 
 
 def publish(merged: DataFrame) -> DataFrame:
@@ -81,11 +82,12 @@ def publish(merged: DataFrame) -> DataFrame:
 
 def step_report(typed: DataFrame, merged: DataFrame, events: DataFrame) -> DataFrame:
     """``(step, metric, value)``: what came in, what was dropped, merged and filled."""
-    ok = F.col("valid")
+    known = F.col("canonical_city").isNotNull()
+    ok = F.col("valid") & known
     alive = ok & F.col("start_local").isNotNull()
     checks = typed.agg(
-        F.count(F.lit(1)).alias("load.rows"), F.count_if(ok).alias("schema.kept"),
-        F.count_if(~ok).alias("schema.dropped"), F.count_if(ok & F.col("start_local").isNull()).alias("time.dropped"),
+        F.count(F.lit(1)).alias("load.rows"), F.count_if(~known).alias("load.unknown_city"), F.count_if(ok).alias("schema.kept"),
+        F.count_if(known & ~F.col("valid")).alias("schema.dropped"), F.count_if(ok & F.col("start_local").isNull()).alias("time.dropped"),
         F.count_if(alive & ~F.col("in_city")).alias("geo.outside"),
         F.count_if(alive & F.col("paid")).alias("price.paid"), F.count_if(alive & ~F.col("paid")).alias("price.free"),
         F.count_if(alive & F.col("paid").isNull()).alias("price.unknown"))

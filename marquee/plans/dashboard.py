@@ -21,7 +21,7 @@ def overview(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def rolling_trends(events: DataFrame, today, months: int = 12) -> dict[str, DataFrame]:
-    window = events.filter(in_rolling_window(F.to_date("date"), today, months))
+    window = events.filter(in_rolling_window(F.col("date"), today, months))
     return {
         "kpis": kpis(window, cities="city"),
         "top": top_categories(window, "primary_category"),

@@ -40,7 +40,7 @@ def listing(df: DataFrame, **columns: Column) -> DataFrame:
 
 def rest(parts: Column) -> Column:
     """Second and later entries, comma-joined."""
-    return F.array_join(F.slice(parts, 2, 1_000_000), ",")
+    return F.array_join(F.filter(parts, lambda _, i: i > 0), ",")
 
 
 def head(parts: Column) -> Column:
@@ -221,7 +221,7 @@ def _page_state(df: DataFrame) -> DataFrame:
 def _json_ld(any_case: bool) -> Callable[[DataFrame], DataFrame]:
     def run(df: DataFrame) -> DataFrame:
         found = json_ld_items(df, "payload", any_case=any_case)
-        return found.withColumn("pos", F.col("block_no") * 100_000 + F.col("item_no")).select(
+        return found.withColumn("pos", F.struct("block_no", "item_no")).select(
             *[c for c in df.columns if c != "payload"], "pos", F.col("item").alias("ev"))
     return run
 

@@ -29,6 +29,12 @@ def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
             .drop("__no", "__row", "__file"))
 
 
+def _any_file(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches anything, in whatever store it names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def _part(depth: int) -> Column:
     """Path part counted from the file name (1 = file)."""
     return F.url_decode(F.element_at(F.split("__file", "/"), -depth))
@@ -46,6 +52,9 @@ def read_listings(spark: SparkSession, root: str, cities: list[str] | None = Non
     """
     wanted = "{%s}" % ",".join(cities) if cities else "*"
     days = "{%s}" % ",".join(dates) if dates else "*"
+    if not _any_file(spark, f"{root}/{wanted}/{days}/*.csv"):
+        return spark.createDataFrame([], RAW_SCHEMA).select("*", *[F.lit("").alias(c) for c in (
+            "source", "landed_date", "city_folder")], F.lit(0).cast("bigint").alias("_ord"))
     raw = _place(spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(f"{root}/{wanted}/{days}/*.csv"))
     tagged = raw.withColumns({
         "source": F.regexp_replace(_part(1), r"\.csv$", ""), "landed_date": _part(2), "city_folder": _part(3)})
@@ -59,10 +68,22 @@ def read_city_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         raw = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(paths)
         return _ordered(_place(raw), [])
     raw = _place(reader.csv(paths))
-    at = F.lit(len(paths))
-    for i, p in reversed(list(enumerate(paths))):
-        at = F.when(F.endswith(F.url_decode("__file"), F.lit(p)), i).otherwise(at)
-    return _ordered(raw, [at])
+    # A file's place is looked up by its whole path; the list joins as a small frame.
+    places = spark.createDataFrame([(_qualified(spark, p), i) for i, p in enumerate(paths)], "__path string, __at int")
+    places = places.groupBy("__path").agg(F.min("__at").alias("__at"))
+    known = raw.withColumn("__path", F.url_decode("__file")).join(places, "__path", "left").drop("__path")
+    files = known.select("__file", "__at").distinct()
+    numbered = number_rows(files, [F.col("__at"), F.col("__file")], "__no").select("__file", "__no")
+    return (known.join(numbered, "__file")
+            .withColumn("_ord", F.shiftleft(F.col("__no").cast("bigint"), ROW_BITS) + F.col("__row"))
+            .drop("__no", "__row", "__file", "__at"))
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path as the reader names its files."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at)
+    return whole.toString().replace("file:/", "file:///", 1) if whole.toString().startswith("file:/") else whole.toString()
 
 
 def discover_dates(spark: SparkSession, root: str, cities: list[str] | None = None) -> DataFrame:
