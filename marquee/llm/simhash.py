@@ -139,6 +139,7 @@ def _group_bits(both: np.ndarray, n: int, parts: int) -> list[tuple[int, ...]]:
 
 def plan_parts(n: int, both: np.ndarray, threshold: int = THRESHOLD) -> list[Part]:
     """Parts and thresholds of least expected cost; any plan finds all links, only its cost differs."""
+    n = max(n, 2)
     p = np.diag(both) / max(n, 1)
     differ = np.clip(2 * p * (1 - p), 1e-3, 0.5)
     best, chosen = np.inf, []
