@@ -205,11 +205,15 @@ def fit(docs: DataFrame, seed: int = 7) -> Classifier:
     text = id_and_text(docs).orderBy(F.xxhash64("doc_id", "text")).limit(BACKGROUND_DOCS)
     lines = text.select(F.explode(F.split("text", "\n")).alias("line")).filter(F.length(F.trim("line")) > 0)
     lines = lines.orderBy(F.xxhash64("line")).limit(BACKGROUND_LINES)
-    pairs = [r["pairs"] for r in _templates(spark).select("pairs").collect()]
-    words = words_of(F.col("line"))
-    # Lines that already hold much of a template are no background.
-    foreign = ~F.greatest(*[_contained(words, F.array(*map(F.lit, p))) for p in pairs], F.lit(0.0)).__ge__(CONTAINED / 2)
-    background = [r["line"] for r in lines.filter(foreign).collect()]
+    pairs = [set(r["pairs"]) for r in _templates(spark).select("pairs").collect()]
+    sample = [(r["line"], r["words"]) for r in lines.select("line", words_of(F.col("line")).alias("words")).collect()]
+
+    def foreign(words: list[str]) -> bool:
+        """Whether a line already holds much of a template, and so is no background."""
+        own = set(map(" ".join, zip(words, words[1:])))
+        return any(len(own & p) >= max(1, CONTAINED / 2 * len(p)) for p in pairs)
+
+    background = [line for line, words in sample if not foreign(words)]
     rng = random.Random(seed)
     labelled = _variants(rng, background) + [(line, len(TEMPLATES)) for line in background]
     frame = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(labelled)], "no bigint, line string, class int")
