@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marquee.catalog import load  # noqa: E402
-from marquee.session import build_session  # noqa: E402
+from marquee.session import build_session, release  # noqa: E402
 
 HEADLINE = [
     "category_shares", "tag_shares", "category_months", "most_common_per_host", "ingest_summary", "dedupe_documents",
@@ -40,6 +40,7 @@ def main() -> None:
     print(json.dumps({"metric": "total seconds of the headline queries", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                       "cpus": int(cpus), "spark": spark.version}))
+    release(spark)
     spark.stop()
 
 

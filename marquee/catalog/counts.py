@@ -175,7 +175,9 @@ select '2026-08-01T12:00:00Z' as "generatedAt", sum(n) filter (where key = 'tota
   sum(n) filter (where key = 'withCoordinates')::bigint as "withCoordinates",
   string_agg(key || '=' || n, ';' order by key) filter (where facet = 'cities') as cities,
   string_agg(key || '=' || n, ';' order by key) filter (where facet = 'sources') as sources,
-  count(*) filter (where facet = 'dates') as dates from ({FACETS})""")
+  count(*) filter (where facet = 'dates') as dates,
+  'isPaid null = unknown (not free); endTime null = source does not publish it; inCityArea false = suburb within search radius'
+    as "schemaNote" from ({FACETS})""")
 def _(t):
     meta = A.publish_meta(published(t), "2026-08-01T12:00:00")
 

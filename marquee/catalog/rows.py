@@ -182,7 +182,7 @@ def _(t):
     return ranked.select("_ord", (-F.col("r.score")).alias("score"), (F.col("place") + 1).cast("bigint").alias("place"))
 
 
-@query("merge_exact", f"""
+MERGED = f"""
 with r as ({RANKED}), k as (select city, day, name_key, venue_key, arg_min(_ord, rk) as base, min(_ord) as first, count(*) as n,
   coalesce(arg_min(description, rk) filter (where description <> ''), '') as description,
   coalesce(arg_min(address, rk) filter (where trim(address) <> ''), '') as address,
@@ -204,7 +204,10 @@ select k.first as _ord, base, k.city, k.day, k.name_key, k.venue_key, n - 1 as n
   paid, sources, array_to_string(list_concat(images, coalesce(iml.l, []))[:4], '|') as images,
   array_to_string(list_concat(tags, coalesce(tgl.l, []))[:8], '|') as tags
 from k join base using (city, day, name_key, venue_key) left join iml using (city, day, name_key, venue_key)
-  left join tgl using (city, day, name_key, venue_key)""")
+  left join tgl using (city, day, name_key, venue_key)"""
+
+
+@query("merge_exact", MERGED)
 def _(t):
     rows = typed(t).withColumns({"sources": F.array("source"), "base": F.col("_ord")})
     m = merge.merge_exact(merge.add_match_key(merge.add_fixed_fill(rows)))
@@ -250,14 +253,46 @@ def _(t):
                     *[F.array_join(c, "|").alias(c) for c in ("sources", "images", "tags")])
 
 
-@query("merge_accounting", f"""
-select rows_in, rows_in - merged_exact - merged_fuzzy as events_out, merged_exact, merged_fuzzy from (
-  select count(*) as rows_in, count(*) - count(distinct (city, day, name_key, venue_key)) as merged_exact, cast(0 as bigint) as merged_fuzzy
-  from ({CLEAN}))""")
+def _given(alias: str) -> str:
+    """Score points of the columns that pass 1 fills."""
+    texts = " + ".join(f"cast(trim(coalesce({alias}.{c}, '')) <> '' as integer)" for c in ("description", "address", "end_time"))
+    return f"(case when {alias}.lat is not null then 2 else 0 end + {texts})"
+
+
+# Pass 2 as a walk: the rows of a group by rank, each joining the first kept row that it agrees with.
+WALK = f"""
+with recursive v as (select m._ord, m.city, m.day, m.name_key, m.n_merged, m.lat, m.lon, {VARIANTS.replace('location_name', 'l.location_name')} as vs,
+  timezone('UTC', timezone(case m.city when 'New York' then 'America/New_York' when 'Mexico City' then 'America/Mexico_City'
+    else 'America/Los_Angeles' end, c.start_local)) as utc, c.score - {_given('c')} + {_given('m')} as score, c.prio
+  from ({MERGED}) m join ({CLEAN}) c on c._ord = m.base join ({LISTINGS_SQL}) l on l._ord = m.base),
+g as (select *, row_number() over (partition by city, day, name_key, utc order by score desc, prio, _ord) as rn,
+  count(*) over (partition by city, day, name_key, utc) as n, dense_rank() over (order by city, day, name_key, utc) as gid
+  from v where len(vs) > 0),
+f as (
+  select gid, rn, _ord, _ord as leader, [{{'id': _ord, 'vs': vs, 'lat': lat, 'lon': lon}}] as kept from g where rn = 1 and n > 1
+  union all
+  select gid, rn, _ord, case when p > 0 then kept[p].id else _ord end, case when p > 0 then list_transform(kept, lambda k, i:
+      case when i = p and k.lat is null then {{'id': k.id, 'vs': k.vs, 'lat': lat, 'lon': lon}} else k end)
+    else list_append(kept, {{'id': _ord, 'vs': vs, 'lat': lat, 'lon': lon}}) end
+  from (select r.gid, r.rn, r._ord, r.vs, r.lat, r.lon, f.kept, coalesce(list_position(list_transform(f.kept, lambda k:
+      len(list_filter(k.vs, lambda x: len(list_filter(r.vs, lambda y: contains(x, y) or contains(y, x))) > 0)) > 0
+      and not coalesce(abs(k.lat - r.lat) > 0.004 or abs(k.lon - r.lon) > 0.005, false)), true), 0) as p
+    from f join g r on r.gid = f.gid and r.rn = f.rn + 1))"""
+
+
+def first_pass(t):
+    rows = typed(t).withColumn("sources", F.array("source"))
+    return merge.merge_exact(merge.add_match_key(merge.add_fixed_fill(rows)))
+
+
+@query("merge_leaders", WALK + " select _ord, leader from f")
 def _(t):
-    # Pass 1 alone: the second pass has no plain SQL form and is tested against a direct walk.
-    rows = typed(t)
-    m = merge.merge_exact(merge.add_match_key(merge.add_fixed_fill(rows.withColumn("sources", F.array("source")))))
-    return merge.merge_counts(rows, m.withColumn("n_merged_2", F.lit(0).cast("bigint")))
+    return merge.assign_leaders(merge.add_venue_variants(first_pass(t))).select("_ord", "leader")
 
 
+@query("merge_accounting", WALK + f""", w as (select count(*) filter (where leader <> _ord) as merged_fuzzy from f),
+e as (select sum(n_merged)::bigint as merged_exact, count(*) as after from v)
+select after + merged_exact as rows_in, after - merged_fuzzy as events_out, merged_exact, merged_fuzzy from w, e""")
+def _(t):
+    rows = typed(t)
+    return merge.merge_counts(rows, merge.merge_sources(rows))

@@ -92,10 +92,10 @@ def _(t):
 
 
 @query("text_match_key_collisions", f"""
-select source, count(*) as texts, count(distinct {key_sql('substr(text, 1, 12)')}) as keys,
-  count(*) filter (where {key_sql('substr(text, 1, 12)')} = '') as empty_keys from documents group by source""")
+select source, count(*) as texts, count(distinct {key_sql('text')}) as keys,
+  count(*) filter (where {key_sql('text')} = '') as empty_keys from documents group by source""")
 def _(t):
-    keyed = t.documents.withColumn("k", X.match_key(F.substring("text", 1, 12)))
+    keyed = t.documents.withColumn("k", X.match_key(F.col("text")))
     return keyed.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), F.count_distinct("k").alias("keys"),
                                        F.count_if(F.col("k") == "").alias("empty_keys"))
 

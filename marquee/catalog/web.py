@@ -385,8 +385,11 @@ def _(t):
 
 @query("clean_meta")
 def _(t):
-    return _run(t).meta.select("totalEvents", "paid", "free", "priceUnknown", "withCoordinates",
-                               F.size("cities").alias("cities"), F.size("dates").alias("dates"))
+    def listed(c):
+        return F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias(c)
+
+    return _run(t).meta.select("totalEvents", "paid", "free", "priceUnknown", "withCoordinates", "schemaNote",
+                               listed("cities"), listed("dates"), listed("sources"))
 
 
 @query("daily_rows")

@@ -188,35 +188,38 @@ def strip_html_light(c: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str, dict[str, str]]:
-    """Compatibility folding onto a-z and 0-9, derived from the Unicode database.
+def _fold_table() -> tuple[str, str]:
+    """Characters that compatibility folding turns into one of a-z and 0-9, and what they turn into.
 
-    Characters that fold to one key character go to a translate table, those that
-    fold to several (ligatures, fractions) to a map.
+    Derived from the Unicode database.  Those that fold to several (ligatures, fractions) are left to
+    ``_spell_out``.
     """
-    src, dst, wide = [], [], {}
-    for code in range(0x80, 0x20000):
+    src, dst = [], []
+    for code in range(0x80, 0x10000):
         char = chr(code)
         if 0xD800 <= code < 0xE000:
             continue
         key = re.sub("[^a-z0-9]", "", unicodedata.normalize("NFKD", char))
-        if len(key) == 1 and code < 0x10000:
+        if len(key) == 1:
             src.append(char)
             dst.append(key)
-        elif key:
-            wide[char] = key
-    return "".join(src), "".join(dst), wide
+    return "".join(src), "".join(dst)
+
+
+@F.pandas_udf(T.StringType())
+def _spell_out(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: re.sub("[^a-z0-9]+", "", unicodedata.normalize("NFKD", x)), na_action="ignore")
 
 
 def match_key(c: Column) -> Column:
-    """Lower-case, compatibility-folded, only a-z and 0-9 left; all inside the JVM."""
-    src, dst, wide = _fold_table()
+    """Lower-case, compatibility-folded, only a-z and 0-9 left.
+
+    Inside the JVM but for texts with a character that may fold to several.
+    """
+    src, dst = _fold_table()
     low = F.lower(blank(c))
-    # One string literal, folded to a map when the plan is optimised.
-    several = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in wide.items())), F.lit("\n"), F.lit("\t"))
-    spelled = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(several, x), x)), "")
-    folded = (F.when(~low.rlike(_NON_ASCII), low).when(low.rlike(MAY_SPELL_OUT), F.translate(spelled, src, dst))
-              .otherwise(F.translate(low, src, dst)))
+    spelled = _spell_out(F.when(low.rlike(MAY_SPELL_OUT), low))
+    folded = F.when(~low.rlike(_NON_ASCII), low).otherwise(F.coalesce(spelled, F.translate(low, src, dst)))
     return F.regexp_replace(folded, "[^a-z0-9]+", "")
 
 

@@ -17,6 +17,8 @@ TOP_CITIES = 20
 TAG_SHARE = 5.0
 HISTOGRAM_MONTHS = 12
 MULTIPLE_SOURCES = "Multiple"
+SCHEMA_NOTE = ("isPaid null = unknown (not free); endTime null = source does not publish it; "
+               "inCityArea false = suburb within search radius")
 FILL_FIELDS = ["description", "venue", "address", "latitude", "endTime", "category", "image", "url"]
 
 
@@ -182,7 +184,7 @@ def publish_meta(events: DataFrame, generated_at) -> DataFrame:
     return counts.agg(
         F.date_format(F.lit(generated_at).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generatedAt"),
         flag("totalEvents"), as_map("cities"), as_map("dates"), as_map("sources"),
-        flag("paid"), flag("free"), flag("priceUnknown"), flag("withCoordinates"))
+        flag("paid"), flag("free"), flag("priceUnknown"), flag("withCoordinates"), F.lit(SCHEMA_NOTE).alias("schemaNote"))
 
 
 def fill_rates(events: DataFrame, fields: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,33 +17,32 @@ from pyspark.sql import functions as F
 from marquee.session import cut_lineage
 
 
-def _batch_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace each Arrow batch of edges by stars around its components' smallest nodes.
-
-    Same components, at most one edge per node, and shorter paths for the rounds.
-    """
-    for batch in batches:
-        up: dict[int, int] = {}
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components with one link per node, to the component's smallest node."""
+    if not len(a):
+        return a, b
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[:len(a)], ends[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for end in (x, y):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, label[end], low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    far = label != np.arange(len(nodes))
+    return nodes[far], nodes[label[far]]
 
-        def find(u: int) -> int:
-            root = u
-            while up.setdefault(root, root) != root:
-                root = up[root]
-            while up[u] != root:
-                up[u], u = root, up[u]
-            return root
 
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ra, rb = find(a), find(b)
-            if ra < rb:
-                up[rb] = ra
-            elif rb < ra:
-                up[ra] = rb
-        stars = [(u, find(u)) for u in list(up)]
-        stars = [(u, r) for u, r in stars if u != r]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([u for u, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())],
-            names=["src", "dst"])
+def _batch_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace each Arrow batch of edges by stars: at most one edge per node, and shorter paths for the rounds."""
+    for batch in batches:
+        src, dst = stars(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], names=["src", "dst"])
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

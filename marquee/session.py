@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,11 +39,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
+        # A folder made here is this process's own and goes with it.
         folder = tempfile.mkdtemp(prefix="marquee-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder for staged tables in the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/marquee-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the application's staged tables; call it when the results that read them are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the reliable checkpoint folder and go on from there.
 
@@ -58,6 +73,6 @@ def stage(df: DataFrame) -> DataFrame:
     Later reads take only the columns they need, and joins see the table's real size.
     """
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/marquee-stage-{uuid.uuid4().hex}"
+    folder = f"{run_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
