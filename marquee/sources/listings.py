@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +73,7 @@ def read_city_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     # A file's place is looked up by its whole path; the list joins as a small frame.
     places = spark.createDataFrame([(_qualified(spark, p), i) for i, p in enumerate(paths)], "__path string, __at int")
     places = places.groupBy("__path").agg(F.min("__at").alias("__at"))
-    known = raw.withColumn("__path", F.url_decode("__file")).join(places, "__path", "left").drop("__path")
+    known = raw.withColumn("__path", F.regexp_replace(F.url_decode("__file"), "^file:/+", "file:/")).join(places, "__path", "left").drop("__path")
     files = known.select("__file", "__at").distinct()
     numbered = number_rows(files, [F.col("__at"), F.col("__file")], "__no").select("__file", "__no")
     return (known.join(numbered, "__file")
@@ -80,10 +82,10 @@ def read_city_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
-    """A path as the reader names its files."""
+    """A path with its store, one slash behind a store without a host."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at)
-    return whole.toString().replace("file:/", "file:///", 1) if whole.toString().startswith("file:/") else whole.toString()
+    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return re.sub("^([a-z]+):/+(?=[^/])", r"\1:/", whole) if whole.startswith("file:") else whole
 
 
 def discover_dates(spark: SparkSession, root: str, cities: list[str] | None = None) -> DataFrame:

@@ -65,7 +65,8 @@ def test_publish_and_daily_files(spark, tmp_path):
     daily = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/daily")
     assert [c for c in daily.columns if c in DAILY_COLUMNS] == DAILY_COLUMNS and daily.count() == 4
     sinks.write_report(run.report, f"{out}/report")
-    assert spark.read.option("header", True).csv(f"{out}/report").count() == 20
+    report = spark.read.option("header", True).csv(f"{out}/report")
+    assert report.count() == 21 and report.filter("metric = 'unknown_city'").head()["value"] == "0"
 
 
 def test_city_files_first_wins(spark, tmp_path):
