@@ -42,11 +42,14 @@ def _(t):
         "category").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("tags_as_text", f"""
+TAGS_TEXT = f"""
 select _ord, array_to_string(list_transform(list_filter(list_transform(parts, lambda x, i: {{'x': x, 'i': i}}),
     lambda s: list_position(parts, s.x) = s.i), lambda s: s.x), ', ') as tags
 from (select _ord, list_filter(list_concat(case when primary_category <> '' then [primary_category] else [] end,
-  list_transform(string_split(secondary_categories, ','), lambda x: trim(x))), lambda x: x <> '') as parts from ({LISTINGS_SQL}))""")
+  list_transform(string_split(secondary_categories, ','), lambda x: trim(x))), lambda x: x <> '') as parts from ({LISTINGS_SQL}))"""
+
+
+@query("tags_as_text", TAGS_TEXT)
 def _(t):
     return t.sql(LISTINGS).select("_ord", V.tags_text(F.col("primary_category"), F.col("secondary_categories")).alias(
         "tags"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquee.catalog.fields import TAGS_TEXT, _keyword_sql
 from marquee.catalog.inputs import LISTINGS, LISTINGS_SQL, SCRIPT
 from marquee.catalog.registry import query
 from marquee.catalog.texts import digest
 from marquee.functions.markup import get, text_at
+from marquee.keywords import ENGLISH, spanish
 from marquee.operators import pages as P
 from marquee.operators.display import display_events
 from marquee.plans.city import clean_city_job, dedupe_counts
@@ -350,12 +352,35 @@ def _(t):
     return pick_aliases(t.sql(DISPLAY_IN), carry=("o_orderkey",)).select("o_orderkey", "title", "start_raw", "end_raw", "city")
 
 
-@query("clean_city_new_york")
+def city_job_sql(city: str, tz: str, blocks) -> str:
+    """The city file of one city job, from the first listing of every (name, start text, venue)."""
+    shown = "'%-m/%-d/%Y  %I:%M:%S %p'"
+
+    def in_zone(text: str, utc_hours: int) -> str:
+        return f"strftime(timezone('{tz}', timezone('UTC', cast({text} as timestamp) + interval {utc_hours} hour)), {shown})"
+
+    plain = ", ".join(f"trim({c}) as {c}" for c in ("name", "description", "location_name", "address", "latitude", "longitude",
+                                                    "thumbnail_image", "additional_images", "external_link"))
+    return f"""
+select f._ord, '' as id, {plain}, '{city}' as city,
+  case when start_time in ('tba', '') or f._ord % 5 = 1 then ''
+    when f._ord % 5 = 2 then {in_zone("replace(replace(start_time, 'T', ' '), 'Z', '')", 0)}
+    else strftime(cast(replace(start_time, 'T', ' ') as timestamp), {shown}) end as start_time,
+  case when end_time = '' then '' when length(end_time) = 10 then strftime(cast(end_time as timestamp), {shown})
+    else {in_zone("replace(substr(end_time, 1, 19), 'T', ' ')", 5)} end as end_time,
+  {_keyword_sql(blocks, 'low', 'primary_category')} as primary_category, g.tags,
+  lower(trim(is_paid)) in ('true', '1', 'yes') as is_paid
+from (select *, lower(array_to_string(list_filter([name, description, primary_category, secondary_categories], lambda x: x <> ''), ' ')) as low,
+    row_number() over (partition by lower(trim(name)), trim(start_time), lower(trim(location_name)) order by _ord) as rn
+  from ({LISTINGS_SQL})) f join ({TAGS_TEXT}) g on g._ord = f._ord where rn = 1"""
+
+
+@query("clean_city_new_york", city_job_sql("New York", "America/New_York", ENGLISH))
 def _(t):
     return clean_city_job(t.sql(LISTINGS), "new_york")
 
 
-@query("clean_city_mexico_city")
+@query("clean_city_mexico_city", city_job_sql("Mexico City", "America/Mexico_City", spanish()))
 def _(t):
     return clean_city_job(t.sql(LISTINGS), "mexico_city")
 
