@@ -246,13 +246,6 @@ def _(t):
                                       merge.same_event(F.col("b.x"), F.col("x")).alias("same"))
 
 
-@query("merge_decorated")
-def _(t):
-    m = merge.merge_sources(typed(t))
-    return m.select("_ord", "name_key", "venue_key", "n_merged", "n_merged_2", "lat", "lon", "paid", "description",
-                    *[F.array_join(c, "|").alias(c) for c in ("sources", "images", "tags")])
-
-
 def _given(alias: str) -> str:
     """Score points of the columns that pass 1 fills."""
     texts = " + ".join(f"cast(trim(coalesce({alias}.{c}, '')) <> '' as integer)" for c in ("description", "address", "end_time"))
@@ -296,3 +289,39 @@ select after + merged_exact as rows_in, after - merged_fuzzy as events_out, merg
 def _(t):
     rows = typed(t)
     return merge.merge_counts(rows, merge.merge_sources(rows))
+
+
+def _as_lists(sql: str) -> str:
+    """Pass 1 with its lists as lists."""
+    for text in ("list_sort(list_distinct(list(source)))", "list_concat(images, coalesce(iml.l, []))[:4]",
+                 "list_concat(tags, coalesce(tgl.l, []))[:8]"):
+        assert f"array_to_string({text}, '|')" in sql
+        sql = sql.replace(f"array_to_string({text}, '|')", text)
+    return sql
+
+
+@query("merge_decorated", WALK + f""", m as ({_as_lists(MERGED)}),
+r as (select m.*, coalesce(f.leader, m._ord) as leader, row_number() over (partition by coalesce(f.leader, m._ord)
+    order by v.score desc, v.prio, m._ord) as rk from m join v using (_ord) left join f using (_ord)),
+k as (select leader, min(_ord) as first, count(*) as n, sum(n_merged)::bigint as n1, arg_min(name_key, rk) as name_key,
+  arg_min(venue_key, rk) as venue_key,
+  coalesce(arg_min(description, rk) filter (where description <> ''), '') as description,
+  arg_min(lat, rk) filter (where lat is not null) as lat, arg_min(lon, rk) filter (where lat is not null) as lon,
+  arg_min(paid, rk) filter (where paid is not null) as paid,
+  array_to_string(list_sort(list_distinct(flatten(list(sources)))), '|') as sources from r group by leader),
+base as (select leader, images, tags from r where rk = 1),
+im as (select leader, x, min(rk * 100 + i) as pos from (select leader, rk, unnest(images) as x, generate_subscripts(images, 1) as i
+  from r where rk > 1) group by all),
+tg as (select leader, lower(x) as lx, arg_min(x, rk * 100 + i) as x, min(rk * 100 + i) as pos from (
+  select leader, rk, unnest(tags) as x, generate_subscripts(tags, 1) as i from r where rk > 1) group by all),
+iml as (select leader, list(im.x order by pos) as l from im join base using (leader) where not list_contains(images, im.x) group by all),
+tgl as (select leader, list(tg.x order by pos) as l from tg join base using (leader)
+  where not list_contains(list_transform(tags, lambda y: lower(y)), lx) group by all)
+select k.first as _ord, name_key, venue_key, n1 as n_merged, n - 1 as n_merged_2, lat, lon, paid, description, sources,
+  array_to_string(list_concat(images, coalesce(iml.l, []))[:4], '|') as images,
+  array_to_string(list_concat(tags, coalesce(tgl.l, []))[:8], '|') as tags
+from k join base using (leader) left join iml using (leader) left join tgl using (leader)""")
+def _(t):
+    m = merge.merge_sources(typed(t))
+    return m.select("_ord", "name_key", "venue_key", "n_merged", "n_merged_2", "lat", "lon", "paid", "description",
+                    *[F.array_join(c, "|").alias(c) for c in ("sources", "images", "tags")])
