@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import id_and_text, join_groups, stage_rows, unused
-from marquee.operators.components import connected_components
+from marquee.operators.components import connected_components, stars
 from marquee.operators.ranking import top_per_group
 
 BITS = 64
@@ -164,27 +164,6 @@ def plan_parts(n: int, both: np.ndarray, threshold: int = THRESHOLD) -> list[Par
     return chosen
 
 
-def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same components with one link per node, to the component's smallest node."""
-    if not len(a):
-        return a, b
-    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
-    x, y = ends[:len(a)], ends[len(a):]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        for end in (x, y):
-            np.minimum.at(new, end, low)
-            np.minimum.at(new, label[end], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    far = label != np.arange(len(nodes))
-    return nodes[far], nodes[label[far]]
-
-
 def _search(fps: np.ndarray, threshold: int) -> tuple[list, list]:
     """Links of one large bucket by breadth-first search: found fingerprints are not compared again."""
     left, a, b = fps, [], []
@@ -228,7 +207,7 @@ def _link_sorted(threshold: int, small: int = 256, rows_at_once: int = 200_000):
             b += found[1]
         if not a:
             return None
-        src, dst = _stars(np.concatenate(a), np.concatenate(b))
+        src, dst = stars(np.concatenate(a), np.concatenate(b))
         return pa.RecordBatch.from_arrays([pa.array(src.view(np.int64)), pa.array(dst.view(np.int64))], names=["src", "dst"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
