@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.catalog.fields import TAGS, TAGS_TEXT, _keyword_sql
 from marquee.catalog.inputs import CITIES_SQL, LISTINGS, LISTINGS_SQL, SCRIPT
+from marquee.catalog.moments import PARSED
 from marquee.catalog.registry import query
 from marquee.catalog.rows import BOTH, CLEAN
 from marquee.catalog.texts import digest
@@ -15,7 +16,7 @@ from marquee.operators import pages as P
 from marquee.operators.display import display_events
 from marquee.plans.city import clean_city_job, dedupe_counts
 from marquee.plans.clean import clean_listings, daily_export
-from marquee.schema import RAW_COLUMNS, city_dimension
+from marquee.schema import DAILY_COLUMNS, RAW_COLUMNS, city_dimension
 from marquee.sources.adapters import ADAPTERS, adapt_source, distinct_events
 from marquee.sources.listings import pick_aliases
 
@@ -431,12 +432,41 @@ def _(t):
     return d.select(*[F.array_join(c, "|").alias(c) if c in ("tags", "images", "sources") else F.col(c) for c in d.columns])
 
 
-@query("clean_report")
+def _facet(key: str) -> str:
+    return f"(select string_agg(k || '=' || n, ';' order by k) from (select {key} as k, count(*) as n from p group by 1))"
+
+
+@query("clean_report", PUBLISHED + f""",
+a as (select l._ord, trim(l.name) <> '' and trim(l.start_time) <> '' as ok, start_local is not null as timed,
+  case lower(trim(l.is_paid)) when 'true' then 1 when 'false' then 0 end as price,
+  case when l.latitude not in ('', '0') then not (cast(l.latitude as double) between lat_lo and lat_hi
+    and cast(l.longitude as double) between lon_lo and lon_hi) else false end as outside
+  from ({PARSED}) l join (select * from {CITIES_SQL}) z using (city_folder)),
+d as (select count(*) filter (where leader <> _ord) as fuzzy from f)
+select 'load' as step, 'rows' as metric, count(*) as value from a union all select 'load', 'unknown_city', 0
+union all select 'schema', 'kept', count(*) from a where ok union all select 'schema', 'dropped', count(*) from a where not ok
+union all select 'time', 'dropped', count(*) from a where ok and not timed
+union all select 'geo', 'outside', count(*) from a where ok and timed and outside
+union all select 'price', 'paid', count(*) from a where ok and timed and price = 1
+union all select 'price', 'free', count(*) from a where ok and timed and price = 0
+union all select 'price', 'unknown', count(*) from a where ok and timed and price is null
+union all select 'dedupe', 'rows_in', count(*) from a where ok and timed
+union all select 'dedupe', 'events_out', count(*) from p
+union all select 'dedupe', 'merged_exact', sum(n_merged)::bigint from v union all select 'dedupe', 'merged_fuzzy', fuzzy from d
+union all select 'fill', 'description', count(description) from p union all select 'fill', 'venue', count(venue) from p
+union all select 'fill', 'address', count(address) from p union all select 'fill', 'latitude', count(latitude) from p
+union all select 'fill', 'endTime', count("endTime") from p union all select 'fill', 'category', count(category) from p
+union all select 'fill', 'image', count(image) from p union all select 'fill', 'url', count(url) from p""")
 def _(t):
     return _run(t).report
 
 
-@query("clean_meta")
+@query("clean_meta", PUBLISHED + f"""
+select count(*) as "totalEvents", count(*) filter (where "isPaid") as paid, count(*) filter (where not "isPaid") as free,
+  count(*) filter (where "isPaid" is null) as "priceUnknown", count(latitude) as "withCoordinates",
+  'isPaid null = unknown (not free); endTime null = source does not publish it; inCityArea false = suburb within search radius'
+    as "schemaNote", {_facet('city')} as cities, {_facet("strftime(date, '%Y-%m-%d')")} as dates,
+  {_facet("case when contains(sources, '|') then 'Multiple' else sources end")} as sources from p""")
 def _(t):
     def listed(c):
         return F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias(c)
@@ -445,7 +475,9 @@ def _(t):
                                listed("cities"), listed("dates"), listed("sources"))
 
 
-@query("daily_rows")
+@query("daily_rows", PUBLISHED + """
+select case city when 'New York' then 'New_York_US' when 'Mexico City' then 'Mexico_City_MX' else 'Los_Angeles_US' end as city_folder,
+  """ + ", ".join(f"coalesce(replace(cast(\"{c}\" as varchar), '|', ';'), '') as \"{c}\"" for c in DAILY_COLUMNS) + " from p")
 def _(t):
     return daily_export(t.sql(LISTINGS), city_dimension(t.spark))
 
