@@ -108,7 +108,7 @@ def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def conversations(rows: DataFrame) -> DataFrame:
-    """``no, conv_id, turns, path``: conversations numbered so that equal starts stand together; staged."""
+    """``conv_id, turns, path``: each conversation with the digests of its starts; staged."""
     turns = F.transform(F.array_sort(F.collect_list(F.struct(
         F.col("turn").isNull().alias("late"), F.col("turn").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
@@ -116,10 +116,16 @@ def conversations(rows: DataFrame) -> DataFrame:
     whole = (rows.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
              .groupBy("conv_id").agg(turns.alias("turns"))
              .mapInArrow(_starts, "conv_id bigint, turns array<struct<role:string,text:string>>, path array<binary>"))
-    return stage_rows(number_rows(whole, [F.col("path"), F.asc_nulls_last("conv_id")], "no"), "conversations")
+    return stage_rows(whole, "conversations")
 
 
-def tree_nodes(convs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def numbered(convs: DataFrame) -> DataFrame:
+    """``no, conv_id, path``: conversations numbered so that equal starts stand together; staged."""
+    return stage_rows(number_rows(convs.select("conv_id", "path"), [F.col("path"), F.asc_nulls_last("conv_id")], "no"),
+                      "conversation-order")
+
+
+def tree_nodes(convs: DataFrame, order: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per distinct start of conversations, its last turn tokenized; staged.
 
     ``node`` (digest), ``tree`` (digest of the first turn), ``first_no`` and ``depth`` (their order is
@@ -138,10 +144,13 @@ def tree_nodes(convs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                  pa.array([d[2] for d in done], pa.int64()), pa.array([len(d[0]) for d in done], pa.int64())],
                 names=["node", "tree", "first_no", "depth", "convs", "tokens", "loss_from", "loss_to", "n_tokens"])
 
-    turns = convs.select("no", F.col("path")[0].alias("tree"), F.posexplode(F.arrays_zip("path", "turns")).alias("depth", "at"))
+    turns = convs.select(F.col("path")[0].alias("tree"), F.posexplode(F.arrays_zip("path", "turns")).alias("depth", "at"))
+    # A digest has one turn, one depth and one tree, so any row of it will do.
     nodes = turns.groupBy(F.col("at.path").alias("node")).agg(
-        F.min("tree").alias("tree"), F.min("no").alias("first_no"), F.min("depth").cast("int").alias("depth"),
-        F.count(F.lit(1)).alias("convs"), F.min_by(F.col("at.turns"), "no").alias("turn"))
+        F.first("tree").alias("tree"), F.first("depth").cast("int").alias("depth"),
+        F.count(F.lit(1)).alias("convs"), F.first("at.turns").alias("turn"))
+    firsts = order.select("no", F.explode("path").alias("node")).groupBy("node").agg(F.min("no").alias("first_no"))
+    nodes = nodes.join(firsts, "node")
     nodes = stage_rows(
         nodes.select("node", "tree", "first_no", "depth", "convs", F.col("turn.role").alias("role"), F.col("turn.text").alias("text"))
         .mapInArrow(tokenized, "node binary, tree binary, first_no bigint, depth int, convs bigint, tokens array<int>, "
@@ -151,9 +160,9 @@ def tree_nodes(convs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                       .drop("bucket"), "chat-stream")
 
 
-def paths(convs: DataFrame, nodes: DataFrame) -> DataFrame:
+def paths(order: DataFrame, nodes: DataFrame) -> DataFrame:
     """``no, conv_id, spans``: where a conversation's turns stand in its tree's stream, in order; staged."""
-    steps = convs.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
+    steps = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
     placed = join_groups(steps, nodes.select("node", "start", "n_tokens", "convs"), "node", "convs")
     spans = F.array_sort(F.collect_list(F.struct("depth", "start", (F.col("start") + F.col("n_tokens")).alias("stop"))))
     return stage_rows(placed.groupBy("no").agg(F.first("conv_id").alias("conv_id"), spans.alias("spans")), "chat-paths")
@@ -172,7 +181,7 @@ def streams(nodes: DataFrame, ways: DataFrame) -> DataFrame:
                       F.transform(before, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))).alias("attends"))
 
 
-def read_back(convs: DataFrame, nodes: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def read_back(order: DataFrame, nodes: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Every conversation from the tokens of its nodes: counts and digests of what they decode to.
 
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``
@@ -192,7 +201,7 @@ def read_back(convs: DataFrame, nodes: DataFrame, vocabulary: str = VOCABULARY)
                             hashlib.sha256(learned.encode()).hexdigest(), len(text)))
             yield pa.RecordBatch.from_pylist([dict(zip(_READ.names, row)) for row in out], _READ)
 
-    steps = convs.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
+    steps = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
     joined = join_salted(steps, nodes.select("node", "convs", "tokens", "loss_from", "loss_to"), "node", "convs")
     whole = joined.groupBy("no").agg(F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list(
         F.struct("depth", "tokens", "loss_from", "loss_to"))).alias("steps"))
@@ -203,6 +212,7 @@ def read_back(convs: DataFrame, nodes: DataFrame, vocabulary: str = VOCABULARY)
 def format_conversations(rows: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Streams of the trees, each conversation's spans in them, and what reading the tokens back gives."""
     convs = conversations(rows)
-    nodes = tree_nodes(convs, vocabulary)
-    ways = paths(convs, nodes)
-    return streams(nodes, ways), ways, read_back(convs, nodes, vocabulary)
+    order = numbered(convs)
+    nodes = tree_nodes(convs, order, vocabulary)
+    ways = paths(order, nodes)
+    return streams(nodes, ways), ways, read_back(order, nodes, vocabulary)
