@@ -97,3 +97,12 @@ def test_many_listed_files_keep_their_order(spark, tmp_path):
     first = RAW_COLUMNS[0]
     rows = listings.read_city_files(spark, paths).orderBy("_ord").select(first).collect()
     assert [r[0] for r in rows] == [f"n{i}" for i in range(300)]
+
+
+def test_publish_order(spark):
+    base = {c: "" for c in RAW_COLUMNS} | {"location_name": "Hall"}
+    shows = [("Mexico_City_MX", "2024-01-06 20:00", "B"), ("New_York_US", "2024-01-06 09:00", "A"), ("New_York_US", "2024-01-05", "Z"),
+             ("New_York_US", "2024-01-05 21:00", "C"), ("New_York_US", "2024-01-05", "Y"), ("Mexico_City_MX", "2024-01-06 20:00", "A")]
+    rows = [base | {"source": "ra", "city_folder": f, "start_time": t, "name": n, "_ord": i} for i, (f, t, n) in enumerate(shows)]
+    got = [(e.city, str(e.date), e.startTime or "", e.name) for e in clean_listings(spark.createDataFrame(rows), city_dimension(spark)).events.collect()]
+    assert got == sorted(got) and [g[3] for g in got] == ["A", "B", "Y", "Z", "C", "A"]
