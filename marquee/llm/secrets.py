@@ -2,8 +2,8 @@
 
 A value's cost is the least total, over all ways to cut it into spans, of the spans' guesses as
 powers of ten: dictionary words by rank (with capitals, or letters written as digits), dates, repeats of a
-shorter part, runs along the alphabet or a keyboard row, and brute force.  The cut is found by
-dynamic programming over the whole value, however long.  Values that cost more than ``COSTLY``
+shorter part, runs along the alphabet or a keyboard row, and brute force over the alphabets that a
+span's characters come from.  The cut is found by dynamic programming over the whole value, however long.  Values that cost more than ``COSTLY``
 are spans of kind ``guess``, beside the spans of the base patterns.
 
 Offsets count code points, the end is exclusive.  A null text is empty and has no spans; repeated
@@ -37,6 +37,9 @@ CONTEXT = (r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key
 COSTLY = 10.0
 # Added for every cut: the guesser does not know where spans meet.
 CUT = 0.5
+# Sizes of the alphabets that brute force goes through; characters that are no ASCII letter or digit are marks.
+DIGITS, LOWER, UPPER, MARKS = 1, 2, 4, 8
+ALPHABETS = {DIGITS: 10, LOWER: 26, UPPER: 26, MARKS: 33}
 # Longest span that is looked up as a word, date or repeat; longer ones are several spans.
 LONGEST_WORD, LONGEST_DATE, LONGEST_PART = 24, 10, 24
 
@@ -68,6 +71,17 @@ def read_words(path: str = VOCABULARY, least: int = 3) -> dict[str, float]:
     return costs
 
 
+def alphabet(char: str) -> int:
+    """The alphabet of a character."""
+    return DIGITS if "0" <= char <= "9" else LOWER if "a" <= char <= "z" else UPPER if "A" <= char <= "Z" else MARKS
+
+
+# By union of alphabets: the power of ten of the guesses for each character.
+BRUTE = [0.0] + [log10(sum(size for kind, size in ALPHABETS.items() if kind & union)) for union in range(1, 16)]
+# By alphabet: the unions that hold it.
+UNIONS = {kind: [union for union in range(1, 16) if union & kind] for kind in ALPHABETS}
+
+
 def _steps() -> dict[tuple[str, str], list[int]]:
     """Neighbours on a row, with the rows and directions (a sign) in which they are."""
     out: dict[tuple[str, str], list[int]] = {}
@@ -91,6 +105,13 @@ def coster(words: dict[str, float]) -> Callable[[str], float]:
         plain = low.translate(LEET)
         return words[plain] + extra + 0.6 if plain in words else None
 
+    def guessed(kinds: list[int]) -> float:
+        """One span of brute force."""
+        union = 0
+        for kind in kinds:
+            union |= kind
+        return len(kinds) * BRUTE[union]
+
     steps = _steps()
 
     @lru_cache(maxsize=4096)
@@ -98,13 +119,19 @@ def coster(words: dict[str, float]) -> Callable[[str], float]:
         n = len(value)
         low = value.lower()
         best = [0.0] + [float("inf")] * n
-        brute = float("inf")
+        kinds = [alphabet(c) for c in value]
+        # By union of alphabets: the least cost up to here whose last span is brute force over that union.
+        brute = [float("inf")] * len(BRUTE)
         walks: dict[int, int] = {}
         # By width: how many characters up to here equal the one that many places before.
         same = [0] * (LONGEST_PART + 1)
         for end in range(1, n + 1):
-            # Brute force costs a power of ten for each character; a run of it is one span.
-            brute = least = min(brute, best[end - 1] + (CUT if end > 1 else 0.0)) + 1.0
+            # Brute force costs as much for each character as its span's alphabets together; a run of it is one span.
+            fresh, runs = best[end - 1] + (CUT if end > 1 else 0.0), brute
+            brute = [float("inf")] * len(BRUTE)
+            for union in UNIONS[kinds[end - 1]]:
+                brute[union] = min(runs[union], fresh) + BRUTE[union]
+            least = min(brute)
             for start in range(max(0, end - LONGEST_WORD), end - 2):
                 found = word(value[start:end], low[start:end])
                 if found is not None:
@@ -125,7 +152,9 @@ def coster(words: dict[str, float]) -> Callable[[str], float]:
                 times = same[width] // width + 1
                 if times * width > 2 and times > 1:
                     part = value[end - width:end]
-                    once = 1.0 if width == 1 else min(float(width), word(part, part.lower()) or float(width))
+                    once = guessed(kinds[end - width:end])
+                    if width > 1 and (known := word(part, part.lower())) is not None:
+                        once = min(once, known)
                     for many in {2, times} if width > 1 else {times}:
                         start = end - many * width
                         least = min(least, best[start] + once + log10(many) + (CUT if start else 0.0))

@@ -110,3 +110,24 @@ def test_long_value_and_empty_table(spark, cost):
     spans = secrets.spans_of(f'secret="{blob}"', cost)
     assert [(s[0], s[2] - s[1]) for s in spans] == [("assign", 20_008), ("guess", 20_000)]
     assert secrets.find_secrets(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("length", [8, 9, 10])
+def test_short_random_values_are_found(cost, length):
+    rng = random.Random(length)
+    marks = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for _ in range(200):
+        value = [rng.choice(marks) for _ in range(2)] + [rng.choice(letters) for _ in range(length - 2)]
+        rng.shuffle(value)
+        value = "".join(value)
+        spans = secrets.spans_of(f'password = "{value}"', cost)
+        assert [s[1:3] for s in spans if s[0] == "guess"] == [(12, 12 + length)], (value, cost(value))
+    spans = secrets.spans_of('password = "aB3$xY9!qZ"', cost)
+    assert [s[:3] for s in spans] == [("guess", 12, 22)]
+
+
+def test_common_words_and_walks_are_cheap(cost):
+    for value in ("password1!", "sunshine", "iloveyou", "qwertyui", "1qaz2wsx", "asdfghjkl", "P@ssw0rd!", "12345678", "abcdefgh", "aaaaaaaaaa",
+                  "Welcome123", "changeme!", "19840322"):
+        assert cost(value) < secrets.COSTLY, (value, cost(value))
