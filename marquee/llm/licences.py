@@ -1,6 +1,6 @@
 """Licence scan by a trained paragraph classifier (DataFrame operations only).
 
-A paragraph is a line.  Its features are runs of one to three words, hashed into ``BUCKETS``; a sparse
+A paragraph is a line, or a run of words over several lines (see below).  Its features are runs of one to three words, hashed into ``BUCKETS``; a sparse
 (L1) multinomial logistic regression gives each licence family and the class ``unknown`` a
 probability.  It is fitted on the driver from variants of the fixed templates below and from a
 bounded sample of the corpus's own lines as ``unknown``.  Its temperature is calibrated on held-out
@@ -11,6 +11,12 @@ Scoring is one projection without a shuffle: the weights are arrays indexed by b
 with a word that is a feature of its own go on to the runs; a line without any such word has the score
 of an empty one, which is ``unknown``, as runs are features only where one of their words is.
 
+Notices wrapped over lines: the words of all lines are one sequence, whatever the breaks, comment marks and
+blank lines between them.  Wherever enough of a template's word pairs stand within the template's length of
+each other, on more than one line, the run from the first to the last of them is classified like a line,
+and it is a notice if the family is the template's.  Every template has a gate, pairs of which any such run
+holds at least one, so only the surroundings of such pairs are compared.
+
 Sample bound: the lines of the ``BACKGROUND_DOCS`` documents with the smallest hash, at most
 ``BACKGROUND_LINES`` of them.  A null text is empty and has no notices; repeated rows get equal
 results; an empty table gives no rows; an id may be null.
@@ -236,10 +242,16 @@ def fit(docs: DataFrame, seed: int = 7) -> Classifier:
     return Classifier(rare, np.round(weights.T / scale, 5).tolist(), (bias / scale).tolist())
 
 
-def scored(text: Column, model: Classifier) -> Column:
-    """Array of the lines that may be notices: ``paragraph, words, family, probability``."""
+def scored(units: Column, model: Classifier, *carried: str) -> Column:
+    """The units that may be notices, those with a word that is a feature of its own, with ``family, probability``.
+
+    ``units`` is an array of structs with ``words`` and the fields ``carried``.
+    """
     weights = [_constant(w, "double") for w in model.weights]
 
+    def also(s: Column, **fields: Column) -> Column:
+        return F.struct(*[s[c].alias(c) for c in (*carried, "words")], *[v.alias(k) for k, v in fields.items()])
+
     def features(words: Column, has: Column) -> Column:
         runs = F.flatten(F.array(*[
             F.transform(F.filter(F.sequence(F.lit(1), F.size(words)),
@@ -251,42 +263,114 @@ def scored(text: Column, model: Classifier) -> Column:
         total = F.aggregate(found, F.lit(0.0), lambda s, i: s + weights[k][i])
         return total / F.sqrt(F.greatest(F.size(found), F.lit(1))) + F.lit(model.bias[k])
 
-    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("paragraph"), words_of(line).alias("words")))
-    lines = F.filter(lines, lambda s: F.exists(s["words"], lambda w: w.isin(*model.words)))
-    lines = F.transform(lines, lambda s: F.struct(
-        s["paragraph"].alias("paragraph"), s["words"].alias("words"), F.transform(s["words"], lambda w: w.isin(*model.words)).alias("has")))
-    lines = F.transform(lines, lambda s: F.struct(s["paragraph"].alias("paragraph"), s["words"].alias("words"),
-                                                  features(s["words"], s["has"]).alias("found")))
-    lines = F.transform(lines, lambda s: F.struct(
-        s["paragraph"].alias("paragraph"), s["words"].alias("words"),
-        F.array(*[logit(s["found"], k) for k in range(len(FAMILIES))]).alias("logits")))
+    units = F.filter(units, lambda s: F.exists(s["words"], lambda w: w.isin(*model.words)))
+    units = F.transform(units, lambda s: also(s, has=F.transform(s["words"], lambda w: w.isin(*model.words))))
+    units = F.transform(units, lambda s: also(s, found=features(s["words"], s["has"])))
+    units = F.transform(units, lambda s: also(s, logits=F.array(*[logit(s["found"], k) for k in range(len(FAMILIES))])))
 
     def judged(s: Column) -> Column:
         top = F.array_max(s["logits"])
         family = F.array(*map(F.lit, FAMILIES))[F.array_position(s["logits"], top).cast("int") - 1]
         total = F.aggregate(s["logits"], F.lit(0.0), lambda n, x: n + F.exp(x - top))
-        return F.struct(s["paragraph"].alias("paragraph"), s["words"].alias("words"), family.alias("family"), (1 / total).alias("probability"))
+        return also(s, family=family, probability=1 / total)
+
+    return F.transform(units, judged)
+
+
+def _gate(pairs: list[str]) -> list[str]:
+    """Pairs of a template, the longest ones, of which every run that holds enough of the template has one."""
+    need = next(m for m in range(1, len(pairs) + 1) if m / len(pairs) >= CONTAINED)
+    return sorted(pairs, key=lambda p: (-len(p), p))[:len(pairs) - need + 1]
+
+
+def _notice(paragraph: Column, last_line: Column, family: Column, probability: Column, contained: Column) -> Column:
+    return F.struct(paragraph.cast("bigint").alias("paragraph"), last_line.cast("bigint").alias("last_line"), family.alias("family"),
+                    F.round(probability, 6).alias("probability"), F.round(contained, 6).alias("contained"),
+                    (contained >= CONTAINED).alias("confirmed"))
 
-    return F.transform(lines, judged)
+
+def _runs(hits: Column, words: Column, lines: Column, templates: Column, gate: list[str], longest: int) -> Column:
+    """Runs of words over several lines that hold enough of a template: ``wanted, contained, paragraph, last_line, words``.
+
+    ``hits`` are the word pairs of templates in the document with their places, ``words`` all its words and
+    ``lines`` their lines.  A run is looked for around every hit of a gate, as far as the template is long; of a
+    pair that stands there several times the nearest one counts.
+    """
+    seeds = F.filter(F.transform(hits, lambda h, k: F.struct(k.alias("k"), h["pos"].alias("pos"), h["pair"].alias("pair"))),
+                     lambda s: s["pair"].isin(*gate))
+
+    def around(s: Column, t: Column) -> Column:
+        close = F.slice(hits, F.greatest(s["k"] + (1 - longest), F.lit(1)), F.lit(2 * longest + 1))
+        return F.struct(t["family"].alias("wanted"), t["pairs"].alias("pairs"), s["pos"].alias("pos"),
+                        F.filter(close, lambda h: F.abs(h["pos"] - s["pos"]) <= t["length"]).alias("near"))
+
+    def nearest(c: Column) -> Column:
+        places = F.transform(c["pairs"], lambda x: F.array_min(F.transform(
+            F.filter(c["near"], lambda h: h["pair"] == x),
+            lambda h: F.struct(F.abs(h["pos"] - c["pos"]).alias("far"), h["pos"].alias("pos"))))["pos"])
+        return F.struct(c["wanted"].alias("wanted"), F.size(c["pairs"]).alias("all"),
+                        F.filter(places, lambda p: p.isNotNull()).alias("places"))
+
+    found = F.flatten(F.transform(seeds, lambda s: F.transform(
+        F.filter(templates, lambda t: F.array_contains(t["gate"], s["pair"])), lambda t: around(s, t))))
+    found = F.filter(F.transform(found, nearest), lambda c: F.size(c["places"]) / c["all"] >= CONTAINED)
+    found = F.transform(found, lambda c: F.struct(
+        c["wanted"].alias("wanted"), (F.size(c["places"]) / c["all"]).alias("contained"),
+        F.array_min(c["places"]).alias("start"), (F.array_max(c["places"]) + 1).alias("stop")))
+    found = F.filter(F.array_distinct(found), lambda c: F.get(lines, c["start"]) < F.get(lines, c["stop"]))
+    return F.transform(found, lambda c: F.struct(
+        c["wanted"].alias("wanted"), c["contained"].alias("contained"), F.get(lines, c["start"]).alias("paragraph"),
+        F.get(lines, c["stop"]).alias("last_line"), F.slice(words, c["start"] + 1, c["stop"] - c["start"] + 1).alias("words")))
 
 
 def find_notices(docs: DataFrame, model: Classifier | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``notices`` of every document: paragraph (line from 0), family, probability, contained, confirmed."""
+    """``doc_id`` and ``notices`` of every document.
+
+    A notice has ``paragraph, last_line`` (lines from 0), ``family, probability, contained, confirmed``.  Those of one
+    line may be unconfirmed; a notice over several lines is confirmed, and has no confirmed line of its family inside.
+    """
     model = model or fit(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    rows = [r for r in _templates(docs.sparkSession).collect() if r["pairs"]]
     templates = F.array(*[
-        F.struct(F.lit(r["family"]).alias("family"), F.array(*map(F.lit, r["pairs"])).alias("pairs"))
-        for r in _templates(docs.sparkSession).filter(F.size("pairs") > 0).collect()])
+        F.struct(F.lit(r["family"]).alias("family"), F.lit(len(r["words"])).alias("length"),
+                 F.array(*map(F.lit, r["pairs"])).alias("pairs"), F.array(*map(F.lit, _gate(r["pairs"]))).alias("gate")) for r in rows])
+    known, pairs = sorted({w for r in rows for w in r["words"]}), sorted({p for r in rows for p in r["pairs"]})
+    gate, longest = sorted({p for r in rows for p in _gate(r["pairs"])}), max(len(r["words"]) for r in rows)
 
     def compared(s: Column) -> Column:
         own = F.filter(templates, lambda t: t["family"] == s["family"])
         best = F.array_max(F.transform(own, lambda t: _contained(s["words"], t["pairs"])))
-        return F.struct(s["paragraph"].cast("bigint").alias("paragraph"), s["family"].alias("family"),
-                        F.round(s["probability"], 6).alias("probability"), F.round(best, 6).alias("contained"),
-                        (best >= CONTAINED).alias("confirmed"))
-
-    likely = F.filter("lines", lambda s: (s["family"] != UNKNOWN) & (s["probability"] >= LIKELY))
-    return (id_and_text(docs, id_col, text_col).select("doc_id", scored(F.col("text"), model).alias("lines"))
-            .select("doc_id", F.transform(likely, compared).alias("notices")))
+        return _notice(s["paragraph"], s["paragraph"], s["family"], s["probability"], best)
+
+    def hit(word: Column, i: Column) -> Column:
+        after = F.get("words", i + 1)
+        return F.when(word.isin(*known) & after.isin(*known), F.struct(i.alias("pos"), F.concat_ws(" ", word, after).alias("pair")))
+
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("paragraph"), words_of(line).alias("words")))
+    likely = F.filter(scored(F.col("lines"), model, "paragraph"), lambda s: (s["family"] != UNKNOWN) & (s["probability"] >= LIKELY))
+    # Lines without words, blank or only marks of a comment, do not part the lines around them.
+    flat = id_and_text(docs, id_col, text_col).select("doc_id", lines.alias("lines")).select(
+        "doc_id", F.transform(likely, compared).alias("single"), F.flatten(F.transform("lines", lambda s: s["words"])).alias("words"),
+        F.flatten(F.transform("lines", lambda s: F.array_repeat(s["paragraph"], F.size(s["words"])))).alias("at"))
+    hits = flat.select("*", F.filter(F.transform("words", hit), lambda h: h.isNotNull() & h["pair"].isin(*pairs)).alias("hits"))
+    runs = scored(_runs(F.col("hits"), F.col("words"), F.col("at"), templates, gate, longest), model,
+                  "wanted", "contained", "paragraph", "last_line")
+    runs = F.filter(runs, lambda s: (s["family"] == s["wanted"]) & (s["probability"] >= LIKELY))
+    several = F.array_sort(F.transform(runs, lambda s: _notice(
+        s["paragraph"], s["last_line"], s["family"], s["probability"], s["contained"])))
+    found = hits.select("doc_id", "single", several.alias("several"))
+
+    def own(n: Column, i: Column) -> Column:
+        """The notice, if it is the last of its lines and family and no line of it is a notice by itself."""
+        after = F.get("several", i + 1)
+        repeated = F.coalesce((after["paragraph"] == n["paragraph"]) & (after["last_line"] == n["last_line"])
+                              & (after["family"] == n["family"]), F.lit(False))
+        inside = F.exists("single", lambda s: s["confirmed"] & (s["family"] == n["family"])
+                          & s["paragraph"].between(n["paragraph"], n["last_line"]))
+        return F.when(~repeated & ~inside, n)
+
+    several = F.filter(F.transform("several", own), lambda n: n.isNotNull())
+    return found.select("doc_id", F.array_sort(F.concat("single", several)).alias("notices"))
 
 
 def summary(found: DataFrame) -> DataFrame:
