@@ -73,11 +73,11 @@ def _(t):
 
 
 def grouping(t):
-    """Events that have a vector, with places near their topic's place."""
-    e = t.sql(HOST_EVENTS).join(t.embeddings.select(F.col("vec_id").alias("id"), "label"), "id")
+    """All events with places near their city's place; those without a vector are topic noise."""
+    e = t.sql(HOST_EVENTS)
+    city = F.regexp_extract("city", "[0-9]+", 0).cast("int")
     e = e.withColumns({
-        "state": F.concat(F.lit("S"), (F.col("label") % 2).cast("string")),
-        "latitude": 40.5 + (F.col("label") % 5) * 0.02 + (F.col("id") % 7) * 0.0005,
+        "latitude": 40.5 + (city % 5) * 0.02 + (F.col("id") % 7) * 0.0005,
         "longitude": F.when(F.col("id") % 41 != 0, -74.0 + (F.col("id") % 5) * 0.0005)})
     vectors = t.embeddings.select(F.col("vec_id").alias("id"), "embedding")
     return group_events(e, vectors, REFERENCE)

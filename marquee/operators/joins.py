@@ -74,6 +74,6 @@ def fill_coordinates(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
     return found.unionByName(df.filter(~asks).withColumn("geocoded", F.lit(False)))
 
 
-def attach_embeddings(df: DataFrame, embeddings: DataFrame, id_col: str = "id") -> DataFrame:
-    """Rows with their vector, by id; rows without one are left out."""
-    return df.join(embeddings.select(id_col, "embedding"), id_col)
+def attach_embeddings(df: DataFrame, embeddings: DataFrame, id_col: str = "id", keep: bool = False) -> DataFrame:
+    """Rows with their vector, by id; rows without one are left out, or with ``keep`` have a null vector."""
+    return df.join(embeddings.select(id_col, "embedding"), id_col, "left" if keep else "inner")

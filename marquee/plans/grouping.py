@@ -58,17 +58,20 @@ def fused_label(state: Column, topic: Column, place: Column) -> Column:
 def group_events(events: DataFrame, embeddings: DataFrame, reference, run_id: str = "1",
                  params: GroupingParams = GroupingParams(), host: str = "host_name") -> GroupingRun:
     """All states in one job.  ``events`` needs unique numeric ``id``, ``state``, ``latitude``,
-    ``longitude``, ``date``, a host and ``primary_category``; ``embeddings`` has ``id, embedding``."""
+    ``longitude``, ``date``, a host and ``primary_category``; ``embeddings`` has ``id, embedding``.
+
+    Events without a vector are topic noise; they count in their state, its places and its summary, where
+    ``without_vector`` is their number."""
     base = attach_activity(located(events).withColumn("event_type", F.col("primary_category")), host, "date", reference)
-    marked = stage(mark_small_groups(normalise(attach_embeddings(base, embeddings)), "state", params.min_events))
+    marked = stage(mark_small_groups(normalise(attach_embeddings(base, embeddings, keep=True)), "state", params.min_events))
     work = marked.filter(F.col("group_status") == "ok")
-    vectors = work.select("id", "state", "embedding")
+    vectors = work.filter(F.col("embedding").isNotNull()).select("id", "state", "embedding")
     topics = topic_groups(vectors, min_cluster_size=params.min_cluster_size)
     if params.rescue_cap is not None:
         topics = rescue_noise(topics, cap=params.rescue_cap)
     places = place_groups(work.select("id", "state", F.col("latitude").alias("lat"), F.col("longitude").alias("lon")),
                           params.eps_m, params.min_samples)
-    labels = topics.select("id", "semantic_label").join(places.select("id", "spatial_label"), "id")
+    labels = places.select("id", "spatial_label").join(topics.select("id", "semantic_label"), "id", "left")
     how = "left" if params.keep_small else "inner"
     full = marked.join(labels, "id", how).na.fill(-1, ["semantic_label", "spatial_label"])
     state, topic, place = F.col("state"), F.col("semantic_label"), F.col("spatial_label")
@@ -88,4 +91,6 @@ def group_events(events: DataFrame, embeddings: DataFrame, reference, run_id: st
     seen = marked.select("id", "state", "group_status").join(
         full.select("id", "semantic_cluster_label", "spatial_cluster_label", "fused_cluster"), "id", "left").na.fill(
         NOISE, ["semantic_cluster_label", "spatial_cluster_label", "fused_cluster"])
-    return GroupingRun(run, clusters, rankings.withColumn("cluster_run_id", F.lit(run_id)), state_summary(seen), full)
+    bare = marked.groupBy("state").agg(F.count_if(F.col("embedding").isNull()).alias("without_vector"))
+    summary = state_summary(seen).join(bare, "state")
+    return GroupingRun(run, clusters, rankings.withColumn("cluster_run_id", F.lit(run_id)), summary, full)

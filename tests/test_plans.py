@@ -117,6 +117,28 @@ def test_group_events(spark, tmp_path):
     assert spark.table("runs.event_clusters").count() == 282 and spark.table("runs.cluster_runs").count() == 2
 
 
+def test_events_without_a_vector_are_kept(spark):
+    ev, emb, _, pts = grouping_input(spark)
+    bare = {0, 5, 70, 140, 145}
+    run = group_events(ev, emb.filter(~F.col("id").isin(*bare)), "2026-01-20")
+    labels = {r["event_id"]: r for r in run.labels.collect()}
+    assert set(labels) == set(range(141))
+    assert [labels[i]["spatial_cluster_label"] for i in range(141)] == [
+        "noise" if w < 0 else f"NY-spa{w}" for w in brute_groups(pts[:141], 500.0, 5)]
+    assert {labels[i][c] for i in bare - {145} for c in ("semantic_cluster_label", "fused_cluster")} == {"noise"}
+    assert {r["semantic_cluster_label"] for r in labels.values()} != {"noise"}
+    counts = {r["state"]: (r["events"], r["without_vector"]) for r in run.summary.collect()}
+    assert counts == {"NY": (141, 4), "VT": (9, 1)}
+
+
+def test_grouping_queries_run_over_all_events(spark):
+    events = spark.read.parquet(f"{FOLDER}/events.parquet").filter("event_id % 41 <> 0").count()
+    summary = QUERIES["grouping_summary"](spark, FOLDER).collect()
+    assert sum(r["events"] for r in summary) == events
+    assert QUERIES["grouping_labels"](spark, FOLDER).count() == events
+    assert any(r["semantic_groups"] for r in summary) and any(r["spatial_groups"] for r in summary)
+
+
 def test_dashboard_keeps_small_states_as_noise(spark):
     ev, emb, _, _ = grouping_input(spark)
     run = group_events(ev, emb, "2026-01-20", params=DASHBOARD)
