@@ -40,6 +40,7 @@ LONGEST_RUN = 256
 BUCKET_ROWS = 20_000
 _READ = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
                    ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+_ATTENDS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 TURN = re.compile(re.escape(START) + r"(.*?)\n(.*?)" + re.escape(END) + r"\n", re.S)
 
 
@@ -160,59 +161,121 @@ def tree_nodes(convs: DataFrame, order: DataFrame, vocabulary: str = VOCABULARY)
                       .drop("bucket"), "chat-stream")
 
 
-def paths(order: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``no, conv_id, spans``: where a conversation's turns stand in its tree's stream, in order; staged."""
-    steps = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
-    placed = join_groups(steps, nodes.select("node", "start", "n_tokens", "convs"), "node", "convs")
-    spans = F.array_sort(F.collect_list(F.struct("depth", "start", (F.col("start") + F.col("n_tokens")).alias("stop"))))
-    return stage_rows(placed.groupBy("no").agg(F.first("conv_id").alias("conv_id"), spans.alias("spans")), "chat-paths")
+def steps(order: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row per turn of a conversation, where it stands in its tree's stream; staged.
+
+    ``no, conv_id, depth, node, tree, start, stop, convs`` and ``own``: whether the conversation is its node's first.
+    """
+    turns = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
+    placed = join_groups(turns, nodes.select("node", "tree", "first_no", "start", "n_tokens", "convs"), "node", "convs")
+    return stage_rows(placed.select(
+        "no", "conv_id", "depth", "node", "tree", "start", (F.col("start") + F.col("n_tokens")).alias("stop"), "convs",
+        (F.col("no") == F.col("first_no")).alias("own")), "chat-steps")
+
+
+def paths(placed: DataFrame) -> DataFrame:
+    """``no, conv_id, spans``: where a conversation's turns stand in its tree's stream, in order, as one row."""
+    spans = F.array_sort(F.collect_list(F.struct("depth", "start", "stop")))
+    return placed.groupBy("no").agg(F.first("conv_id").alias("conv_id"), spans.alias("spans"))
 
 
-def streams(nodes: DataFrame, ways: DataFrame) -> DataFrame:
-    """The trees' streams, one row per node, to be read in the order of ``tree, start``.
+def walked(seen: list[tuple[int, int]], start: int, stop: int) -> None:
+    """Add a turn to the stretches of the stream that a conversation has taken; touching ones become one."""
+    if seen and seen[-1][1] == start:
+        start = seen.pop()[0]
+    seen.append((start, stop))
 
-    ``tree, start, tokens, loss_from, loss_to, position`` (of the first token; the others count on) and
-    ``attends``, the stretches of the stream that its tokens see besides their own node's up to themselves.
+
+def _layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Position and attended stretches of every node, from the turns of its first conversation in order."""
+    names = ["node", "tree", "start", "depth", "convs"]
+    last, position, seen = None, 0, []
+    for batch in batches:
+        kept, positions, attends = [], [], []
+        columns = (batch.column(c).to_pylist() for c in ("no", "start", "stop", "own"))
+        for i, (no, start, stop, own) in enumerate(zip(*columns)):
+            if no != last:
+                last, position, seen = no, 0, []
+            if own:
+                kept.append(i)
+                positions.append(position)
+                attends.append([{"start": a, "stop": b} for a, b in seen])
+            walked(seen, start, stop)
+            position += stop - start
+        rows = batch.take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(positions, pa.int64()), pa.array(attends, _ATTENDS)],
+                                         names=[*names, "position", "attends"])
+
+
+def streams(nodes: DataFrame, placed: DataFrame) -> DataFrame:
+    """The trees' streams, one row per node, to be read in the order of ``tree, start``; staged.
+
+    ``tree, start, depth, convs, tokens, loss_from, loss_to, position`` (of the first token; the others count on) and
+    ``attends``, the stretches of the stream that its tokens see besides their own node's up to themselves, none
+    touching another.
     """
-    own = nodes.join(ways.select(F.col("no").alias("first_no"), "spans"), "first_no")
-    before = F.slice("spans", F.lit(1), F.col("depth"))
-    position = F.aggregate(before, F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
-    return own.select("tree", "start", "depth", "tokens", "loss_from", "loss_to", position.alias("position"),
-                      F.transform(before, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))).alias("attends"))
+    laid = (placed.select("no", "depth", "node", "tree", "start", "stop", "convs", "own").repartition("no")
+            .sortWithinPartitions("no", "depth").mapInArrow(
+                _layout, "node binary, tree binary, start bigint, depth int, convs bigint, position bigint, "
+                         "attends array<struct<start:bigint,stop:bigint>>"))
+    return stage_rows(laid.join(nodes.select("node", "tokens", "loss_from", "loss_to"), "node").select(
+        "tree", "start", "depth", "convs", "tokens", "loss_from", "loss_to", "position", "attends"), "chat-streams")
 
 
-def read_back(order: DataFrame, nodes: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Every conversation from the tokens of its nodes: counts and digests of what they decode to.
+def read_back(placed: DataFrame, laid: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Every conversation from the streams at its turns' places: counts and digests of what the tokens decode to.
 
-    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``
+    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.  A turn whose place, position or
+    attended stretches in the stream are not those of the conversation's turns before it is an error.
     """
     ranks = read_ranks(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(ranks)
+        last, conv, whole, learned, counts, position, seen = None, None, None, None, [0, 0, 0], 0, []
+
+        def result() -> dict:
+            return dict(zip(_READ.names, (conv, counts[0], whole.hexdigest(), counts[1], learned.hexdigest(), counts[2])))
+
         for batch in batches:
             out = []
-            for conv_id, steps in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = tokens.text([t for s in steps for t in s["tokens"]])
-                learned = "".join(unescape(tokens.text(s["tokens"][s["loss_from"]:s["loss_to"]])) for s in steps)
-                turns = TURN.findall(text)
-                whole = "".join(f"{unescape_role(role)}\n{unescape(body)}\n" for role, body in turns)
-                out.append((conv_id, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(learned),
-                            hashlib.sha256(learned.encode()).hexdigest(), len(text)))
-            yield pa.RecordBatch.from_pylist([dict(zip(_READ.names, row)) for row in out], _READ)
-
-    steps = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
-    joined = join_salted(steps, nodes.select("node", "convs", "tokens", "loss_from", "loss_to"), "node", "convs")
-    whole = joined.groupBy("no").agg(F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list(
-        F.struct("depth", "tokens", "loss_from", "loss_to"))).alias("steps"))
-    return whole.select("conv_id", "steps").mapInArrow(
-        run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
+            for row in batch.to_pylist():
+                if row["no"] != last:
+                    if last is not None:
+                        out.append(result())
+                    last, conv, whole, learned, counts, position, seen = (
+                        row["no"], row["conv_id"], hashlib.sha256(), hashlib.sha256(), [0, 0, 0], 0, [])
+                start, stop = row["place"]["start"], row["stop"]
+                attends = [(a["start"], a["stop"]) for a in row["attends"]]
+                if row["position"] != position or attends != seen or stop - start != len(row["tokens"]) or row["depth"] != counts[0]:
+                    raise ValueError(f"conversation {conv}: turn {row['depth']} is not where its stream has it")
+                walked(seen, start, stop)
+                position += stop - start
+                text = tokens.text(row["tokens"])
+                for role, body in TURN.findall(text):
+                    whole.update(f"{unescape_role(role)}\n{unescape(body)}\n".encode())
+                    counts[0] += 1
+                part = unescape(tokens.text(row["tokens"][row["loss_from"]:row["loss_to"]]))
+                learned.update(part.encode())
+                counts[1] += len(part)
+                counts[2] += len(text)
+            yield pa.RecordBatch.from_pylist(out, _READ)
+        if last is not None:
+            yield pa.RecordBatch.from_pylist([result()], _READ)
+
+    place = F.struct("tree", "start").alias("place")
+    joined = join_salted(placed.select("no", "conv_id", "depth", place, "stop"), laid.select(
+        place, "convs", "tokens", "loss_from", "loss_to", "position", "attends"), "place", "convs")
+    return (joined.select("no", "conv_id", "depth", "place", "stop", "tokens", "loss_from", "loss_to", "position", "attends")
+            .repartition("no").sortWithinPartitions("no", "depth").mapInArrow(
+                run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"))
 
 
 def format_conversations(rows: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Streams of the trees, each conversation's spans in them, and what reading the tokens back gives."""
+    """Streams of the trees, each conversation's spans in them, and what reading the streams back gives."""
     convs = conversations(rows)
     order = numbered(convs)
     nodes = tree_nodes(convs, order, vocabulary)
-    ways = paths(order, nodes)
-    return streams(nodes, ways), ways, read_back(order, nodes, vocabulary)
+    placed = steps(order, nodes)
+    laid = streams(nodes, placed)
+    return laid, paths(placed), read_back(placed, laid, vocabulary)

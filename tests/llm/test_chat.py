@@ -107,3 +107,23 @@ def test_many_conversations_share_a_first_turn(spark):
 
 def test_empty_table(spark):
     assert [df.count() for df in chat.format_conversations(spark.createDataFrame([], SCHEMA))] == [0, 0, 0]
+
+
+def test_conversations_are_read_from_the_streams_and_checked(formatted):
+    """A wrong position or stretch in a stream is an error when a conversation is read from it."""
+    laid = formatted[0]
+    tree = laid.orderBy("tree", "start").first()["tree"]
+    turn = laid.filter((F.col("tree") == F.lit(bytes(tree))) & (F.col("depth") == 0)).select(
+        F.lit(0).cast("bigint").alias("no"), F.lit(0).cast("bigint").alias("conv_id"), "depth", "tree", "start",
+        (F.col("start") + F.size("tokens")).alias("stop"))
+    assert chat.read_back(turn, laid).count() == 1
+    for column, wrong in (("position", F.col("position") + 1), ("attends", F.expr("array(struct(7L as start, 9L as stop))"))):
+        with pytest.raises(Exception, match="not where its stream has it"):
+            chat.read_back(turn, laid.withColumn(column, wrong)).collect()
+
+
+def test_touching_stretches_are_one(spark):
+    rows = [(1, i, "user", f"t{i}") for i in range(50)] + [(2, i, "user", f"t{i}") for i in range(30)] + [(2, 30, "user", "other")]
+    laid, _, back = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    assert max(r.n for r in laid.select(F.size("attends").alias("n")).collect()) <= 2
+    assert sorted(map(tuple, back.collect()), key=str) == brute(rows)
