@@ -4,14 +4,15 @@ A turn becomes ``<|im_start|>role\\ntext<|im_end|>\\n``, the two marks as tokens
 byte-level vocabulary.  ``<|`` in a text or role gets a backslash between its characters (one more
 where there are some), so no text holds a mark; reading back takes it away again.
 
-Conversations are sorted by the digests of their starts, which brings equal starts together.  A turn
+Conversations are sorted by the digests of the starts where they part from others, which brings equal starts together.  A turn
 is a node of the tree of its first turn; a tree's tokens stand depth-first in one stream.  Each node
 has its place in the stream, the position of its first token in its conversations, and the stretches
 of the stream before it that it may attend to, which are its ancestors.  Trees of any size are laid
 out by sums in two steps; a first turn that a third of all conversations share is counted on the map
 side and dealt to several tasks where conversations look it up.
 
-A conversation's own turns meet in one row, as its digest needs them.  Turns go by ``turn`` (missing
+A conversation's turns meet in one task, sorted, and an iterator carries digests, places and what was read
+from turn to turn, so no row or batch holds a conversation.  Turns go by ``turn`` (missing
 last), then role and text; repeated rows are repeated turns.  A null text or role is empty, a null
 conversation id is one conversation, an empty table gives no rows.
 """
@@ -95,86 +96,109 @@ class Tokens:
 
 
 def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest of every start of every conversation."""
+    """Digest of every start of every conversation, one row per turn; a conversation's turns come in order."""
+    last, depth, before, tree = None, 0, b"", b""
     for batch in batches:
-        paths = []
-        for turns in batch.column(1).to_pylist():
-            path, before = [], b""
-            for turn in turns:
-                role, text = turn["role"].encode(), turn["text"].encode()
-                before = hashlib.blake2b(before + len(role).to_bytes(8, "big") + role + text, digest_size=16).digest()
-                path.append(before)
-            paths.append(path)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(paths, pa.list_(pa.binary()))], names=["conv_id", "turns", "path"])
+        rows = []
+        for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv", "role", "text"))):
+            if conv != last:
+                last, depth, before, tree = conv, 0, b"", b""
+            role, parent = role.encode(), before or None
+            before = hashlib.blake2b(before + len(role).to_bytes(8, "big") + role + text.encode(), digest_size=16).digest()
+            tree = tree or before
+            rows.append((depth, before, parent, tree))
+            depth += 1
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("conv", "conv_id", "role", "text")), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))],
+            names=["conv", "conv_id", "role", "text", "depth", "node", "parent", "tree"])
 
 
 def conversations(rows: DataFrame) -> DataFrame:
-    """``conv_id, turns, path``: each conversation with the digests of its starts; staged."""
-    turns = F.transform(F.array_sort(F.collect_list(F.struct(
-        F.col("turn").isNull().alias("late"), F.col("turn").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    whole = (rows.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
-             .groupBy("conv_id").agg(turns.alias("turns"))
-             .mapInArrow(_starts, "conv_id bigint, turns array<struct<role:string,text:string>>, path array<binary>"))
-    return stage_rows(whole, "conversations")
+    """One row per turn with the digest of the conversation up to it; staged.
 
-
-def numbered(convs: DataFrame) -> DataFrame:
-    """``no, conv_id, path``: conversations numbered so that equal starts stand together; staged."""
-    return stage_rows(number_rows(convs.select("conv_id", "path"), [F.col("path"), F.asc_nulls_last("conv_id")], "no"),
-                      "conversation-order")
+    ``conv`` (the id as text, empty if missing), ``conv_id, role, text, depth, node`` (digest), ``parent`` (that of the
+    turn before), ``tree`` (that of the first turn).
+    """
+    turns = rows.select(
+        F.coalesce(F.col("conv_id").cast("bigint").cast("string"), F.lit("")).alias("conv"), F.col("conv_id").cast("bigint").alias("conv_id"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "turn")
+    return stage_rows(turns.repartition("conv").sortWithinPartitions("conv", F.asc_nulls_last("turn"), "role", "text")
+                      .drop("turn").mapInArrow(_starts, "conv string, conv_id bigint, role string, text string, depth int, node binary, "
+                                                        "parent binary, tree binary"), "chat-turns")
 
 
-def tree_nodes(convs: DataFrame, order: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def tokenized(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per distinct start of conversations, its last turn tokenized; staged.
 
-    ``node`` (digest), ``tree`` (digest of the first turn), ``first_no`` and ``depth`` (their order is
-    depth-first), ``convs`` that share it, ``tokens``, ``loss_from, loss_to`` (tokens to learn),
-    ``n_tokens``, and ``start`` in the tree's stream.
+    ``node, parent, tree, depth, convs`` that share it, ``tokens``, ``loss_from, loss_to`` (tokens to learn), ``n_tokens``
     """
     ranks = read_ranks(vocabulary)
+    names = ["node", "parent", "tree", "depth", "convs"]
 
-    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(ranks)
         for batch in batches:
             done = [tokens.turn(r, t) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("node", "tree", "first_no", "depth", "convs")),
+                [*(batch.column(c) for c in names),
                  pa.array([d[0] for d in done], pa.list_(pa.int32())), pa.array([d[1] for d in done], pa.int64()),
                  pa.array([d[2] for d in done], pa.int64()), pa.array([len(d[0]) for d in done], pa.int64())],
-                names=["node", "tree", "first_no", "depth", "convs", "tokens", "loss_from", "loss_to", "n_tokens"])
-
-    turns = convs.select(F.col("path")[0].alias("tree"), F.posexplode(F.arrays_zip("path", "turns")).alias("depth", "at"))
-    # A digest has one turn, one depth and one tree, so any row of it will do.
-    nodes = turns.groupBy(F.col("at.path").alias("node")).agg(
-        F.first("tree").alias("tree"), F.first("depth").cast("int").alias("depth"),
-        F.count(F.lit(1)).alias("convs"), F.first("at.turns").alias("turn"))
-    firsts = order.select("no", F.explode("path").alias("node")).groupBy("node").agg(F.min("no").alias("first_no"))
-    nodes = nodes.join(firsts, "node")
-    nodes = stage_rows(
-        nodes.select("node", "tree", "first_no", "depth", "convs", F.col("turn.role").alias("role"), F.col("turn.text").alias("text"))
-        .mapInArrow(tokenized, "node binary, tree binary, first_no bigint, depth int, convs bigint, tokens array<int>, "
-                               "loss_from bigint, loss_to bigint, n_tokens bigint"), "chat-nodes")
-    bucketed = nodes.withColumn("bucket", F.floor(F.col("first_no") / BUCKET_ROWS))
+                names=[*names, "tokens", "loss_from", "loss_to", "n_tokens"])
+
+    # A digest has one turn, one depth, one parent and one tree, so any row of it will do.
+    nodes = turns.groupBy("node").agg(
+        F.first("parent").alias("parent"), F.first("tree").alias("tree"), F.first("depth").alias("depth"),
+        F.count(F.lit(1)).alias("convs"), F.first(F.struct("role", "text")).alias("turn"))
+    return stage_rows(nodes.select(*names, F.col("turn.role").alias("role"), F.col("turn.text").alias("text")).mapInArrow(
+        run, "node binary, parent binary, tree binary, depth int, convs bigint, tokens array<int>, loss_from bigint, loss_to bigint, "
+             "n_tokens bigint"), "chat-nodes")
+
+
+def numbered(turns: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``no, conv_id, depth, node``: turns of conversations numbered so that equal starts stand together; staged.
+
+    Conversations are sorted by their heads, the nodes that fewer conversations share than the one before: up to the
+    first different head two conversations are the same, and there are no more heads than conversations that part.
+    """
+    counts = nodes.select("node", "parent", "convs")
+    above = counts.select(F.col("node").alias("parent"), F.col("convs").alias("above"))
+    later = join_groups(counts.filter("parent is not null"), above, "parent", "above").filter("above > convs")
+    heads = stage_rows(counts.filter("parent is null").select("node", "convs").unionByName(later.select("node", "convs")), "chat-heads")
+    led = (join_groups(turns.select("conv", "depth", "node"), heads, "node", "convs").groupBy("conv")
+           .agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda h: h["node"]).alias("heads")))
+    sizes = turns.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_turns"))
+    order = stage_rows(number_rows(led.join(sizes, "conv"), [F.col("heads"), F.col("conv")], "no").drop("heads"), "conversation-order")
+    return stage_rows(join_groups(turns.select("conv", "depth", "node"), order, "conv", "n_turns")
+                      .select("no", "conv_id", "depth", "node"), "chat-order")
+
+
+def tree_nodes(order: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes' places: ``node, tree, depth, convs, n_tokens, first_no`` and ``start`` in the tree's stream; staged.
+
+    The order of ``first_no`` and ``depth`` is depth-first.
+    """
+    firsts = order.groupBy("node").agg(F.min("no").alias("first_no"))
+    bucketed = nodes.select("node", "tree", "depth", "convs", "n_tokens").join(firsts, "node").withColumn(
+        "bucket", F.floor(F.col("first_no") / BUCKET_ROWS))
+    bucketed = stage_rows(bucketed, "chat-firsts")
     return stage_rows(running_sum(bucketed, ["tree"], "bucket", [F.col("first_no"), F.col("depth")], "n_tokens", "start")
-                      .drop("bucket"), "chat-stream")
+                      .drop("bucket"), "chat-places")
 
 
-def steps(order: DataFrame, nodes: DataFrame) -> DataFrame:
+def steps(order: DataFrame, places: DataFrame) -> DataFrame:
     """One row per turn of a conversation, where it stands in its tree's stream; staged.
 
     ``no, conv_id, depth, node, tree, start, stop, convs`` and ``own``: whether the conversation is its node's first.
     """
-    turns = order.select("no", "conv_id", F.posexplode("path").alias("depth", "node"))
-    placed = join_groups(turns, nodes.select("node", "tree", "first_no", "start", "n_tokens", "convs"), "node", "convs")
+    placed = join_groups(order, places.select("node", "tree", "first_no", "start", "n_tokens", "convs"), "node", "convs")
     return stage_rows(placed.select(
         "no", "conv_id", "depth", "node", "tree", "start", (F.col("start") + F.col("n_tokens")).alias("stop"), "convs",
         (F.col("no") == F.col("first_no")).alias("own")), "chat-steps")
 
 
 def paths(placed: DataFrame) -> DataFrame:
-    """``no, conv_id, spans``: where a conversation's turns stand in its tree's stream, in order, as one row."""
+    """``no, conv_id, spans``: where a conversation's turns stand in its tree's stream, in order, as one row; the query does not need it."""
     spans = F.array_sort(F.collect_list(F.struct("depth", "start", "stop")))
     return placed.groupBy("no").agg(F.first("conv_id").alias("conv_id"), spans.alias("spans"))
 
@@ -273,9 +297,9 @@ def read_back(placed: DataFrame, laid: DataFrame, vocabulary: str = VOCABULARY)
 
 def format_conversations(rows: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Streams of the trees, each conversation's spans in them, and what reading the streams back gives."""
-    convs = conversations(rows)
-    order = numbered(convs)
-    nodes = tree_nodes(convs, order, vocabulary)
-    placed = steps(order, nodes)
+    turns = conversations(rows)
+    nodes = tokenized(turns, vocabulary)
+    order = numbered(turns, nodes)
+    placed = steps(order, tree_nodes(order, nodes))
     laid = streams(nodes, placed)
     return laid, paths(placed), read_back(placed, laid, vocabulary)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from hypothesis import given
@@ -127,3 +128,29 @@ def test_touching_stretches_are_one(spark):
     laid, _, back = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
     assert max(r.n for r in laid.select(F.size("attends").alias("n")).collect()) <= 2
     assert sorted(map(tuple, back.collect()), key=str) == brute(rows)
+
+
+def test_no_row_holds_a_conversation(spark, monkeypatch):
+    staged = {}
+
+    def recorded(df, name, stage=chat.stage_rows):
+        out = staged[name] = stage(df, name)
+        return out
+
+    monkeypatch.setattr(chat, "stage_rows", recorded)
+    rows = [(None, i, "user", f"turn {i} " + "x" * 200) for i in range(3000)] + [(1, 0, "user", "short")]
+    back = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))[2]
+    assert sorted(map(tuple, back.collect()), key=str) == brute(rows)
+    assert "collect_list" not in back._jdf.queryExecution().toString()
+    assert max(sum(len(str(v)) for v in r) for df in staged.values() for r in df.collect()) < 2000
+
+
+def test_random_trees_are_depth_first(spark):
+    rng = random.Random(3)
+    rows = [(c, i, "user", rng.choice("ab")) for c in range(120) for i in range(rng.randrange(1, 8))]
+    laid, _, back = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, back.collect()), key=str) == brute(rows)
+    nodes = laid.orderBy("tree", "start").collect()
+    for a, b in zip(nodes, nodes[1:]):
+        assert b.depth <= a.depth + 1 if a.tree == b.tree else b.depth == 0
+        assert a.tree != b.tree or b.start == a.start + len(a.tokens)
