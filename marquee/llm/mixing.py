@@ -137,14 +137,18 @@ def mix(placed: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
 
 def documents_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     share: float = SHARE, block: int = BLOCK_WORDS) -> DataFrame:
-    """Every document with ``size, source_size, target`` and ``taken``, the words the mix takes of it."""
+    """Every document with ``size, source_size, target``, ``taken``, the words the mix takes of it, and ``first_slot``.
+
+    ``first_slot`` is the first slot of the schedule that takes of the document, null if none does.
+    """
     placed = stage_rows(entries(docs, id_col, text_col, source_col, share), "mix-entries")
     key = ["doc_id", "mark", "src", "size", "copy"]
-    used = mix(placed, block).select(*key, "source_size", "target", "taken")
-    rest = placed.select(*key, "source_size", "target", F.lit(0).cast("bigint").alias("taken"))
+    used = mix(placed, block).select(*key, "source_size", "target", "taken", "slot")
+    rest = placed.select(*key, "source_size", "target", F.lit(0).cast("bigint").alias("taken"), F.lit(None).cast("bigint").alias("slot"))
     return (used.unionByName(rest).groupBy(*key).agg(
-        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum("taken").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken"))
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum("taken").alias("taken"),
+        F.min("slot").alias("first_slot"))
+        .select("doc_id", "size", "source_size", "target", "taken", "first_slot"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

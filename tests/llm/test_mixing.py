@@ -92,3 +92,18 @@ def test_mixed_documents(spark):
     assert {r.doc_id: r.n for r in words} == {k: v for k, v in want.items() if v}
     assert sorted(map(str, mixing.mixed_documents(docs, block=8).collect())) == sorted(map(str, mixed.collect()))
     assert mixing.mixed_documents(spark.createDataFrame([], DOCUMENT)).collect() == []
+
+
+def test_documents_follow_the_schedule(spark):
+    """By first slot, stretches of the documents taken have their sources in proportion; without it they have no order."""
+    rows = [(i, " ".join(["w"] * 4), "abc"[i % 3]) for i in range(900)]
+    docs = documents(spark, [(i, t, "x", s, 1) for i, t, s in rows])
+    got = mixing.documents_taken(docs, block=4, share=0.5).collect()
+    source = {i: s for i, _, s in rows}
+    taken = sorted((r.first_slot, source[r.doc_id]) for r in got if r.taken)
+    assert all((r.first_slot is None) == (r.taken == 0) for r in got)
+    assert len({slot for slot, _ in taken}) == len(taken) == 450
+    # The sources weigh 3, 1 and 2.
+    for at in range(0, 420, 60):
+        window = [s for _, s in taken[at:at + 60]]
+        assert abs(window.count("a") - 30) <= 5 and abs(window.count("b") - 10) <= 5 and abs(window.count("c") - 20) <= 5
