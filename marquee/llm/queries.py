@@ -136,3 +136,86 @@ def op3_license_scan(spark, folder):
     from marquee.llm.licences import find_notices, summary
 
     return summary(find_notices(table(spark, folder, "documents")))
+
+
+@query
+def op13_structure_repair(spark, folder):
+    """Every conversation, damaged by hash, with its faults and its cheapest repair."""
+    from marquee.llm.repair import damage, summary
+
+    rows = table(spark, folder, "conversations")
+    return summary(rows, damage(rows))
+
+
+SQL["op13_structure_repair"] = r"""
+with recursive
+hit as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(
+             coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint)),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda v, z: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end)), 4294967295) % 20 as h
+  from conversations),
+damaged as (
+  select conv_id, turn, case when h = 4 then 'user' else role end as role,
+         case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(case when h = 3 then [0, 1] else [0] end) as copy
+  from hit where h <> 0),
+rows as (
+  select conv_id, turn, role, text, left(role, 1) as letter, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body,
+         row_number() over w as i, lag(left(role, 1)) over w as before,
+         row_number() over (partition by conv_id, role, text order by turn nulls first) as nth
+  from damaged window w as (partition by conv_id order by turn nulls first, role, text)),
+faulty as (
+  select *, case when body = '' then 'blank' when nth > 1 then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+  from rows),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+         count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (before is not null and before || letter not in ('su', 'ua', 'au')) as illegal
+  from faulty group by conv_id),
+-- Cost and audit from turn i on, for each grammar state: nothing, after system, after user, after assistant.
+go as (
+  select conv_id, n + 1 as i, {c: 0, a: ''} as s0, {c: 6, a: 'II'} as s1, {c: 3, a: 'I'} as s2, {c: 0, a: ''} as s3 from counts
+  union all
+  select conv_id, i, case when 3 + t2.c < b0.c or (3 + t2.c = b0.c and 'I' || t2.a < b0.a) then {c: 3 + t2.c, a: 'I' || t2.a} else b0 end,
+         case when 3 + t2.c < b1.c or (3 + t2.c = b1.c and 'I' || t2.a < b1.a) then {c: 3 + t2.c, a: 'I' || t2.a} else b1 end, t2, t3
+  from (
+    select conv_id, i, b0, b1,
+           case when 3 + b3.c < b2.c or (3 + b3.c = b2.c and 'I' || b3.a < b2.a) then {c: 3 + b3.c, a: 'I' || b3.a} else b2 end as t2,
+           case when 3 + b2.c < b3.c or (3 + b2.c = b3.c and 'I' || b2.a < b3.a) then {c: 3 + b2.c, a: 'I' || b2.a} else b3 end as t3
+    from (
+      select conv_id, i,
+             list_sort([{c: 4 + s0.c, a: 'D' || s0.a},
+               {c: case when stays and letter = 's' then extra + s1.c when stays and letter = 'u' then extra + s2.c else 1000000 end,
+                a: 'K' || case letter when 's' then s1.a else s2.a end},
+               {c: case when stays then 3 + extra + s2.c else 1000000 end, a: 'R' || s2.a}])[1] as b0,
+             list_sort([{c: 4 + s1.c, a: 'D' || s1.a}, {c: case when stays and letter = 'u' then extra + s2.c else 1000000 end, a: 'K' || s2.a},
+               {c: case when stays then 3 + extra + s2.c else 1000000 end, a: 'R' || s2.a}])[1] as b1,
+             list_sort([{c: 4 + s2.c, a: 'D' || s2.a}, {c: case when stays and letter = 'a' then extra + s3.c else 1000000 end, a: 'K' || s3.a},
+               {c: case when stays then 3 + extra + s3.c else 1000000 end, a: 'R' || s3.a}])[1] as b2,
+             list_sort([{c: 4 + s3.c, a: 'D' || s3.a}, {c: case when stays and letter = 'u' then extra + s2.c else 1000000 end, a: 'K' || s2.a},
+               {c: case when stays then 3 + extra + s2.c else 1000000 end, a: 'R' || s2.a}])[1] as b3
+      from (
+        select g.conv_id, f.i, f.letter, f.fault not in ('blank', 'duplicate') as stays, case when f.fault = 'truncated' then 3 else 0 end as extra,
+               g.s0, g.s1, g.s2, g.s3
+        from go g join faulty f on f.conv_id is not distinct from g.conv_id and f.i = g.i - 1)))),
+best as (select conv_id, s0.c as cost, s0.a as audit from go where i = 1),
+walk as (
+  select conv_id, audit, 0 as p, 1::bigint as i, 0 as state, null::varchar as line from best
+  union all
+  select w.conv_id, w.audit, w.p + 1, w.i + case when edit = 'I' then 0 else 1 end,
+         case when edit = 'D' then w.state when edit = 'K' then case f.letter when 's' then 1 when 'u' then 2 else 3 end when w.state = 2 then 3 else 2 end,
+         case edit when 'D' then null when 'K' then f.role || ':' || f.text
+           else case when w.state = 2 then 'assistant:' else 'user:' end || case when edit = 'R' then f.text else '' end end
+  from (select *, substr(audit, p + 1, 1) as edit from walk where p < length(audit)) w
+  left join faulty f on f.conv_id is not distinct from w.conv_id and f.i = w.i),
+mended as (select conv_id, string_agg(line, chr(10) order by p) as lines from walk group by conv_id)
+select o.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(c.blank, 0)::bigint as blank, coalesce(c.duplicate, 0)::bigint as duplicate,
+       coalesce(c.truncated, 0)::bigint as truncated, coalesce(c.illegal, 0)::bigint as illegal, coalesce(b.cost, 0)::bigint as cost,
+       coalesce(b.audit, '') as audit, sha256(coalesce(m.lines, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id
+left join best b on b.conv_id is not distinct from o.conv_id
+left join mended m on m.conv_id is not distinct from o.conv_id"""
