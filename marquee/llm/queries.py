@@ -219,3 +219,75 @@ from (select distinct conv_id from conversations) o
 left join counts c on c.conv_id is not distinct from o.conv_id
 left join best b on b.conv_id is not distinct from o.conv_id
 left join mended m on m.conv_id is not distinct from o.conv_id"""
+
+
+@query
+def op11_source_divergence(spark, folder):
+    """How every two sources of a language differ, and each source's 200 most distinctive terms."""
+    from marquee.llm.divergence import audit
+
+    return audit(table(spark, folder, "documents"))
+
+
+SQL["op11_source_divergence"] = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+t as (select r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term from t group by lang, term having count(distinct r) >= 3),
+v as (select lang, count(*) as v from kept group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t join kept using (lang, term) group by lang, source, term),
+s as (select g.lang, g.source, coalesce(sum(c.n), 0) as total from g left join c using (lang, source) group by g.lang, g.source),
+p as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (s.total::hugeint + v.v) as p
+  from s join v using (lang) join kept k using (lang) left join c using (lang, source, term)),
+l as (
+  select p.lang, term, 1 + (1000000000::hugeint * (sum(n)::hugeint + 1)) // (any_value(lt.total)::hugeint + any_value(v.v)) as q
+  from p join v using (lang) join (select lang, sum(total) as total from s group by lang) lt using (lang)
+  group by p.lang, term),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(x.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by a.lang, a.source, b.source) x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+terms as (
+  select p.lang, p.source, term as item, ((p.p - l.q) * (p.p - l.q)) // l.q as value
+  from p join l using (lang, term) where p.n > 0 and p.p > l.q),
+both_parts as (select *, 'pair' as part from pairs union all select *, 'term' as part from terms),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from both_parts)
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked where part = 'pair' or rank <= 200"""
+
+
+@query
+def op12_jaccard_join(spark, folder):
+    """Every document with the size of its set of shingles and the smallest id that similar sets lead to."""
+    from marquee.llm.overlap import near_sets
+
+    return near_sets(table(spark, folder, "documents"))
+
+
+SQL["op12_jaccard_join"] = r"""
+with recursive
+t as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select doc_id, r, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as sh
+  from t),
+x as (select r, len(sh) as n, unnest(sh) as g from s),
+o as (
+  select a.r as ra, b.r as rb, any_value(a.n) as na, any_value(b.n) as nb, count(*) as both_have
+  from x a join x b on a.g = b.g and a.r < b.r group by a.r, b.r),
+l as (select ra, rb from o where 100 * both_have >= 85 * (na + nb - both_have)),
+e as (select ra as f, rb as t from l union all select rb, ra from l),
+reach as (select r as f, r as t from s union select reach.f, e.t from reach join e on e.f = reach.t)
+select s.doc_id, len(s.sh) as n_shingles, (select min(d.doc_id) from reach join s d on d.r = reach.t where reach.f = s.r) as component_id
+from s"""
