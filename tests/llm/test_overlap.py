@@ -74,9 +74,10 @@ def test_awkward_documents(spark):
     assert got(overlap.near_sets(documents(spark, []))) == []
 
 
-@pytest.mark.parametrize("seed,centres,percent,words,cells", [(1, 4, 85, 4, 1 << 21), (2, 1, 80, 5, 1 << 14), (3, 1, 60, 2, 1 << 15)])
+@pytest.mark.parametrize("seed,centres,percent,words,cells", [(1, 4, 85, 4, 1 << 20), (2, 1, 80, 5, 1 << 14), (3, 1, 60, 2, 1 << 15)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, centres, percent, words, cells):
-    monkeypatch.setattr(overlap.central_pairs, "__defaults__", (centres,))
+    monkeypatch.setattr(overlap.central_sets, "__defaults__", (centres,))
+    monkeypatch.setattr(overlap.open_pairs, "__defaults__", (3 if centres == 1 else overlap.BLOCK,))
     monkeypatch.setattr(overlap, "CELLS", cells)
     rows = corpus(seed)
     df = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], DOCUMENT).repartition(5)
