@@ -1,8 +1,9 @@
 """How the sources of a language differ in their words, by chunk factorization.
 
 Texts are cut at blanks into chunks.  Chunks are counted once per document inside the task that reads
-it, then added up over the corpus; every distinct chunk is tokenized once, and its terms are joined back to
-the counts.  So the cost of tokenizing grows with the vocabulary of chunks, not with the corpus.
+it, then added up over the corpus in a table bucketed by chunk; every distinct chunk is tokenized once, and its
+terms are joined back to the counts bucket by bucket.  So the cost of tokenizing grows with the vocabulary of
+chunks, not with the corpus.
 
 Terms are runs of ASCII letters and characters outside ASCII, with A-Z lower-cased.  A language keeps the
 terms that at least ``min_docs`` of its documents have.  Only chunks in fewer documents need to name them,
@@ -22,11 +23,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import join_groups, stage_rows
+from marquee.llm.common import join_groups, shared_folder, stage_rows
 from marquee.operators.ranking import top_per_group
+from marquee.session import own_table
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 3
@@ -34,52 +36,77 @@ TOP = 200
 ONE = 1_000_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Distinct chunks that a task holds before it hands on what it has counted.
-_HELD = 200_000
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of documents to ``lang, source, chunk, n, docs, lo, hi``, added up as far as memory goes."""
-    groups: dict[tuple, dict] = {}
-    held = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, source), chunks in groups.items():
-            n = len(chunks)
-            columns = [pa.array(list(chunks), pa.binary()), *(pa.array(c, pa.int64()) for c in zip(*chunks.values()))]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * n), pa.array([source] * n), *columns],
-                                             names=["lang", "source", "chunk", "n", "docs", "lo", "hi"])
-        groups.clear()
-
-    for batch in batches:
-        for row, lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("row", "lang", "source", "text"))):
-            chunks = groups.setdefault((lang, source), {})
-            before = len(chunks)
-            # The group itself: a chunk without terms.
-            found = Counter(text.split())
-            found[b""] = 0
-            for chunk, n in found.items():
-                known = chunks.get(chunk)
-                if known is None:
-                    chunks[chunk] = [n, 1, row, row]
-                else:
-                    known[0] += n
-                    known[1] += 1
-                    known[3] = row
-            held += len(chunks) - before
-            if held > _HELD:
-                yield from flush()
-                held = 0
-    yield from flush()
-
-
-def chunk_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``lang, source, chunk`` (bytes) with occurrences ``n``, documents ``docs`` and the first and last of them; staged."""
-    given = docs.select(F.monotonically_increasing_id().alias("row"), *[
-        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"))],
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    counted = given.mapInArrow(_count, "lang string, source string, chunk binary, n bigint, docs bigint, lo bigint, hi bigint")
-    return stage_rows(counted.groupBy("lang", "source", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "chunk-counts")
+_HELD = 500_000
+
+
+class _Chunks:
+    """Chunks of one language and source: occurrences, documents, first and last document."""
+
+    def __init__(self) -> None:
+        self.n, self.docs, self.lo, self.hi = Counter(), Counter(), {}, {}
+
+    def add(self, row: int, words: list[bytes]) -> int:
+        """Count a document; the number of chunks that are new here."""
+        distinct = set(words)
+        fresh = distinct.difference(self.lo)
+        self.n.update(words)
+        self.docs.update(distinct)
+        self.lo.update(dict.fromkeys(fresh, row))
+        self.hi.update(dict.fromkeys(distinct, row))
+        return len(fresh)
+
+
+def _count(min_docs: int):
+    """Arrow function over documents to ``lang, source, chunk, n, docs, lo, hi``, added up as far as memory goes.
+
+    Chunks in ``min_docs`` documents need not name them; ``hi`` is only given where it is not ``lo``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, _Chunks] = {}
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (lang, source), of in groups.items():
+                docs = list(of.docs.values())
+                named = [(of.lo[c], of.hi[c]) if d < min_docs else (None, None) for c, d in of.docs.items()]
+                n = len(docs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(list(of.docs), pa.binary()),
+                     pa.array([of.n[c] for c in of.docs], pa.int64()), pa.array(docs, pa.int64()), pa.array([x[0] for x in named], pa.int64()),
+                     pa.array([x[1] if x[1] != x[0] else None for x in named], pa.int64())],
+                    names=["lang", "source", "chunk", "n", "docs", "lo", "hi"])
+            groups.clear()
+
+        for batch in batches:
+            for row, lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("row", "lang", "source", "text"))):
+                if (lang, source) not in groups:
+                    groups[lang, source] = _Chunks()
+                held += groups[lang, source].add(row, text.split())
+                if held > _HELD:
+                    yield from flush()
+                    held = 0
+        yield from flush()
+
+    return run
+
+
+def _named(docs: DataFrame, **columns: str) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for a, c in columns.items()]
+
+
+def chunk_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+    """``lang, source, chunk`` (bytes) with occurrences ``n``, documents ``docs`` and, if these are few, the first and last; a bucketed table."""
+    spark = docs.sparkSession
+    given = docs.select(F.monotonically_increasing_id().alias("row"), *_named(docs, lang=lang_col, source=source_col, text=text_col))
+    counted = given.withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        _count(min_docs), "lang string, source string, chunk binary, n bigint, docs bigint, lo bigint, hi bigint")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, folder = own_table(spark, "chunk_counts"), shared_folder(spark, "chunk-counts")
+    # One shuffle by chunk serves the sums, the distinct chunks and the join of their terms.
+    (counted.repartition(buckets, "chunk").groupBy("lang", "source", "chunk").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("lo").alias("lo"), F.max(F.coalesce("hi", "lo")).alias("hi"))
+     .write.bucketBy(buckets, "chunk").option("path", folder).saveAsTable(name))
+    return spark.table(name)
 
 
 def terms_of(chunk: Column) -> Column:
@@ -88,15 +115,15 @@ def terms_of(chunk: Column) -> Column:
 
 def term_counts(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Kept terms of every group that has them: ``lang, source, term, n``; staged."""
-    if not 1 <= min_docs <= 3:
-        raise ValueError("min_docs must be 1, 2 or 3: a chunk in fewer documents names only the first and the last")
     tokens = chunks.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"))
-    spread = stage_rows(chunks.join(tokens, "chunk").select("lang", "source", "term", "n", "docs", "lo", "hi"), "chunk-terms")
-    # Any three numbers will do for a chunk that settles its terms alone.
-    named = F.when(F.col("docs") >= min_docs, F.array(*[F.lit(-1 - i).cast("bigint") for i in range(min_docs)])).otherwise(F.array("lo", "hi"))
-    kept = (spread.select("lang", "term", F.explode(named).alias("doc")).distinct().groupBy("lang", "term")
-            .agg(F.count(F.lit(1)).alias("named")).filter(F.col("named") >= min_docs).select("lang", "term"))
-    return stage_rows(spread.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"]), "term-counts")
+    spread = chunks.join(tokens.hint("merge"), "chunk").select("lang", "source", "term", "n", "docs", "lo", "hi").repartition("lang", "term")
+    # A term's documents: enough by one of its chunks, or those that its chunks name are.
+    term = Window.partitionBy("lang", "term")
+    least = spread.withColumns({"most": F.max("docs").over(term), "first": F.min("lo").over(term), "last": F.max("hi").over(term)})
+    third = F.coalesce(~F.col("lo").isin(F.col("first"), F.col("last")) | ~F.col("hi").isin(F.col("first"), F.col("last")), F.lit(False))
+    named = F.when(F.max(third).over(term), 3).when(F.col("first") != F.col("last"), 2).otherwise(1)
+    kept = least.withColumn("named", named).filter(F.greatest("most", "named") >= min_docs)
+    return stage_rows(kept.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "term-counts")
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -109,9 +136,8 @@ def measure(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def group_totals(chunks: DataFrame, counts: DataFrame) -> DataFrame:
-    """``lang, source, total`` (occurrences of kept terms), ``kept`` (the language's kept terms), ``terms`` (the group's); staged."""
-    groups = chunks.select("lang", "source").distinct()
+def group_totals(groups: DataFrame, counts: DataFrame) -> DataFrame:
+    """Of the distinct ``lang, source``: ``lang, source, total`` (occurrences of kept terms), ``kept`` (the language's kept terms), ``terms`` (the group's); staged."""
     own = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("terms"))
     kept = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
     zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("total", "terms", "kept")}
@@ -161,9 +187,10 @@ def term_values(counts: DataFrame, groups: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS,
           top: int = TOP) -> DataFrame:
     """``lang, source, part, item, value, rank``: all pairs of sources and each group's ``top`` terms."""
-    chunks = chunk_counts(docs, lang_col, source_col, text_col)
-    counts = term_counts(chunks, min_docs)
-    groups = group_totals(chunks, counts)
+    if not 1 <= min_docs <= 3:
+        raise ValueError("min_docs must be 1, 2 or 3: a chunk in fewer documents names only the first and the last")
+    counts = term_counts(chunk_counts(docs, lang_col, source_col, text_col, min_docs), min_docs)
+    groups = group_totals(docs.select(*_named(docs, lang=lang_col, source=source_col)).distinct(), counts)
     order = [F.desc("value"), F.asc("item")]
     pairs = top_per_group(pair_values(counts, groups), ["lang", "source"], order, 1 << 30, rank_col="rank")
     terms = top_per_group(term_values(counts, groups), ["lang", "source"], order, top, rank_col="rank")

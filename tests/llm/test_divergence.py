@@ -66,7 +66,7 @@ def test_a_term_in_two_documents_by_many_chunks_is_not_kept(spark):
 
     assert kept() == []
     rows.append((4, "[word]", "en", "b", 1))
-    assert kept() == [("en", "word", "a", 5), ("en", "word", "b", 4)]
+    assert kept() == [("en", "a", "word", 5), ("en", "b", "word", 4)]
 
 
 def test_more_documents_to_keep_than_chunks_name(spark):
