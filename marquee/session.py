@@ -51,8 +51,23 @@ def run_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/marquee-{spark.sparkContext.applicationId}"
 
 
+_TABLES: dict[str, list[str]] = {}
+
+
+def own_table(spark: SparkSession, prefix: str) -> str:
+    """A new name for a catalog table that ``release`` drops."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def release(spark: SparkSession) -> None:
-    """Remove the application's staged tables; call it when the results that read them are written."""
+    """Remove the application's staged tables; call it when the results that read them are written.
+
+    Tables in folders that the caller named lose their catalog entry, not their files.
+    """
+    for name in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
