@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import run_folder
 
 # The blanks that separate words everywhere in this package: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -18,8 +18,8 @@ HOT_KEYS = 1000
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder, named for this use only, in the folder that all executors share."""
-    return f"{ensure_checkpoint_dir(spark)}/marquee-{name}-{uuid.uuid4().hex}"
+    """A new folder, named for this use only, in the application's part of the folder that all executors share."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_rows(df: DataFrame, name: str) -> DataFrame:
@@ -72,6 +72,23 @@ def join_salted(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     return dealt.join(copied, [key, salt]).drop(salt)
 
 
+def expand_copies(rows: DataFrame, copies: str, out: str, piece: int = 10_000) -> DataFrame:
+    """Every row once for each of its ``copies``, numbered from 0 in ``out``; ``rows`` is a staged frame.
+
+    Rows with more copies than ``piece`` are first dealt out by ranges of them, so one row with a third
+    of all copies is no array and no task of that size.
+    """
+    def numbers(first, last):
+        return F.explode(F.sequence(first, last))
+
+    few = rows.filter(F.col(copies) <= piece).withColumn(out, numbers(F.lit(0).cast("bigint"), F.col(copies) - 1))
+    part = unused(rows, "copies_from")
+    many = rows.filter(F.col(copies) > piece).withColumn(
+        part, numbers(F.lit(0).cast("bigint"), F.floor((F.col(copies) - 1) / piece))).repartition(copies, part)
+    many = many.withColumn(out, numbers(F.col(part) * piece, F.least((F.col(part) + 1) * piece, F.col(copies)) - 1)).drop(part)
+    return few.unionByName(many)
+
+
 def running_sum(df: DataFrame, group: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
     """Sum of ``value`` over the rows before, by ``bucket`` and then ``order``, inside ``group``."""
     sums = df.groupBy(*group, bucket).agg(F.sum(value).alias("__sum"))

@@ -6,8 +6,9 @@ weight, until none is above.  Schedule: slot i of the mix is the golden-ratio po
 cumulated targets, so every stretch of the mix has its sources in proportion; slots are ranked inside
 their source.  Each source's documents, shuffled by hash, form a stream of words cut into
 blocks of equal size; the k-th slot of a source takes the k-th block, and the stream starts again at
-its end.  The last block of a source is cut where its target is met; ranks that the points have
-not reached by the end of the schedule follow at the end of the mix.
+its end.  The last block of a source is cut where its target is met, and the document there is taken in part; a written
+mix has whole documents only, so it takes that document whole or not at all, whichever is nearer the target.
+Ranks that the points have not reached by the end of the schedule follow at the end of the mix.
 
 Sums run in two steps, by bucket and inside it, so a source with a third of all rows fills no task.
 A null text has no words; documents without words are in no block.  A null id is an id of its own.
@@ -22,7 +23,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import join_groups, running_sum, stage_rows, unused
+from marquee.llm.common import expand_copies, join_groups, running_sum, stage_rows, unused
 from marquee.operators.ranking import number_rows, top_per_group
 
 WEIGHTS = (3, 1, 2)
@@ -103,8 +104,9 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     total = sources.agg(F.sum("entries")).head()[0] or 0
     placed = join_groups(rows, sources.drop("weight"), "src", "entries").withColumn(
         "bucket", F.pmod(F.col("mark"), F.lit(ceil(total / BUCKET_ROWS) or 1)))
-    placed = running_sum(placed, ["source_no"], "bucket", [F.col("mark"), F.col("doc_id"), F.col("size")], "words", "offset")
-    return (placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    placed = stage_rows(running_sum(placed, ["source_no"], "bucket", [F.col("mark"), F.col("doc_id"), F.col("size")], "words", "offset"),
+                        "mix-places")
+    return (expand_copies(placed, "copies", "copy")
             .select("doc_id", "mark", "src", "size", "copy", "source_no", "source_size", "target", "take",
                     (F.col("offset") + F.col("copy") * F.col("size")).alias("offset")))
 
@@ -153,24 +155,21 @@ def documents_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     share: float = SHARE, block: int = BLOCK_WORDS) -> DataFrame:
-    """The documents of the mix with all their columns, once for every time they are taken.
+    """The documents of the mix, whole and with all their columns, once for every time they are taken, in the order of the schedule.
 
-    A document whose last taking is cut by its source's target keeps the words taken, one space apart.
+    The document at which a source's target is met is taken whole or not at all, whichever is nearer the target.
     Rows with the same id, source and text are copies and get one of their rows' other columns.
     """
     placed = stage_rows(entries(docs, id_col, text_col, source_col, share), "mix-entries")
-    key = ["doc_id", "mark", "src", "size"]
-    names = {k: unused(docs, f"mix_{k}") for k in [*key, "taken", "copies"]}
-    takes = (mix(placed, block).groupBy(*key, "copy", "epoch").agg(F.sum("taken").alias("taken"))
-             .groupBy(*key, "taken").agg(F.count(F.lit(1)).alias("copies"))
-             .select(*[F.col(k).alias(v) for k, v in names.items()]))
+    key = ["doc_id", "mark", "src"]
+    names = {k: unused(docs, f"mix_{k}") for k in [*key, "slot"]}
+    start = F.col("offset") + F.col("epoch") * F.col("source_size")
+    parts = mix(placed, block).groupBy(*key, "copy", "epoch", "size", "offset", "source_size", "take").agg(F.min("slot").alias("slot"))
+    over, under = start + F.col("size") - F.col("take"), F.col("take") - start
+    takes = parts.filter(over <= F.greatest(under, F.lit(0))).select(*[F.col(k).alias(v) for k, v in names.items()])
     rank = unused(docs, "mix_rank")
     wide = docs.withColumn(names["mark"], mark(docs, id_col, text_col)).withColumn(names["src"], source_key(F.col(source_col)))
     one = top_per_group(wide, [names["mark"], names["src"], id_col], [F.col(names["mark"])], rank_col=rank).drop(rank)
     joined = one.join(takes.withColumnRenamed(names["doc_id"], rank),
                       [names["mark"], names["src"]]).filter(F.col(id_col).cast("bigint").eqNullSafe(F.col(rank)))
-    words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, F.lit(1), F.col(names["taken"]).cast("int")), " ")
-    text = F.when(F.col(names["taken"]) < F.col(names["size"]), cut).otherwise(F.col(text_col))
-    times = F.explode(F.sequence(F.lit(1), F.col(names["copies"]).cast("int"))).alias(rank)
-    return (joined.drop(rank).withColumn(text_col, text).select(*docs.columns, times).drop(rank))
+    return joined.orderBy(names["slot"], names["mark"]).select(*docs.columns)

@@ -17,7 +17,6 @@ an empty table gives no rows.  With nothing to train on every byte has probabili
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -25,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import id_and_text, shared_folder, slices, stage_rows
+from marquee.llm.common import id_and_text, join_groups, shared_folder, slices, stage_rows
+from marquee.session import own_table
 
 HOLD_OUT = (7, 2)
 # Bytes of context.
@@ -75,7 +75,7 @@ def dealt(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     spark = docs.sparkSession
     rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id")))
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    name, folder = f"text_chunks_{uuid.uuid4().hex}", shared_folder(spark, "text-chunks")
+    name, folder = own_table(spark, "text_chunks"), shared_folder(spark, "text-chunks")
     (rows.mapInArrow(_deal(chunk_bytes), "chunk bigint, doc_id bigint, text string, held_out boolean")
      .write.bucketBy(int(size // chunk_bytes) + 1, "chunk").option("path", folder).saveAsTable(name))
     return spark.table(name)
@@ -231,15 +231,14 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document."""
     chunks = dealt(docs, chunk_bytes)
     parts = chunks.select("chunk", "doc_id", "text", "held_out")
-    word_rows = parts.mapInArrow(_word_counts, "chunk bigint, word string, n bigint").filter("word <> ''")
-    per_word = Window.partitionBy("word")
-    words = stage_rows(word_rows.withColumn("c", F.sum("n").over(per_word)).withColumn(
-        "first", F.row_number().over(per_word.orderBy("chunk")) == 1), "word-counts")
+    word_rows = stage_rows(parts.mapInArrow(_word_counts, "chunk bigint, word string, n bigint").filter("word <> ''"), "chunk-words")
+    totals = stage_rows(word_rows.groupBy("word").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("chunks")), "word-counts")
     ends = chunks.filter(~F.col("held_out")).count()
-    tokens, kinds = words.agg(F.sum("n"), F.count(F.when(F.col("first") & (F.col("c") > 0), 1))).head()
+    tokens, kinds = totals.agg(F.sum("c"), F.count_if(F.col("c") > 0)).head()
     tokens, kinds = (tokens or 0) + ends, kinds + (ends > 0)
     gram_rows = stage_rows(parts.mapInArrow(_gram_counts, "chunk bigint, gram bigint, n bigint"), "gram-counts")
     table = gram_scores(stage_rows(gram_rows.groupBy("gram").agg(F.sum("n").alias("n")), "gram-totals"))
+    words = join_groups(word_rows.select("chunk", "word"), totals, "word", "chunks")
     known = words.select("chunk", "word", F.lit(None).cast("bigint").alias("gram"), F.log10(F.col("c") + 1).alias("value")).unionByName(
         gram_rows.select("chunk", "gram").join(table, "gram").select("chunk", F.lit(None).cast("string").alias("word"), "gram", "value"))
     scored = parts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(

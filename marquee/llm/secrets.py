@@ -3,8 +3,11 @@
 A value's cost is the least total, over all ways to cut it into spans, of the spans' guesses as
 powers of ten: dictionary words by rank (with capitals, or letters written as digits), dates, repeats of a
 shorter part, runs along the alphabet or a keyboard row, and brute force over the alphabets that a
-span's characters come from.  The cut is found by dynamic programming over the whole value, however long.  Values that cost more than ``COSTLY``
-are spans of kind ``guess``, beside the spans of the base patterns.
+span's characters come from; characters outside ASCII cost as marks do.  The cut is found by dynamic programming over the
+whole value, however long.  Values that cost more than ``COSTLY`` are spans of kind ``guess``, beside the spans of the base patterns.
+
+A quoted value goes to its closing quote on the line, blanks and other quotes included; any other value to the next
+blank or quote.  Links and paths are lists of names that anyone may read: they cost what the most costly of their parts does.
 
 Offsets count code points, the end is exclusive.  A null text is empty and has no spans; repeated
 rows give equal results; an empty table gives no rows.
@@ -30,9 +33,13 @@ ASSIGN = r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_CHARS, ACCESS_CHARS = 6, 20
-# Contexts whose values are costed: a credential's name, a separator, an optional quote, the value.
+# Contexts whose values are costed: a credential's name, a separator, the value with its quotes if it has any.
 CONTEXT = (r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|"""
-           r"""private[_-]?key|credential|auth)s?["']?\x20{0,8}(?::=|=>|[:=])\x20{0,8}["'`]?([!#-&(-_a-~]{6,})""")
+           r"""private[_-]?key|credential|auth)s?["']?\x20*+(?::=|=>|[:=])\x20*+"""
+           r"""(?:"([^"\n\r]{6,})"|'([^'\n\r]{6,})'|`([^`\n\r]{6,})`|["'`]?([^\x00-\x20"'`\x7f]{6,}))""")
+# Links and paths, and what stands between their parts.
+LINK = re.compile(r"(?ai)(?:[a-z][a-z0-9+.-]*:)?//|[~.]{0,2}/[^/]|[a-z]:\\")
+LINK_PARTS = re.compile(r"[/\\:?&=#@.,;%+~_-]+")
 # Least cost of a value that counts as a secret, as a power of ten.
 COSTLY = 10.0
 # Added for every cut: the guesser does not know where spans meet.
@@ -172,9 +179,10 @@ def spans_of(text: str, cost: Callable[[str], float]) -> list[tuple[str, int, in
             if m.end(2) - m.start(2) >= ASSIGN_CHARS:
                 out.append(("assign", m.start(), m.end(), None))
         for m in re.finditer(CONTEXT, text):
-            guesses = cost(m[1])
+            value, at = m[m.lastindex], m.span(m.lastindex)
+            guesses = max(map(cost, LINK_PARTS.split(value))) if LINK.match(value) else cost(value)
             if guesses > COSTLY:
-                out.append(("guess", m.start(1), m.end(1), guesses))
+                out.append(("guess", *at, guesses))
     if "AKIA" in text:
         for m in re.finditer(ACCESS, text):
             if m.end() - m.start() >= ACCESS_CHARS:

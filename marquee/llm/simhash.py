@@ -289,34 +289,40 @@ def _link_large(rows: DataFrame, sizes: DataFrame, threshold: int, block: int) -
     return first.unionByName(second)
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                words: int = SHINGLE_WORDS, block: int = BLOCK) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest id that links of near fingerprints lead to."""
-    rows = stage_rows(id_and_text(docs, id_col, text_col).select("doc_id", fingerprint(F.col("text"), words).alias("fp")),
-                      "fingerprints")
+def _labelled(rows: DataFrame, threshold: int, block: int) -> DataFrame:
+    """One row per fingerprint of the staged ``doc_id, fp``: ``fp, n, component`` (a fingerprint) and ``component_id``; staged."""
     reps = stage_rows(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "fingerprint-reps")
     links = stage_rows(near_links(reps, threshold, block), "near-links")
     nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
     label = connected_components(nodes, links).withColumnRenamed("node", "fp")
     linked = reps.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    groups = stage_rows(linked.join(least, "component").select("fp", "n", "component_id"), "fingerprint-groups")
-    return join_groups(rows, groups, "fp", "n").select("doc_id", "fp", "component_id")
+    return stage_rows(linked.join(least, "component").select("fp", "n", "component", "component_id"), "fingerprint-groups")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
+                words: int = SHINGLE_WORDS, block: int = BLOCK) -> DataFrame:
+    """``doc_id, fp, component_id``: the smallest id that links of near fingerprints lead to."""
+    rows = stage_rows(id_and_text(docs, id_col, text_col).select("doc_id", fingerprint(F.col("text"), words).alias("fp")),
+                      "fingerprints")
+    return join_groups(rows, _labelled(rows, threshold, block), "fp", "n").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, with all their columns, that are first of their component.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
+             words: int = SHINGLE_WORDS, block: int = BLOCK) -> DataFrame:
+    """One document of every component, with all its columns: the smallest id, then the smallest hash of its text.
 
-    Rows with the same id count as one document, of which the longest row stays.  Of components
-    whose rows all lack an id, one row of each fingerprint stays.
+    Ids need not be unique: rows are told apart by id and text.
     """
-    groups = near_groups(docs, id_col, text_col, **options)
-    key, rank, print_col = unused(docs, "stay_id"), unused(docs, "rank"), unused(docs, "fp")
-    stay = groups.filter("component_id is not null").select(F.col("component_id").alias(key)).distinct()
-    kept = docs.join(stay, F.col(id_col).cast("bigint") == F.col(key), "left_semi")
-    longest = F.desc(F.length(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = top_per_group(kept, [id_col], [longest], rank_col=rank).drop(rank)
-    alone = groups.filter("component_id is null").select(F.col("fp").alias(print_col)).distinct()
-    blank = docs.filter(F.col(id_col).isNull()).withColumn(print_col, fingerprint(F.col(text_col)))
-    blank = top_per_group(blank.join(alone, print_col, "left_semi"), [print_col], [longest], rank_col=rank)
-    return kept.unionByName(blank.select(*docs.columns))
+    rows = stage_rows(id_and_text(docs, id_col, text_col).select(
+        "doc_id", F.xxhash64("text").alias("text_key"), fingerprint(F.col("text"), words).alias("fp")), "fingerprints")
+    labels = _labelled(rows, threshold, block)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    # One row per fingerprint before the join, so a hot fingerprint is one row.
+    best = rows.groupBy("fp").agg(F.min(first).alias("first")).join(labels, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    key, number = unused(docs, "stay_key"), unused(docs, "stay_id")
+    stay = best.select(F.col("first.text_key").alias(key), F.col("first.doc_id").alias(number))
+    marked = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    kept = marked.alias("m").join(stay.alias("s"), (F.col(f"m.{key}") == F.col(f"s.{key}")) & F.col(f"m.{id_col}").cast("bigint").eqNullSafe(
+        F.col(number)), "left_semi")
+    return top_per_group(kept, [key, id_col], [F.col(key)], rank_col=unused(marked, "rank")).select(*docs.columns)

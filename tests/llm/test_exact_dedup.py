@@ -57,7 +57,41 @@ def test_new_rows_keep_all_columns(spark):
     assert kept.columns == docs.columns
     want = sorted(str(r[0]) for r in brute([(r[0], r[1]) for r in AWKWARD]) if r[3])
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
-    assert index.new_rows(docs).count() == 0
+    # The same batch again is a retry; the same texts in another batch are known.
+    assert sorted(str(r.doc_id) for r in index.new_rows(docs).collect()) == want
+    assert index.new_rows(docs.filter("doc_id is not null")).count() == 0
+
+
+def test_a_batch_that_comes_again_gives_the_same_rows(spark):
+    first = DigestIndex(spark, buckets=2)
+    docs = documents(spark)
+    want = _rows(first.classify(docs))
+    again = DigestIndex(spark, folder=first.folder)
+    assert _rows(again.classify(docs)) == want == brute([(r[0], r[1]) for r in AWKWARD])
+    assert again.rows().count() == len({r[4] for r in want})
+    other = again.classify(docs.filter("doc_id > 0"))
+    assert other.filter("kept").count() == 0
+    # A named batch replaces what it wrote before.
+    named = DigestIndex(spark, buckets=2)
+    named.classify(docs, batch="monday")
+    named.classify(docs.filter("doc_id = 7"), batch="monday")
+    assert named.rows().count() == 1
+
+
+def test_release_leaves_no_folder_and_no_table(spark):
+    from marquee.session import release, run_folder
+
+    given = DigestIndex(spark, folder=run_folder(spark) + "-kept")
+    given.classify(documents(spark))
+    index = DigestIndex(spark)
+    index.new_rows(documents(spark)).count()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files.exists(at) and index.folder.startswith(run_folder(spark))
+    release(spark)
+    assert not files.exists(at)
+    assert not [t for t in spark.catalog.listTables() if t.name in (index.table, given.table)]
+    assert DigestIndex(spark, folder=given.folder).rows().count() > 0
 
 
 def test_hot_and_other_keys_are_joined_whole(spark):

@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,21 +80,46 @@ def test_every_stretch_of_the_mix_has_its_proportions(spark):
         assert abs(window.count(0) - 300) <= 6 and abs(window.count(1) - 100) <= 6
 
 
-def test_mixed_documents(spark):
+def test_mixed_documents_are_whole_and_near_their_targets(spark):
     rng = random.Random(4)
-    rows = [(i, f"t{i} " + " ".join(["w"] * rng.randrange(1, 30)), rng.choice("abc")) for i in range(80)] + [(3, "same row", "a"), (3, "same row", "a"), (None, "x y", None)]
-    docs, taken = _check(spark, rows, 8)
+    rows = [(i, f"t{i}\n" + "  ".join(["w"] * rng.randrange(1, 30)), rng.choice("abc")) for i in range(80)] + [(3, "same row", "a"), (3, "same row", "a"), (None, "x y", None)]
+    docs, _ = _check(spark, rows, 8)
     mixed = mixing.mixed_documents(docs, block=8)
     assert mixed.columns == docs.columns
-    words = mixed.select("doc_id", mixing.n_words(F.col("text")).alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n")).collect()
-    want = {}
-    for r in taken:
-        want[r.doc_id] = want.get(r.doc_id, 0) + r.taken
-    assert {r.doc_id: r.n for r in words} == {k: v for k, v in want.items() if v}
-    assert sorted(map(str, mixing.mixed_documents(docs, block=8).collect())) == sorted(map(str, mixed.collect()))
+    got = mixed.collect()
+    assert {(r.doc_id, r.text, r.source) for r in got} <= set(rows)
+    times = Counter((r.doc_id, r.text, r.source) for r in got)
+    assert all(n <= 2 * rows.count(row) for row, n in times.items())
+    _, target = brute_targets(rows)
+    for source in target:
+        words = sum(_size(r.text) for r in got if r.source == source)
+        assert abs(words - target[source]) <= max(_size(t) for _, t, s in rows if s == source) / 2 + 1
+    assert list(map(str, mixing.mixed_documents(docs, block=8).collect())) == list(map(str, got))
     assert mixing.mixed_documents(spark.createDataFrame([], DOCUMENT)).collect() == []
 
 
+def test_the_written_mix_is_in_the_order_of_the_schedule(spark):
+    docs = documents(spark, [(i, " ".join(["w"] * 4), "x", "abc"[i % 3], 1) for i in range(900)])
+    sources = [r.source for r in mixing.mixed_documents(docs, block=4, share=0.5).collect()]
+    assert len(sources) == 450
+    for at in range(0, 420, 60):
+        window = sources[at:at + 60]
+        assert abs(window.count("a") - 30) <= 5 and abs(window.count("b") - 10) <= 5 and abs(window.count("c") - 20) <= 5
+
+
+def test_one_row_is_a_third_of_the_table(spark):
+    rows = [(i, f"t{i} w", "a") for i in range(200)] + [(500, "hot row here", "b")] * 100
+    docs, got = _check(spark, rows, 8)
+    assert sum(r.doc_id == 500 for r in got) == 100
+    from marquee.llm.common import expand_copies
+
+    many = mixing.stage_rows(spark.createDataFrame([("hot", 50_000), ("one", 1)], "k string, copies bigint"), "many-copies")
+    out = expand_copies(many, "copies", "copy", piece=100)
+    assert sorted(r.n for r in out.groupBy("k").agg(F.countDistinct("copy").alias("n")).collect()) == [1, 50_000]
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < 40_000
+
+
 def test_documents_follow_the_schedule(spark):
     """By first slot, stretches of the documents taken have their sources in proportion; without it they have no order."""
     rows = [(i, " ".join(["w"] * 4), "abc"[i % 3]) for i in range(900)]

@@ -131,3 +131,37 @@ def test_common_words_and_walks_are_cheap(cost):
     for value in ("password1!", "sunshine", "iloveyou", "qwertyui", "1qaz2wsx", "asdfghjkl", "P@ssw0rd!", "12345678", "abcdefgh", "aaaaaaaaaa",
                   "Welcome123", "changeme!", "19840322"):
         assert cost(value) < secrets.COSTLY, (value, cost(value))
+
+
+def _guessed(text, cost):
+    return [text[a:b] for k, a, b, _ in secrets.spans_of(text, cost) if k == "guess"]
+
+
+def test_any_number_of_blanks_stands_before_a_value(cost):
+    for n in (0, 1, 8, 9, 10, 500):
+        assert _guessed(f'password{" " * n}={" " * n}"aB3$xY9!qZ"', cost) == ["aB3$xY9!qZ"]
+    assert _guessed("secret" + " " * 200_000 + "x", cost) == []
+
+
+def test_quoted_values_go_to_their_closing_quote(cost):
+    assert _guessed('password = "aB3 $xY\'9!qZ" # no', cost) == ["aB3 $xY'9!qZ"]
+    assert _guessed("token: 'k9\"vQ2 zp!Lm'", cost) == ['k9"vQ2 zp!Lm']
+    assert _guessed("secret: `x8Kq2!vPz0Lm`", cost) == ["x8Kq2!vPz0Lm"]
+    # Without a closing quote on the line the value ends at the blank.
+    assert _guessed('password = "x8Kq2!vPz0Lm and more\n"', cost) == ["x8Kq2!vPz0Lm"]
+
+
+def test_characters_outside_ascii_cost_as_marks(cost):
+    assert _guessed("secret: éèx9$kQ2!zpLm", cost) == ["éèx9$kQ2!zpLm"]
+    assert cost("éèéèçà") > cost("abcabc")
+    text = "😀 clé: passwort 密码 pwd=密码x9$kQ2!zp!"
+    assert [(a, b) for k, a, b, _ in secrets.spans_of(text, cost) if k == "guess"] == [(text.index("密码x9"), len(text))]
+
+
+def test_links_and_paths_cost_their_most_costly_part(cost):
+    for plain in ("https://example.com/some/long/path/to/docs", "/etc/app/config/password.txt", "./keys/private/server.pem", "~/home/user/token"):
+        assert _guessed(f"auth: {plain}", cost) == [], plain
+    link = "https://user:x9$kQ2!zpLm7@example.com/path"
+    assert _guessed(f"auth: {link}", cost) == [link]
+    # Slashes inside a random value make no path of it.
+    assert _guessed("token: kQ9/zP2+Lm8x/Vw3", cost) == ["kQ9/zP2+Lm8x/Vw3"]
