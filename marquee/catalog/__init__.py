@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["texts", "moments", "fields", "rows", "joined", "counts", "people", "groups", "web"]
+MODULES = ["texts", "moments", "fields", "rows", "joined", "counts", "people", "groups", "web", "files"]
 
 
 def load() -> tuple[dict, dict]:

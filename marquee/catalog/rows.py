@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marquee.catalog.fields import FILLED, NAME, TAGS
@@ -13,7 +15,9 @@ from marquee.catalog.registry import query
 from marquee.functions.times import add_moment
 from marquee.operators import dedupe, filters, merge, ranking
 from marquee.plans.clean import type_listings, usable
-from marquee.schema import city_dimension
+from marquee.schema import RAW_COLUMNS, city_dimension
+from marquee.session import run_folder
+from marquee.streaming.landing import land
 
 
 def typed(t):
@@ -111,6 +115,22 @@ def _(t):
     return dedupe.first_listing(t.sql(LISTINGS)).select("_ord", "source")
 
 
+@query("landed_first_seen", f"""
+select _ord, source from (select *, row_number() over (partition by lower(trim(name)), trim(start_time), lower(trim(location_name))
+  order by _ord) as rn from ({LISTINGS_SQL})) where rn = 1""")
+def _(t):
+    # The listings as files, landed by the stream in two runs; files and rows are in the order of ``_ord``.
+    rows = t.sql(LISTINGS).select(*RAW_COLUMNS, F.col("_ord").cast("string").alias("_ord"), "source")
+    home = f"{run_folder(t.spark)}/landing-{uuid.uuid4().hex}"
+    middle = (rows.agg(F.max(F.col("_ord").cast("bigint"))).head()[0] or 0) / 2
+    order = F.col("_ord").cast("bigint")
+    for name, part in (("a", rows.filter(order <= middle)), ("b", rows.filter(order > middle))):
+        (part.repartitionByRange(order).sortWithinPartitions(order).write.option("header", "true").option("escape", '"')
+         .option("emptyValue", "").csv(f"{home}/in/{name}"))
+        land(t.spark, f"{home}/in", f"{home}/table", f"{home}/seen", schema=rows.schema).awaitTermination()
+    return t.spark.read.parquet(f"{home}/table").select(F.col("_ord").cast("bigint").alias("_ord"), "source")
+
+
 @query("dedupe_documents", """
 select doc_id, lang from (select doc_id, lang, row_number() over (partition by md5(lower(trim(text))) order by doc_id) as rn
   from documents) where rn = 1""")

@@ -15,6 +15,7 @@ from marquee.keywords import ENGLISH, spanish
 from marquee.operators import pages as P
 from marquee.operators.display import display_events
 from marquee.plans.city import clean_city_job, dedupe_counts
+from marquee.operators.ranking import number_rows
 from marquee.plans.clean import clean_listings, daily_export
 from marquee.schema import DAILY_COLUMNS, RAW_COLUMNS, city_dimension
 from marquee.sources.adapters import ADAPTERS, adapt_source, distinct_events
@@ -421,14 +422,16 @@ p as (select substr(sha1(k.city || '|' || day || '|' || name_key || '|' || venue
     when starts_with(external_link, 'https://') then external_link end as url, k.paid as "isPaid",
   array_to_string(list_transform(k.sources, lambda x: case x when 'ticketmaster' then 'Ticketmaster' when 'eventbrite' then 'Eventbrite'
     when 'ra' then 'Resident Advisor' when 'songkick' then 'Songkick' when 'nyc_events' then 'NYC Events Calendar'
-    when 'nyc_parks' then 'NYC Parks' else x end), '|') as sources
+    when 'nyc_parks' then 'NYC Parks' else x end), '|') as sources, k._ord
   from merged_rows k join ({LISTINGS_SQL}) l on l._ord = k.base_ord join c on c._ord = k.base_ord join ({TAGS}) g on g._ord = k.base_ord
   join (select * from {CITIES_SQL}) z on z.canonical_city = k.city)"""
 
 
-@query("clean_listings", PUBLISHED + " select * from p")
+@query("clean_listings", PUBLISHED + """
+select * exclude (_ord), row_number() over (order by city, date, coalesce("startTime", ''), name, _ord) - 1 as position from p""")
 def _(t):
-    d = _run(t).events
+    # The position is that in which the events come, not one computed from their values.
+    d = number_rows(_run(t).events.withColumn("at", F.monotonically_increasing_id()), [F.col("at")], "position").drop("at")
     return d.select(*[F.array_join(c, "|").alias(c) if c in ("tags", "images", "sources") else F.col(c) for c in d.columns])
 
 

@@ -45,13 +45,52 @@ def attribute_pattern(attribute: str, tag: str = "[a-z][a-z0-9]*") -> str:
     return f"""{_OPEN}<{tag}[ \\t\\r\\n](?:[^>]*[ \\t\\r\\n])?{attribute}[ \\t\\r\\n]*=[ \\t\\r\\n]*["']([^"']*)"""
 
 
-def marked_text_pattern(attribute: str, value: str, exact: bool = True) -> str:
-    """Text of the first element whose attribute is, or as a class list holds, ``value``.
+def marked_element_pattern(attribute: str, value: str, exact: bool = True) -> str:
+    """The page from the opening tag of the first element on whose attribute is, or as a class list holds, ``value``."""
+    inside = value if exact else f"(?:[^\"']*[ \\t\\r\\n])?{value}(?:[ \\t\\r\\n][^\"']*)?"
+    return f"""{_OPEN}(<[a-z][a-z0-9]*[ \\t\\r\\n](?:[^>]*[ \\t\\r\\n])?{attribute}=["']{inside}["'][^>]*>.*)$"""
+
+
+# Pieces of a page: comments, tags, and what stands between them.
+_PIECE = r"(?s)<!--.*?-->|</?[a-zA-Z][^>]*>|[^<]+|<"
+# Elements without content.
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
+
 
-    The text ends at the first closing tag: nested markup is cut there.
+def _tag_name(piece: Column) -> Column:
+    return F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][a-zA-Z0-9-]*)", 1))
+
+
+def element_content(page: Column) -> Column:
+    """Content of the element whose opening tag the text begins with, up to the closing tag that belongs to it.
+
+    A fold over the pieces counts how deep elements of that name are nested.  A paragraph also ends where the next
+    begins; without an end the element goes on to the end of the text; elements without content and empty texts give ''.
     """
-    inside = value if exact else f"(?:[^\"']*[ \\t\\r\\n])?{value}(?:[ \\t\\r\\n][^\"']*)?"
-    return (f"""{_OPEN}<[a-z][a-z0-9]*[ \\t\\r\\n](?:[^>]*[ \\t\\r\\n])?{attribute}=["']{inside}["'][^>]*>(.*?)</""")
+    def opened(x: Column) -> Column:
+        name, pieces = x["name"], x["pieces"]
+
+        def step(acc: Column, piece: Column) -> Column:
+            own = _tag_name(piece) == name
+            closes = own & F.startswith(piece, F.lit("</"))
+            depth = acc["depth"] + F.when(closes, -1).when(own, 1).otherwise(0)
+            ends = (depth == 0) | (own & (name == "p") & (acc["depth"] == 1))
+            return F.struct(depth.alias("depth"), (acc["at"] + F.length(piece)).alias("at"),
+                            F.when(acc["stop"] >= 0, acc["stop"]).when(ends, acc["at"]).otherwise(-1).alias("stop"))
+
+        first = F.length(F.element_at(pieces, 1))
+        start = F.struct(F.lit(1).alias("depth"), first.alias("at"), F.lit(-1).alias("stop"))
+        return F.aggregate(F.slice(pieces, 2, F.size(pieces)), start, step, lambda acc: F.substr(
+            x["page"], first + 1, F.when(acc["stop"] >= 0, acc["stop"]).otherwise(acc["at"]) - first))
+
+    parts = F.struct(page.alias("page"), _tag_name(page).alias("name"), F.regexp_extract_all(page, F.lit(_PIECE), 0).alias("pieces"))
+    whole = F.element_at(F.transform(F.array(parts), opened), 1)
+    return F.when((page == "") | _tag_name(page).isin(*VOID_TAGS, ""), "").otherwise(whole)
+
+
+def marked_text(page: Column, attribute: str, value: str) -> Column:
+    """Text of the first element whose attribute is ``value``, nested markup included."""
+    return inner_text(element_content(extract(page, marked_element_pattern(attribute, value))))
 
 
 def meta_pattern(prop: str, by: str) -> list[str]:

@@ -1,21 +1,25 @@
 """Cross-source merge: exact key first, then decorated venues of the same event.
 
 Both passes share one primitive, ``merge_groups``: the best-ranked row of a group
-is the base and the rest fill its gaps in rank order.  It is a set of partial
-aggregates, so a group that holds a third of all rows is combined on the map side
-and never collected.
+is the base and the rest fill its gaps in rank order.  A rank is one number, so which
+row gives what is a hash aggregate of numbers, combined on the map side; the values are
+fetched afterwards, by the rank of the row that gives them.
+
+The second pass is a walk in rank order: each row joins the first kept row that it agrees with.  Rows
+are settled in rounds, each round all that no unsettled row can still change, so there are as many rounds
+as rows that wait for each other in a chain, however large a group is.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import blank, is_filled, match_key
 from marquee.functions.values import MAX_IMAGES, MAX_TAGS, source_rank
-from marquee.operators.components import connected_components
 from marquee.operators.ranking import top_per_group
 from marquee.schema import RAW_COLUMNS
 from marquee.session import cut_lineage, stage
@@ -27,8 +31,10 @@ LON_TOLERANCE = 0.005
 VENUE_SUFFIX = r"\s*\([^)]*\)\s*$"
 NAME_AT_VENUE = " @ "
 
-# Groups up to this size are folded as one array; larger ones go the round-based way.
-FOLD_LIMIT = 256
+# Sides of the cells that candidates are looked up in; a little over the tolerances, so near places are in neighbouring cells.
+LAT_CELL, LON_CELL = 1.02 * LAT_TOLERANCE, 1.02 * LON_TOLERANCE
+# Cell numbers of rows without a place, and of all rows together.
+NO_PLACE, ANY_PLACE = -(1 << 40), 1 << 40
 
 GAP_TEXTS = ["description", "address", "end_time"]
 MATCH = ["canonical_city", "event_day", "name_key", "venue_key"]
@@ -60,9 +66,19 @@ def rank_columns() -> Column:
     return F.struct((-score).alias("score"), source_rank(F.col("source")).alias("prio"), F.col("_ord").alias("at"))
 
 
-def _best(value: Column, rank: Column, known: Column) -> Column:
-    """Value of the best-ranked row where it is known (bounded buffer, map-side combined)."""
-    return F.min_by(F.when(known, value), F.when(known, rank))
+def rank_number() -> Column:
+    """``rank_columns`` as one number, different for every row: a fixed-width value that hash aggregates can hold."""
+    r = rank_columns()
+    place = (r["score"] + 100) * 1000 + r["prio"]
+    return (place.cast("decimal(9,0)") * F.lit(Decimal(1 << 64)) + r["at"].cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+# What a base row may lack: by name, the condition under which a row has it, and the columns fetched from that row.
+_GAPS = {c: (lambda c=c: is_filled(F.col(c)), [c]) for c in GAP_TEXTS} | {
+    "point": (lambda: F.col("lat").isNotNull(), ["lat", "lon", "in_city"]),
+    "end": (lambda: F.col("end_local").isNotNull(), ["end_local", "end_utc"]),
+    "paid": (lambda: F.col("paid").isNotNull(), ["paid"]),
+}
 
 
 def merge_groups(df: DataFrame, key: list[str]) -> DataFrame:
@@ -72,70 +88,78 @@ def merge_groups(df: DataFrame, key: list[str]) -> DataFrame:
     """
     # The rows are read several times below; cleaning them again each time costs more
     # than writing them once.
-    ranked = stage(df.withColumn("__r", rank_columns()))
-    keep = [c for c in df.columns if c not in key]
+    ranked = stage(df.withColumn("__r", rank_number()))
     r = F.col("__r")
-    point = F.struct("lat", "lon", "in_city")
-    grouped = ranked.groupBy(*key).agg(
-        F.min_by(F.struct(*keep), r).alias("__base"),
-        *[_best(F.col(c), r, is_filled(F.col(c))).alias(f"__{c}") for c in GAP_TEXTS],
-        _best(point, r, F.col("lat").isNotNull()).alias("__point"),
-        _best(F.struct("end_local", "end_utc"), r, F.col("end_local").isNotNull()).alias("__end"),
-        _best(F.col("paid"), r, F.col("paid").isNotNull()).alias("__paid"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("sources")))).alias("__sources"),
-        F.min("_ord").alias("__first"),
-        F.count(F.lit(1)).alias("__n"),
-    )
-    lists = _merged_lists(ranked, key)
-    joined = grouped.join(lists, key, "left")
-
-    def gained(base: Column, items: Column, cap: int, low) -> Column:
-        have = F.transform(base, low)
-        new = F.filter(F.coalesce(items, F.array().cast("array<string>")),
-                       lambda x: ~F.array_contains(have, low(x)))
-        return F.slice(F.concat(base, new), 1, cap)
-
-    base = {c: F.col(f"__base.{c}") for c in keep}
-    base.update({c: F.coalesce(F.col(f"__{c}"), blank(base[c])) for c in GAP_TEXTS})
-    base.update({c: F.when(base["lat"].isNull(), F.col(f"__point.{c}")).otherwise(base[c])
-                 for c in ["lon", "in_city", "lat"]})
-    base.update({c: F.when(F.col("__base.end_local").isNull(), F.col(f"__end.{c}")).otherwise(F.col(f"__base.{c}"))
-                 for c in ["end_local", "end_utc"]})
-    base["paid"] = F.coalesce(F.col("__base.paid"), F.col("__paid"))
-    base["images"] = gained(F.col("__base.images"), F.col("__images"), MAX_IMAGES, lambda x: x)
-    base["tags"] = gained(F.col("__base.tags"), F.col("__tags"), MAX_TAGS, F.lower)
-    base["sources"] = F.col("__sources")
-    base["_ord"] = F.col("__first")
-    return joined.select(*key, *[base[c].alias(c) for c in keep], (F.col("__n") - 1).alias("n_merged"))
-
-
-def _merged_lists(ranked: DataFrame, key: list[str]) -> DataFrame:
-    """First distinct images and tags of every multi-row group, in rank order.
-
-    The base's own items come first, so twice the cap is always enough to find the
-    items the base lacks.  Nothing but these bounded lists is collected.
-    """
-    several = ranked.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(*key)
+    groups = stage(ranked.groupBy(*key).agg(
+        F.min(r).alias("__base"), F.min("_ord").alias("__first"), F.count(F.lit(1)).alias("__n"),
+        *[F.min(F.when(has(), r)).alias(f"__from_{gap}") for gap, (has, _) in _GAPS.items()]))
+    several = groups.filter("__n > 1")
+    fills = _fetched(ranked, several)
+    lists = _merged_lists(ranked, several, key)
+    base = (ranked.withColumnRenamed("__r", "__base").join(groups.select("__base", "__first", "__n"), "__base")
+            .join(fills, "__base", "left").join(lists, "__base", "left"))
+
+    def gained(have: Column, items: Column, cap: int, low) -> Column:
+        known = F.transform(have, low)
+        new = F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda x: ~F.array_contains(known, low(x)))
+        return F.slice(F.concat(have, new), 1, cap)
+
+    out = {c: F.col(c) for c in df.columns}
+    for gap, (has, columns) in _GAPS.items():
+        for c in columns:
+            own = blank(F.col(c)) if c in GAP_TEXTS else F.col(c)
+            out[c] = F.when(has(), F.col(c)).otherwise(F.when(F.col(f"__has_{gap}"), F.col(f"__{c}")).otherwise(own))
+    out["images"] = gained(F.col("images"), F.col("__images"), MAX_IMAGES, lambda x: x)
+    out["tags"] = gained(F.col("tags"), F.col("__tags"), MAX_TAGS, F.lower)
+    out["sources"] = F.coalesce("__sources", F.array_sort(F.array_distinct("sources")))
+    out["_ord"] = F.col("__first")
+    return base.select(*[c.alias(n) for n, c in out.items()], (F.col("__n") - 1).alias("n_merged"))
+
+
+def _fetched(ranked: DataFrame, several: DataFrame) -> DataFrame:
+    """``__base`` with the values that other rows of its group give: ``__has_<gap>`` and ``__<column>``."""
+    wanted = several.select("__base", *[F.nullif(f"__from_{g}", "__base").alias(f"__from_{g}") for g in _GAPS])
+    wanted = wanted.filter(F.coalesce(*[f"__from_{g}" for g in _GAPS]).isNotNull())
+    givers = wanted.select(F.explode(F.array(*[f"__from_{g}" for g in _GAPS])).alias("__r")).filter("__r is not null").distinct()
+    given = stage(ranked.select("__r", *dict.fromkeys(c for _, columns in _GAPS.values() for c in columns)).join(givers, "__r"))
+    out = wanted
+    for gap, (_, columns) in _GAPS.items():
+        values = given.select(F.col("__r").alias(f"__from_{gap}"), F.lit(True).alias(f"__has_{gap}"), *[F.col(c).alias(f"__{c}") for c in columns])
+        # A base that lacks nothing here looks for a number of its own that no row has.
+        own = F.coalesce(f"__from_{gap}", -F.col("__base") - 1)
+        out = out.withColumn(f"__from_{gap}", own).join(values, f"__from_{gap}", "left").drop(f"__from_{gap}")
+    return out
+
 
+def _merged_lists(ranked: DataFrame, several: DataFrame, key: list[str]) -> DataFrame:
+    """``__base`` with the first distinct images and tags of its group in rank order, and all its sources.
+
+    The base's own items come first, so twice the cap is always enough to find the items the base lacks.  The items
+    of a group are those few, one row each until they are put side by side.
+    """
     def tagged(column: str, kind: str, low) -> Column:
         return F.transform(F.col(column), lambda x, i: F.struct(
             F.lit(kind).alias("kind"), low(x).alias("same"), x.alias("value"), i.alias("pos")))
 
     items = (
-        ranked.select(*key, "__r", F.concat(tagged("images", "image", lambda x: x),
-                                            tagged("tags", "tag", F.lower)).alias("__items"))
-        .join(several, key, "left_semi")
-        .select(*key, "__r", F.explode("__items").alias("__i"))
-        .select(*key, "__i.kind", "__i.same", "__i.value", F.struct("__r", "__i.pos").alias("at"))
+        ranked.select(*key, "__r", F.concat(tagged("images", "image", lambda x: x), tagged("tags", "tag", F.lower),
+                                            tagged("sources", "source", lambda x: x)).alias("__items"))
+        .join(several.select(*key, "__base"), key).select("__base", "__r", F.explode("__items").alias("__i"))
+        .select("__base", "__r", "__i.kind", "__i.same", "__i.value", "__i.pos")
     )
-    distinct = items.groupBy(*key, "kind", "same").agg(F.min_by("value", "at").alias("value"), F.min("at").alias("at"))
-    limited = top_per_group(distinct, [*key, "kind"], ["at"], 2 * max(MAX_IMAGES, MAX_TAGS))
-    listed = limited.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", "kind", "value"))).alias("__l"))
+    at = [F.col("__r"), F.col("pos")]
+    distinct = top_per_group(items, ["__base", "kind", "same"], at)
+    lists = F.col("kind") != "source"
+    few = top_per_group(distinct.filter(lists), ["__base", "kind"], at, 2 * max(MAX_IMAGES, MAX_TAGS))
+    side = Window.partitionBy("__base")
+    listed = (few.unionByName(distinct.filter(~lists)).select(
+        "__base", F.array_sort(F.collect_list(F.struct("__r", "pos", "kind", "value")).over(side)).alias("__l"),
+        F.row_number().over(side.orderBy(*at, "kind")).alias("__no")).filter("__no = 1"))
 
     def of(kind: str) -> Column:
         return F.transform(F.filter("__l", lambda x: x["kind"] == kind), lambda x: x["value"])
 
-    return listed.select(*key, of("image").alias("__images"), of("tag").alias("__tags"))
+    return listed.select("__base", of("image").alias("__images"), of("tag").alias("__tags"), F.array_sort(of("source")).alias("__sources"))
 
 
 def merge_exact(df: DataFrame) -> DataFrame:
@@ -167,118 +191,101 @@ def same_event(a: Column, b: Column) -> Column:
     return venues_agree(a["variants"], b["variants"]) & ~far_apart(a["lat"], a["lon"], b["lat"], b["lon"])
 
 
-_KEPT = "array<struct<id:bigint,variants:array<string>,lat:double,lon:double>>"
-_OUT = "array<struct<id:bigint,leader:bigint>>"
+def related_names(posts: DataFrame) -> DataFrame:
+    """``gid, name, other`` for the names of a group of which one contains the other, both ways and each with itself.
 
-
-def fold_leaders(rows: Column) -> Column:
-    """Walk a sorted array in order; each row joins the first kept row it agrees with.
-
-    A kept row without coordinates takes those of the first row it absorbs, which
-    changes what it accepts later, so this is a fold and not a set of components.
+    A name that is contained in another shares all its four-letter pieces, so it is looked up by the one that fewest have.
     """
-    def light(x: Column, lat: Column, lon: Column) -> Column:
-        return F.struct(x["id"].alias("id"), x["variants"].alias("variants"), lat.alias("lat"), lon.alias("lon"))
-
-    def step(acc: Column, row: Column) -> Column:
-        found = F.array_position(F.transform(acc["kept"], lambda k: same_event(k, row)), F.lit(True))
+    names = stage(posts.select("gid", "name").distinct())
+    places = F.sequence(F.lit(1), F.length("name") - MIN_VENUE_KEY + 1)
+    pieces = stage(names.select("gid", "name", F.explode(F.array_distinct(F.transform(
+        places, lambda i: F.substr(F.col("name"), i, F.lit(MIN_VENUE_KEY))))).alias("piece")))
+    common = pieces.groupBy("gid", "piece").agg(F.count(F.lit(1)).alias("names"))
+    rarest = top_per_group(pieces.join(common, ["gid", "piece"]), ["gid", "name"], [F.col("names"), F.col("piece")])
+    inside = (rarest.select("gid", "piece", F.col("name").alias("other")).join(pieces, ["gid", "piece"])
+              .filter(F.contains("name", "other")).select("gid", "name", "other"))
+    return inside.union(inside.select("gid", F.col("other").alias("name"), F.col("name").alias("other"))).distinct()
 
-        def place(pos: Column) -> Column:
-            absorbed = F.transform(acc["kept"], lambda k, i: F.when(
-                (i + 1 == pos) & k["lat"].isNull(), light(k, row["lat"], row["lon"])).otherwise(k))
-            alone = F.concat(acc["kept"], F.array(light(row, row["lat"], row["lon"])))
-            leader = F.when(pos > 0, F.try_element_at(acc["kept"], pos.cast("int"))["id"]).otherwise(row["id"])
-            return F.struct(
-                F.when(pos > 0, absorbed).otherwise(alone).alias("kept"),
-                F.concat(acc["out"], F.array(F.struct(row["id"].alias("id"), leader.alias("leader")))).alias("out"))
 
-        return F.element_at(F.transform(F.array(found), place), 1)
+def _cell(lat: Column, lon: Column) -> list[Column]:
+    known = lat.isNotNull() & lon.isNotNull()
+    return [F.when(known, F.floor(lat / LAT_CELL)).otherwise(NO_PLACE).alias("cx"), F.when(known, F.floor(lon / LON_CELL)).otherwise(0).alias("cy")]
 
-    start = F.struct(F.array().cast(_KEPT).alias("kept"), F.array().cast(_OUT).alias("out"))
-    return F.aggregate(rows, start, step, lambda acc: acc["out"])
 
+def _cells_around() -> Column:
+    """The cells of all rows that a row may agree with by place: those around its own and that of rows without a place."""
+    near = F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.transform(
+        F.sequence(F.lit(-1), F.lit(1)), lambda k: F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + k).alias("cy")))))
+    one = [F.array(F.struct(F.lit(c).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy"))) for c in (NO_PLACE, ANY_PLACE)]
+    return F.when(F.col("cx") == NO_PLACE, one[1]).otherwise(F.concat(near, one[0]))
 
-def _fold_groups(rows: DataFrame, group: list[str]) -> DataFrame:
-    light = F.struct("r", F.col("_ord").alias("id"), "variants", "lat", "lon")
-    lists = rows.groupBy(*group).agg(F.array_sort(F.collect_list(light)).alias("rows"))
-    return lists.select(F.explode(fold_leaders(F.col("rows"))).alias("o")).select(
-        F.col("o.id").alias("_ord"), F.col("o.leader").alias("leader"))
 
+def assign_leaders(df: DataFrame) -> DataFrame:
+    """``(_ord, leader)`` for every row that shares city, day, name and start with another.
 
-def _round_groups(rows: DataFrame, group: list[str]) -> DataFrame | None:
-    """Exact leaders of groups too large for one array, one leader per group and round.
-
-    The first open row of a group is always kept, because every earlier kept row has
-    already refused it.  What it absorbs follows from its coordinates, or else from
-    the first row with coordinates it meets; both are grouped minima.
+    A row waits for the earlier rows that it may agree with.  It joins the first settled leader that accepts it as soon as no
+    row before that leader is unsettled, and leads if no earlier row is left.  A leader without a place takes that of
+    the first row with one that joins it; until then it accepts rows with a place one after the other, others at once.
+    Waiting looks at names and cells only, which is never too short, and the first unsettled row of a group never waits.
     """
-    open_rows = cut_lineage(rows)
-    done = None
-    while open_rows.limit(1).count():
-        first = open_rows.groupBy(*group).agg(
-            F.min_by(F.struct(F.col("_ord").alias("id"), "variants", "lat", "lon"), "r").alias("lead"))
-        near = (open_rows.join(first, group)
-                .filter((F.col("_ord") == F.col("lead.id")) | venues_agree(F.col("lead.variants"), F.col("variants"))))
-        gift = (near.filter(F.col("lead.lat").isNull() & F.col("lat").isNotNull()).groupBy(*group)
-                .agg(F.min_by(F.struct("lat", "lon", "r"), "r").alias("gift")))
-        placed = near.join(gift, group, "left")
-        before = F.col("gift").isNull() | (F.col("r") <= F.col("gift.r"))
-        lat = F.coalesce(F.col("lead.lat"), F.when(~before, F.col("gift.lat")))
-        lon = F.coalesce(F.col("lead.lon"), F.when(~before, F.col("gift.lon")))
-        taken = cut_lineage(
-            placed.filter((F.col("_ord") == F.col("lead.id")) | ~far_apart(lat, lon, F.col("lat"), F.col("lon")))
-            .select("_ord", F.col("lead.id").alias("leader")))
-        done = taken if done is None else done.union(taken)
-        open_rows = cut_lineage(open_rows.join(taken, "_ord", "left_anti"))
-    return done
-
-
-def _split_by_venue(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``venue_part``: rows of different parts can never agree on a venue.
-
-    A venue that contains another holds it as a substring, so equal substrings find
-    every containment without comparing venues pairwise.
-    """
-    node = lambda v: F.xxhash64(*group, v)
-    linked = rows.withColumn("first", F.col("variants")[0])
-    names = linked.select(*group, F.explode("variants").alias("v")).distinct()
-    pieces = names.select(*group, "v", F.explode(F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length("v") - MIN_VENUE_KEY + 1),
-        lambda i: F.transform(F.sequence(F.lit(MIN_VENUE_KEY), F.length("v") - i + 1),
-                              lambda n: F.substr(F.col("v"), i, n)))))).alias("piece"))
-    inside = pieces.join(names.withColumnRenamed("v", "piece"), [*group, "piece"]).select(
-        node(F.col("v")).alias("src"), node(F.col("piece")).alias("dst"))
-    own = linked.select(node(F.col("first")).alias("src"), F.explode("variants").alias("v"), *group).select(
-        "src", node(F.col("v")).alias("dst"))
-    parts = connected_components(names.select(node(F.col("v")).alias("node")).distinct(), inside.union(own))
-    return (linked.withColumn("node", node(F.col("first"))).join(parts, "node")
-            .withColumnRenamed("component", "venue_part").drop("node", "first"))
-
-
-def assign_leaders(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """``(_ord, leader)`` for every row that shares city, day, name and start with another."""
     group = ["canonical_city", "event_day", "name_key", "start_utc"]
-    rows = df.withColumn("r", rank_columns()).filter(F.size("variants") > 0).select(
-        *group, "r", "_ord", "variants", "lat", "lon")
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sized = rows.join(sizes, group)
-    out = _fold_groups(sized.filter(F.col("n") <= fold_limit), group)
-    large = sized.filter(F.col("n") > fold_limit).drop("n")
-    if sizes.filter(F.col("n") > fold_limit).limit(1).count():
-        split = cut_lineage(_split_by_venue(large, group))
-        part = [*group, "venue_part"]
-        counts = split.groupBy(*part).agg(F.count(F.lit(1)).alias("n"))
-        split = split.join(counts, part)
-        out = out.union(_fold_groups(split.filter(F.col("n") <= fold_limit), part))
-        rounds = _round_groups(split.filter(F.col("n") > fold_limit).drop("n"), part)
-        out = out if rounds is None else out.union(rounds)
-    return out
-
+    rows = df.filter(F.size("variants") > 0).select(*group, rank_number().alias("r"), "_ord", "variants", "lat", "lon")
+    sizes = rows.groupBy(*group).agg(F.min("r").alias("gid"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = stage(rows.join(sizes, group).select("gid", "r", "_ord", "variants", "lat", "lon", *_cell(F.col("lat"), F.col("lon"))))
+    posts = stage(rows.select("gid", "r", "cx", "cy", F.explode("variants").alias("name")))
+    # What a row looks for: a name and a cell.
+    looks = posts.join(related_names(posts), ["gid", "name"]).select("gid", "r", "cx", "cy", F.col("other").alias("name")).distinct()
+    looks = stage(looks.select("gid", "r", "name", F.explode(_cells_around()).alias("c")).select("gid", "r", "name", "c.*"))
+    key = ["gid", "name", "cx", "cy"]
+    waiting = rows.select("r", "_ord", "lat", "lon")
+    leaders = cut_lineage(waiting.withColumn("leader_ord", F.col("_ord")).limit(0))
+    done = None
 
-def merge_decorated(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    def posted(of: DataFrame) -> DataFrame:
+        """Names of rows in their own cell and in that of all rows."""
+        cells = F.array(F.struct("cx", "cy"), F.struct(F.lit(ANY_PLACE).cast("bigint").alias("cx"), F.lit(0).cast("bigint").alias("cy")))
+        own = posts.drop("cx", "cy").join(of.select("r", "lat", "lon", *_cell(F.col("lat"), F.col("lon"))), "r")
+        return own.withColumn("c", F.explode(cells)).select("gid", "name", "c.*", F.col("r").alias("other"), F.col("lat").alias("lat_l"), F.col("lon").alias("lon_l"))
+
+    while waiting.limit(1).count():
+        looking = looks.join(waiting.select("r", "lat", "lon"), "r")
+        first = posted(waiting).groupBy(*key).agg(F.min("other").alias("other"))
+        before = looking.join(first, key).filter("other < r").groupBy("r").agg(F.min("other").alias("before"))
+        # Leaders of one name and cell are few, as they are apart; of all cells together the first is enough.
+        led = posted(leaders)
+        any_place = F.col("cx") == ANY_PLACE
+        led = led.filter(~any_place).unionByName(led.filter(any_place).groupBy(*key).agg(
+            F.min("other").alias("other"), F.lit(None).cast("double").alias("lat_l"), F.lit(None).cast("double").alias("lon_l")))
+        near = looking.join(led, key).filter((F.col("other") < F.col("r")) & ~far_apart(F.col("lat_l"), F.col("lon_l"), F.col("lat"), F.col("lon")))
+        # Rows with a place that a leader without one may take: only the first of them knows what it meets.
+        asks = F.col("lat").isNotNull() & F.col("lat_l").isNull()
+        chosen = near.groupBy("r").agg(F.min("other").alias("leader"), F.min(F.when(asks, F.col("other"))).alias("asked"))
+        next_ = near.filter(asks).groupBy("other").agg(F.min("r").alias("next")).withColumnRenamed("other", "asked")
+        state = waiting.join(before, "r", "left").join(chosen, "r", "left").withColumn("asked", F.coalesce("asked", -F.col("r") - 1)).join(
+            next_, "asked", "left")
+        settled = F.col("before").isNull() | (F.col("leader") < F.col("before"))
+        its_turn = F.coalesce((F.col("asked") != F.col("leader")) | (F.col("next") == F.col("r")), F.lit(True))
+        leads, joins = F.col("leader").isNull() & F.col("before").isNull(), F.col("leader").isNotNull() & settled & its_turn
+        state = cut_lineage(state.select("r", "_ord", "lat", "lon", "leader", F.when(joins, "joins").when(leads, "leads").otherwise("waits").alias("now")))
+        joined = state.filter("now = 'joins'")
+        gifts = joined.filter("lat is not null").select(F.col("leader").alias("r"), F.col("lat").alias("lat_g"), F.col("lon").alias("lon_g"), F.col("r").alias("from"))
+        bare = leaders.filter("lat is null").join(gifts.groupBy("r").agg(F.min("from").alias("from")), "r", "left").join(
+            gifts.select("from", "lat_g", "lon_g"), "from", "left").select(
+            "r", "_ord", F.col("lat_g").alias("lat"), F.col("lon_g").alias("lon"), "leader_ord")
+        settled_now = joined.select("_ord", "leader", "r").join(leaders.select(F.col("r").alias("leader"), "leader_ord"), "leader").select(
+            "_ord", F.col("leader_ord").alias("leader"))
+        fresh = state.filter("now = 'leads'").select("r", "_ord", "lat", "lon", F.col("_ord").alias("leader_ord"))
+        settled_now = settled_now.unionByName(fresh.select("_ord", F.col("leader_ord").alias("leader")))
+        done = settled_now if done is None else done.unionByName(settled_now)
+        leaders = cut_lineage(leaders.filter("lat is not null").unionByName(bare).unionByName(fresh))
+        waiting = state.filter("now = 'waits'").select("r", "_ord", "lat", "lon")
+    return done if done is not None else rows.select("_ord", F.col("_ord").alias("leader"))
+
+
+def merge_decorated(df: DataFrame) -> DataFrame:
     """Pass 2: same event whose venues differ only by decoration."""
     rows = add_venue_variants(df)
-    leaders = cut_lineage(assign_leaders(rows, fold_limit))
+    leaders = cut_lineage(assign_leaders(rows))
     plain = rows.drop("variants")
     kept = plain.join(leaders, "_ord", "left")
     several = leaders.groupBy("leader").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("leader")
@@ -292,11 +299,10 @@ def merge_decorated(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
     return alone.unionByName(merged)
 
 
-def merge_sources(df: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+def merge_sources(df: DataFrame) -> DataFrame:
     """Both passes.  ``n_merged`` and ``n_merged_2`` account for every absorbed row."""
     rows = df if "sources" in df.columns else df.withColumn("sources", F.array("source"))
-    first = stage(merge_exact(add_match_key(add_fixed_fill(rows))))
-    return merge_decorated(first, fold_limit)
+    return merge_decorated(stage(merge_exact(add_match_key(add_fixed_fill(rows)))))
 
 
 def merge_counts(rows_in: DataFrame, merged: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Events out of stored web pages: structured blocks first, then looser evidence.
 
 Pages are plain text columns.  Structure is read with regular expressions and
-``VARIANT`` JSON inside the JVM; element text ends at the first closing tag where the
-rule is by class, attribute or microdata.
+``VARIANT`` JSON inside the JVM; an element found by class, attribute or microdata goes to the
+closing tag that belongs to it.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.markup import (
-    JSON_LD_BLOCK, attribute_pattern, decode_entities, extract, get, inner_text, is_array, is_object, is_string,
-    items, marked_text_pattern, meta_content, strip_script, tag_text_pattern, text_at, truthy,
+    JSON_LD_BLOCK, attribute_pattern, decode_entities, element_content, extract, get, inner_text, is_array, is_object, is_string,
+    items, marked_element_pattern, marked_text, meta_content, strip_script, tag_text_pattern, text_at, truthy,
 )
 from marquee.functions.text import SCRIPT_SPACE, clean_url, join_filled, url_host
 from marquee.functions.times import SHORT_TIME_FORMAT, add_lenient, long_date
@@ -194,19 +194,20 @@ def _microdata(df: DataFrame) -> DataFrame:
 
     def prop(source: Column, name: str) -> Column:
         tag = extract(source, rf"""(?is)<[a-z][a-z0-9]*[^>]*\bitemprop=["']{name}["'][^>]*>""", 0)
-        text = inner_text(extract(source, marked_text_pattern("itemprop", name)))
-        return F.coalesce(F.nullif(extract(tag, r"""(?is)\bcontent=["']([^"']*)"""), F.lit("")), text)
-
-    place = extract(item, r"""(?is)<[a-z][a-z0-9]*[^>]*\bitemprop=["']location["'][^>]*>(.*)$""")
-    part = lambda n: inner_text(extract(place, marked_text_pattern("itemprop", n)))
-    staged = df.withColumn("__item", extract(
-        F.col("html"), r"""(?is)<[a-z][a-z0-9]*[^>]*\bitemtype=["'][^"']*Event[^"']*["'][^>]*>.*$""", 0))
+        return F.coalesce(F.nullif(extract(tag, r"""(?is)\bcontent=["']([^"']*)"""), F.lit("")), marked_text(source, "itemprop", name))
+
+    # Fields count inside the item, name and address inside its place.
+    place = F.col("__place")
+    part = lambda n: marked_text(place, "itemprop", n)
+    staged = df.withColumn("__item", element_content(extract(
+        F.col("html"), r"""(?is)<[a-z][a-z0-9]*[^>]*\bitemtype=["'][^"']*Event[^"']*["'][^>]*>.*$""", 0))).withColumn(
+        "__place", element_content(extract(item, r"""(?is)(<[a-z][a-z0-9]*[^>]*\bitemprop=["']location["'][^>]*>.*)$""")))
     raw = staged.withColumns({
         "title": prop(item, "name"), "start_text": prop(item, "startDate"), "time_text": prop(item, "startDate"),
         "location": join_filled(part("name"), part("address")), "description": prop(item, "description"),
         "image": prop(item, "image")})
     out = _dated(raw)
-    return out.withColumn("microdata", F.struct(*FIELDS)).drop("__item", *FIELDS)
+    return out.withColumn("microdata", F.struct(*FIELDS)).drop("__item", "__place", *FIELDS)
 
 
 def site_of(host: Column, rules=None) -> Column:
@@ -220,8 +221,8 @@ def site_of(host: Column, rules=None) -> Column:
 
 def _pattern(how: str, what: str) -> str:
     return {"attr": lambda: attribute_pattern(what), "h1 attr": lambda: attribute_pattern(what, tag="h1"),
-            "tag": lambda: tag_text_pattern(what), "class": lambda: marked_text_pattern("class", what, exact=False),
-            "testid": lambda: marked_text_pattern("data-testid", what),
+            "tag": lambda: tag_text_pattern(what), "class": lambda: marked_element_pattern("class", what, exact=False),
+            "testid": lambda: marked_element_pattern("data-testid", what),
             "day": lambda: attribute_pattern(what, tag="time"), "clock": lambda: attribute_pattern(what, tag="time")}[how]()
 
 
@@ -231,7 +232,7 @@ def _shown(found: Column, how: str) -> Column:
     if how in ("day", "clock"):
         written = F.substring(F.replace(found, F.lit("T"), F.lit(" ")), 1, 16).try_cast("timestamp_ntz")
         return F.coalesce(F.date_format(written, "EEEE, MMMM d" if how == "day" else SHORT_TIME_FORMAT), F.lit(""))
-    return inner_text(found)
+    return inner_text(element_content(found) if how in ("class", "testid") else found)
 
 
 def apply_site_rules(df: DataFrame, rules=None) -> DataFrame:

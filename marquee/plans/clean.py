@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marquee.functions.text import DESCRIPTION_LIMIT, add_clean_text, blank, title_case
@@ -12,16 +12,21 @@ from marquee.functions.times import add_moment, display_time, iso_with_offset
 from marquee.functions.values import (
     add_coordinates, distinct_tags, event_id, image_list, in_box, price_flag, primary_and_tags, secure_link, source_label,
 )
-from marquee.operators.aggregates import fill_rates, publish_meta
+from marquee.operators.aggregates import FILL_FIELDS, publish_meta
 from marquee.operators.filters import required_ok
 from marquee.operators.joins import attach_city
-from marquee.operators.merge import FOLD_LIMIT, merge_counts, merge_sources
+from marquee.operators.merge import merge_sources
+from marquee.session import stage
 from marquee.sources.sinks import flat_events
 
 
 @dataclass
 class CleanRun:
-    """The tables of one cleaning run; all lazy."""
+    """The tables of one cleaning run.
+
+    The events are merged and written to the run's staged tables when the run is made; what is read here
+    comes from there, and the report's counts were taken on the way.
+    """
 
     events: DataFrame
     meta: DataFrame
@@ -59,12 +64,12 @@ def usable(typed: DataFrame) -> DataFrame:
     return typed.filter(F.col("valid") & F.col("canonical_city").isNotNull() & F.col("start_local").isNotNull()).drop("valid")
 
 
-def publish(merged: DataFrame) -> DataFrame:
-    """The published record, in publish order."""
+def published_record(merged: DataFrame) -> DataFrame:
+    """The published record with ``_ord`` and the numbers of merged rows."""
     def given(c: str) -> Column:
         return F.nullif(blank(F.col(c)), F.lit(""))
 
-    events = merged.select(
+    return merged.select(
         event_id(F.col("canonical_city"), F.col("event_day"), F.col("name_key"), F.col("venue_key")).alias("id"),
         F.col("name"), given("description").alias("description"), given("location_name").alias("venue"),
         given("address").alias("address"), F.col("canonical_city").alias("city"),
@@ -76,45 +81,53 @@ def publish(merged: DataFrame) -> DataFrame:
         display_time(F.col("start_local"), F.col("start_has_time")).alias("displayTime"),
         given("category").alias("category"), F.col("tags"), F.try_element_at("images", F.lit(1)).alias("image"),
         F.col("images"), given("url").alias("url"), F.col("paid").alias("isPaid"),
-        F.transform("sources", source_label).alias("sources"), F.col("_ord"))
-    return events.orderBy("city", "date", F.coalesce("startTime", F.lit("")), "name", "_ord").drop("_ord")
+        F.transform("sources", source_label).alias("sources"), "_ord", "n_merged", "n_merged_2")
 
 
-def step_report(typed: DataFrame, merged: DataFrame, events: DataFrame) -> DataFrame:
-    """``(step, metric, value)``: what came in, what was dropped, merged and filled."""
+def publish_order(record: DataFrame) -> DataFrame:
+    return record.orderBy("city", "date", F.coalesce("startTime", F.lit("")), "name", "_ord").drop("_ord")
+
+
+def _input_counts() -> list[Column]:
+    """Counts over all typed rows: what came in, was dropped, and what is left."""
     known = F.col("canonical_city").isNotNull()
     ok = F.col("valid") & known
     alive = ok & F.col("start_local").isNotNull()
-    checks = typed.agg(
+    return [
         F.count(F.lit(1)).alias("load.rows"), F.count_if(~known).alias("load.unknown_city"), F.count_if(ok).alias("schema.kept"),
         F.count_if(known & ~F.col("valid")).alias("schema.dropped"), F.count_if(ok & F.col("start_local").isNull()).alias("time.dropped"),
         F.count_if(alive & ~F.col("in_city")).alias("geo.outside"),
         F.count_if(alive & F.col("paid")).alias("price.paid"), F.count_if(alive & ~F.col("paid")).alias("price.free"),
-        F.count_if(alive & F.col("paid").isNull()).alias("price.unknown"))
+        F.count_if(alive & F.col("paid").isNull()).alias("price.unknown"), F.count_if(alive).alias("dedupe.rows_in")]
+
 
-    def long(df: DataFrame, names: dict[str, str]) -> DataFrame:
-        rows = F.array(*[F.struct(F.lit(label.split(".")[0]).alias("step"), F.lit(label.split(".")[1]).alias("metric"),
-                                  F.col(f"`{c}`").cast("bigint").alias("value")) for c, label in names.items()])
-        return df.select(F.explode(rows).alias("r")).select("r.*")
+def _output_counts() -> list[Column]:
+    """Counts over the published events, with what each was merged from."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+    return [F.count(F.lit(1)).alias("dedupe.events_out"), total("n_merged").alias("dedupe.merged_exact"),
+            total("n_merged_2").alias("dedupe.merged_fuzzy"),
+            *[F.count_if(blank(F.col(f).cast("string")) != "").alias(f"fill.{f}") for f in FILL_FIELDS]]
 
-    merges = merge_counts(usable(typed), merged)
-    fills = fill_rates(events).select(F.lit("fill").alias("step"), F.col("field").alias("metric"),
-                                      F.col("filled").alias("value"))
-    return long(checks, {c: c for c in checks.columns}).unionByName(long(merges, {
-        "rows_in": "dedupe.rows_in", "events_out": "dedupe.events_out", "merged_exact": "dedupe.merged_exact",
-        "merged_fuzzy": "dedupe.merged_fuzzy"})).unionByName(fills)
+
+def step_report(spark, counts: dict[str, int]) -> DataFrame:
+    """``(step, metric, value)``: what came in, what was dropped, merged and filled."""
+    return spark.createDataFrame([(*name.split(".", 1), int(n)) for name, n in counts.items()], "step string, metric string, value bigint")
 
 
 def clean_listings(raw: DataFrame, cities: DataFrame, generated_at="1970-01-01T00:00:00",
-                   whole_urls: bool = False, fold_limit: int = FOLD_LIMIT) -> CleanRun:
+                   whole_urls: bool = False) -> CleanRun:
     """Check, clean, type, merge and publish listings.
 
-    ``raw`` holds the listing columns with ``source``, ``city_folder`` and a unique ``_ord``.
+    ``raw`` holds the listing columns with ``source``, ``city_folder`` and a unique ``_ord``.  It is read once: the counts of
+    the report are observed while the rows go by.
     """
-    typed = type_listings(raw, cities, whole_urls)
-    merged = merge_sources(usable(typed), fold_limit)
-    events = publish(merged)
-    return CleanRun(events, publish_meta(events, generated_at), step_report(typed, merged, events))
+    came_in, went_out = Observation(), Observation()
+    typed = type_listings(raw, cities, whole_urls).observe(came_in, *_input_counts())
+    merged = merge_sources(usable(typed))
+    record = stage(published_record(merged).observe(went_out, *_output_counts()).drop("n_merged", "n_merged_2"))
+    events = publish_order(record)
+    report = step_report(raw.sparkSession, came_in.get | went_out.get)
+    return CleanRun(events, publish_meta(record.drop("_ord"), generated_at), report)
 
 
 def daily_export(raw: DataFrame, cities: DataFrame) -> DataFrame:

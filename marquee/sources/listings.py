@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def _ordered(df: DataFrame, order: list[Column]) -> DataFrame:
             .drop("__no", "__row", "__file"))
 
 
-def _any_file(spark: SparkSession, pattern: str) -> bool:
+def any_file(spark: SparkSession, pattern: str) -> bool:
     """Whether a path pattern matches anything, in whatever store it names."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path))
@@ -54,7 +56,7 @@ def read_listings(spark: SparkSession, root: str, cities: list[str] | None = Non
     """
     wanted = "{%s}" % ",".join(cities) if cities else "*"
     days = "{%s}" % ",".join(dates) if dates else "*"
-    if not _any_file(spark, f"{root}/{wanted}/{days}/*.csv"):
+    if not any_file(spark, f"{root}/{wanted}/{days}/*.csv"):
         return spark.createDataFrame([], RAW_SCHEMA).select("*", *[F.lit("").alias(c) for c in (
             "source", "landed_date", "city_folder")], F.lit(0).cast("bigint").alias("_ord"))
     raw = _place(spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(f"{root}/{wanted}/{days}/*.csv"))
@@ -121,21 +123,53 @@ def pick_aliases(df: DataFrame, aliases: dict[str, list[str]] | None = None, car
     return df.select(*carry, *picked)
 
 
-def read_aliased(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV files whose headers differ: files of equal header are read together."""
-    lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value",
-                         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
-    headers = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    out = None
-    for row in headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect():
-        raw = spark.read.options(**CSV_OPTIONS).csv([f for f in row["files"]])
-        raw = raw.toDF(*[c.strip() for c in raw.columns])
-        part = pick_aliases(raw.withColumn("__file", F.col("_metadata.file_path")), carry=("__file",))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+# Cells that a row of an aliased file may have; a longer row is an error.
+MOST_CELLS = 256
+
+
+def _under_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of files, each file's in order, to the rows but the first of each file, with that first row as ``header``.
+
+    A multi-line file is one split, so its rows come one after the other in one task.
+    """
+    file, header = None, []
+    for batch in batches:
+        files, cells = batch.column("file").to_pylist(), batch.column("cells")
+        kept, above = [], []
+        for i, f in enumerate(files):
+            if f != file:
+                file, header = f, [None if c is None else c.strip() for c in cells[i].as_py()]
+                while header and header[-1] is None:
+                    header.pop()
+            else:
+                kept.append(i)
+                above.append(header)
+        rows = batch.take(pa.array(kept, pa.int64()))
+        yield pa.RecordBatch.from_arrays([rows.column("file"), pa.array(above, pa.list_(pa.string())), rows.column("cells")],
+                                         names=["file", "header", "cells"])
+
+
+def read_aliased(spark: SparkSession, folder: str, aliases: dict[str, list[str]] | None = None) -> DataFrame:
+    """CSV files whose headers differ: the alias fields of every row, and its ``file``.
+
+    One scan reads all files as rows of cells; each task keeps the first row of the file it is in as the names
+    of the cells below.  A field is looked up by name in its own row, so there may be as many headers as files.
+    """
+    if not any_file(spark, f"{folder}/*.[cC][sS][vV]"):
         raise FileNotFoundError(f"no CSV file in {folder}")
-    return out.withColumnRenamed("__file", "file")
+    names = [f"c{i}" for i in range(MOST_CELLS + 1)]
+    raw = (spark.read.schema(", ".join(f"{c} string" for c in names)).options(**CSV_OPTIONS | {"header": "false"})
+           .option("pathGlobFilter", "*.[cC][sS][vV]").csv(folder))
+    long = F.when(F.col(names[-1]).isNotNull(), F.raise_error(F.lit(f"a row has more than {MOST_CELLS} cells")).cast("string"))
+    cells = F.array(*names[:-1], long)
+    rows = raw.select(F.col("_metadata.file_path").alias("file"), cells.alias("cells")).mapInArrow(
+        _under_headers, "file string, header array<string>, cells array<string>")
+
+    def cell(name: str) -> Column:
+        at = F.array_position("header", name)
+        return F.nullif(strip_wide(F.try_element_at("cells", F.when(at > 0, at.cast("int")))), F.lit(""))
+
+    return rows.select("file", *[F.coalesce(*map(cell, found), F.lit("")).alias(target) for target, found in (aliases or ALIASES).items()])
 
 
 def read_city_events(spark: SparkSession, path: str) -> DataFrame:

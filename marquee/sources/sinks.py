@@ -63,11 +63,34 @@ def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     _write_csv(df.select(*[flat_text(df, c) for c in keep]), path, mode)
 
 
+# The tables of grouping runs; a run counts once its row is in the first.
+RUN, RUN_TABLES = "cluster_run_id", ("cluster_runs", "event_clusters", "host_rankings")
+
+
 def append_run(run: DataFrame, labels: DataFrame, rankings: DataFrame, database: str | None = None) -> None:
-    """Append one grouping run to the three result tables."""
+    """Write one grouping run to the three result tables, each its own partition of them.
+
+    Writing a run again replaces what it wrote before.  Its row in the first table goes before anything else
+    is written and comes back last, so ``read_runs`` never sees half a run.
+    """
+    spark = run.sparkSession
+    run_id = run.select(F.col(RUN).cast("string")).head()[0]
+    tables = dict(zip(RUN_TABLES, (run, labels, rankings)))
+    for name, df in [("cluster_runs", run.limit(0)), *((n, tables[n]) for n in ("event_clusters", "host_rankings", "cluster_runs"))]:
+        table = f"{database}.{name}" if database else name
+        rest = [c for c in df.columns if c != RUN]
+        if not spark.catalog.tableExists(table):
+            df.select(*rest, F.col(RUN).cast("string")).limit(0).write.partitionBy(RUN).saveAsTable(table)
+        quoted = run_id.replace("\\", "\\\\").replace("'", "\\'")
+        columns = ", ".join(f"`{c}`" for c in rest)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({RUN} = '{quoted}') ({columns}) SELECT {columns} FROM {{rows}}", rows=df)
+
+
+def read_runs(spark, name: str, database: str | None = None) -> DataFrame:
+    """Rows of a result table that belong to whole runs."""
     prefix = f"{database}." if database else ""
-    for name, df in (("cluster_runs", run), ("event_clusters", labels), ("host_rankings", rankings)):
-        df.write.mode("append").saveAsTable(prefix + name)
+    whole = spark.table(f"{prefix}cluster_runs").select(RUN).distinct()
+    return spark.table(f"{prefix}{name}").join(whole, RUN, "left_semi")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:

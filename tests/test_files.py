@@ -4,6 +4,7 @@ import csv
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators.display import display_events
@@ -14,7 +15,7 @@ from marquee.schema import CITY_FILE_COLUMNS, DAILY_COLUMNS, RAW_COLUMNS, city_d
 from marquee.sources import listings as L
 from marquee.sources import sinks
 from marquee.sources.adapters import adapt_source
-from marquee.streaming.landing import land
+from marquee.streaming.landing import land, land_batch
 
 
 def put(path, rows, header=RAW_COLUMNS):
@@ -98,6 +99,31 @@ def test_aliased_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "display")).count() == 2
 
 
+def test_many_headers_in_one_scan(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    want = []
+    for i in range(400):
+        names = [["name", "title", "event_name", "event"][i % 4], f"extra{i % 50}", ["city", "town"][i % 2], " venue "]
+        names = names[i % 3:] + names[:i % 3]
+        cells = {"extra": "x,y", "city": f"c{i}", "town": f"c{i}", " venue ": "Hall\n2"}
+        with open(folder / f"{i:04d}.csv", "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f)
+            w.writerow(names)
+            for k in range(i % 3):
+                title = f"007.{i}.{k}"
+                w.writerow([cells.get("extra" if n.startswith("extra") else n, title) for n in names])
+                want.append((title, f"c{i}", "Hall\n2"))
+    rows = L.read_aliased(spark, str(folder))
+    assert sorted((r["title"], r["city"], r["venue"]) for r in rows.collect()) == sorted(want)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    with open(folder / "wide.csv", "w") as f:
+        f.write("name\n" + ",".join("x" * (L.MOST_CELLS + 1)) + "\n")
+    with pytest.raises(Exception, match="more than"):
+        L.read_aliased(spark, str(folder)).collect()
+
+
 def test_payload_files_to_listing_files(spark, tmp_path):
     root = str(tmp_path / "landed")
     os.makedirs(f"{root}/ticketmaster/2026-08-01")
@@ -116,13 +142,49 @@ def test_payload_files_to_listing_files(spark, tmp_path):
 
 def test_landing_stream_takes_only_new_files(spark, tmp_path):
     src, table, ckpt = (str(tmp_path / n) for n in ("src", "table", "ckpt"))
-    put(f"{src}/d/one.csv", [row("A"), row(" a "), row("B")])
+    put(f"{src}/d/one.csv", [row("A", description="first"), row(" a "), row("B")])
+    put(f"{src}/d/two.csv", [row("B", description="second"), row("a")])
+    land(spark, src, table, ckpt).awaitTermination()
+    first = sorted((r["name"], r["description"]) for r in spark.read.parquet(table).collect())
+    assert first == [("A", "first"), ("B", None)]
+    # A late file whose time lies long before: its known listings do not come back.
+    put(f"{src}/c/late.csv", [row("A", description="late"), row("C")])
+    os.utime(f"{src}/c/late.csv", (1, 1))
     land(spark, src, table, ckpt).awaitTermination()
-    assert sorted(r["listing_key"] is not None for r in spark.read.parquet(table).collect()) == [True, True]
-    put(f"{src}/d/two.csv", [row("B"), row("C")])
     land(spark, src, table, ckpt).awaitTermination()
-    names = sorted(r["name"].strip().lower() for r in spark.read.parquet(table).collect())
-    assert names == ["a", "b", "c"]
+    assert sorted((r["name"], r["description"]) for r in spark.read.parquet(table).collect()) == [*first, ("C", None)]
+
+
+def test_a_landed_batch_that_runs_again_gives_the_same_rows(spark, tmp_path):
+    table = str(tmp_path / "table")
+    columns = "listing_key string, file string, name string"
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, columns).coalesce(1)
+
+    land_batch(batch(("k1", "b", "later"), ("k1", "a", "first"), ("k2", "a", "x")), 0, table)
+    for _ in range(2):
+        land_batch(batch(("k2", "c", "again"), ("k3", "c", "new")), 1, table)
+    rows = sorted((r["listing_key"], r["name"], r["landed_batch"]) for r in spark.read.parquet(table).collect())
+    assert rows == [("k1", "first", 0), ("k2", "x", 0), ("k3", "new", 1)]
+    land_batch(batch(("k2", "a", "x")), 0, table)
+    assert sorted(r["listing_key"] for r in spark.read.parquet(table).collect()) == ["k2", "k3"]
+
+
+def test_one_reader_of_each_kind(spark, tmp_path):
+    """City, host and page readers, and the clustered result as CSV."""
+    put(str(tmp_path / "city.csv"), [{"name": "A", "date": "2026-02-03 10:00:00"}, {"name": "B", "date": "soon"}], ["name", "date"])
+    city = L.read_city_events(spark, str(tmp_path / "city.csv")).orderBy("name").collect()
+    assert [(r["event_year"], r["date"] is None) for r in city] == [(2026, False), (None, True)]
+    put(str(tmp_path / "host.csv"), [{"id": "1", "date": "2026-02-03", "latitude": "40.5", "longitude": "x"}], ["id", "date", "latitude", "longitude"])
+    host = L.read_host_events(spark, str(tmp_path / "host.csv")).first()
+    assert (host["latitude"], host["longitude"]) == (40.5, None)
+    spark.createDataFrame([(1, "u", "<p>", "more")], "page_id int, url string, html string, extra string").write.parquet(str(tmp_path / "pages"))
+    assert [tuple(r) for r in L.read_pages(spark, str(tmp_path / "pages")).collect()] == [(1, "u", "<p>")]
+    result = spark.createDataFrame([(1, ["a", "b"], [0.5], None)], "id int, tags array<string>, embedding array<double>, gone string")
+    sinks.write_result(result, str(tmp_path / "result"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "result"))
+    assert back.columns == ["id", "tags", "gone"] and tuple(back.first()) == ("1", "a;b", None)
 
 
 def pages(spark, *html, url="https://x.example.com/e"):

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,11 +110,11 @@ def random_rows(seed, n, venues):
     return rows
 
 
-def leaders(spark, rows, fold_limit):
+def leaders(spark, rows):
     typed = usable(type_listings(spark.createDataFrame(rows, SCHEMA), city_dimension(spark)))
     first = merge.merge_exact(merge.add_match_key(merge.add_fixed_fill(typed.withColumn("sources", F.array("source")))))
     first = merge.cut_lineage(merge.add_venue_variants(first))
-    got = {r["_ord"]: r["leader"] for r in merge.assign_leaders(first, fold_limit).collect()}
+    got = {r["_ord"]: r["leader"] for r in merge.assign_leaders(first).collect()}
     groups = {}
     for r in first.withColumn("r", merge.rank_columns()).filter(F.size("variants") > 0).collect():
         groups.setdefault((r["name_key"], r["start_utc"]), []).append(
@@ -125,12 +126,40 @@ def leaders(spark, rows, fold_limit):
     return got, want
 
 
-def test_fold_equals_walk(spark):
-    got, want = leaders(spark, random_rows(1, 90, ["Park House", "Hall", "The Hall of Park House", "Barn"]), 256)
+@pytest.mark.parametrize("seed,n", [(1, 90), (2, 60), (3, 400)])
+def test_leaders_equal_walk(spark, seed, n):
+    got, want = leaders(spark, random_rows(seed, n, ["Park House", "Hall", "The Hall of Park House", "Barn"]))
     assert got == want and any(k != v for k, v in got.items())
 
 
-def test_rounds_equal_walk(spark):
-    # A fold limit of 2 sends every group through the venue split and the leader rounds.
-    got, want = leaders(spark, random_rows(2, 60, ["Park House", "Hall", "The Hall of Park House", "Barn"]), 2)
-    assert got == want and any(k != v for k, v in got.items())
+def rounds(spark, rows, monkeypatch):
+    """Leaders, and the number of rounds that they took."""
+    cuts = []
+    cut = merge.cut_lineage
+    monkeypatch.setattr(merge, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    got, want = leaders(spark, rows)
+    return got, want, (len(cuts) - 2) / 2
+
+
+def test_a_thousand_branches_far_apart(spark, monkeypatch):
+    rows = [listing(i, location_name=f"Hall (Branch {i})", latitude=f"{40.5 + (i % 40) * 0.02:.3f}", longitude=f"{-74.5 + (i // 40) * 0.02:.3f}")
+            for i in range(1000)]
+    got, want, n = rounds(spark, rows, monkeypatch)
+    assert got == want and all(k == v for k, v in got.items()) and len(got) == 1000
+    assert n == 1
+
+
+def test_a_thousand_rooms_in_one_place(spark, monkeypatch):
+    rows = [listing(i, location_name=f"Hall (Room {i})", latitude="40.7" if i % 3 else "", longitude="-74.0" if i % 3 else "") for i in range(1000)]
+    got, want, n = rounds(spark, rows, monkeypatch)
+    assert got == want and set(got.values()) == {1}
+    assert n <= 3
+
+
+def test_exact_merge_holds_numbers_only(spark):
+    typed = usable(type_listings(spark.createDataFrame(random_rows(4, 20, ["Hall", "Barn"]), SCHEMA), city_dimension(spark)))
+    rows = merge.add_match_key(merge.add_fixed_fill(typed.withColumn("sources", F.array("source"))))
+    merged = merge.merge_exact(rows)
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan

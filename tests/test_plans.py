@@ -15,7 +15,7 @@ from marquee.operators.hosts import attach_activity, influence, rank_hosts
 from marquee.operators.ranking import number_rows
 from marquee.plans.dashboard import host_overview, overview, rolling_trends, year_trends
 from marquee.plans.grouping import DASHBOARD, group_events
-from marquee.sources.sinks import append_run
+from marquee.sources.sinks import append_run, read_runs
 from tests.test_spatial import brute_groups
 from tests.test_topics import brute_hdbscan, sample
 
@@ -114,7 +114,20 @@ def test_group_events(spark, tmp_path):
     spark.sql(f"create database runs location '{tmp_path}/runs'")
     append_run(run.run, run.labels, run.rankings, "runs")
     append_run(run.run, run.labels, run.rankings, "runs")
-    assert spark.table("runs.event_clusters").count() == 282 and spark.table("runs.cluster_runs").count() == 2
+    assert spark.table("runs.event_clusters").count() == 141 and spark.table("runs.cluster_runs").count() == 1
+    other = [df.withColumn("cluster_run_id", F.lit("it's 2")) for df in (run.run, run.labels.limit(3), run.rankings.limit(0))]
+    append_run(*other, "runs")
+    assert read_runs(spark, "event_clusters", "runs").count() == 144 and spark.table("runs.cluster_runs").count() == 2
+    assert sorted(read_runs(spark, "host_rankings", "runs").drop("cluster_run_id").collect(), key=str) == sorted(
+        run.rankings.drop("cluster_run_id").select(*[c for c in read_runs(spark, "host_rankings", "runs").columns if c != "cluster_run_id"]).collect(), key=str)
+    # A run that dies half way is not read, and its old rows are not either.
+    broken = run.rankings.limit(1).withColumn(run.rankings.columns[0], F.raise_error(F.lit("died")))
+    with pytest.raises(Exception, match="died"):
+        append_run(run.run, run.labels.limit(5), broken, "runs")
+    assert spark.table("runs.event_clusters").filter("cluster_run_id = '1'").count() == 5
+    assert read_runs(spark, "event_clusters", "runs").select("cluster_run_id").distinct().count() == 1
+    append_run(run.run, run.labels, run.rankings, "runs")
+    assert read_runs(spark, "event_clusters", "runs").count() == 144
 
 
 def test_events_without_a_vector_are_kept(spark):

@@ -1,8 +1,12 @@
 """Rules that differ in rare rows: unknown cities, repeated keys, long lists, odd page structures."""
 
+import random
+from html.parser import HTMLParser
+
 from pyspark.sql import functions as F
 
 from marquee.functions import values as V
+from marquee.functions.markup import VOID_TAGS, marked_text
 from marquee.operators import hosts, joins
 from marquee.operators.pages import extract_events
 from marquee.plans.clean import clean_listings
@@ -106,3 +110,69 @@ def test_publish_order(spark):
     rows = [base | {"source": "ra", "city_folder": f, "start_time": t, "name": n, "_ord": i} for i, (f, t, n) in enumerate(shows)]
     got = [(e.city, str(e.date), e.startTime or "", e.name) for e in clean_listings(spark.createDataFrame(rows), city_dimension(spark)).events.collect()]
     assert got == sorted(got) and [g[3] for g in got] == ["A", "B", "Y", "Z", "C", "A"]
+
+
+class _Texts(HTMLParser):
+    """Text of the first element for which ``wanted`` holds, by a parser of its own."""
+
+    def __init__(self, wanted):
+        super().__init__()
+        self.wanted, self.open, self.text, self.done = wanted, [], "", False
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "p" and self.open == ["p"]:
+            self.handle_endtag("p")
+        if not self.done and (self.open or self.wanted(dict(attrs))):
+            if tag not in VOID_TAGS:
+                self.open.append(tag)
+            elif not self.open:
+                self.done = True
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+            self.done = not self.open
+
+    def handle_data(self, data):
+        if self.open and not self.done:
+            self.text += data
+
+
+def _text(html, wanted):
+    parser = _Texts(wanted)
+    parser.feed(html)
+    return parser.text.strip()
+
+
+def _nested(rng, depth):
+    tags = ("div", "span", "p", "b", "ul", "section")
+    inner = "".join(rng.choice(("words ", "x < y ", "<br>", '<img src="i">', "<!-- </div> -->", _nested(rng, depth - 1) if depth else "end"))
+                    for _ in range(rng.randrange(1, 5)))
+    tag = rng.choice(tags if "<p" not in inner else tags[:2] + tags[3:])
+    return f"<{tag} class='c{depth}'>{inner}</{tag}>"
+
+
+def test_element_text_goes_to_its_own_closing_tag(spark):
+    rng = random.Random(3)
+    rows = [(i, f"<main>{_nested(rng, 3)}<div id='a' data-k='v'>{_nested(rng, 3)} tail{_nested(rng, 2)}</div><i>after</i></main>") for i in range(80)]
+    rows += [(80, "<p data-k='v'>one <b>two</b><p>three"), (81, "<img data-k='v'>text"), (82, "<div data-k='v'>no end <span>x"), (83, "nothing")]
+    got = {r.i: r.text for r in spark.createDataFrame(rows, "i int, html string").select(
+        "i", marked_text(F.col("html"), "data-k", "v").alias("text")).collect()}
+    assert got == {i: _text(html, lambda a: a.get("data-k") == "v") for i, html in rows}
+
+
+def test_nested_microdata_and_site_rules(spark):
+    micro = ('<div itemscope itemtype="https://schema.org/Event"><h3 itemprop="name"><span>Big</span> <b>Gig</b></h3><div itemprop="description"><div>One</div>'
+             '<div>two</div></div><div itemprop="location"><div><span itemprop="name">The <i>Club</i></span></div><p itemprop="address"><b>5th</b> Ave</p></div></div>'
+             '<p itemprop="image">outside</p>')
+    pages = [
+        _page(1, "https://a.org/x", micro),
+        _page(2, "https://www.eventbrite.com/e", '<h1 data-event-title="T">x</h1><div class="event-description"><p>All <b>are</b></p><div>welcome</div> here</div>'),
+        _page(3, "https://www.meetup.com/e", '<h1>M</h1><div class="venueDisplay-venue-address"><span>1 Main</span>, <div>Town</div></div>'),
+        _page(4, "https://lu.ma/e", '<h1>L</h1><div data-testid="event-location"><div><div>Roof</div></div> top</div>'),
+        _page(5, "https://partiful.com/e", '<h1>P</h1><div class="event-date big"><span>Fri</span>day</div>'),
+    ]
+    rows = {r.page_id: r for r in extract_events(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert (rows[1].source, rows[1].title, rows[1].description, rows[1].location, rows[1].image) == ("microdata", "Big Gig", "Onetwo", "The Club, 5th Ave", "")
+    assert (rows[2].description, rows[3].location, rows[4].location, rows[5].date) == ("All arewelcome here", "1 Main, Town", "Roof top", "Friday")
