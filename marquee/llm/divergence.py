@@ -1,9 +1,9 @@
 """How the sources of a language differ in their words, by chunk factorization.
 
 Texts are cut at blanks into chunks.  Chunks are counted once per document inside the task that reads
-it, then added up over the corpus in a table bucketed by chunk; every distinct chunk is tokenized once, and its
-terms are joined back to the counts bucket by bucket.  So the cost of tokenizing grows with the vocabulary of
-chunks, not with the corpus.
+it, then added up over the corpus, a bucket of chunks at a time; every distinct chunk is tokenized once in its
+bucket, and its terms are joined back to the counts.  So the cost of tokenizing grows with the vocabulary of
+chunks, not with the corpus.  Counts travel from task to task as compressed blocks of columns.
 
 Terms are runs of ASCII letters and characters outside ASCII, with A-Z lower-cased.  A language keeps the
 terms that at least ``min_docs`` of its documents have.  Only chunks in fewer documents need to name them,
@@ -19,111 +19,180 @@ terms has counts of 0, a language without kept terms pairs of value 0.  An empty
 
 from __future__ import annotations
 
-from collections import Counter
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import join_groups, shared_folder, stage_rows
+from marquee.llm.common import join_groups, slices, stage_rows
 from marquee.operators.ranking import top_per_group
-from marquee.session import own_table
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 MIN_DOCS = 3
 TOP = 200
 ONE = 1_000_000_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Distinct chunks that a task holds before it hands on what it has counted.
-_HELD = 500_000
+# Bytes of text that a task counts at once.
+SLICE_BYTES = 32 << 20
+_COUNTS = ["n", "docs", "lo", "hi"]
 
 
-class _Chunks:
-    """Chunks of one language and source: occurrences, documents, first and last document."""
+def _packed(table: pa.Table, hashes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A row ``bucket, block`` for every bucket of a table's rows, the block compressed by columns."""
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    table, cuts = table.take(pa.array(order)), np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for k in range(buckets):
+        if cuts[k] < cuts[k + 1]:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table.slice(cuts[k], cuts[k + 1] - cuts[k]).combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             names=["bucket", "block"])
 
-    def __init__(self) -> None:
-        self.n, self.docs, self.lo, self.hi = Counter(), Counter(), {}, {}
 
-    def add(self, row: int, words: list[bytes]) -> int:
-        """Count a document; the number of chunks that are new here."""
-        distinct = set(words)
-        fresh = distinct.difference(self.lo)
-        self.n.update(words)
-        self.docs.update(distinct)
-        self.lo.update(dict.fromkeys(fresh, row))
-        self.hi.update(dict.fromkeys(distinct, row))
-        return len(fresh)
+def _opened(blocks: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in blocks]).unify_dictionaries()
 
 
-def _count(min_docs: int):
-    """Arrow function over documents to ``lang, source, chunk, n, docs, lo, hi``, added up as far as memory goes.
+def _hashes(values: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, values.to_pylist()), np.uint64, len(values))
 
-    Chunks in ``min_docs`` documents need not name them; ``hi`` is only given where it is not ``lo``.
+
+def _codes(*columns: pa.ChunkedArray) -> np.ndarray:
+    """One number for each distinct row of the columns."""
+    out = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        code = column.combine_chunks()
+        code = code if pa.types.is_dictionary(code.type) else code.dictionary_encode()
+        out = np.unique(out * (len(code.dictionary) + 1) + code.indices.to_numpy(), return_inverse=True)[1]
+    return out
+
+
+def _count(buckets: int, min_docs: int):
+    """Arrow function over documents to packed ``lang, source, chunk, n, docs, lo, hi``.
+
+    Chunks in ``min_docs`` documents need not name them (-1).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, _Chunks] = {}
-        held = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), of in groups.items():
-                docs = list(of.docs.values())
-                named = [(of.lo[c], of.hi[c]) if d < min_docs else (None, None) for c, d in of.docs.items()]
-                n = len(docs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(list(of.docs), pa.binary()),
-                     pa.array([of.n[c] for c in of.docs], pa.int64()), pa.array(docs, pa.int64()), pa.array([x[0] for x in named], pa.int64()),
-                     pa.array([x[1] if x[1] != x[0] else None for x in named], pa.int64())],
-                    names=["lang", "source", "chunk", "n", "docs", "lo", "hi"])
-            groups.clear()
-
         for batch in batches:
-            for row, lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("row", "lang", "source", "text"))):
-                if (lang, source) not in groups:
-                    groups[lang, source] = _Chunks()
-                held += groups[lang, source].add(row, text.split())
-                if held > _HELD:
-                    yield from flush()
-                    held = 0
-        yield from flush()
+            for a, b in slices(pc.binary_length(batch.column("text")).to_numpy(), SLICE_BYTES):
+                part = batch.slice(a, b - a)
+                split = pc.ascii_split_whitespace(part.column("text"))
+                flat, owner = split.flatten(), np.repeat(np.arange(b - a), pc.list_value_length(split).to_numpy())
+                real = pc.binary_length(flat).to_numpy() > 0
+                words = flat.filter(pa.array(real)).dictionary_encode()
+                if not len(words):
+                    continue
+                many = len(words.dictionary)
+                pair, times = np.unique(owner[real] * many + words.indices.to_numpy(), return_counts=True)
+                doc, word = pair // many, pair % many
+                groups = pa.Table.from_batches([part.select(["lang", "source"])])
+                key = _codes(groups.column(0), groups.column(1))[doc] * many + word
+                # Documents stay in order inside a group's chunk.
+                order = np.argsort(key, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+                last = np.append(first[1:], len(order)) - 1
+                doc, docs = doc[order], last - first + 1
+                rows = part.column("row").to_numpy()
+                few = docs < min_docs
+                chunk = word[order][first]
+                yield from _packed(pa.table({
+                    "lang": groups.column(0).take(pa.array(doc[first])).combine_chunks().dictionary_encode(),
+                    "source": groups.column(1).take(pa.array(doc[first])).combine_chunks().dictionary_encode(),
+                    "chunk": words.dictionary.take(pa.array(chunk)).cast(pa.binary()), "n": np.add.reduceat(times[order], first),
+                    "docs": docs, "lo": np.where(few, rows[doc[first]], -1), "hi": np.where(few, rows[doc[last]], -1)}),
+                    _hashes(words.dictionary)[chunk], buckets)
 
     return run
 
 
-def _named(docs: DataFrame, **columns: str) -> list[Column]:
-    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for a, c in columns.items()]
+def _merged(table: pa.Table, keys: list[str], min_docs: int, disjoint: bool) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Rows of equal keys as one: the first row of each, and its counts.
 
+    ``disjoint`` rows count different documents.  Otherwise a key's documents are those of one row that has enough, or
+    those that all rows name.
+    """
+    code = _codes(*(table.column(k) for k in keys))
+    order = np.argsort(code, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(code[order]) != 0))
+    n, docs, lo, hi = (table.column(c).to_numpy()[order] for c in _COUNTS)
+    if disjoint:
+        found = np.add.reduceat(docs, first)
+    else:
+        found = np.maximum.reduceat(docs, first)
+    far = np.iinfo(np.int64).max
+    low = np.minimum.reduceat(np.where(lo < 0, far, lo), first)
+    high = np.maximum.reduceat(hi, first)
+    if not disjoint:
+        at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+        third = (lo >= 0) & (((lo != low[at]) & (lo != high[at])) | ((hi != low[at]) & (hi != high[at])))
+        named = np.where(np.logical_or.reduceat(third, first), 3, 1 + (low != high))
+        found = np.maximum(found, np.where(high < 0, 0, named))
+    few = found < min_docs
+    return order[first], {"n": np.add.reduceat(n, first), "docs": found, "lo": np.where(few, low, -1), "hi": np.where(few, high, -1)}
+
+
+def _terms(buckets: int, min_docs: int):
+    """Arrow function over one bucket of chunks to packed ``lang, source, term, n, docs, lo, hi``."""
+    def run(table: pa.Table) -> pa.Table:
+        chunks = _opened(table.column("block"))
+        rows, counts = _merged(chunks, ["lang", "source", "chunk"], min_docs, disjoint=True)
+        chunks = chunks.take(pa.array(rows))
+        distinct = chunks.column("chunk").combine_chunks().dictionary_encode()
+        found = [TERM.findall(c.lower()) for c in distinct.dictionary.to_pylist()]
+        many = np.array([len(f) for f in found], np.int64)
+        terms = pa.array([t for f in found for t in f], pa.binary())
+        # The terms of a row's chunk, joined back by the chunk's number.
+        code = distinct.indices.to_numpy()
+        start = (np.cumsum(many) - many)[code]
+        at = np.repeat(np.arange(len(code)), many[code])
+        inside = np.arange(len(at)) - np.repeat(np.cumsum(many[code]) - many[code], many[code])
+        if not len(at):
+            return pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.binary())})
+        spread = pa.table({"lang": chunks.column("lang").take(pa.array(at)), "source": chunks.column("source").take(pa.array(at)),
+                           "term": terms.take(pa.array(start[at] + inside)), **{c: v[at] for c, v in counts.items()}})
+        rows, counts = _merged(spread, ["lang", "source", "term"], min_docs, disjoint=False)
+        few = spread.select(["lang", "source", "term"]).take(pa.array(rows))
+        term = few.column("term").combine_chunks().dictionary_encode()
+        out = pa.table({**{c: few.column(c) for c in few.column_names}, **counts})
+        return pa.Table.from_batches(list(_packed(out, _hashes(term.dictionary)[term.indices.to_numpy()], buckets)))
 
-def chunk_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``lang, source, chunk`` (bytes) with occurrences ``n``, documents ``docs`` and, if these are few, the first and last; a bucketed table."""
-    spark = docs.sparkSession
-    given = docs.select(F.monotonically_increasing_id().alias("row"), *_named(docs, lang=lang_col, source=source_col, text=text_col))
-    counted = given.withColumn("text", F.col("text").cast("binary")).mapInArrow(
-        _count(min_docs), "lang string, source string, chunk binary, n bigint, docs bigint, lo bigint, hi bigint")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name, folder = own_table(spark, "chunk_counts"), shared_folder(spark, "chunk-counts")
-    # One shuffle by chunk serves the sums, the distinct chunks and the join of their terms.
-    (counted.repartition(buckets, "chunk").groupBy("lang", "source", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("lo").alias("lo"), F.max(F.coalesce("hi", "lo")).alias("hi"))
-     .write.bucketBy(buckets, "chunk").option("path", folder).saveAsTable(name))
-    return spark.table(name)
+    return run
+
+
+def _kept(min_docs: int):
+    """Arrow function over one bucket of terms to the kept ``lang, source, term, n``."""
+    def run(table: pa.Table) -> pa.Table:
+        terms = _opened(table.column("block"))
+        rows, counts = _merged(terms, ["lang", "source", "term"], min_docs, disjoint=False)
+        own = pa.table({**{c: terms.column(c).take(pa.array(rows)) for c in ("lang", "source", "term")}, **counts})
+        rows, counts = _merged(own, ["lang", "term"], min_docs, disjoint=False)
+        enough = np.zeros(len(own), bool)
+        code = _codes(own.column("lang"), own.column("term"))
+        enough[code[rows]] = counts["docs"] >= min_docs
+        own = own.select(["lang", "source", "term", "n"]).filter(pa.array(enough[code]))
+        return own.cast(pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64())]))
+
+    return run
 
 
-def terms_of(chunk: Column) -> Column:
-    return F.regexp_extract_all(F.translate(chunk.cast("string"), _UPPER, _LOWER), F.lit(TERM), 0)
+def _named(docs: DataFrame, **columns: str) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for a, c in columns.items()]
 
 
-def term_counts(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """Kept terms of every group that has them: ``lang, source, term, n``; staged."""
-    tokens = chunks.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"))
-    spread = chunks.join(tokens.hint("merge"), "chunk").select("lang", "source", "term", "n", "docs", "lo", "hi").repartition("lang", "term")
-    # A term's documents: enough by one of its chunks, or those that its chunks name are.
-    term = Window.partitionBy("lang", "term")
-    least = spread.withColumns({"most": F.max("docs").over(term), "first": F.min("lo").over(term), "last": F.max("hi").over(term)})
-    third = F.coalesce(~F.col("lo").isin(F.col("first"), F.col("last")) | ~F.col("hi").isin(F.col("first"), F.col("last")), F.lit(False))
-    named = F.when(F.max(third).over(term), 3).when(F.col("first") != F.col("last"), 2).otherwise(1)
-    kept = least.withColumn("named", named).filter(F.greatest("most", "named") >= min_docs)
-    return stage_rows(kept.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "term-counts")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    given = docs.select(F.monotonically_increasing_id().alias("row"), *_named(docs, lang=lang_col, source=source_col, text=text_col))
+    packed = "bucket int, block binary"
+    chunks = given.mapInArrow(_count(buckets, min_docs), packed)
+    terms = chunks.groupBy("bucket").applyInArrow(_terms(buckets, min_docs), packed)
+    return stage_rows(terms.groupBy("bucket").applyInArrow(_kept(min_docs), "lang string, source string, term string, n bigint"), "term-counts")
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -189,7 +258,7 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     """``lang, source, part, item, value, rank``: all pairs of sources and each group's ``top`` terms."""
     if not 1 <= min_docs <= 3:
         raise ValueError("min_docs must be 1, 2 or 3: a chunk in fewer documents names only the first and the last")
-    counts = term_counts(chunk_counts(docs, lang_col, source_col, text_col, min_docs), min_docs)
+    counts = term_counts(docs, lang_col, source_col, text_col, min_docs)
     groups = group_totals(docs.select(*_named(docs, lang=lang_col, source=source_col)).distinct(), counts)
     order = [F.desc("value"), F.asc("item")]
     pairs = top_per_group(pair_values(counts, groups), ["lang", "source"], order, 1 << 30, rank_col="rank")

@@ -51,7 +51,7 @@ def test_awkward_documents(spark):
 
 @pytest.mark.parametrize("min_docs,top,held", [(3, 200, 200_000), (2, 3, 40), (1, 5, 1)])
 def test_random_documents(spark, monkeypatch, min_docs, top, held):
-    monkeypatch.setattr(divergence, "_HELD", held)
+    monkeypatch.setattr(divergence, "SLICE_BYTES", held)
     rng = random.Random(min_docs)
     words = [a + b for a in ("Ab", "b-c", "d", "é") for b in ("x", "y'", "Z", "1q", "")] + ["...", "42", "a,b,a"]
     rows = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 12))), rng.choice(("en", "de", None)), rng.choice("rstuv"), 1) for i in range(90)]
@@ -62,7 +62,7 @@ def test_random_documents(spark, monkeypatch, min_docs, top, held):
 def test_a_term_in_two_documents_by_many_chunks_is_not_kept(spark):
     rows = [(1, "word. word, word; (word) word!", "en", "a", 1), (2, "word: word? 'word'", "en", "b", 1), (3, "else", "en", "b", 1)]
     def kept():
-        return sorted(map(tuple, divergence.term_counts(divergence.chunk_counts(spark.createDataFrame(rows, DOCUMENT))).collect()))
+        return sorted(map(tuple, divergence.term_counts(spark.createDataFrame(rows, DOCUMENT)).collect()))
 
     assert kept() == []
     rows.append((4, "[word]", "en", "b", 1))
