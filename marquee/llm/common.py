@@ -84,7 +84,9 @@ def expand_copies(rows: DataFrame, copies: str, out: str, piece: int = 10_000) -
     few = rows.filter(F.col(copies) <= piece).withColumn(out, numbers(F.lit(0).cast("bigint"), F.col(copies) - 1))
     part = unused(rows, "copies_from")
     many = rows.filter(F.col(copies) > piece).withColumn(
-        part, numbers(F.lit(0).cast("bigint"), F.floor((F.col(copies) - 1) / piece))).repartition(copies, part)
+        part, numbers(F.lit(0).cast("bigint"), F.floor((F.col(copies) - 1) / piece)))
+    # A number of partitions that is given is kept; these rows are few until they are expanded.
+    many = many.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), copies, part)
     many = many.withColumn(out, numbers(F.col(part) * piece, F.least((F.col(part) + 1) * piece, F.col(copies)) - 1)).drop(part)
     return few.unionByName(many)
 

@@ -37,7 +37,7 @@ MIN_DOCS = 3
 TOP = 200
 ONE = 1_000_000_000
 # Bytes of text that a task counts at once.
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 16 << 20
 _COUNTS = ["n", "docs", "lo", "hi"]
 
 

@@ -54,6 +54,7 @@ class DigestIndex:
         files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not files.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
             self.spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(path)
+        files.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/rows"))
         return self.spark.read.parquet(path).head()["buckets"]
 
     def rows(self) -> DataFrame:

@@ -37,8 +37,8 @@ ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 CONTEXT = (r"""(?ai)(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|"""
            r"""private[_-]?key|credential|auth)s?["']?\x20*+(?::=|=>|[:=])\x20*+"""
            r"""(?:"([^"\n\r]{6,})"|'([^'\n\r]{6,})'|`([^`\n\r]{6,})`|["'`]?([^\x00-\x20"'`\x7f]{6,}))""")
-# Links and paths, and what stands between their parts.
-LINK = re.compile(r"(?ai)(?:[a-z][a-z0-9+.-]*:)?//|[~.]{0,2}/[^/]|[a-z]:\\")
+# Links, and paths of two names or more; and what stands between their parts.
+LINK = re.compile(r"(?ai)(?:[a-z][a-z0-9+.-]*:)?//[^/]|(?:[~.]{0,2}|[a-z]:)(?:[/\\][\w.~-]+){2,}[/\\]?$")
 LINK_PARTS = re.compile(r"[/\\:?&=#@.,;%+~_-]+")
 # Least cost of a value that counts as a secret, as a power of ten.
 COSTLY = 10.0
