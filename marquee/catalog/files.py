@@ -18,6 +18,10 @@ from marquee.sources import listings as L
 from marquee.sources import sinks
 
 
+# Texts are written as they are, with their blanks.
+AS_GIVEN = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def home(t, name: str) -> str:
     return f"{run_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -29,7 +33,7 @@ def put_files(rows: DataFrame, root: str, path: str, order: str) -> None:
     """
     spark = rows.sparkSession
     (rows.repartition(path).sortWithinPartitions(path, order).drop(order).write.partitionBy(path)
-     .option("header", "true").option("escape", '"').option("emptyValue", "").csv(f"{root}-parts"))
+     .options(**AS_GIVEN).csv(f"{root}-parts"))
     jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
     top = jvm.Path(f"{root}-parts")
     files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -133,9 +137,9 @@ def _(t):
     path = home(t, "events")
     sinks.write_events(run.events, run.meta, path)
     events = t.spark.read.schema(run.events.schema).json(f"{path}/events")
-    total = t.spark.read.schema(run.meta.schema).json(f"{path}/meta").select("totalEvents")
-    return events.select("id", "name", "venue", "startTime", "isPaid", "latitude", F.array_join("sources", "|").alias("sources")).crossJoin(
-        F.broadcast(total))
+    total = t.spark.read.schema(run.meta.schema).json(f"{path}/meta").head()["totalEvents"]
+    return events.select("id", "name", "venue", "startTime", "isPaid", "latitude", F.array_join("sources", "|").alias("sources"),
+                         F.lit(total).cast("bigint").alias("totalEvents"))
 
 
 @query("site_day_files", f"""

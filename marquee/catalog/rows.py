@@ -126,7 +126,8 @@ def _(t):
     order = F.col("_ord").cast("bigint")
     for name, part in (("a", rows.filter(order <= middle)), ("b", rows.filter(order > middle))):
         (part.repartitionByRange(order).sortWithinPartitions(order).write.option("header", "true").option("escape", '"')
-         .option("emptyValue", "").csv(f"{home}/in/{name}"))
+         .option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(f"{home}/in/{name}"))
         land(t.spark, f"{home}/in", f"{home}/table", f"{home}/seen", schema=rows.schema).awaitTermination()
     return t.spark.read.parquet(f"{home}/table").select(F.col("_ord").cast("bigint").alias("_ord"), "source")
 

@@ -90,7 +90,13 @@ def element_content(page: Column) -> Column:
 
 def marked_text(page: Column, attribute: str, value: str) -> Column:
     """Text of the first element whose attribute is ``value``, nested markup included."""
-    return inner_text(element_content(extract(page, marked_element_pattern(attribute, value))))
+    return element_text(extract(page, marked_element_pattern(attribute, value)))
+
+
+def element_text(page: Column) -> Column:
+    """Text of the element whose opening tag the text begins with; a ``<`` that opens no tag is text."""
+    content = F.regexp_replace(element_content(page), "(?s)<!--.*?-->", "")
+    return strip_script(F.regexp_replace(content, "</?[a-zA-Z][^>]*>", ""))
 
 
 def meta_pattern(prop: str, by: str) -> list[str]:

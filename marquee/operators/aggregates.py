@@ -78,13 +78,6 @@ def top_categories(df: DataFrame, column: str, k: int = TOP_CATEGORIES) -> DataF
         F.col(f"x.{column}").alias(column), (-F.col("x.less")).alias("n"), (F.col("pos") + 1).alias("place"))
 
 
-def month_spine(spark, today, months: int = HISTOGRAM_MONTHS) -> DataFrame:
-    """The last ``months`` calendar months up to today's."""
-    last = F.trunc(F.lit(today).cast("date"), "month")
-    return spark.range(1).select(F.explode(F.sequence(F.add_months(last, 1 - months), last,
-                                                      F.expr("interval 1 month"))).alias("month"))
-
-
 def complete(counts: DataFrame, spine: DataFrame, keys: list[str], column: str = "n") -> DataFrame:
     """Every spine row, with 0 where there is no count."""
     return spine.join(counts, keys, "left").withColumn(column, F.coalesce(column, F.lit(0).cast("bigint")))
@@ -140,12 +133,6 @@ def group_members(df: DataFrame, group: str = "fused_cluster", host: str = "host
         F.count(F.lit(1)).alias("events"), F.count_distinct(host).alias("hosts"))
 
 
-def counts_by(df: DataFrame, key: Column, name: str) -> DataFrame:
-    """``(facet, key, n)`` rows of one facet."""
-    return df.groupBy(key.cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(name).alias("facet"), "key", "n")
-
-
 def source_key(sources: Column) -> Column:
     return F.when(F.size(sources) == 1, sources[0]).otherwise(F.lit(MULTIPLE_SOURCES))
 

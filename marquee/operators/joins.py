@@ -30,16 +30,16 @@ def host_suffixes(host: Column) -> Column:
                        lambda i: F.array_join(F.slice(parts, i, F.size(parts) - i + 1), "."))
 
 
-def match_site(df: DataFrame, rules: DataFrame, host: str = "host", key: str = "page_id") -> DataFrame:
+def match_site(df: DataFrame, rules: DataFrame, host: str = "host") -> DataFrame:
     """Add ``site``: the first rule whose domain equals the host or ends it.
 
-    The suffix test becomes an equality on the host's own suffixes.  ``rules`` has
+    The suffix test becomes an equality on the suffixes of each distinct host.  ``rules`` has
     ``ord, site, domain``.
     """
-    suffixes = df.select(key, F.explode(host_suffixes(F.col(host))).alias("domain"))
-    hit = suffixes.join(rules.select("ord", "site", "domain"), "domain").groupBy(key).agg(
+    suffixes = df.select(host).distinct().select(host, F.explode(host_suffixes(F.col(host))).alias("domain"))
+    hit = suffixes.join(rules.select("ord", "site", "domain"), "domain").groupBy(host).agg(
         F.min_by("site", "ord").alias("site"))
-    return df.join(hit, key, "left")
+    return df.join(hit, host, "left")
 
 
 def overlay(current: DataFrame, found: DataFrame, key: str, fields: list[str]) -> DataFrame:

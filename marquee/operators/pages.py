@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.markup import (
-    JSON_LD_BLOCK, attribute_pattern, decode_entities, element_content, extract, get, inner_text, is_array, is_object, is_string,
+    JSON_LD_BLOCK, attribute_pattern, decode_entities, element_content, element_text, extract, get, inner_text, is_array, is_object, is_string,
     items, marked_element_pattern, marked_text, meta_content, strip_script, tag_text_pattern, text_at, truthy,
 )
 from marquee.functions.text import SCRIPT_SPACE, clean_url, join_filled, url_host
@@ -232,7 +232,7 @@ def _shown(found: Column, how: str) -> Column:
     if how in ("day", "clock"):
         written = F.substring(F.replace(found, F.lit("T"), F.lit(" ")), 1, 16).try_cast("timestamp_ntz")
         return F.coalesce(F.date_format(written, "EEEE, MMMM d" if how == "day" else SHORT_TIME_FORMAT), F.lit(""))
-    return inner_text(element_content(found) if how in ("class", "testid") else found)
+    return element_text(found) if how in ("class", "testid") else inner_text(found)
 
 
 def apply_site_rules(df: DataFrame, rules=None) -> DataFrame:

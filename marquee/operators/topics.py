@@ -1,14 +1,18 @@
 """Topic groups: hierarchical density clustering (HDBSCAN) on cosine distance.
 
 Published algorithm: Campello, Moulavi, Sander 2013; McInnes, Healy 2017.  Exact:
-vectors meet as pairs of bounded blocks.  One pass keeps each row's k smallest
-distances, a second one keeps the spanning tree of each pair of blocks.  The union
-of those trees holds the spanning tree of the whole group, which is found from it
-and turned into groups by merging its edges from light to heavy.
+vectors meet as pairs of bounded blocks.  Blocks hold the rows nearest to one pivot, so by
+the triangle inequality on chords two blocks are no nearer than their pivots less
+their radii.  Blocks first meet themselves and the nearest others, which bounds each row's k
+smallest distances and the heaviest edge of the group's spanning tree; pairs of blocks beyond
+these bounds never meet.  The pairs' own spanning trees together hold the tree of the
+whole group, which is found from them and turned into groups by merging its edges from light to heavy.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.components import connected_components
 from marquee.operators.ranking import number_rows, top_per_group
-from marquee.operators.vectors import BLOCK_ROWS, add_blocks, distance_matrix, stack
+from marquee.operators.vectors import BLOCK_ROWS, add_blocks, cosine_distance, distance_matrix, stack
 from marquee.session import cut_lineage, stage
 
 # Tree edges one task may hold; a group with more is merged in weight bands.
@@ -25,11 +29,71 @@ BAND_EDGES = 1_000_000
 MAX_LAMBDA = 1e12
 
 
-def _pairs_of_blocks(rows: DataFrame) -> DataFrame:
-    """Copy every row to the pairs of blocks that contain its block."""
-    return (rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-            .drop("other", "blocks"))
+# Other blocks that a block meets first, and the slack of distances computed in different orders.
+FIRST_NEAR, SLACK = 2, 1e-6
+
+
+@dataclass
+class MetricIndex:
+    """Rows of groups in blocks around pivots; all staged.
+
+    rows: ``grp, id, vector, block``; pairs: ``grp, lo, hi, bound`` (least chord between rows of the two
+    blocks), ``first`` (whether the blocks meet first); pivots: ``grp, block, centre_id``.
+    """
+
+    rows: DataFrame
+    pairs: DataFrame
+    pivots: DataFrame
+    met: dict[str, DataFrame] = field(default_factory=dict)
+
+    def dealt(self, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+        """Every row once for each of the pairs of blocks that hold its block."""
+        ends = pairs.select("grp", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
+        return (self.rows if rows is None else rows).join(ends, ["grp", "block"])
+
+
+def _pivot_kernel(table: pa.Table) -> pa.Table:
+    """Nearest pivot of each row, the smaller id on ties, and the chord to it."""
+    is_pivot = table.column("is_pivot").to_numpy(zero_copy_only=False)
+    rows, pivots = table.filter(pa.array(~is_pivot)), table.filter(pa.array(is_pivot))
+    names = pivots.column("id").to_numpy()
+    order = np.argsort(names, kind="stable")
+    d = distance_matrix(stack(rows.column("vector")), stack(pivots.column("vector"))[order])
+    best = d.argmin(axis=1)
+    return pa.table({"id": rows.column("id"), "pivot": pa.array(names[order][best], pa.int64()),
+                     "away": pa.array(np.sqrt(2 * d[np.arange(len(best)), best]), pa.float64())})
+
+
+def metric_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> MetricIndex:
+    """Deal ``grp, id, vector`` to blocks of about ``block_rows`` rows around pivots drawn by hash."""
+    rows = stage(rows.select("grp", "id", "vector"))
+    drawn = F.pmod(F.xxhash64("id"), F.lit(block_rows).cast("bigint")) == 0
+    firsts = rows.groupBy("grp").agg(F.min("id").alias("first"))
+    pivots = stage(rows.join(firsts, "grp").filter(drawn | (F.col("id") == F.col("first"))).select("grp", "id", "vector"))
+    dealt = add_blocks(rows, "grp", "id", block_rows)
+    tasks = dealt.select("grp", "blocks").distinct().select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    both = dealt.select("grp", "block", "id", "vector", F.lit(False).alias("is_pivot")).unionByName(
+        pivots.join(tasks, "grp").select("grp", "block", "id", "vector", F.lit(True).alias("is_pivot")))
+    near = stage(both.groupBy("grp", "block").applyInArrow(_pivot_kernel, "id bigint, pivot bigint, away double"))
+    # A pivot with many rows, equal ones perhaps, has several blocks.
+    sizes = near.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
+    placed = rows.join(near, "id").join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int"))
+    placed = stage(placed.drop("parts"))
+    found = placed.groupBy("grp", "pivot", "part").agg(F.max("away").alias("radius"))
+    info = stage(number_rows(found, [F.col("pivot"), F.col("part")], "block", group="grp").withColumn("block", F.col("block").cast("int")))
+    indexed = stage(placed.join(info.select("pivot", "part", "block"), ["pivot", "part"]).select("grp", "id", "vector", "block"))
+    known = info.join(pivots.select(F.col("id").alias("pivot"), F.col("vector").alias("centre")), "pivot")
+    a = known.select("grp", F.col("block").alias("lo"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
+    b = known.select("grp", F.col("block").alias("hi"), F.col("centre").alias("cb"), F.col("radius").alias("rb"))
+    apart = F.sqrt(2 * cosine_distance(F.col("ca"), F.col("cb"))) - F.col("ra") - F.col("rb") - SLACK
+    pairs = stage(a.join(b, "grp").filter("lo <= hi").select(
+        "grp", "lo", "hi", F.when(F.col("lo") == F.col("hi"), 0.0).otherwise(F.greatest(apart, F.lit(0.0))).alias("bound")))
+    ends = pairs.filter("lo < hi").select("grp", "lo", "hi", "bound", F.explode(F.array("lo", "hi")).alias("block"))
+    nearest = top_per_group(ends, ["grp", "block"], [F.col("bound"), F.col("lo"), F.col("hi")], FIRST_NEAR).select(
+        "grp", "lo", "hi", F.lit(True).alias("near")).distinct()
+    pairs = stage(pairs.join(nearest, ["grp", "lo", "hi"], "left").select(
+        "grp", "lo", "hi", "bound", (F.col("near").isNotNull() | (F.col("lo") == F.col("hi"))).alias("first")))
+    return MetricIndex(indexed, pairs, info.groupBy("grp", "block").agg(F.min("pivot").alias("centre_id")))
 
 
 def _knn_kernel(k: int):
@@ -57,16 +121,28 @@ def _knn_kernel(k: int):
     return kernel
 
 
-def core_distances(blocks: DataFrame, min_samples: int) -> DataFrame:
-    """``(id, core)``: distance to the ``min_samples``-th nearest other row of the group.
+def core_distances(index: MetricIndex, min_samples: int) -> DataFrame:
+    """``(id, core)``: distance to the ``min_samples``-th nearest other row of the group; staged.
 
     A group with too few rows uses its furthest row.
     """
-    near = _pairs_of_blocks(blocks).groupBy("grp", "lo", "hi").applyInArrow(
-        _knn_kernel(min_samples), "id bigint, near array<double>")
-    # Each block pair offers its k smallest; the overall k smallest are kept map-side first.
-    best = top_per_group(near.select("id", F.explode("near").alias("d")), ["id"], [F.col("d")], min_samples)
-    return best.groupBy("id").agg(F.max("d").alias("core"))
+    def nearest(pairs: DataFrame) -> DataFrame:
+        near = index.dealt(pairs).groupBy("grp", "lo", "hi").applyInArrow(_knn_kernel(min_samples), "id bigint, near array<double>")
+        # Each block pair offers its k smallest; the overall k smallest are kept map-side first.
+        return top_per_group(near.select("id", F.explode("near").alias("d")), ["id"], [F.col("d")], min_samples)
+
+    first = stage(nearest(index.pairs.filter("first")))
+    # What a row has found so far bounds how far its k nearest are, and the largest of a block how far its rows look.
+    seen = first.groupBy("id").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n"))
+    reach = index.rows.select("grp", "block", "id").join(seen, "id", "left").groupBy("grp", "block").agg(
+        F.max(F.when(F.col("n") == min_samples, F.sqrt(2 * F.col("d"))).otherwise(F.lit(2.0))).alias("reach"))
+    looks = index.pairs.filter(~F.col("first"))
+    for end in ("lo", "hi"):
+        looks = looks.join(reach.select("grp", F.col("block").alias(end), F.col("reach").alias(f"reach_{end}")), ["grp", end])
+    looks = stage(looks.filter(F.col("bound") <= F.greatest("reach_lo", "reach_hi")).select("grp", "lo", "hi"))
+    index.met["core"] = looks
+    best = top_per_group(first.unionByName(nearest(looks)), ["id"], [F.col("d")], min_samples)
+    return stage(best.groupBy("id").agg(F.max("d").alias("core")))
 
 
 def prim_edges(ids: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,14 +186,34 @@ def _tree_kernel(table: pa.Table) -> pa.Table:
                      "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())})
 
 
-def candidate_edges(blocks: DataFrame, core: DataFrame) -> DataFrame:
-    """Union of the block-pair spanning trees under mutual reachability: ``(grp, a, b, w)``."""
-    pairs = _pairs_of_blocks(blocks.join(core, "id"))
-    # Pairs (i, i) are covered by any pair (i, j) unless the group has a single block.
-    single = blocks.groupBy("grp").agg((F.max("blocks") == 1).alias("single"))
-    wanted = pairs.join(single, "grp").filter((F.col("lo") < F.col("hi")) | F.col("single")).drop("single")
-    return wanted.groupBy("grp", "lo", "hi").applyInArrow(
-        _tree_kernel, "grp string, a bigint, b bigint, w double").distinct()
+def candidate_edges(index: MetricIndex, core: DataFrame) -> DataFrame:
+    """Edges ``(grp, a, b, w)`` under mutual reachability that hold each group's spanning tree; staged.
+
+    The tree's heaviest edge is no heavier than that of any other connected graph: of the first pairs' trees, say,
+    and the edges from one block's pivot to all others.  Pairs of blocks that are further apart than that do not meet.
+    """
+    rows = stage(index.rows.join(core, "id"))
+
+    def trees(pairs: DataFrame) -> DataFrame:
+        return index.dealt(pairs, rows).groupBy("grp", "lo", "hi").applyInArrow(_tree_kernel, "grp string, a bigint, b bigint, w double")
+
+    first = stage(trees(index.pairs.filter("first")).distinct())
+    open_ = index.pairs.filter(~F.col("first"))
+    if not open_.head(1):
+        return first
+    centres = index.pivots.join(rows.select(F.col("id").alias("centre_id"), "vector", "core"), "centre_id")
+    hub = centres.filter("block = 0").select("grp", F.col("centre_id").alias("hub"), F.col("vector").alias("hub_vector"), F.col("core").alias("hub_core"))
+    star = centres.join(hub, "grp").filter("centre_id <> hub").select(
+        "grp", F.least("hub", "centre_id").alias("a"), F.greatest("hub", "centre_id").alias("b"),
+        F.greatest(cosine_distance(F.col("vector"), F.col("hub_vector")), "core", "hub_core").alias("w")).distinct()
+    heaviest = spanning_edges(first.unionByName(star)).groupBy("grp").agg(F.max("w").alias("heaviest"))
+    least = rows.groupBy("grp", "block").agg(F.min("core").alias("least"))
+    for end in ("lo", "hi"):
+        open_ = open_.join(least.select("grp", F.col("block").alias(end), F.col("least").alias(f"least_{end}")), ["grp", end])
+    weight = F.greatest(F.col("bound") * F.col("bound") / 2, "least_lo", "least_hi")
+    more = stage(open_.join(heaviest, "grp").filter(weight <= F.col("heaviest") + SLACK).select("grp", "lo", "hi"))
+    index.met["tree"] = more
+    return stage(first.unionByName(trees(more)).distinct())
 
 
 def spanning_edges(edges: DataFrame) -> DataFrame:
@@ -352,9 +448,8 @@ def topic_groups(df: DataFrame, group: str = "state", id_col: str = "id", vector
     rows = (df.join(sizes.select(group), group, "left_semi")
             .select(F.col(group).cast("string").alias("grp"), F.col(id_col).cast("bigint").alias("id"),
                     F.col(vector).alias("vector")))
-    blocks = stage(add_blocks(rows, "grp", "id", block_rows))
-    core = cut_lineage(core_distances(blocks, k))
-    edges = cut_lineage(candidate_edges(blocks, core))
+    index = metric_index(rows, block_rows)
+    edges = candidate_edges(index, core_distances(index, k))
     counts = edges.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     small = edges.join(counts.filter(F.col("n") <= band_edges), "grp", "left_semi")
     found = small.groupBy("grp").applyInArrow(_with_group(_tail_kernel(min_cluster_size)),
@@ -362,7 +457,7 @@ def topic_groups(df: DataFrame, group: str = "state", id_col: str = "id", vector
     large = counts.filter(F.col("n") > band_edges).select("grp")
     if large.limit(1).count():
         tree = cut_lineage(spanning_edges(edges.join(large, "grp", "left_semi")))
-        found = found.union(_merge_in_bands(tree, blocks.join(large, "grp", "left_semi").select("grp", "id"),
+        found = found.union(_merge_in_bands(tree, index.rows.join(large, "grp", "left_semi").select("grp", "id"),
                                             min_cluster_size, band_edges))
     found = cut_lineage(found.filter("cluster >= 0"))
     firsts = found.groupBy("grp", "cluster").agg(F.min("id").alias("first"))

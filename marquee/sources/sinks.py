@@ -50,7 +50,8 @@ def write_listings(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Adapted listings per day and site; a day without rows leaves no file."""
     (df.select("site", "day", *RAW_COLUMNS).hint("rebalance", "day", "site")
      .write.mode(mode).partitionBy("day", "site").option("maxRecordsPerFile", MAX_FILE_ROWS)
-     .option("header", "true").option("emptyValue", "").option("escape", '"').csv(path))
+     .option("header", "true").option("emptyValue", "").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def write_display(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -20,10 +20,14 @@ from marquee.sources.listings import CSV_OPTIONS, any_file
 BATCH = "landed_batch"
 
 
+# How much older than the newest file a file may be when it arrives; the source remembers the names of files for so long.
+LATEST_FILE = "3650d"
+
+
 def listing_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000, schema=RAW_SCHEMA) -> DataFrame:
     """New listing files as rows with their landing time, file and listing key."""
     raw = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
-           .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", LATEST_FILE).option("recursiveFileLookup", "true")
            .option("pathGlobFilter", "*.csv").csv(folder))
     low = lambda c: F.lower(strip_wide(blank(F.col(c))))
     key = F.to_json(F.array(low("name"), strip_wide(blank(F.col("start_time"))), low("location_name")))
@@ -40,7 +44,7 @@ def land_batch(rows: DataFrame, batch: int, table_path: str) -> None:
     # A multi-line file is one split, so the numbers rise with its rows.
     first = first_per_key(rows.withColumn("__row", F.monotonically_increasing_id()), ["listing_key"], ["file", "__row"]).drop("__row")
     if any_file(spark, f"{table_path}/{BATCH}=*"):
-        known = spark.read.parquet(table_path).filter(F.col(BATCH) != batch).select("listing_key")
+        known = spark.read.schema(f"listing_key string, {BATCH} bigint").parquet(table_path).filter(F.col(BATCH) != batch).select("listing_key")
         first = first.join(known, "listing_key", "left_anti").select(*first.columns)
     first.write.mode("overwrite").parquet(f"{table_path}/{BATCH}={batch}")
 

@@ -3,6 +3,7 @@
 import csv
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,7 +150,7 @@ def test_landing_stream_takes_only_new_files(spark, tmp_path):
     assert first == [("A", "first"), ("B", None)]
     # A late file whose time lies long before: its known listings do not come back.
     put(f"{src}/c/late.csv", [row("A", description="late"), row("C")])
-    os.utime(f"{src}/c/late.csv", (1, 1))
+    os.utime(f"{src}/c/late.csv", (time.time() - 300 * 86_400,) * 2)
     land(spark, src, table, ckpt).awaitTermination()
     land(spark, src, table, ckpt).awaitTermination()
     assert sorted((r["name"], r["description"]) for r in spark.read.parquet(table).collect()) == [*first, ("C", None)]

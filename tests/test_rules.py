@@ -45,6 +45,13 @@ def test_repeated_addresses_do_not_multiply_events(spark):
     assert got == {1: ("40.1", True), 2: ("40.5", False), 3: ("", False)}
 
 
+def test_rows_of_one_page_have_the_sites_of_their_own_hosts(spark):
+    rows = spark.createDataFrame([(1, "a.lu.ma"), (1, "www.meetup.com"), (1, None), (2, "a.lu.ma")], "page_id int, host string")
+    rules = spark.createDataFrame([(0, "Luma", "lu.ma"), (1, "Meetup", "meetup.com"), (2, "late", "a.lu.ma")], "ord int, site string, domain string")
+    got = sorted(((r.page_id, r.host, r.site) for r in joins.match_site(rows, rules).collect()), key=str)
+    assert got == sorted([(1, "a.lu.ma", "Luma"), (1, "www.meetup.com", "Meetup"), (1, None, None), (2, "a.lu.ma", "Luma")], key=str)
+
+
 def test_events_without_host_stay(spark):
     events = spark.sql("select id, host, timestamp '2024-01-01 10:00:00' as date from values (1, 'a'), (2, null), (3, null) as t(id, host)")
     got = {r.id: r.last_event for r in hosts.attach_activity(events, "host", "date", "2024-02-01").collect()}

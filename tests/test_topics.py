@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from marquee.operators.topics import topic_groups
+from marquee.operators.topics import candidate_edges, core_distances, metric_index, topic_groups
 from marquee.operators.vectors import member_distances, normalise, rescue_noise
 
 
@@ -147,3 +148,38 @@ def test_rescue_takes_nearest_centroid_within_cap(spark):
     for i in range(80):
         want = label[i] if label[i] >= 0 else (int(d[i].argmin()) if d[i].min() <= 0.8 else -1)
         assert got[i] == want
+
+
+@pytest.mark.parametrize("block_rows", [15, 40])
+def test_blocks_that_are_far_apart_never_meet(spark, block_rows):
+    """Core distances and tree weights equal the full matrix although most pairs of blocks are skipped."""
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(12, 6))
+    x = c[rng.integers(0, 12, 600)] + rng.normal(scale=0.02, size=(600, 6))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([("g", i, [float(t) for t in v]) for i, v in enumerate(x)], "grp string, id bigint, vector array<double>")
+    index = metric_index(rows, block_rows)
+    core = {r["id"]: r["core"] for r in core_distances(index, 5).collect()}
+    d = np.clip(1 - x @ x.T, 0, 2)
+    np.fill_diagonal(d, 0)
+    want = np.sort(d, axis=1)[:, 5]
+    assert np.allclose([core[i] for i in range(600)], want, atol=1e-12)
+    edges = candidate_edges(index, spark.createDataFrame(list(core.items()), "id bigint, core double")).collect()
+    mutual = np.maximum(d, np.maximum(want[:, None], want[None, :]))
+
+    def weights(es):
+        up, out = list(range(600)), []
+        for w, a, b in sorted(es):
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            if a != b:
+                up[a] = b
+                out.append(w)
+        return out
+
+    assert np.allclose(weights([(r["w"], r["a"], r["b"]) for r in edges]), weights([(mutual[i, j], i, j) for i in range(600) for j in range(i)]))
+    pairs, first = index.pairs.count(), index.pairs.filter("first").count()
+    shares = {k: 1 - (first + met.count()) / pairs for k, met in index.met.items()}
+    assert shares["core"] > 0.5, shares
