@@ -5,6 +5,7 @@ import zlib
 from functools import lru_cache
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm import repair
@@ -121,6 +122,15 @@ def test_all_turns_dropped(spark):
     assert got(repair.summary(df, repair.damage(df))) == [(7, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
 
 
+def test_repeated_row_comes_after_the_one_it_repeats(spark, monkeypatch):
+    # The staged turns in the other order, as a shuffle may bring them.
+    monkeypatch.setattr(repair, "stage_rows", lambda df, name, f=repair.stage_rows: f(
+        df.coalesce(1).sortWithinPartitions("conv", F.desc("fault")) if name == "repair-turns" else df, name))
+    rows = [(c, t, role, text) for c in range(5) for t, role, text in ((1, "user", "Hi."), (1, "user", "Hi."), (2, "assistant", "Yes."))]
+    df = spark.createDataFrame(rows, ROWS)
+    assert {r[7] for r in got(repair.summary(df, df))} == {"KDK"}
+
+
 def test_shared_ends_are_one_node(monkeypatch):
     calls = []
     monkeypatch.setattr(repair, "node", lambda mark, behind, f=repair.node: calls.append(mark) or f(mark, behind))
