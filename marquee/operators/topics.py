@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.components import connected_components
+from marquee.operators.components import connected_components, stars
 from marquee.operators.ranking import number_rows, top_per_group
 from marquee.operators.vectors import BLOCK_ROWS, add_blocks, cosine_distance, distance_matrix, stack
 from marquee.session import cut_lineage, stage
@@ -186,7 +186,7 @@ def _tree_kernel(table: pa.Table) -> pa.Table:
                      "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())})
 
 
-def candidate_edges(index: MetricIndex, core: DataFrame) -> DataFrame:
+def candidate_edges(index: MetricIndex, core: DataFrame, band_edges: int = BAND_EDGES) -> DataFrame:
     """Edges ``(grp, a, b, w)`` under mutual reachability that hold each group's spanning tree; staged.
 
     The tree's heaviest edge is no heavier than that of any other connected graph: of the first pairs' trees, say,
@@ -206,7 +206,7 @@ def candidate_edges(index: MetricIndex, core: DataFrame) -> DataFrame:
     star = centres.join(hub, "grp").filter("centre_id <> hub").select(
         "grp", F.least("hub", "centre_id").alias("a"), F.greatest("hub", "centre_id").alias("b"),
         F.greatest(cosine_distance(F.col("vector"), F.col("hub_vector")), "core", "hub_core").alias("w")).distinct()
-    heaviest = spanning_edges(first.unionByName(star)).groupBy("grp").agg(F.max("w").alias("heaviest"))
+    heaviest = spanning_edges(first.unionByName(star), band_edges).groupBy("grp").agg(F.max("w").alias("heaviest"))
     least = rows.groupBy("grp", "block").agg(F.min("core").alias("least"))
     for end in ("lo", "hi"):
         open_ = open_.join(least.select("grp", F.col("block").alias(end), F.col("least").alias(f"least_{end}")), ["grp", end])
@@ -216,8 +216,65 @@ def candidate_edges(index: MetricIndex, core: DataFrame) -> DataFrame:
     return stage(first.unionByName(trees(more)).distinct())
 
 
-def spanning_edges(edges: DataFrame) -> DataFrame:
-    """Boruvka rounds over ``(grp, a, b, w)`` under the order (w, a, b)."""
+def _thin_kernel(table: pa.Table) -> pa.Table:
+    """The edges of a part that are in its own spanning forest under the order (w, a, b), by Boruvka rounds."""
+    a, b, w = (table.column(c).to_numpy() for c in ("a", "b", "w"))
+    order = np.lexsort((b, a, w))
+    x, y = np.unique(np.concatenate((a[order], b[order])), return_inverse=True)[1].reshape(2, -1)
+    at, label = np.arange(len(order)), np.arange(max(x.max(), y.max()) + 1)
+    kept = []
+    while True:
+        cx, cy = label[x], label[y]
+        open_ = cx != cy
+        if not open_.any():
+            break
+        x, y, at, cx, cy = x[open_], y[open_], at[open_], cx[open_], cy[open_]
+        # Rows stand in order, so the first one of a component is its lightest.
+        least = np.full(len(label), len(at))
+        np.minimum.at(least, cx, np.arange(len(at)))
+        np.minimum.at(least, cy, np.arange(len(at)))
+        picked = np.unique(least[least < len(at)])
+        kept.append(at[picked])
+        node, root = stars(cx[picked], cy[picked])
+        to = np.arange(len(label))
+        to[node] = root
+        label = to[label]
+    return table.select(["grp", "a", "b", "w"]).take(pa.array(order[np.concatenate(kept)] if kept else order[:0]))
+
+
+def spanning_edges(edges: DataFrame, band: int = BAND_EDGES) -> DataFrame:
+    """Spanning forest of ``(grp, a, b, w)`` under the order (w, a, b); staged.
+
+    An edge that is not in the forest of some of the edges is not in that of all, so parts of about ``band`` edges are thinned in
+    tasks of their own until a group is one part.  Groups that thinning no longer halves, those with more than about
+    half a band of nodes, go on in rounds over the edges.
+    """
+    schema = "grp string, a bigint, b bigint, w double"
+    rest, tree = edges.select("grp", "a", "b", "w"), None
+    before = None
+    while True:
+        rest = stage(rest)
+        sizes = rest.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+        if before is not None:
+            sizes = sizes.join(before.select("grp", F.col("n").alias("was")), "grp").select(
+                "grp", "n", (F.col("n") > band) & (F.col("n") * 2 > F.col("was")))
+        else:
+            sizes = sizes.select("grp", "n", F.lit(False))
+        before = stage(sizes.toDF("grp", "n", "stuck"))
+        if before.filter("stuck").head(1):
+            stuck = _spanning_rounds(rest.join(before.filter("stuck"), "grp", "left_semi"))
+            tree = stuck if tree is None else tree.union(stuck)
+            rest, before = rest.join(before.filter("stuck"), "grp", "left_anti"), before.filter("not stuck")
+        parts = rest.join(before.select("grp", F.ceil(F.col("n") / band).alias("parts")), "grp").withColumn(
+            "part", F.pmod(F.xxhash64("a", "b"), F.col("parts")))
+        last = not before.filter(F.col("n") > band).head(1)
+        rest = parts.select("grp", "part", "a", "b", "w").groupBy("grp", "part").applyInArrow(_thin_kernel, schema)
+        if last:
+            return stage(rest if tree is None else tree.select("grp", "a", "b", "w").union(rest))
+
+
+def _spanning_rounds(edges: DataFrame) -> DataFrame:
+    """The same by Boruvka rounds as joins, for any number of nodes."""
     rest = cut_lineage(edges.select("grp", "a", "b", "w", F.col("a").alias("ca"), F.col("b").alias("cb")))
     tree = None
     while rest.limit(1).count():
@@ -449,15 +506,14 @@ def topic_groups(df: DataFrame, group: str = "state", id_col: str = "id", vector
             .select(F.col(group).cast("string").alias("grp"), F.col(id_col).cast("bigint").alias("id"),
                     F.col(vector).alias("vector")))
     index = metric_index(rows, block_rows)
-    edges = candidate_edges(index, core_distances(index, k))
-    counts = edges.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    small = edges.join(counts.filter(F.col("n") <= band_edges), "grp", "left_semi")
+    tree = spanning_edges(candidate_edges(index, core_distances(index, k), band_edges), band_edges)
+    counts = stage(tree.groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
+    small = tree.join(counts.filter(F.col("n") <= band_edges), "grp", "left_semi")
     found = small.groupBy("grp").applyInArrow(_with_group(_tail_kernel(min_cluster_size)),
                                               "grp string, id bigint, cluster bigint")
     large = counts.filter(F.col("n") > band_edges).select("grp")
-    if large.limit(1).count():
-        tree = cut_lineage(spanning_edges(edges.join(large, "grp", "left_semi")))
-        found = found.union(_merge_in_bands(tree, index.rows.join(large, "grp", "left_semi").select("grp", "id"),
+    if large.head(1):
+        found = found.union(_merge_in_bands(tree.join(large, "grp", "left_semi"), index.rows.join(large, "grp", "left_semi").select("grp", "id"),
                                             min_cluster_size, band_edges))
     found = cut_lineage(found.filter("cluster >= 0"))
     firsts = found.groupBy("grp", "cluster").agg(F.min("id").alias("first"))

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from marquee.operators import topics
 from marquee.operators.topics import candidate_edges, core_distances, metric_index, topic_groups
 from marquee.operators.vectors import member_distances, normalise, rescue_noise
 
@@ -183,3 +184,27 @@ def test_blocks_that_are_far_apart_never_meet(spark, block_rows):
     pairs, first = index.pairs.count(), index.pairs.filter("first").count()
     shares = {k: 1 - (first + met.count()) / pairs for k, met in index.met.items()}
     assert shares["core"] > 0.5, shares
+
+
+def test_trees_are_thinned_in_parts_of_bounded_size(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    edges = [(g, int(a) + at, int(b) + at, float(w)) for g, at in (("x", 0), ("y", 100)) for a, b, w in
+             zip(rng.integers(0, 40, 900), rng.integers(40, 80, 900), rng.integers(1, 6, 900))]
+    df = spark.createDataFrame(edges, "grp string, a bigint, b bigint, w double")
+    want = set()
+    for g in ("x", "y"):
+        root = {}
+
+        def find(n):
+            while root.get(n, n) != n:
+                n = root[n]
+            return n
+
+        for w, a, b in sorted((w, a, b) for h, a, b, w in edges if h == g):
+            if find(a) != find(b):
+                root[find(a)] = find(b)
+                want.add((g, a, b, w))
+    rounds, calls = topics._spanning_rounds, []
+    monkeypatch.setattr(topics, "_spanning_rounds", lambda e: calls.append(1) or rounds(e))
+    assert {tuple(r) for r in topics.spanning_edges(df, 200).collect()} == want and not calls
+    assert {tuple(r) for r in topics.spanning_edges(df, 30).collect()} == want and calls
