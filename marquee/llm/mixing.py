@@ -168,8 +168,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     over, under = start + F.col("size") - F.col("take"), F.col("take") - start
     takes = parts.filter(over <= F.greatest(under, F.lit(0))).select(*[F.col(k).alias(v) for k, v in names.items()])
     rank = unused(docs, "mix_rank")
+    # The id as text, so that a missing one is a key too.  Copies are dropped by the keys of the join: texts are dealt out once for both.
+    keys = [names["mark"], names["src"], names["doc_id"]]
+
+    def keyed(df: DataFrame, id_: str) -> DataFrame:
+        return df.withColumn(names["doc_id"], F.coalesce(F.col(id_).cast("bigint").cast("string"), F.lit("")))
+
     wide = docs.withColumn(names["mark"], mark(docs, id_col, text_col)).withColumn(names["src"], source_key(F.col(source_col)))
-    one = top_per_group(wide, [names["mark"], names["src"], id_col], [F.col(names["mark"])], rank_col=rank).drop(rank)
-    joined = one.join(takes.withColumnRenamed(names["doc_id"], rank),
-                      [names["mark"], names["src"]]).filter(F.col(id_col).cast("bigint").eqNullSafe(F.col(rank)))
+    one = top_per_group(keyed(wide, id_col), keys, [F.col(names["mark"])], rank_col=rank).drop(rank)
+    joined = one.join(keyed(takes, names["doc_id"]), keys)
     return joined.orderBy(names["slot"], names["mark"]).select(*docs.columns)

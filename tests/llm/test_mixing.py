@@ -133,3 +133,15 @@ def test_documents_follow_the_schedule(spark):
     for at in range(0, 420, 60):
         window = [s for _, s in taken[at:at + 60]]
         assert abs(window.count("a") - 30) <= 5 and abs(window.count("b") - 10) <= 5 and abs(window.count("c") - 20) <= 5
+
+
+def test_texts_are_dealt_out_once_for_copies_and_takes(spark):
+    """What the window that drops copies deals out, the join with the takes uses as it is; the order deals the mix out once more."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixing.mixed_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Exchanges of the part of the plan that holds the texts, from the order down to the scan of the documents.
+    above = plan[:plan.index("Window [row_number()")]
+    assert above.count("Exchange rangepartitioning") == 1 and above.count("Exchange hashpartitioning") == 0
