@@ -5,7 +5,8 @@ vectors meet as pairs of bounded blocks.  Blocks hold the rows nearest to one pi
 the triangle inequality on chords two blocks are no nearer than their pivots less
 their radii.  Blocks first meet themselves and the nearest others, which bounds each row's k
 smallest distances and the heaviest edge of the group's spanning tree; pairs of blocks beyond
-these bounds never meet.  The pairs' own spanning trees together hold the tree of the
+these bounds never meet.  Pairs are dealt to tasks by tiles, runs of blocks of which a group has a fixed number, so a row
+travels to as many tasks however many pairs its block is in.  The pairs' own spanning trees together hold the tree of the
 whole group, which is found from them and turned into groups by merging its edges from light to heavy.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.components import connected_components, stars
 from marquee.operators.ranking import number_rows, top_per_group
-from marquee.operators.vectors import BLOCK_ROWS, add_blocks, cosine_distance, distance_matrix, stack
+from marquee.operators.vectors import BLOCK_ROWS, cosine_distance, distance_matrix, stack
 from marquee.session import cut_lineage, stage
 
 # Tree edges one task may hold; a group with more is merged in weight bands.
@@ -29,6 +30,10 @@ BAND_EDGES = 1_000_000
 MAX_LAMBDA = 1e12
 
 
+# Tiles of a group, and the rows that a tile has on average at most (larger groups have more tiles).
+TILES, TILE_ROWS = 16, 65_536
+# Distances that a task holds at once.
+MATRIX_CELLS = 1 << 20
 # Other blocks that a block meets first, and the slack of distances computed in different orders.
 FIRST_NEAR, SLACK = 2, 1e-6
 
@@ -38,7 +43,7 @@ class MetricIndex:
     """Rows of groups in blocks around pivots; all staged.
 
     rows: ``grp, id, vector, block``; pairs: ``grp, lo, hi, bound`` (least chord between rows of the two
-    blocks), ``first`` (whether the blocks meet first); pivots: ``grp, block, centre_id``.
+    blocks), ``first`` (whether the blocks meet first), ``tile_lo, tile_hi``; pivots: ``grp, block, centre_id``.
     """
 
     rows: DataFrame
@@ -46,10 +51,13 @@ class MetricIndex:
     pivots: DataFrame
     met: dict[str, DataFrame] = field(default_factory=dict)
 
-    def dealt(self, pairs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
-        """Every row once for each of the pairs of blocks that hold its block."""
-        ends = pairs.select("grp", "lo", "hi", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"))
-        return (self.rows if rows is None else rows).join(ends, ["grp", "block"])
+    def meet(self, pairs: DataFrame, rows: DataFrame, kernel, schema: str) -> DataFrame:
+        """What ``kernel`` makes of each two tiles' rows, sent once each, and the pairs of blocks that meet there."""
+        tiles = ["grp", "tile_lo", "tile_hi"]
+        # Both sides stem from the pairs; Spark tells their columns apart by new names.
+        ends = pairs.select(*[F.col(c).alias(c) for c in tiles], F.explode(F.array("lo", "hi")).alias("block")).distinct()
+        dealt = rows.join(ends, ["grp", "block"]).select(*[F.col(c).alias(c) for c in [*tiles, *rows.columns] if c != "grp"], F.col("grp").alias("grp"))
+        return dealt.groupBy(*tiles).cogroup(pairs.select(*tiles, "lo", "hi").groupBy(*tiles)).applyInArrow(kernel, schema)
 
 
 def _pivot_kernel(table: pa.Table) -> pa.Table:
@@ -58,10 +66,13 @@ def _pivot_kernel(table: pa.Table) -> pa.Table:
     rows, pivots = table.filter(pa.array(~is_pivot)), table.filter(pa.array(is_pivot))
     names = pivots.column("id").to_numpy()
     order = np.argsort(names, kind="stable")
-    d = distance_matrix(stack(rows.column("vector")), stack(pivots.column("vector"))[order])
-    best = d.argmin(axis=1)
-    return pa.table({"id": rows.column("id"), "pivot": pa.array(names[order][best], pa.int64()),
-                     "away": pa.array(np.sqrt(2 * d[np.arange(len(best)), best]), pa.float64())})
+    x, p = stack(rows.column("vector")), stack(pivots.column("vector"))[order]
+    best, away = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+    step = max(1, MATRIX_CELLS // len(p))
+    for at in range(0, len(x), step):
+        d = distance_matrix(x[at:at + step], p)
+        best[at:at + step], away[at:at + step] = d.argmin(axis=1), np.sqrt(2 * d.min(axis=1))
+    return pa.table({"id": rows.column("id"), "pivot": pa.array(names[order][best], pa.int64()), "away": pa.array(away, pa.float64())})
 
 
 def metric_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> MetricIndex:
@@ -70,8 +81,10 @@ def metric_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> MetricIndex:
     drawn = F.pmod(F.xxhash64("id"), F.lit(block_rows).cast("bigint")) == 0
     firsts = rows.groupBy("grp").agg(F.min("id").alias("first"))
     pivots = stage(rows.join(firsts, "grp").filter(drawn | (F.col("id") == F.col("first"))).select("grp", "id", "vector"))
-    dealt = add_blocks(rows, "grp", "id", block_rows)
-    tasks = dealt.select("grp", "blocks").distinct().select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # Pivots go to as many tasks as a group has tiles, which does not rise with its rows until tiles are full.
+    many = stage(rows.groupBy("grp").agg(F.greatest(F.lit(TILES), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int").alias("tiles")))
+    dealt = rows.join(many, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    tasks = many.select("grp", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("block"))
     both = dealt.select("grp", "block", "id", "vector", F.lit(False).alias("is_pivot")).unionByName(
         pivots.join(tasks, "grp").select("grp", "block", "id", "vector", F.lit(True).alias("is_pivot")))
     near = stage(both.groupBy("grp", "block").applyInArrow(_pivot_kernel, "id bigint, pivot bigint, away double"))
@@ -91,32 +104,62 @@ def metric_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> MetricIndex:
     ends = pairs.filter("lo < hi").select("grp", "lo", "hi", "bound", F.explode(F.array("lo", "hi")).alias("block"))
     nearest = top_per_group(ends, ["grp", "block"], [F.col("bound"), F.col("lo"), F.col("hi")], FIRST_NEAR).select(
         "grp", "lo", "hi", F.lit(True).alias("near")).distinct()
-    pairs = stage(pairs.join(nearest, ["grp", "lo", "hi"], "left").select(
-        "grp", "lo", "hi", "bound", (F.col("near").isNotNull() | (F.col("lo") == F.col("hi"))).alias("first")))
+    many = many.join(info.groupBy("grp").agg(F.count(F.lit(1)).alias("blocks")), "grp")
+    pairs = stage(pairs.join(nearest, ["grp", "lo", "hi"], "left").join(many, "grp").select(
+        "grp", "lo", "hi", "bound", (F.col("near").isNotNull() | (F.col("lo") == F.col("hi"))).alias("first"),
+        *[F.floor(F.col(end) * F.col("tiles") / F.col("blocks")).cast("int").alias(f"tile_{end}") for end in ("lo", "hi")]))
     return MetricIndex(indexed, pairs, info.groupBy("grp", "block").agg(F.min("pivot").alias("centre_id")))
 
 
+def _by_block(rows: pa.Table) -> tuple[pa.Table, dict[int, slice]]:
+    """The rows in order of their blocks, and where each block lies."""
+    rows = rows.sort_by([("block", "ascending"), ("id", "ascending")])
+    names, at, n = np.unique(rows.column("block").to_numpy(), return_index=True, return_counts=True)
+    return rows, {b: slice(i, i + c) for b, i, c in zip(names.tolist(), at.tolist(), n.tolist())}
+
+
 def _knn_kernel(k: int):
-    def kernel(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_numpy()
-        block = table.column("block").to_numpy()
-        x = stack(table.column("vector"))
-        lo, hi = block == table.column("lo")[0].as_py(), block == table.column("hi")[0].as_py()
-        out_ids, out = [], []
-        same = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
-        for mine, theirs in ([(lo, hi)] if same else [(lo, hi), (hi, lo)]):
-            if not mine.any() or not theirs.any():
+    """``(id, d)``: each row's ``k`` least distances among the pairs that are below its ``limit``."""
+
+    def kernel(rows: pa.Table, pairs: pa.Table) -> pa.Table:
+        rows, spans = _by_block(rows)
+        x, limit = stack(rows.column("vector")), rows.column("limit").to_numpy()
+        # Sorted; a distance that is not below the last one changes nothing.
+        best = np.repeat(limit[:, None], k, axis=1)
+
+        def offer(mine: slice, d: np.ndarray) -> None:
+            closer = np.flatnonzero(d.min(axis=1) < best[mine, -1])
+            if len(closer):
+                some, take = d[closer], min(k, d.shape[1])
+                near = np.partition(some, take - 1, axis=1)[:, :take]
+                best[mine.start + closer] = np.sort(np.concatenate((best[mine][closer], near), axis=1), axis=1)[:, :k]
+
+        partners: dict[int, list[int]] = {}
+        for lo, hi in zip(pairs.column("lo").to_pylist(), pairs.column("hi").to_pylist()):
+            partners.setdefault(lo, []).append(hi)
+        for lo, others in partners.items():
+            mine = spans.get(lo)
+            theirs = [spans[b] for b in others if b in spans and b != lo]
+            if mine is None:
                 continue
-            d = distance_matrix(x[mine], x[theirs])
-            if same:
+            if lo in others:
+                d = distance_matrix(x[mine], x[mine])
                 np.fill_diagonal(d, np.inf)
-            take = min(k, d.shape[1] - (1 if same else 0))
-            if take <= 0:
-                continue
-            near = np.sort(np.partition(d, take - 1, axis=1)[:, :take], axis=1)
-            out_ids.extend(ids[mine].tolist())
-            out.extend(near.tolist())
-        return pa.table({"id": pa.array(out_ids, pa.int64()), "near": pa.array(out, pa.list_(pa.float64()))})
+                offer(mine, d)
+            while theirs:
+                some, cells = [], 0
+                while theirs and (not some or cells + (theirs[-1].stop - theirs[-1].start) * (mine.stop - mine.start) <= MATRIX_CELLS):
+                    some.append(theirs.pop())
+                    cells += (some[-1].stop - some[-1].start) * (mine.stop - mine.start)
+                d = distance_matrix(x[mine], np.concatenate([x[s] for s in some]))
+                offer(mine, d)
+                at = 0
+                for s in some:
+                    offer(s, d[:, at:at + s.stop - s.start].T)
+                    at += s.stop - s.start
+        found = (best < limit[:, None]) & np.isfinite(best)
+        ids = np.repeat(rows.column("id").to_numpy(), k).reshape(best.shape)
+        return pa.table({"id": pa.array(ids[found], pa.int64()), "d": pa.array(best[found], pa.float64())})
 
     return kernel
 
@@ -126,22 +169,23 @@ def core_distances(index: MetricIndex, min_samples: int) -> DataFrame:
 
     A group with too few rows uses its furthest row.
     """
-    def nearest(pairs: DataFrame) -> DataFrame:
-        near = index.dealt(pairs).groupBy("grp", "lo", "hi").applyInArrow(_knn_kernel(min_samples), "id bigint, near array<double>")
-        # Each block pair offers its k smallest; the overall k smallest are kept map-side first.
-        return top_per_group(near.select("id", F.explode("near").alias("d")), ["id"], [F.col("d")], min_samples)
+    def nearest(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        # Each two tiles offer the k smallest of a row; the overall k smallest are kept map-side first.
+        near = index.meet(pairs, rows, _knn_kernel(min_samples), "id bigint, d double")
+        return top_per_group(near, ["id"], [F.col("d")], min_samples)
 
-    first = stage(nearest(index.pairs.filter("first")))
+    first = stage(nearest(index.pairs.filter("first"), index.rows.withColumn("limit", F.lit(float("inf")))))
     # What a row has found so far bounds how far its k nearest are, and the largest of a block how far its rows look.
     seen = first.groupBy("id").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n"))
-    reach = index.rows.select("grp", "block", "id").join(seen, "id", "left").groupBy("grp", "block").agg(
-        F.max(F.when(F.col("n") == min_samples, F.sqrt(2 * F.col("d"))).otherwise(F.lit(2.0))).alias("reach"))
+    limited = stage(index.rows.join(seen, "id", "left").withColumn(
+        "limit", F.when(F.col("n") == min_samples, F.col("d")).otherwise(F.lit(float("inf")))).drop("d", "n"))
+    reach = limited.groupBy("grp", "block").agg(F.max(F.sqrt(2 * F.least("limit", F.lit(2.0)))).alias("reach"))
     looks = index.pairs.filter(~F.col("first"))
     for end in ("lo", "hi"):
         looks = looks.join(reach.select("grp", F.col("block").alias(end), F.col("reach").alias(f"reach_{end}")), ["grp", end])
-    looks = stage(looks.filter(F.col("bound") <= F.greatest("reach_lo", "reach_hi")).select("grp", "lo", "hi"))
+    looks = stage(looks.filter(F.col("bound") <= F.greatest("reach_lo", "reach_hi")).select("grp", "lo", "hi", "tile_lo", "tile_hi"))
     index.met["core"] = looks
-    best = top_per_group(first.unionByName(nearest(looks)), ["id"], [F.col("d")], min_samples)
+    best = top_per_group(first.unionByName(nearest(looks, limited)), ["id"], [F.col("d")], min_samples)
     return stage(best.groupBy("id").agg(F.max("d").alias("core")))
 
 
@@ -175,15 +219,20 @@ def prim_edges(ids: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), np.array(w)
 
 
-def _tree_kernel(table: pa.Table) -> pa.Table:
-    ids = table.column("id").to_numpy()
-    core = table.column("core").to_numpy()
-    x = stack(table.column("vector"))
-    d = np.maximum(distance_matrix(x, x), np.maximum(core[:, None], core[None, :]))
-    a, b, w = prim_edges(ids, d) if len(ids) > 1 else (np.array([], dtype=np.int64),) * 2 + (np.array([]),)
-    grp = table.column("grp").slice(0, 1).to_pylist() * len(a)
-    return pa.table({"grp": pa.array(grp, pa.string()), "a": pa.array(a, pa.int64()),
-                     "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())})
+def _tree_kernel(rows: pa.Table, pairs: pa.Table) -> pa.Table:
+    """The edges that two tiles' pairs of blocks have in their spanning trees, thinned together."""
+    rows, spans = _by_block(rows)
+    ids, core, x = rows.column("id").to_numpy(), rows.column("core").to_numpy(), stack(rows.column("vector"))
+    found = [(np.array([], dtype=np.int64),) * 2 + (np.array([]),)]
+    for lo, hi in zip(pairs.column("lo").to_pylist(), pairs.column("hi").to_pylist()):
+        at = np.concatenate([np.arange(len(ids))[spans[b]] for b in dict.fromkeys((lo, hi)) if b in spans] or [found[0][0]])
+        if len(at) > 1:
+            d = np.maximum(distance_matrix(x[at], x[at]), np.maximum(core[at][:, None], core[at][None, :]))
+            found.append(prim_edges(ids[at], d))
+    a, b, w = (np.concatenate(c) for c in zip(*found))
+    grp = pairs.column("grp").slice(0, 1).to_pylist() * len(a)
+    out = pa.table({"grp": pa.array(grp, pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())})
+    return _thin_kernel(out) if len(a) else out
 
 
 def candidate_edges(index: MetricIndex, core: DataFrame, band_edges: int = BAND_EDGES) -> DataFrame:
@@ -195,7 +244,7 @@ def candidate_edges(index: MetricIndex, core: DataFrame, band_edges: int = BAND_
     rows = stage(index.rows.join(core, "id"))
 
     def trees(pairs: DataFrame) -> DataFrame:
-        return index.dealt(pairs, rows).groupBy("grp", "lo", "hi").applyInArrow(_tree_kernel, "grp string, a bigint, b bigint, w double")
+        return index.meet(pairs, rows, _tree_kernel, "grp string, a bigint, b bigint, w double")
 
     first = stage(trees(index.pairs.filter("first")).distinct())
     open_ = index.pairs.filter(~F.col("first"))
@@ -211,7 +260,7 @@ def candidate_edges(index: MetricIndex, core: DataFrame, band_edges: int = BAND_
     for end in ("lo", "hi"):
         open_ = open_.join(least.select("grp", F.col("block").alias(end), F.col("least").alias(f"least_{end}")), ["grp", end])
     weight = F.greatest(F.col("bound") * F.col("bound") / 2, "least_lo", "least_hi")
-    more = stage(open_.join(heaviest, "grp").filter(weight <= F.col("heaviest") + SLACK).select("grp", "lo", "hi"))
+    more = stage(open_.join(heaviest, "grp").filter(weight <= F.col("heaviest") + SLACK).select("grp", "lo", "hi", "tile_lo", "tile_hi"))
     index.met["tree"] = more
     return stage(first.unionByName(trees(more)).distinct())
 

@@ -208,3 +208,25 @@ def test_trees_are_thinned_in_parts_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(topics, "_spanning_rounds", lambda e: calls.append(1) or rounds(e))
     assert {tuple(r) for r in topics.spanning_edges(df, 200).collect()} == want and not calls
     assert {tuple(r) for r in topics.spanning_edges(df, 30).collect()} == want and calls
+
+
+def test_a_row_travels_to_few_tasks_however_many_blocks_meet(spark, monkeypatch):
+    """Rows sent to tasks stay within the tiles of the group; each two tiles' pairs give the exact distances."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([("g", i, v.tolist()) for i, v in enumerate(x)], "grp string, id bigint, vector array<double>")
+    monkeypatch.setattr(topics, "TILES", 3)
+    index = metric_index(df, 8)
+    blocks = index.pairs.filter("lo = hi").count()
+    assert blocks > 60 and index.pairs.agg({"tile_hi": "max"}).head()[0] == 2
+
+    def count(rows, pairs):
+        return topics.pa.table({"rows": [len(rows)], "pairs": [len(pairs)]})
+
+    sent = index.meet(index.pairs, index.rows, count, "rows bigint, pairs bigint").collect()
+    assert len(sent) == 6 and sum(r.rows for r in sent) == 600 * 3 and sum(r.pairs for r in sent) == blocks * (blocks + 1) // 2
+    got = {r.id: r.core for r in core_distances(index, 5).collect()}
+    d = np.clip(1 - x @ x.T, 0, 2)
+    np.fill_diagonal(d, np.inf)
+    assert np.allclose([got[i] for i in range(600)], np.sort(d, axis=1)[:, 4], atol=1e-12)
