@@ -75,11 +75,29 @@ def _(t):
     return L.discover_dates(t.spark, _landed(t))
 
 
+def put_folders(rows: DataFrame, root: str, path: str, order: str) -> None:
+    """Write ``rows`` as CSV under ``root``, a folder of part files at each text in column ``path``.
+
+    The parts follow ``order`` and are no larger than the shuffle's partitions, however many rows a path has.
+    """
+    spark = rows.sparkSession
+    (rows.repartitionByRange(path, order).sortWithinPartitions(path, order).drop(order).write.partitionBy(path)
+     .options(**AS_GIVEN).csv(f"{root}-parts"))
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = jvm.Path(f"{root}-parts")
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in files.listStatus(top):
+        if folder.isDirectory():
+            target = jvm.Path(f"{root}/{folder.getPath().getName().split('=', 1)[1].replace('%2F', '/')}")
+            files.mkdirs(target.getParent())
+            files.rename(folder.getPath(), target)
+
+
 def _city_files(t) -> str:
     root = home(t, "cities")
     rows = t.sql(LISTINGS)
     name = F.concat(F.lit("f"), (F.col("_ord") % 4).cast("string"), F.lit(".csv"))
-    put_files(rows.select(*RAW_COLUMNS, "_ord", F.when(F.col("_ord") % 2 == 0, name).otherwise(F.concat(F.lit("sub/"), name)).alias("path")), root, "path", "_ord")
+    put_folders(rows.select(*RAW_COLUMNS, "_ord", F.when(F.col("_ord") % 2 == 0, name).otherwise(F.concat(F.lit("sub/"), name)).alias("path")), root, "path", "_ord")
     return root
 
 

@@ -66,7 +66,10 @@ def read_listings(spark: SparkSession, root: str, cities: list[str] | None = Non
 
 
 def read_city_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All CSV files under a folder (by path), or an explicit list in the given order."""
+    """All CSV files under a folder (by path), or an explicit list in the given order.
+
+    A listed path may be a folder of part files, which come in the order of their names.
+    """
     reader = spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS)
     if isinstance(paths, str):
         raw = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(paths)
@@ -75,12 +78,14 @@ def read_city_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     # A file's place is looked up by its whole path; the list joins as a small frame.
     places = spark.createDataFrame([(_qualified(spark, p), i) for i, p in enumerate(paths)], "__path string, __at int")
     places = places.groupBy("__path").agg(F.min("__at").alias("__at"))
-    known = raw.withColumn("__path", F.regexp_replace(F.url_decode("__file"), "^file:/+", "file:/")).join(places, "__path", "left").drop("__path")
-    files = known.select("__file", "__at").distinct()
+    # Looked up for every file once, not for every row.
+    seen = raw.select("__file").distinct().withColumn("__path", F.regexp_replace(F.url_decode("__file"), "^file:/+", "file:/"))
+    seen = seen.join(places, "__path", "left").withColumn("__path", F.regexp_replace("__path", "/[^/]*$", ""))
+    files = seen.join(places.withColumnRenamed("__at", "__in"), "__path", "left").select("__file", F.coalesce("__at", "__in").alias("__at"))
     numbered = number_rows(files, [F.col("__at"), F.col("__file")], "__no").select("__file", "__no")
-    return (known.join(numbered, "__file")
+    return (raw.join(numbered, "__file")
             .withColumn("_ord", F.shiftleft(F.col("__no").cast("bigint"), ROW_BITS) + F.col("__row"))
-            .drop("__no", "__row", "__file", "__at"))
+            .drop("__no", "__row", "__file"))
 
 
 def _qualified(spark: SparkSession, path: str) -> str:

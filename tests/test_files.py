@@ -227,3 +227,23 @@ def test_flat_text_of_lists_and_flags(spark):
     df = spark.range(1).select(F.array(F.lit("a"), F.lit("b")).alias("l"), F.lit(True).alias("f"),
                                F.lit(None).cast("string").alias("n"))
     assert tuple(df.select(*[sinks.flat_text(df, c) for c in df.columns]).first()) == ("a;b", "true", "")
+
+
+def test_a_listing_file_may_be_a_folder_of_parts(spark, tmp_path):
+    """Rows of one path lie in several files, none with all of them; the reader numbers them in the order they had."""
+    from marquee.catalog.files import put_folders
+    from marquee.schema import RAW_COLUMNS
+
+    rows = spark.range(4000).selectExpr("id as _ord", "if(id % 2 = 0, 'f0.csv', 'sub/f1.csv') as path", *[
+        f"concat('{c}', repeat('x', 20), id) as {c}" for c in RAW_COLUMNS])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        put_folders(rows, str(tmp_path / "in"), "path", "_ord")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "in").rglob("part-*.csv"))) >= 4
+    name = lambda i: f"name{'x' * 20}{i}"
+    whole = [r["name"] for r in L.read_city_files(spark, str(tmp_path / "in")).orderBy("_ord").collect()]
+    assert whole == [name(i) for i in [*range(0, 4000, 2), *range(1, 4000, 2)]]
+    listed = L.read_city_files(spark, [str(tmp_path / "in/sub/f1.csv"), str(tmp_path / "in/f0.csv")])
+    assert [r["name"] for r in listed.orderBy("_ord").collect()] == [name(i) for i in [*range(1, 4000, 2), *range(0, 4000, 2)]]
