@@ -163,3 +163,20 @@ def test_exact_merge_holds_numbers_only(spark):
     merged.collect()
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_rows_do_not_go_to_a_task_per_city(spark):
+    """The city dimension is sent to the rows, not the rows to the few cities."""
+    from marquee.operators.joins import attach_city
+    from marquee.schema import city_dimension
+
+    rows = spark.range(10).selectExpr("id as _ord", "if(id % 2 = 0, 'New_York_US', 'Mexico_City_MX') as city_folder")
+    plan = attach_city(rows, city_dimension(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "hashpartitioning" not in plan
+
+
+def test_same_event_reads_the_typed_rows_once(spark):
+    from marquee.catalog import load
+
+    plan = load()[0]["same_event_as_best"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "SortAggregate" not in plan
