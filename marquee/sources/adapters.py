@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.markup import (
-    first_of, get, is_array, is_object, is_string, items, one_or_many, text_at, truthy,
+    fields, first_filled, first_of, get, is_array, is_object, is_string, items, one_or_many, text_at, truthy,
 )
 from marquee.functions.text import blank, join_filled, strip_html_light, strip_wide
 from marquee.functions.times import join_clock
@@ -47,15 +47,15 @@ def head(parts: Column) -> Column:
     return blank(F.try_element_at(parts, F.lit(1)))
 
 
-def texts(values: Column, *paths: str) -> Column:
-    """The filled texts of a list of objects."""
-    return F.filter(F.transform(values, lambda x: text_at(x, *paths)), lambda t: t != "")
+def texts(values: Column, name: str) -> Column:
+    """The filled texts of one field of a list of objects."""
+    return F.filter(F.transform(values, lambda x: blank(fields(x, f"{name}: string")[name])), lambda t: t != "")
 
 
 def ticketmaster(df: DataFrame) -> DataFrame:
     ev = F.col("ev")
     venue, kind = "$._embedded.venues[0]", "$.classifications[0]"
-    images = texts(items(ev, "$.images"), "$.url")
+    images = texts(items(ev, "$.images"), "url")
     return listing(
         df, name=text_at(ev, "$.name"), description=text_at(ev, "$.info"),
         location_name=text_at(ev, f"{venue}.name"), latitude=text_at(ev, f"{venue}.location.latitude"),
@@ -67,42 +67,41 @@ def ticketmaster(df: DataFrame) -> DataFrame:
         is_paid=F.when(F.size(items(ev, "$.priceRanges")) > 0, "true").otherwise(""))
 
 
-def _rich_text(ev: Column, path: str) -> Column:
+def _rich_text(x: Column) -> Column:
     """A text, or an object with a ``text`` or ``html`` part."""
-    return F.when(is_object(get(ev, path, "variant")), text_at(ev, f"{path}.text", f"{path}.html")).otherwise(
-        text_at(ev, path))
+    parts = fields(x, "text: string, html: string")
+    return F.when(parts.isNotNull(), first_filled(parts["text"], parts["html"])).otherwise(text_at(x, "$"))
 
 
-def _day_and_clock(ev: Column, day: str, clock: str) -> Column:
-    d, t = strip_wide(text_at(ev, day)), strip_wide(text_at(ev, clock))
+def _day_and_clock(day: Column, clock: Column) -> Column:
+    d, t = strip_wide(blank(day)), strip_wide(blank(clock))
     return F.when((d != "") & t.rlike(r"^\d{2}:\d{2}$"), F.concat(d, F.lit("T"), t, F.lit(":00"))).otherwise(d)
 
 
 def eventbrite(df: DataFrame) -> DataFrame:
-    ev = F.col("ev")
-    address = "$.primary_venue.address"
-    tags = F.filter(
-        F.transform(F.filter(items(ev, "$.tags"), is_object),
-                    lambda t: F.coalesce(*[F.nullif(text_at(t, p), F.lit(""))
-                                           for p in ("$.display_name", "$.name")], _rich_text(t, "$.text"))),
-        lambda x: x != "")
-    image = get(ev, "$.image", "variant")
-    free = get(ev, "$.is_free", "variant")
+    staged = df.withColumn("_read", fields(F.col("ev"), """
+        name: variant, summary: variant, full_description: variant, start_date: string, start_time: string, end_date: string,
+        end_time: string, tags: variant, image: variant, url: string, is_free: variant, primary_venue: struct<name: string,
+          address: struct<latitude: string, longitude: string, localized_address_display: string, address_1: string, city: string>>"""))
+    ev, tags = F.col("_read"), F.col("_tags")
+    address, image, free = ev["primary_venue"]["address"], ev["image"], ev["is_free"]
+    read = F.filter(F.transform(items(ev["tags"]), lambda t: fields(t, "display_name: string, name: string, text: variant")), F.isnotnull)
+    staged = staged.withColumn("_tags", F.filter(F.transform(
+        read, lambda t: F.coalesce(*[F.nullif(t[n], F.lit("")) for n in ("display_name", "name")], _rich_text(t["text"]))),
+        lambda x: x != ""))
+    picture = fields(image, "url: string")
     return listing(
-        df, name=_rich_text(ev, "$.name"),
-        description=F.when(truthy(get(ev, "$.summary", "variant")), _rich_text(ev, "$.summary")).otherwise(
-            _rich_text(ev, "$.full_description")),
-        location_name=text_at(ev, "$.primary_venue.name"), latitude=text_at(ev, f"{address}.latitude"),
-        longitude=text_at(ev, f"{address}.longitude"),
-        address=F.coalesce(F.nullif(text_at(ev, f"{address}.localized_address_display"), F.lit("")),
-                           join_filled(text_at(ev, f"{address}.address_1"), text_at(ev, f"{address}.city"))),
-        start_time=_day_and_clock(ev, "$.start_date", "$.start_time"),
-        end_time=_day_and_clock(ev, "$.end_date", "$.end_time"), city=F.lower(text_at(ev, f"{address}.city")),
+        staged, name=_rich_text(ev["name"]),
+        description=F.when(truthy(ev["summary"]), _rich_text(ev["summary"])).otherwise(_rich_text(ev["full_description"])),
+        location_name=ev["primary_venue"]["name"], latitude=address["latitude"], longitude=address["longitude"],
+        address=F.coalesce(F.nullif(address["localized_address_display"], F.lit("")),
+                           join_filled(address["address_1"], address["city"])),
+        start_time=_day_and_clock(ev["start_date"], ev["start_time"]),
+        end_time=_day_and_clock(ev["end_date"], ev["end_time"]), city=F.lower(address["city"]),
         primary_category=head(tags), secondary_categories=rest(tags),
-        thumbnail_image=F.when(is_object(image), text_at(ev, "$.image.url")).when(is_string(image),
-                                                                                  text_at(ev, "$.image")).otherwise(""),
-        external_link=text_at(ev, "$.url"),
-        is_paid=F.when(free.try_cast("string").isNull(), "").when(truthy(free), "false").otherwise("true"))
+        thumbnail_image=F.when(picture.isNotNull(), picture["url"]).when(is_string(image), text_at(image, "$")).otherwise(""),
+        external_link=ev["url"],
+        is_paid=F.when(free.try_cast("string").isNull(), "").when(truthy(free), "false").otherwise("true")).drop("_read", "_tags")
 
 
 def _zulu(c: Column) -> Column:
@@ -140,7 +139,7 @@ def resident_advisor(df: DataFrame) -> DataFrame:
         df, name=text_at(ev, "$.title"), location_name=text_at(ev, "$.venue.name"),
         address=text_at(ev, "$.venue.address"), start_time=text_at(ev, "$.startTime"),
         end_time=text_at(ev, "$.endTime"), city=F.lower(text_at(ev, "$.venue.area.name")),
-        primary_category=F.lit(MUSIC), secondary_categories=F.array_join(texts(items(ev, "$.artists"), "$.name"), ","),
+        primary_category=F.lit(MUSIC), secondary_categories=F.array_join(texts(items(ev, "$.artists"), "name"), ","),
         thumbnail_image=text_at(ev, "$.images[0].filename"),
         external_link=F.when(F.startswith(url, F.lit("/")), F.concat(F.lit(RA_SITE), url)).otherwise(url))
 
@@ -157,7 +156,7 @@ def songkick(df: DataFrame) -> DataFrame:
         address=join_filled(text_at(loc, "$.address.streetAddress"), locality),
         start_time=text_at(ev, "$.startDate"), end_time=text_at(ev, "$.endDate"), city=F.lower(locality),
         primary_category=F.lit(MUSIC),
-        secondary_categories=F.array_join(texts(one_or_many(ev, "$.performer"), "$.name"), ","),
+        secondary_categories=F.array_join(texts(one_or_many(ev, "$.performer"), "name"), ","),
         thumbnail_image=head(images), additional_images=rest(images), external_link=text_at(ev, "$.url"),
         is_paid=F.when(F.size(one_or_many(ev, "$.offers")) > 0, "true").otherwise("")).drop("loc")
 
@@ -237,11 +236,10 @@ ADAPTERS: dict[str, Site] = {
 }
 
 
-def _event_key(name: str) -> Column:
-    ev = F.col("ev")
+def _event_key(read: Column, name: str) -> Column:
     if "+" in name:
-        return F.to_json(F.struct(*[text_at(ev, f"$.{p}").alias(p) for p in name.split("+")]))
-    return F.nullif(text_at(ev, f"$.{name}"), F.lit(""))
+        return F.to_json(F.struct(*[blank(read[p]).alias(p) for p in name.split("+")]))
+    return F.nullif(read[name], F.lit(""))
 
 
 def distinct_events(df: DataFrame, site: Site) -> DataFrame:
@@ -249,9 +247,10 @@ def distinct_events(df: DataFrame, site: Site) -> DataFrame:
     ordered = df.withColumn("_ord", F.struct(F.col("page_no"), F.col("pos")))
     if not site.keys:
         return ordered
-    named = ordered.withColumns({f"__k{i}": _event_key(k) for i, k in enumerate(site.keys)})
-    keys = [f"__k{i}" for i in range(len(site.keys))]
-    return first_by_key(named, keys, "_ord", site.keep_keyless).drop(*keys)
+    names = dict.fromkeys(n for k in site.keys for n in k.split("+"))
+    read = ordered.withColumn("__read", fields(F.col("ev"), ", ".join(f"{n}: string" for n in names)))
+    named = read.withColumn("__key", F.coalesce(*[_event_key(F.col("__read"), k) for k in site.keys])).drop("__read")
+    return first_by_key(named, ["__key"], "_ord", site.keep_keyless).drop("__key")
 
 
 def adapt_source(payloads: DataFrame, site: str, start=None, end=None, city: str = "",
