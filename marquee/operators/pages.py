@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.markup import (
-    JSON_LD_BLOCK, attribute_pattern, decode_entities, element_content, element_text, extract, get, inner_text, is_array, is_object, is_string,
+    JSON_LD_BLOCK, attribute_pattern, decode_entities, element_content, element_text, extract, fields, get, inner_text, is_array, is_object, is_string,
     items, marked_element_pattern, marked_text, meta_content, strip_script, tag_text_pattern, text_at, truthy,
 )
 from marquee.functions.text import SCRIPT_SPACE, clean_url, join_filled, url_host
@@ -87,14 +87,15 @@ def json_ld_items(df: DataFrame, html: str, any_case: bool = True) -> DataFrame:
     tops = F.when(is_array(doc), items(doc)).otherwise(F.array(doc))
 
     def opened(x: Column) -> Column:
-        listed = F.transform(items(x, "$.itemListElement"),
-                             lambda e: F.coalesce(get(e, "$.item", "variant"), e))
-        return (F.when(is_array(get(x, "$['@graph']", "variant")), items(x, "$['@graph']"))
-                .when(text_at(x, "$['@type']") == "ItemList", listed).otherwise(F.array(x)))
-
-    return (docs.select(*own, "block_no", F.posexplode(F.flatten(F.transform(tops, opened))).alias("item_no", "item"))
-            .filter(is_object(F.col("item"))
-                    & names_event(get(F.col("item"), "$['@type']"), any_case)))
+        top, graph = x["top"], x["read"]["@graph"]
+        listed = F.transform(items(x["read"]["itemListElement"]), lambda e: F.coalesce(fields(e, "item: variant")["item"], e))
+        return (F.when(is_array(graph), items(graph))
+                .when(x["read"]["@type"] == "ItemList", listed).otherwise(F.array(top)))
+
+    read = F.transform(tops, lambda x: F.struct(
+        x.alias("top"), fields(x, "`@graph`: variant, `@type`: string, itemListElement: variant").alias("read")))
+    return (docs.select(*own, "block_no", F.posexplode(F.flatten(F.transform(read, opened))).alias("item_no", "item"))
+            .filter(names_event(fields(F.col("item"), "`@type`: string")["@type"], any_case)))
 
 
 def page_state(html: Column) -> Column:

@@ -109,27 +109,29 @@ def _zulu(c: Column) -> Column:
 
 
 def eventbrite_json_ld(df: DataFrame) -> DataFrame:
-    staged = df.withColumns({"loc": first_of(F.col("ev"), "$.location"), "offer": first_of(F.col("ev"), "$.offers"),
-                             "img": get(F.col("ev"), "$.image", "variant")})
-    ev, loc, offer, img = F.col("ev"), F.col("loc"), F.col("offer"), F.col("img")
-    plain_address = is_string(get(loc, "$.address", "variant"))
+    staged = df.withColumn("_read", fields(F.col("ev"), """
+        `@type`: string, name: string, description: string, startDate: string, endDate: string, url: string, image: variant,
+        location: variant, offers: variant"""))
+    ev = F.col("_read")
+    staged = staged.withColumns({
+        "_place": fields(first_of(ev["location"], "$"), "name: string, geo: struct<latitude: string, longitude: string>, address: variant"),
+        "_offer": first_of(ev["offers"], "$")})
+    loc, offer, img, kind = F.col("_place"), F.col("_offer"), ev["image"], blank(ev["@type"])
+    address, street = loc["address"], fields(loc["address"], "streetAddress: string, addressLocality: string")
+    asked, images, picture = fields(offer, "price: string, lowPrice: string"), get(img, "$", STRINGS), fields(img, "url: string")
     has_price = F.schema_of_variant(offer).rlike(r"[<\s]price:")
-    price = F.when(has_price, get(offer, "$.price")).otherwise(get(offer, "$.lowPrice"))
-    number = strip_wide(price).try_cast("double")
-    kind = text_at(ev, "$['@type']")
-    out = listing(
-        staged, name=text_at(ev, "$.name"), description=strip_wide(text_at(ev, "$.description")),
-        location_name=text_at(loc, "$.name"), latitude=text_at(loc, "$.geo.latitude"),
-        longitude=text_at(loc, "$.geo.longitude"),
-        address=F.when(plain_address, text_at(loc, "$.address")).otherwise(text_at(loc, "$.address.streetAddress")),
-        start_time=_zulu(text_at(ev, "$.startDate")), end_time=_zulu(text_at(ev, "$.endDate")),
-        city=F.lower(text_at(loc, "$.address.addressLocality")),
+    number = strip_wide(F.when(has_price, asked["price"]).otherwise(asked["lowPrice"])).try_cast("double")
+    return listing(
+        staged, name=ev["name"], description=strip_wide(blank(ev["description"])),
+        location_name=loc["name"], latitude=loc["geo"]["latitude"], longitude=loc["geo"]["longitude"],
+        address=F.when(is_string(address), text_at(address, "$")).otherwise(street["streetAddress"]),
+        start_time=_zulu(blank(ev["startDate"])), end_time=_zulu(blank(ev["endDate"])),
+        city=F.lower(street["addressLocality"]),
         primary_category=F.when(kind != "Event", kind).otherwise(""),
-        thumbnail_image=F.when(is_array(img), text_at(ev, "$.image[0]")).when(
-            is_object(img), text_at(ev, "$.image.url")).otherwise(text_at(ev, "$.image")),
-        external_link=text_at(ev, "$.url"),
-        is_paid=F.when(number > 0, "true").when(number.isNotNull(), "false").otherwise(""))
-    return out.drop("loc", "offer", "img")
+        thumbnail_image=F.when(images.isNotNull(), F.try_element_at(images, F.lit(1))).when(
+            picture.isNotNull(), picture["url"]).otherwise(text_at(img, "$")),
+        external_link=ev["url"],
+        is_paid=F.when(number > 0, "true").when(number.isNotNull(), "false").otherwise("")).drop("_read", "_place", "_offer")
 
 
 def resident_advisor(df: DataFrame) -> DataFrame:

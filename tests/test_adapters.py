@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.catalog import load
+from marquee.operators.pages import json_ld_items
 from marquee.sources.adapters import ADAPTERS, distinct_events
 
 FOLDER = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def adapted(spark, site, events):
     return ADAPTERS[site].adapt(distinct_events(d, ADAPTERS[site]))
 
 
-@pytest.mark.parametrize("site", ["eventbrite"])
+@pytest.mark.parametrize("site", ["eventbrite", "eventbrite_json_ld"])
 def test_an_event_is_read_once_for_its_key_and_once_for_its_columns(spark, site):
     assert len(re.findall(r"variant_get\(ev#", plan(adapted(spark, site, [{}])))) == 2
 
@@ -43,3 +44,24 @@ def test_odd_eventbrite_events(spark):
         "H", "B", "T", "i.png", "true")
     assert (got[2]["thumbnail_image"], got[2]["primary_category"], got[4]["name"]) == ("7", "", "")
     assert (got[6]["name"], got[6]["location_name"], got[6]["start_time"]) == ("9", "", "2026-01-02T10:30:00")
+
+
+def test_odd_json_ld_events(spark):
+    got = {r["_ord"]["page_no"]: r for r in adapted(spark, "eventbrite_json_ld", [
+        {"url": "a", "location": [], "image": [], "offers": {"x": {"price": 1}, "lowPrice": 2}},
+        {"url": "b", "location": {"name": 3, "address": "plain"}, "image": {"url": "p"}, "offers": [{"price": 0}], "@type": "Event"},
+        {"url": "c", "location": [{"address": {"streetAddress": "S", "addressLocality": "L"}}], "image": ["q", "r"], "endDate": "2026-01-02T03:04:05+00:00"},
+    ]).collect()}
+    assert [(r["location_name"], r["address"], r["city"], r["thumbnail_image"], r["is_paid"]) for _, r in sorted(got.items())] == [
+        ("", "", "", "", ""), ("3", "plain", "", "p", "false"), ("", "S", "l", "q", "")]
+    assert got[2]["end_time"] == "2026-01-02T03:04:05Z"
+
+
+def test_json_ld_blocks_of_every_form(spark):
+    block = '<script type="application/ld+json">%s</script>'
+    docs = [{"@graph": [{"@type": "Event", "n": 1}, 5]}, {"@type": "ItemList", "itemListElement": [{"item": {"@type": "Event", "n": 2}}, {"@type": "Event", "n": 3}]},
+            [{"@type": ["Thing", "Event"], "n": 4}, None, "Event"], {"@graph": None, "@type": "Event", "n": 5}, {"@type": "ItemList"}]
+    page = spark.createDataFrame([("".join(block % json.dumps(d) for d in docs),)], "html string")
+    found = json_ld_items(page, "html")
+    assert len(re.findall(r"variant_get\(item#", plan(found))) == 1
+    assert sorted(r[0] for r in found.select(F.try_variant_get("item", "$.n", "int")).collect()) == [1, 2, 3, 4, 5]
