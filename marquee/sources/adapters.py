@@ -147,20 +147,25 @@ def resident_advisor(df: DataFrame) -> DataFrame:
 
 
 def songkick(df: DataFrame) -> DataFrame:
-    staged = df.withColumn("loc", first_of(F.col("ev"), "$.location"))
-    ev, loc = F.col("ev"), F.col("loc")
-    images = F.transform(F.filter(one_or_many(ev, "$.image"), is_string), lambda x: x.cast("string"))
-    locality = text_at(loc, "$.address.addressLocality")
+    staged = df.withColumn("_read", fields(F.col("ev"), """
+        name: string, description: string, startDate: string, endDate: string, url: string, location: variant, image: variant,
+        performer: variant, offers: variant"""))
+    ev, loc, images = F.col("_read"), F.col("_place"), F.col("_images")
+    staged = staged.withColumns({
+        "_place": fields(first_of(ev["location"], "$"), """
+            name: string, geo: struct<latitude: string, longitude: string>,
+            address: struct<streetAddress: string, addressLocality: string>"""),
+        "_images": F.transform(F.filter(one_or_many(ev["image"], "$"), is_string), lambda x: x.cast("string"))})
+    locality = loc["address"]["addressLocality"]
     return listing(
-        staged, name=text_at(ev, "$.name"), description=strip_html_light(text_at(ev, "$.description")),
-        location_name=text_at(loc, "$.name"), latitude=text_at(loc, "$.geo.latitude"),
-        longitude=text_at(loc, "$.geo.longitude"),
-        address=join_filled(text_at(loc, "$.address.streetAddress"), locality),
-        start_time=text_at(ev, "$.startDate"), end_time=text_at(ev, "$.endDate"), city=F.lower(locality),
+        staged, name=ev["name"], description=strip_html_light(ev["description"]),
+        location_name=loc["name"], latitude=loc["geo"]["latitude"], longitude=loc["geo"]["longitude"],
+        address=join_filled(loc["address"]["streetAddress"], locality),
+        start_time=ev["startDate"], end_time=ev["endDate"], city=F.lower(locality),
         primary_category=F.lit(MUSIC),
-        secondary_categories=F.array_join(texts(one_or_many(ev, "$.performer"), "name"), ","),
-        thumbnail_image=head(images), additional_images=rest(images), external_link=text_at(ev, "$.url"),
-        is_paid=F.when(F.size(one_or_many(ev, "$.offers")) > 0, "true").otherwise("")).drop("loc")
+        secondary_categories=F.array_join(texts(one_or_many(ev["performer"], "$"), "name"), ","),
+        thumbnail_image=head(images), additional_images=rest(images), external_link=ev["url"],
+        is_paid=F.when(F.size(one_or_many(ev["offers"], "$")) > 0, "true").otherwise("")).drop("_read", "_place", "_images")
 
 
 def nyc_events(df: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def adapted(spark, site, events):
     return ADAPTERS[site].adapt(distinct_events(d, ADAPTERS[site]))
 
 
-@pytest.mark.parametrize("site", ["eventbrite", "eventbrite_json_ld"])
+@pytest.mark.parametrize("site", ["eventbrite", "eventbrite_json_ld", "songkick"])
 def test_an_event_is_read_once_for_its_key_and_once_for_its_columns(spark, site):
     assert len(re.findall(r"variant_get\(ev#", plan(adapted(spark, site, [{}])))) == 2
 
@@ -65,3 +65,12 @@ def test_json_ld_blocks_of_every_form(spark):
     found = json_ld_items(page, "html")
     assert len(re.findall(r"variant_get\(item#", plan(found))) == 1
     assert sorted(r[0] for r in found.select(F.try_variant_get("item", "$.n", "int")).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_odd_songkick_events(spark):
+    got = [tuple(r[c] for c in ("location_name", "address", "secondary_categories", "thumbnail_image", "additional_images", "is_paid")) for r in adapted(
+        spark, "songkick", [
+            {"url": "a", "location": "x", "performer": {"name": "P"}, "image": [1, "i", "j"], "offers": {}},
+            {"name": "n", "startDate": "d", "location": [{"name": "L", "address": {"addressLocality": "C"}}], "performer": ["s", {"name": ["q"]}], "offers": {"a": 1}},
+            {"name": "n", "startDate": "d"}]).orderBy("_ord").collect()]
+    assert got == [("", "", "P", "i", "j", ""), ("L", "C", '["q"]', "", "", "true")]
