@@ -21,9 +21,9 @@ from marquee.session import cut_lineage
 TWO_PI = 2.0 * math.pi
 # A little less than eps/sqrt(2): keeps the cell diagonal below eps on the sphere.
 CELL_SHARE = 0.999 / math.sqrt(2.0)
-# Sub-cells per side and refinement level; after the last level single points decide.
-SPLIT = 8
-LEVELS = 3
+# Sub-cells per side of a cell by refinement level; after the last level single points decide.
+SIDES = (1, 2, 8, 64, 512)
+LEVELS = len(SIDES) - 1
 
 
 class Grid:
@@ -121,11 +121,12 @@ def _box_bounds() -> tuple[Column, Column]:
 
 
 def _connected_cells(core: DataFrame, grid: Grid) -> DataFrame:
-    """``(src, dst)`` of core cells that hold core points within eps of each other.
+    """``(src, dst)`` that join the core cells which hold core points within eps of each other.
 
-    Exact without pairing points: a pair of boxes closer than eps everywhere connects
-    its cells, one further than eps everywhere is dropped, and only the rest is split
-    into at most 64 x 64 smaller boxes.  Cells already connected are split no further.
+    Exact as to what is connected, without pairing points: a pair of boxes closer than
+    eps everywhere connects its cells, one further than eps everywhere is dropped, and only the rest is
+    split into smaller boxes: 2 x 2 each first, which decides most cells side by side or corner to
+    corner.  Cells already connected, through other cells too, are split no further.
     """
     box = ["lat_lo", "lat_hi", "lon_lo", "lon_hi"]
     cells = core.groupBy("cell", *CELL).agg(
@@ -149,6 +150,10 @@ def _connected_cells(core: DataFrame, grid: Grid) -> DataFrame:
         level += 1
         if level > LEVELS + 1 or not rest.limit(1).count():
             return links
+        if level > 1:
+            rest, links = _apart(rest, links)
+            if not rest.limit(1).count():
+                return links
         sub = _sub_boxes(core, grid, level)
         keys = ["a", "b", "a_sub", "b_sub"] if level > 1 else ["a", "b"]
         rest = rest.select(*keys)
@@ -163,6 +168,18 @@ def _connected_cells(core: DataFrame, grid: Grid) -> DataFrame:
                       .withColumnRenamed("a_new", "a_sub").withColumnRenamed("b_new", "b_sub"))
 
 
+def _apart(pairs: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs of cells that the links do not join, through other cells or at once; and links that join the same
+    cells by way of their component's smallest only."""
+    ends = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    found = connected_components(ends, links)
+    for name in ("a", "b"):
+        pairs = pairs.join(found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in")), name, "left")
+    joined = F.coalesce(F.col("a_in") == F.col("b_in"), F.lit(False))
+    stars = found.filter("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))
+    return cut_lineage(pairs.filter(~joined).drop("a_in", "b_in")), stars
+
+
 def _sub_boxes(core: DataFrame, grid: Grid, level: int) -> DataFrame:
     """Boxes of one refinement level with the key of the level above."""
     n = grid.columns(F.col("band"))
@@ -172,7 +189,7 @@ def _sub_boxes(core: DataFrame, grid: Grid, level: int) -> DataFrame:
     def key(at: int) -> Column:
         if at > LEVELS:
             return F.struct(F.col("lat").alias("x"), F.col("lon").alias("y"))
-        parts = float(SPLIT ** at)
+        parts = float(SIDES[at])
         return F.struct(F.floor(x * parts).cast("double").alias("x"), F.floor(y * parts).cast("double").alias("y"))
 
     return core.groupBy("cell", key(level - 1).alias("up"), key(level).alias("sub")).agg(

@@ -89,3 +89,22 @@ def test_core_points(spark):
     got = {r["id"] for r in core_points(df, 800.0, 4).filter("is_core").collect()}
     want = {i for i in range(90) if sum(metres(pts[i], q) <= 800.0 for q in pts) >= 4}
     assert got == want
+
+
+def test_few_boxes_decide_dense_cells(spark, monkeypatch):
+    """Halves join the cells of a dense sheet to their neighbours, so cells further apart need no boxes of their own."""
+    from marquee.operators import spatial
+
+    judged, cut = [], spatial.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "high" in df.columns:
+            judged.append(out.count())
+        return out
+
+    monkeypatch.setattr(spatial, "cut_lineage", counted)
+    pts = [(40.0 + 0.0005 * i, -74.0 + 0.0005 * j) for i in range(60) for j in range(60)]
+    df = spark.createDataFrame([("s", i, a, b) for i, (a, b) in enumerate(pts)], "state string, id bigint, lat double, lon double")
+    assert {r["spatial_label"] for r in place_groups(df, 500.0, 5).collect()} == {0}
+    assert sum(judged) < 30 * judged[0]
